@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The surveyed pipeline has no streaming source, sink, watermark, window or
+state (every table is a batch load), so there is nothing to rebuild here.
+Incremental loads are batch appends / partition overwrites, see
+``retailflow.sources.catalog.save``.
+"""
