@@ -19,6 +19,37 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+# Lines whose absolute value stays below this fit a double exactly in cents.
+_EXACT_DOUBLE_LIMIT = 9.0e13
+
+
+def unscaled(df: DataFrame, c: str) -> Column:
+    """Unscaled integer value of a decimal column (e.g. cents of decimal(18,2)).
+
+    The usual path goes through a double (exact for |value| < 9e13 at scale 2,
+    and cheap); larger values take the exact decimal multiplication.
+    """
+    t = df.schema[c].dataType
+    scale = 10 ** t.scale
+    fast = F.rint(F.col(c).cast("double") * F.lit(float(scale))).cast("bigint")
+    slow = (F.col(c) * F.lit(scale)).cast("bigint")
+    return F.when(F.abs(F.col(c)) < F.lit(_EXACT_DOUBLE_LIMIT), fast).otherwise(slow)
+
+
+def exact_sum(df: DataFrame, c: str) -> Column:
+    """``sum(c)`` of a decimal column with Spark's result type
+    (decimal(p + 10, s)), accumulated as a 64-bit integer of unscaled units.
+
+    Spark keeps decimal sums wider than 18 digits as BigDecimal per row; the
+    integer buffer is the same rewrite Spark applies on its own to narrow
+    decimals. An overflow of the 64-bit total raises (ANSI), it never wraps.
+    """
+    t = df.schema[c].dataType
+    p, s = min(38, t.precision + 10), t.scale
+    total = F.sum(unscaled(df, c))
+    return (total.cast(f"decimal({min(38, p)},0)") * F.lit(Decimal(1).scaleb(-s))).cast(f"decimal({p},{s})")
+
+
 def sales_measures(lines: DataFrame, grain: Sequence, stock: str | None = "stock_qty") -> DataFrame:
     """Daily-sales measures of the sales lines at ``grain``.
 
@@ -37,11 +68,11 @@ def sales_measures(lines: DataFrame, grain: Sequence, stock: str | None = "stock
     aggs = [
         F.sum("qty").alias("qty_sold"),
         F.countDistinct("order_id").alias("orders"),
-        F.round(F.sum("gross"), 2).alias("gross_total"),
-        F.round(F.sum("net"), 2).alias("net_total"),
-        F.round(F.sum("discount"), 2).alias("discount_total"),
-        F.sum("gross").alias("_sum_gross"),
-        F.sum("discount").alias("_sum_discount"),
+        F.round(exact_sum(lines, "gross"), 2).alias("gross_total"),
+        F.round(exact_sum(lines, "net"), 2).alias("net_total"),
+        F.round(exact_sum(lines, "discount"), 2).alias("discount_total"),
+        exact_sum(lines, "gross").alias("_sum_gross"),
+        exact_sum(lines, "discount").alias("_sum_discount"),
     ]
     if stock:
         aggs += [F.round(F.avg(stock), 2).alias("stock_avg"), F.max(stock).alias("stock_final")]
@@ -68,7 +99,7 @@ def average_ticket(lines: DataFrame, grain: Sequence, net: str = "net", order: s
     always recomputed from the lines, never re-aggregated from a finer fact.
     """
     out = lines.groupBy(*[_c(g) for g in grain]).agg(
-        F.round(F.sum(net), 2).alias("net_total"),
+        F.round(exact_sum(lines, net), 2).alias("net_total"),
         F.countDistinct(order).alias("orders"))
     return out.withColumn("avg_ticket", F.when(
         F.col("orders") > 0, F.round(F.col("net_total") / F.col("orders"), 2)).otherwise(zero_dec()))

@@ -37,12 +37,21 @@ def enrich(fact: DataFrame, dim: DataFrame, key: str | Sequence[str], how: str =
 
 
 def enrich_snapshot(fact: DataFrame, snap: DataFrame, on: Sequence[tuple[str, str]],
-                    cols: Sequence[str], how: str = "left") -> DataFrame:
+                    cols: Sequence[str], how: str = "left", strategy: str | None = "merge") -> DataFrame:
     """Left join on several differently named keys (e.g. sale date = stock
     date, store = store, product = product); only ``cols`` of the snapshot are
-    kept and its key copies are dropped."""
+    kept and its key copies are dropped.
+
+    The snapshot side is hinted ``merge`` by default: a snapshot can be as
+    large as the fact, and size estimates of generated tables are too low to
+    trust for a broadcast. When the fact is already hash-partitioned on the
+    keys (e.g. it is the output of a group-by on them), only the snapshot is
+    shuffled. Pass ``strategy=None`` to let the planner choose.
+    """
     renamed = snap.select(*[F.col(b).alias(f"_snap_{i}") for i, (_, b) in enumerate(on)],
                           *[F.col(c) for c in cols])
+    if strategy:
+        renamed = renamed.hint(strategy)
     cond = None
     for i, (a, _) in enumerate(on):
         term = fact[a] == renamed[f"_snap_{i}"]

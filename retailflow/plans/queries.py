@@ -65,7 +65,8 @@ class Retail:
     @property
     def b_stock(self):
         lo, hi = self.date_range
-        return self._memo("b_stock", lambda: fx.bronze_stock(self.b_products, self.b_stores, lo, hi))
+        return self._memo("b_stock", lambda: fx.bronze_stock(
+            fx.top_product_ids(self.spark, self.sf_dir), self.b_stores, lo, hi))
 
     # silver
     @property
@@ -104,7 +105,8 @@ def q_fact_daily_sales_by_store(spark, sf_dir):
 def q_fact_monthly_sales_by_category(spark, sf_dir):
     r = Retail(spark, sf_dir)
     grain = [("year_month", F.date_format("sale_date", "yyyy-MM")), "region", "category"]
-    return comparable(gold.fact_daily_sales(r.sales, r.stock, products=r.products, stores=r.stores,
+    products = fx.product_attributes(spark, sf_dir)
+    return comparable(gold.fact_daily_sales(r.sales, r.stock, products=products, stores=r.stores,
                                             grain=grain))
 
 
@@ -149,7 +151,7 @@ def q_dedup_order_lines(spark, sf_dir):
     (part, supplier, quantity, price, discount, ship date)."""
     li = read_table(spark, sf_dir, "lineitem",
                     ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
-                     "l_extendedprice", "l_discount", "l_shipdate"])
+                     "l_extendedprice", "l_discount", "l_shipdate"], spread_by="l_orderkey")
     order = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_shipdate"]
     out = dedup(li, ["l_orderkey", "l_linenumber"], order)
     return out.withColumn("l_shipdate", F.col("l_shipdate").cast("date"))

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import MONEY, RATE, keyed_int, padded_id, to_money
-from ..operators.joins import bounded_values, explode_dates, explode_values, sized_broadcast
+from ..operators.joins import bounded_values, explode_dates, explode_values
 from ..operators.windows import row_number_by
 from .tables import read_table
 
@@ -56,14 +56,16 @@ def bronze_sales(spark: SparkSession, sf_dir: str, as_of=None) -> DataFrame:
     """
     li = read_table(spark, sf_dir, "lineitem",
                     ["l_orderkey", "l_partkey", "l_suppkey", "l_quantity",
-                     "l_extendedprice", "l_discount", "l_shipdate"])
+                     "l_extendedprice", "l_discount", "l_shipdate"], spread_by="l_orderkey")
     supp = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_nationkey"])
     # nation has 25 rows by definition of the schema: a fixed-size broadcast
     nation = F.broadcast(read_table(spark, sf_dir, "nation", ["n_nationkey", "n_regionkey"]))
-    supp_region = (supp.join(nation, supp.s_nationkey == nation.n_nationkey, "inner")
-                       .select(F.col("s_suppkey").alias("l_suppkey"),
-                               F.col("n_regionkey").cast("string").alias("store_id")))
-    lines = li.join(sized_broadcast(supp_region), "l_suppkey", "left")
+    # supplier: no hint. The planner broadcasts it when its scan size is under
+    # the broadcast threshold; otherwise it shuffles (and AQE re-plans with the
+    # real size, or splits a hot supplier key).
+    lines = li.join(supp, li.l_suppkey == supp.s_suppkey, "left")
+    lines = lines.join(nation, lines.s_nationkey == nation.n_nationkey, "left")
+    lines = lines.withColumn("store_id", F.col("n_regionkey").cast("string"))
     price = to_money("l_extendedprice")
     rate = F.col("l_discount").cast(RATE)
     return lines.select(
@@ -78,13 +80,8 @@ def bronze_sales(spark: SparkSession, sf_dir: str, as_of=None) -> DataFrame:
     )
 
 
-def bronze_products(spark: SparkSession, sf_dir: str, exponent: float = ZIPF_EXPONENT) -> DataFrame:
-    """Products: (rank, product_id, sku, name, category, brand, list_price, weight).
-
-    rank = row number by total quantity sold (desc; unsold parts count 0; ties
-    by key) — computed with the distributed numbering, not a one-task window.
-    weight = rank**-exponent divided by its total over all products.
-    """
+def product_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts with their total quantity sold (``_qty``; 0 when never sold)."""
     part = read_table(spark, sf_dir, "part", ["p_partkey", "p_name", "p_brand", "p_type", "p_retailprice"])
     sold = (read_table(spark, sf_dir, "lineitem", ["l_partkey", "l_quantity"])
             .groupBy("l_partkey").agg(F.sum("l_quantity").alias("_qty")))
@@ -97,7 +94,41 @@ def bronze_products(spark: SparkSession, sf_dir: str, exponent: float = ZIPF_EXP
         to_money("p_retailprice").alias("list_price"),
         F.coalesce(F.col("_qty"), F.lit(0.0)).alias("_qty"),
     )
-    ranked = row_number_by(base, [F.col("_qty").desc(), F.col("product_id").asc()], out="rank")
+    return base
+
+
+def _popularity_order():
+    return [F.col("_qty").desc(), F.col("product_id").asc()]
+
+
+def product_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Descriptive product attributes straight from part (no ranking work):
+    what a fact needs to group by category or brand."""
+    part = read_table(spark, sf_dir, "part", ["p_partkey", "p_name", "p_brand", "p_type", "p_retailprice"])
+    return part.select(F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product_name"),
+                       F.col("p_type").alias("category"), F.col("p_brand").alias("brand"),
+                       to_money("p_retailprice").alias("list_price"))
+
+
+def top_product_ids(spark: SparkSession, sf_dir: str, n: int = STOCK_TOP_RANK) -> list:
+    """Ids of the ``n`` most popular products (rank 1..n), best first.
+
+    A top-k (per-task top n, then a merge of n rows per task), not a full
+    sort; the list is bounded by ``n``.
+    """
+    top = product_base(spark, sf_dir).orderBy(*_popularity_order()).limit(n)
+    return bounded_values(top, "product_id", n)
+
+
+def bronze_products(spark: SparkSession, sf_dir: str, exponent: float = ZIPF_EXPONENT) -> DataFrame:
+    """Products: (rank, product_id, sku, name, category, brand, list_price, weight).
+
+    rank = row number by total quantity sold (desc; unsold parts count 0; ties
+    by key) — computed with the distributed numbering, not a one-task window.
+    weight = rank**-exponent divided by its total over all products.
+    """
+    base = product_base(spark, sf_dir)
+    ranked = row_number_by(base, _popularity_order(), out="rank")
     raw = F.pow(F.lit(1.0) / F.col("rank"), F.lit(float(exponent)))
     total = ranked.agg(F.sum(raw).alias("t")).first()["t"]
     return ranked.select(
@@ -134,24 +165,25 @@ def calendar_range(sales: DataFrame, date_col: str = "sale_date") -> tuple[_dt.d
     return _dt.date(lo.year, 1, 1), _dt.date(hi.year, 12, 31)
 
 
-def bronze_stock(products: DataFrame, stores: DataFrame, start, end,
-                 top_rank: int = STOCK_TOP_RANK) -> DataFrame:
+def bronze_stock(top_ids: list, stores: DataFrame, start, end,
+                 num_partitions: int | None = None) -> DataFrame:
     """Stock snapshots: (day, product_id, store_id, stock_qty) for every store,
-    every product with rank <= top_rank and every day in [start, end].
+    every product of ``top_ids`` (the ids with rank <= 40, see
+    ``top_product_ids``) and every day in [start, end].
 
     Built with generators instead of a cross join: each store row explodes the
-    short, provably bounded list of top products (rank is a row number, so at
-    most ``top_rank`` ids) and then the day sequence. Quantity = 100 + a keyed
-    draw mod 20, identical on every rerun and in any partition layout.
+    short, provably bounded id list, the (store, product) pairs are spread
+    over the tasks by a hash of the pair, and each pair explodes the day
+    sequence. Quantity = 100 + a keyed draw mod 20, identical on every rerun
+    and in any partition layout.
     """
-    top_ids = bounded_values(products.where(F.col("rank") <= top_rank).orderBy("rank"),
-                             "product_id", top_rank)
+    spark = stores.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     if not top_ids:
-        return stores.select(F.lit(None).cast("date").alias("day"), F.lit(None).alias("product_id"),
+        return stores.select(F.lit(None).cast("date").alias("day"), F.lit(None).cast("bigint").alias("product_id"),
                              "store_id", F.lit(None).cast("int").alias("stock_qty")).limit(0)
-    id_type = dict(products.dtypes)["product_id"]
-    grid = explode_values(stores.select("store_id"), top_ids, "product_id", id_type)
-    grid = explode_dates(grid, start, end, "day")
+    grid = explode_values(stores.select("store_id"), top_ids, "product_id", "bigint")
+    grid = explode_dates(grid.repartition(n, "store_id", "product_id"), start, end, "day")
     qty = (F.lit(STOCK_BASE) + keyed_int("product_id", "store_id", "day",
                                          salt=STOCK_SALT, modulus=STOCK_SPREAD)).cast("int")
     return grid.select("day", "product_id", "store_id", qty.alias("stock_qty"))
@@ -173,5 +205,5 @@ def load_bronze(spark: SparkSession, sf_dir: str, as_of=None, with_stock: bool =
     products = bronze_products(spark, sf_dir)
     stores = bronze_stores(spark, sf_dir)
     lo, hi = sales_date_range(ship_days(spark, sf_dir))
-    stock = bronze_stock(products, stores, lo, hi) if with_stock else None
+    stock = bronze_stock(top_product_ids(spark, sf_dir), stores, lo, hi) if with_stock else None
     return Bronze(products, stores, sales, stock, lo, hi)

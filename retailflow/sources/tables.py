@@ -6,6 +6,7 @@ import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 DEFAULT_SF_DIR = "/root/testdata/sf0.01"
 
@@ -14,8 +15,37 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
+def spread(df: DataFrame, key: str | None = None, parallelism: int | None = None) -> DataFrame:
+    """Hash-repartition a scan that has fewer splits than the cluster has
+    cores (e.g. one file with one row group), so the per-row work that follows
+    runs on every core. Hashing on a key keeps the layout deterministic if a
+    task is retried. Scans that already have enough splits — any large input
+    on a cluster — are returned unchanged, so no shuffle is added there."""
+    spark = df.sparkSession
+    target = parallelism or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, F.col(key)) if key else df.repartition(target)
+
+
+_SCANS: dict = {}
+
+
+def scan(spark: SparkSession, path: str) -> DataFrame:
+    """``spark.read.parquet(path)``, reusing the DataFrame (and its schema
+    read) for repeated reads of the same path in the same session."""
+    key = (id(spark), path)
+    if key not in _SCANS:
+        _SCANS[key] = spark.read.parquet(path)
+    return _SCANS[key]
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str,
-               cols: Sequence[str] | None = None) -> DataFrame:
-    """Parquet scan of one table; ``cols`` become the scan's ReadSchema."""
-    df = spark.read.parquet(table_path(sf_dir, name))
-    return df.select(*cols) if cols else df
+               cols: Sequence[str] | None = None, spread_by: str | None = None) -> DataFrame:
+    """Parquet scan of one table; ``cols`` become the scan's ReadSchema.
+
+    ``spread_by`` names a key to spread an under-split scan on (see ``spread``).
+    """
+    df = scan(spark, table_path(sf_dir, name))
+    df = df.select(*cols) if cols else df
+    return spread(df, spread_by) if spread_by else df
