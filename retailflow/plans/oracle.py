@@ -19,6 +19,7 @@ from __future__ import annotations
 from ..functions import calendar as CAL
 from ..functions import columns as C
 from ..sources import fixtures as fx
+from ..sources import synth as SY
 
 
 def spark_round(x: str, exact: str, k: int) -> str:
@@ -312,3 +313,64 @@ fact_daily_stock AS (SELECT * FROM stock)""") + "\nSELECT *, CASE WHEN violation
     _fk("fk_fact_stock_dim_stores", "fact_daily_stock", "store_id", "dim_stores", "store_id"),
     _fk("fk_fact_stock_dim_products", "fact_daily_stock", "product_id", "dim_products", "product_id"),
 ]) + "\n)"
+
+
+def _u(keys: str, salt: str) -> str:
+    """Keyed uniform draw: first 8 hex digits of md5('k1|k2|...|salt') / 2^32."""
+    return f"(('0x' || substr(md5({keys} || '|{salt}'), 1, 8))::BIGINT / 4294967296.0::DOUBLE)"
+
+
+_DS = "CAST(day AS VARCHAR) || '|' || store_id"
+_DSO = _DS + " || '|' || CAST(local_order AS VARCHAR)"
+_DSOI = _DSO + " || '|' || CAST(item_no AS VARCHAR)"
+_LINE = _DSOI + " || '|' || CAST(product_id AS VARCHAR)"
+
+SQL["synthetic_sales"] = _with(PRODUCTS_CTE, f"""
+span AS (SELECT min(CAST(l_shipdate AS DATE)) AS lo, max(CAST(l_shipdate AS DATE)) AS hi FROM lineitem),
+vol AS (SELECT (SELECT count(*) FROM orders)::DOUBLE / (date_diff('day', lo, hi) + 1)::DOUBLE AS tx_per_day
+        FROM span),
+grid AS (
+  SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS day,
+         CAST(r.r_regionkey AS VARCHAR) AS store_id
+  FROM span, region r
+),
+tx AS (
+  SELECT day, store_id,
+         CAST(floor(round(greatest(1.0::DOUBLE,
+              (SELECT tx_per_day FROM vol) / {float(SY.TX_DIVISOR)}::DOUBLE
+              * (1.0::DOUBLE + {SY.SEASON_AMPLITUDE}::DOUBLE * sin(2.0::DOUBLE * pi() * (dayofweek(day)) / 7.0::DOUBLE))
+              * ({SY.TX_LOW}::DOUBLE + {_u(_DS, 'tx')} * {SY.TX_WIDTH}::DOUBLE)), 9)) AS INTEGER) AS tx
+  FROM grid
+),
+orders_ AS (SELECT day, store_id, unnest(generate_series(1, tx)) AS local_order FROM tx),
+baskets AS (
+  SELECT *, CAST(ceil(least({float(SY.BASKET_MAX)}::DOUBLE,
+              1.0::DOUBLE + 3.0::DOUBLE * {_u(_DSO, 'basket1')} + 2.0::DOUBLE * {_u(_DSO, 'basket2')})) AS INTEGER) AS n_items
+  FROM orders_
+),
+items AS (
+  SELECT day, store_id, local_order, item_no,
+         floor({_u(_DSOI.replace('item_no', 'item_no'), 'item')} * {float(SY.U_RESOLUTION)}::DOUBLE) / {float(SY.U_RESOLUTION)}::DOUBLE AS u
+  FROM (SELECT *, unnest(generate_series(1, n_items)) AS item_no FROM baskets)
+),
+picked AS (
+  SELECT i.*, w.product_id, w.list_price
+  FROM items i JOIN weighted w ON i.u < w.weight * {SY.PICK_FACTOR}::DOUBLE
+),
+priced AS (
+  SELECT *,
+         CAST(1 + CAST({_u(_LINE, 'qty2')} < {SY.QTY_P2} AS INTEGER)
+                + CAST({_u(_LINE, 'qty3')} < {SY.QTY_P3} AS INTEGER) AS INTEGER) AS qty,
+         CASE WHEN {_u(_LINE, 'disc')} < {SY.DISC_P}
+              THEN CAST({SY.DISC_LOW}::DOUBLE + {_u(_LINE, 'rate')} * {SY.DISC_WIDTH}::DOUBLE AS DECIMAL(5,4))
+              ELSE CAST(0 AS DECIMAL(5,4)) END AS rate
+  FROM picked
+)""") + """
+SELECT day AS sale_date,
+       strftime(day, '%Y%m%d') || '-' || store_id || '-' ||
+         CASE WHEN length(CAST(local_order AS VARCHAR)) > 6 THEN CAST(local_order AS VARCHAR)
+              ELSE lpad(CAST(local_order AS VARCHAR), 6, '0') END AS order_id,
+       store_id, product_id, qty,
+       CAST(CAST(round(list_price * qty * (1 - rate), 2) AS DECIMAL(18,2)) AS DOUBLE) AS net,
+       CAST(CAST(round(list_price * qty * rate, 2) AS DECIMAL(18,2)) AS DOUBLE) AS discount
+FROM priced"""

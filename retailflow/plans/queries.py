@@ -18,6 +18,7 @@ from ..functions import columns as C
 from ..operators.aggregates import dedup, union_counts
 from ..sources import fixtures as fx
 from ..sources.tables import read_table
+from ..sources import synth
 from . import gold, quality, silver
 
 
@@ -208,6 +209,18 @@ def q_gold_key_report(spark, sf_dir):
     return quality.gold_key_report(star)
 
 
+def q_synthetic_sales(spark, sf_dir):
+    """The Bronze sales generator chain driven by the data: products (with
+    popularity rank and Zipf weight) from part and lineitem, stores from
+    region, days from the ship-date range, and a daily transaction volume
+    equal to the average number of orders per day."""
+    r = Retail(spark, sf_dir)
+    lo, hi = r.date_range
+    n_orders = read_table(spark, sf_dir, "orders", ["o_orderkey"]).count()
+    tx_per_day = n_orders / float((hi - lo).days + 1)
+    return comparable(synth.synthetic_sales(r.b_products, r.b_stores, lo, hi, tx_per_day=tx_per_day))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_daily_sales": q_fact_daily_sales,
     "fact_daily_sales_by_store": q_fact_daily_sales_by_store,
@@ -228,4 +241,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_duplicate_keys": q_dq_duplicate_keys,
     "dq_orphans": q_dq_orphans,
     "gold_key_report": q_gold_key_report,
+    "synthetic_sales": q_synthetic_sales,
 }
