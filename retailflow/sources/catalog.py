@@ -90,9 +90,9 @@ def save(df: DataFrame, name: str, mode: str = "overwrite", partition_by: Sequen
         raise ValueError(f"mode must be one of {MODES}")
     spark = df.sparkSession
     obs = Observation(f"rows_{abs(hash(name))}")
-    out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    if partition_by:
-        out = _layout(out, partition_by, spread_key, num_partitions)
+    out = _layout(df, partition_by, spread_key, num_partitions) if partition_by else df
+    # observed above the range exchange: its sampling pass must not count rows
+    out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
     exists = table_exists(spark, name)
     if exists and replace_partitions and partition_by and mode == "overwrite":
         # dynamic partition overwrite: only the days present in df are replaced
@@ -118,8 +118,14 @@ def save(df: DataFrame, name: str, mode: str = "overwrite", partition_by: Sequen
 
 
 def comment_columns(spark: SparkSession, name: str, comments: Mapping[str, str]) -> None:
-    """One ``ALTER COLUMN ... COMMENT`` per column (text stripped and quoted)."""
+    """One ``ALTER COLUMN ... COMMENT`` per column (text stripped and quoted).
+
+    Partition columns are skipped: the catalog rejects comments on them.
+    """
+    partition_cols = {c.name for c in spark.catalog.listColumns(name) if c.isPartition}
     for col_name, text in comments.items():
+        if col_name in partition_cols:
+            continue
         spark.sql(f"ALTER TABLE {quote_ident(name)} ALTER COLUMN {quote_ident(col_name)} "
                   f"COMMENT {quote_text(text)}")
 
@@ -135,6 +141,10 @@ def column_comments(spark: SparkSession, name: str) -> dict[str, str | None]:
     return {c.name: c.description for c in spark.catalog.listColumns(name)}
 
 
+def table_comment(spark: SparkSession, name: str) -> str | None:
+    return spark.catalog.getTable(name).description
+
+
 def table_properties(spark: SparkSession, name: str) -> dict[str, str]:
     rows = spark.sql(f"SHOW TBLPROPERTIES {quote_ident(name)}").collect()
     return {r["key"]: r["value"] for r in rows}
