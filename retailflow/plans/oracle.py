@@ -374,3 +374,24 @@ SELECT day AS sale_date,
        CAST(CAST(round(list_price * qty * (1 - rate), 2) AS DECIMAL(18,2)) AS DOUBLE) AS net,
        CAST(CAST(round(list_price * qty * rate, 2) AS DECIMAL(18,2)) AS DOUBLE) AS discount
 FROM priced"""
+
+SQL["generated_products"] = f"""
+WITH s AS (SELECT CAST(unnest(generate_series(1, (SELECT count(*) FROM part))) AS INTEGER) AS p),
+w AS (SELECT *, pow(1.0::DOUBLE / p, {SY.ZIPF_S}::DOUBLE) AS w0 FROM s)
+SELECT p AS rank,
+       'P' || CASE WHEN length(CAST(p AS VARCHAR)) > 4 THEN CAST(p AS VARCHAR) ELSE lpad(CAST(p AS VARCHAR), 4, '0') END
+         AS product_id,
+       'SKU-' || CASE WHEN length(CAST(p AS VARCHAR)) > 4 THEN CAST(p AS VARCHAR) ELSE lpad(CAST(p AS VARCHAR), 4, '0') END
+         AS sku,
+       'Produto ' || CAST(p AS VARCHAR) AS name,
+       [{_q(SY.CATEGORIES)}][p % {len(SY.CATEGORIES)} + 1] AS category,
+       [{_q(SY.BRANDS)}][p % {len(SY.BRANDS)} + 1] AS brand,
+       CAST(CAST({SY.PRICE_BASE} + p % {SY.PRICE_MOD} + {_u("CAST(p AS VARCHAR)", "price")} * {SY.PRICE_SPREAD}
+                 AS DECIMAL(18,2)) AS DOUBLE) AS list_price,
+       round(w0 / sum(w0) OVER (), 10) AS weight
+FROM w"""
+
+SQL["generated_stores"] = f"""
+SELECT CAST(i AS VARCHAR) AS store_id, 'Loja ' || CAST(i AS VARCHAR) AS name,
+       [{_q(SY.CITIES)}][(i - 1) % {len(SY.CITIES)} + 1] AS city, '{SY.STATE}' AS state
+FROM (SELECT CAST(unnest(generate_series(1, (SELECT count(*) FROM supplier))) AS INTEGER) AS i)"""

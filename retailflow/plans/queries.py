@@ -221,6 +221,19 @@ def q_synthetic_sales(spark, sf_dir):
     return comparable(synth.synthetic_sales(r.b_products, r.b_stores, lo, hi, tx_per_day=tx_per_day))
 
 
+def q_generated_products(spark, sf_dir):
+    """The Zipf product generator sized by the data: one product per part."""
+    n = read_table(spark, sf_dir, "part", ["p_partkey"]).count()
+    df = comparable(synth.zipf_products(spark, n=n))
+    return df.withColumn("weight", F.round("weight", 10))
+
+
+def q_generated_stores(spark, sf_dir):
+    """The store generator sized by the data: one store per supplier."""
+    n = read_table(spark, sf_dir, "supplier", ["s_suppkey"]).count()
+    return synth.synthetic_stores(spark, n=n)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_daily_sales": q_fact_daily_sales,
     "fact_daily_sales_by_store": q_fact_daily_sales_by_store,
@@ -242,4 +255,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_orphans": q_dq_orphans,
     "gold_key_report": q_gold_key_report,
     "synthetic_sales": q_synthetic_sales,
+    "generated_products": q_generated_products,
+    "generated_stores": q_generated_stores,
 }
