@@ -16,6 +16,8 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 _LOW33 = (1 << 33) - 1  # monotonically_increasing_id keeps the row index in the low 33 bits
 
 
@@ -34,10 +36,10 @@ def row_number_by(df: DataFrame, order: Sequence, within: Sequence[str] = (),
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(w) for w in within] + [_sort_col(o) for o in order]
-    tagged = (df.repartitionByRange(n, *keys)
-                .sortWithinPartitions(*keys)
-                .withColumn("_rf_pid", F.spark_partition_id())
-                .withColumn("_rf_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW33))))
+    tagged = _materialize(df.repartitionByRange(n, *keys)
+                            .sortWithinPartitions(*keys)
+                            .withColumn("_rf_pid", F.spark_partition_id())
+                            .withColumn("_rf_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW33))))
     # one row per (task, group): where the group starts in the task and how many rows it has
     slices = tagged.groupBy("_rf_pid", *within).agg(
         F.min("_rf_pos").alias("_rf_first"), F.count(F.lit(1)).alias("_rf_n"))
@@ -53,6 +55,18 @@ def row_number_by(df: DataFrame, order: Sequence, within: Sequence[str] = (),
     ).drop("_rf_pid", "_rf_pos", "_rf_first", "_rf_off")
 
 
+def _materialize(tagged: DataFrame) -> DataFrame:
+    """Write the sorted, tagged rows once to the checkpoint folder.
+
+    They are read twice (slice sizes, then the numbering); the checkpoint
+    makes both reads see the same rows without sorting twice and cuts the
+    lineage, so a lost executor re-reads files instead of re-running the sort.
+    The folder is the cluster's ``spark.checkpoint.dir``.
+    """
+    ensure_checkpoint_dir(tagged.sparkSession)
+    return tagged.checkpoint(eager=True)
+
+
 def rank_within(df: DataFrame, within: Sequence[str], order: Sequence, out: str,
                 num_partitions: int | None = None) -> DataFrame:
     """Row number of each row inside its group (1 = first in ``order``)."""
@@ -90,7 +104,7 @@ def abc_curve(df: DataFrame, item: str, value: str, cuts: tuple[float, float] =
     # running sum inside the task's slice (the slice is already sorted and bounded)
     w_local = (Window.partitionBy("_rf_pid").orderBy(*keys)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    tagged = tagged.withColumn("_rf_run", F.sum(value).over(w_local))
+    tagged = _materialize(tagged.withColumn("_rf_run", F.sum(value).over(w_local)))
     slices = tagged.groupBy("_rf_pid").agg(F.sum(value).alias("_rf_slice"))
     before = Window.orderBy("_rf_pid").rowsBetween(Window.unboundedPreceding, -1)
     slices = slices.withColumn("_rf_off", F.coalesce(F.sum("_rf_slice").over(before), F.lit(0)))
