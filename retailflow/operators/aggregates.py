@@ -23,20 +23,25 @@ def _c(x) -> Column:
 _EXACT_DOUBLE_LIMIT = 9.0e13
 
 
-def unscaled(df: DataFrame, c: str) -> Column:
+def _decimal_type(df: DataFrame | dict, c: str):
+    return df[c] if isinstance(df, dict) else df.schema[c].dataType
+
+
+def unscaled(df: DataFrame | dict, c: str) -> Column:
     """Unscaled integer value of a decimal column (e.g. cents of decimal(18,2)).
 
     The usual path goes through a double (exact for |value| < 9e13 at scale 2,
-    and cheap); larger values take the exact decimal multiplication.
+    and cheap); larger values take the exact decimal multiplication. ``df``
+    may be a DataFrame or a ``{column: DataType}`` map of its schema.
     """
-    t = df.schema[c].dataType
+    t = _decimal_type(df, c)
     scale = 10 ** t.scale
     fast = F.rint(F.col(c).cast("double") * F.lit(float(scale))).cast("bigint")
     slow = (F.col(c) * F.lit(scale)).cast("bigint")
     return F.when(F.abs(F.col(c)) < F.lit(_EXACT_DOUBLE_LIMIT), fast).otherwise(slow)
 
 
-def exact_sum(df: DataFrame, c: str) -> Column:
+def exact_sum(df: DataFrame | dict, c: str) -> Column:
     """``sum(c)`` of a decimal column with Spark's result type
     (decimal(p + 10, s)), accumulated as a 64-bit integer of unscaled units.
 
@@ -44,7 +49,7 @@ def exact_sum(df: DataFrame, c: str) -> Column:
     integer buffer is the same rewrite Spark applies on its own to narrow
     decimals. An overflow of the 64-bit total raises (ANSI), it never wraps.
     """
-    t = df.schema[c].dataType
+    t = _decimal_type(df, c)
     p, s = min(38, t.precision + 10), t.scale
     total = F.sum(unscaled(df, c))
     return (total.cast(f"decimal({min(38, p)},0)") * F.lit(Decimal(1).scaleb(-s))).cast(f"decimal({p},{s})")
@@ -65,14 +70,15 @@ def sales_measures(lines: DataFrame, grain: Sequence, stock: str | None = "stock
     second shuffle on grain. Both shuffles carry pre-aggregated rows, so a hot
     grain or a hot order does not end up as raw lines in one task.
     """
+    types = {f.name: f.dataType for f in lines.schema.fields}
     aggs = [
         F.sum("qty").alias("qty_sold"),
         F.countDistinct("order_id").alias("orders"),
-        F.round(exact_sum(lines, "gross"), 2).alias("gross_total"),
-        F.round(exact_sum(lines, "net"), 2).alias("net_total"),
-        F.round(exact_sum(lines, "discount"), 2).alias("discount_total"),
-        exact_sum(lines, "gross").alias("_sum_gross"),
-        exact_sum(lines, "discount").alias("_sum_discount"),
+        F.round(exact_sum(types, "gross"), 2).alias("gross_total"),
+        F.round(exact_sum(types, "net"), 2).alias("net_total"),
+        F.round(exact_sum(types, "discount"), 2).alias("discount_total"),
+        exact_sum(types, "gross").alias("_sum_gross"),
+        exact_sum(types, "discount").alias("_sum_discount"),
     ]
     if stock:
         aggs += [F.round(F.avg(stock), 2).alias("stock_avg"), F.max(stock).alias("stock_final")]

@@ -91,7 +91,8 @@ def bounded_values(df: DataFrame, c: str, max_rows: int) -> list:
 
 
 def prefix_threshold_join(items: DataFrame, u: str, ranked: DataFrame, rank: str, weight: str,
-                          factor: float, n_ranked: int, exponent: float, norm: float) -> DataFrame:
+                          factor: float, n_ranked: int, exponent: float, norm: float,
+                          broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Theta join ``u < weight * factor`` against a table whose weights fall
     with rank (``weight = rank**-exponent / norm``).
 
@@ -100,11 +101,17 @@ def prefix_threshold_join(items: DataFrame, u: str, ranked: DataFrame, rank: str
     from the closed form (with a margin of two ranks for float error), joined
     on rank, and the exact predicate is applied to each candidate. The output
     is row-for-row the theta join; the work is proportional to the output.
+
+    The ranked table is broadcast only when it has at most
+    ``broadcast_max_rows`` rows (``n_ranked`` is its row count); a larger one
+    is joined by a shuffle on rank, where AQE splits the hot low ranks that
+    almost every draw matches.
     """
     est = F.floor(F.pow(F.lit(factor) / (F.col(u) * F.lit(norm)), F.lit(1.0 / exponent)))
     top = F.when(F.col(u) <= F.lit(0.0), F.lit(n_ranked)).otherwise(
         F.least(F.lit(n_ranked).cast("bigint"), est.cast("bigint") + F.lit(2)))
     cands = items.withColumn("_rf_top", top).where(F.col("_rf_top") >= 1)
     cands = cands.withColumn(rank, F.explode(F.sequence(F.lit(1), F.col("_rf_top").cast("int"))))
-    joined = cands.join(F.broadcast(ranked), rank, "inner")
+    side = F.broadcast(ranked) if n_ranked <= broadcast_max_rows else ranked
+    joined = cands.join(side, rank, "inner")
     return joined.where(F.col(u) < F.col(weight) * F.lit(factor)).drop("_rf_top")
