@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import calendar_columns
 from ..operators.aggregates import average_ticket, dedup, sales_measures
-from ..operators.joins import date_sequence, enrich, enrich_snapshot
+from ..operators.joins import BROADCAST_MAX_ROWS, date_sequence, enrich, enrich_snapshot
 from ..operators.windows import abc_curve
 from ..sources.fixtures import load_ts
 from .silver import SILVER_PRODUCTS, SILVER_STORES
@@ -74,7 +74,7 @@ def fact_daily_stock(silver_stock: DataFrame, as_of=None) -> DataFrame:
 def fact_daily_sales(sales: DataFrame, stock: DataFrame | None = None,
                      products: DataFrame | None = None, stores: DataFrame | None = None,
                      grain: Sequence = FACT_SALES_GRAIN, stock_join: str = "auto",
-                     as_of=None) -> DataFrame:
+                     stock_rows: int | None = None, as_of=None) -> DataFrame:
     """Daily sales fact at ``grain`` (default day x store x product).
 
     ``grain`` items are column names of the sales lines or of the product /
@@ -92,6 +92,11 @@ def fact_daily_sales(sales: DataFrame, stock: DataFrame | None = None,
 
     Both give the same result when the snapshot has one row per key, which is
     ensured by deduplicating it on its key first.
+
+    ``stock_rows`` is a proven upper bound of the snapshot's row count (a
+    generated snapshot knows it: stores x products x days). At most
+    ``BROADCAST_MAX_ROWS`` rows -> the snapshot is broadcast; otherwise (or
+    unknown) it is sort-merge joined, never broadcast on an estimate.
     """
     grain_cols, keys = grain_columns(grain)
     names = set(keys)
@@ -114,16 +119,17 @@ def fact_daily_sales(sales: DataFrame, stock: DataFrame | None = None,
                      ["stock_date", "store_id", "product_id"])
         grain_has_keys = all(k in names for k, _ in STOCK_KEYS)
         mode = ("grain" if grain_has_keys else "line") if stock_join == "auto" else stock_join
+        strategy = "broadcast" if stock_rows is not None and stock_rows <= BROADCAST_MAX_ROWS else "merge"
         if mode == "grain":
             if not grain_has_keys:
                 raise ValueError("stock_join='grain' needs sale_date, store_id and product_id in the grain")
             fact = sales_measures(lines, grain_cols, stock=None)
-            fact = enrich_snapshot(fact, snap, STOCK_KEYS, ["stock_qty"])
+            fact = enrich_snapshot(fact, snap, STOCK_KEYS, ["stock_qty"], strategy=strategy)
             fact = fact.withColumns({
                 "stock_avg": F.round(F.col("stock_qty").cast("double"), 2),
                 "stock_final": F.col("stock_qty")}).drop("stock_qty")
         elif mode == "line":
-            lines = enrich_snapshot(lines, snap, STOCK_KEYS, ["stock_qty"])
+            lines = enrich_snapshot(lines, snap, STOCK_KEYS, ["stock_qty"], strategy=strategy)
             fact = sales_measures(lines, grain_cols, stock="stock_qty")
         else:
             raise ValueError(f"unknown stock_join {stock_join!r}")

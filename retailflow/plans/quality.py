@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 # --- fixed values: keys of the Gold star schema ------------------------------
 GOLD_PRIMARY_KEYS = [
     ("pk_dim_stores", "dim_stores", ["store_id"]),
@@ -104,14 +106,32 @@ def orphan_report(child: DataFrame, child_name: str,
     return out
 
 
-def gold_key_report(star: Mapping[str, DataFrame]) -> DataFrame:
+def _key_columns(star: Mapping[str, DataFrame]) -> dict[str, list[str]]:
+    need: dict[str, set] = {}
+    for _, table, cols in GOLD_PRIMARY_KEYS:
+        need.setdefault(table, set()).update(cols)
+    for _, table, cols, ref_table, ref_cols in GOLD_FOREIGN_KEYS:
+        need.setdefault(table, set()).update(cols)
+        need.setdefault(ref_table, set()).update(ref_cols)
+    return {t: sorted(c) for t, c in need.items()}
+
+
+def gold_key_report(star: Mapping[str, DataFrame], materialize: bool = False) -> DataFrame:
     """Key rules of the Gold star schema as one report.
 
     Columns: rule, table_name, key_columns, violations, status. A primary
     key's violations are NULL-key rows plus rows beyond the first per key; a
     foreign key's are rows whose non-NULL key has no match. Foreign keys are
     checked whether or not their primary key passed (as in the surveyed job).
+
+    With ``materialize`` the key columns of each table are written once to the
+    checkpoint folder first: a lazily defined table (e.g. a fact not yet
+    loaded) is then computed once instead of once per rule that reads it.
+    Tables read from the catalog need no such step.
     """
+    if materialize:
+        ensure_checkpoint_dir(next(iter(star.values())).sparkSession)
+        star = {t: star[t].select(*cols).checkpoint(eager=True) for t, cols in _key_columns(star).items()}
     parts = []
     for rule, table, cols in GOLD_PRIMARY_KEYS:
         kv = key_violations(star[table], cols)

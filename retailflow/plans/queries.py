@@ -63,11 +63,21 @@ class Retail:
     def date_range(self):
         return self._memo("range", lambda: fx.sales_date_range(fx.ship_days(self.spark, self.sf_dir)))
 
+    @property
+    def top_ids(self):
+        return self._memo("top_ids", lambda: fx.top_product_ids(self.spark, self.sf_dir))
+
     @property
     def b_stock(self):
         lo, hi = self.date_range
-        return self._memo("b_stock", lambda: fx.bronze_stock(
-            fx.top_product_ids(self.spark, self.sf_dir), self.b_stores, lo, hi))
+        return self._memo("b_stock", lambda: fx.bronze_stock(self.top_ids, self.b_stores, lo, hi))
+
+    @property
+    def stock_rows(self) -> int:
+        """Exact size of the generated snapshot (a bound for the broadcast check)."""
+        lo, hi = self.date_range
+        n_stores = self._memo("n_stores", lambda: self.b_stores.count())
+        return fx.stock_row_bound(self.top_ids, n_stores, lo, hi)
 
     # silver
     @property
@@ -95,12 +105,13 @@ class Retail:
 
 def q_fact_daily_sales(spark, sf_dir):
     r = Retail(spark, sf_dir)
-    return comparable(gold.fact_daily_sales(r.sales, r.stock))
+    return comparable(gold.fact_daily_sales(r.sales, r.stock, stock_rows=r.stock_rows))
 
 
 def q_fact_daily_sales_by_store(spark, sf_dir):
     r = Retail(spark, sf_dir)
-    return comparable(gold.fact_daily_sales(r.sales, r.stock, grain=["sale_date", "store_id"]))
+    return comparable(gold.fact_daily_sales(r.sales, r.stock, grain=["sale_date", "store_id"],
+                                            stock_rows=r.stock_rows))
 
 
 def q_fact_monthly_sales_by_category(spark, sf_dir):
@@ -108,7 +119,7 @@ def q_fact_monthly_sales_by_category(spark, sf_dir):
     grain = [("year_month", F.date_format("sale_date", "yyyy-MM")), "region", "category"]
     products = fx.product_attributes(spark, sf_dir)
     return comparable(gold.fact_daily_sales(r.sales, r.stock, products=products, stores=r.stores,
-                                            grain=grain))
+                                            grain=grain, stock_rows=r.stock_rows))
 
 
 def q_silver_sales(spark, sf_dir):
@@ -203,7 +214,7 @@ def q_gold_key_report(spark, sf_dir):
         "dim_stores": gold.dim_stores(r.stores),
         "dim_products": gold.dim_products(r.products),
         "dim_calendar": r.calendar(),
-        "fact_daily_sales": gold.fact_daily_sales(r.sales, r.stock),
+        "fact_daily_sales": gold.fact_daily_sales(r.sales, r.stock, stock_rows=r.stock_rows),
         "fact_daily_stock": gold.fact_daily_stock(r.stock),
     }
     return quality.gold_key_report(star)

@@ -165,6 +165,11 @@ def calendar_range(sales: DataFrame, date_col: str = "sale_date") -> tuple[_dt.d
     return _dt.date(lo.year, 1, 1), _dt.date(hi.year, 12, 31)
 
 
+def stock_row_bound(top_ids: list, n_stores: int, start, end) -> int:
+    """Exact row count of ``bronze_stock`` (stores x products x days)."""
+    return len(top_ids) * n_stores * ((end - start).days + 1)
+
+
 def bronze_stock(top_ids: list, stores: DataFrame, start, end,
                  num_partitions: int | None = None) -> DataFrame:
     """Stock snapshots: (day, product_id, store_id, stock_qty) for every store,
