@@ -50,6 +50,27 @@ def test_partitioned_write_and_partition_replace(spark, db):
     assert spark.table(name).count() == 1                      # plain overwrite replaces the table
 
 
+def test_max_records_per_file_splits_files(spark, db):
+    import os
+    name = f"{db}.m"
+    cat.save(_frame(spark, 50).coalesce(1), name, max_records_per_file=10)
+    loc = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first().data_type
+    files = [f for f in os.listdir(loc.replace("file:", "")) if f.endswith(".parquet")]
+    assert len(files) == 5 and spark.table(name).count() == 50
+
+
+def test_silver_append_twice_doubles_rows(spark):
+    layers = {"bronze": "app_bronze", "silver": "app_silver", "gold": "app_gold"}
+    cat.ensure_layers(spark, list(layers.values()))
+    jobs.load_bronze_tables(spark, SMOKE, layers)
+    first = jobs.load_silver_tables(spark, layers, mode="append")
+    jobs.load_silver_tables(spark, layers, mode="append")
+    assert spark.table("app_silver.stores").count() == 2 * first["silver.stores"]
+    # the Gold dimension deduplicates, so the doubled Silver rows keep its key unique
+    jobs.load_gold_tables(spark, layers)
+    assert spark.table("app_gold.dim_stores").count() == first["silver.stores"]
+
+
 def test_create_or_replace_changes_schema(spark, db):
     name = f"{db}.r"
     cat.create_or_replace(_frame(spark, 2), name)

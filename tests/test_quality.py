@@ -21,6 +21,19 @@ def test_orphans_skip_null_keys_and_count_rows(spark):
     assert Q.orphan_count(child, ["fk"], parent, ["pk"]).first().violations == 3
 
 
+def test_gold_key_report_materialized_equals_lazy(spark):
+    stores = spark.createDataFrame([("1",), ("2",)], "store_id string")
+    products = spark.createDataFrame([(10,)], "product_id long")
+    cal = spark.sql("SELECT explode(sequence(date'2025-01-01', date'2025-01-02')) AS day")
+    sales = spark.sql("SELECT date'2025-01-01' AS sale_date, '3' AS store_id, 10L AS product_id, 5 AS qty_sold")
+    stock = spark.sql("SELECT date'2025-01-09' AS stock_date, '1' AS store_id, 11L AS product_id, 100 AS stock_qty")
+    star = {"dim_stores": stores, "dim_products": products, "dim_calendar": cal,
+            "fact_daily_sales": sales, "fact_daily_stock": stock}
+    a = sorted(map(tuple, Q.gold_key_report(star).collect()))
+    b = sorted(map(tuple, Q.gold_key_report(star, materialize=True).collect()))
+    assert a == b and sum(r[3] for r in a) == 3
+
+
 def test_gold_key_report_flags_each_rule(spark):
     stores = spark.createDataFrame([("1",), ("1",), (None,)], "store_id string")
     products = spark.createDataFrame([(10,), (11,)], "product_id long")
