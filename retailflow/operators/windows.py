@@ -25,6 +25,13 @@ def _sort_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _range(df: DataFrame, keys: Sequence[Column], num_partitions: int | None) -> DataFrame:
+    """Range partitioning on ``keys``. Without an explicit count AQE sizes the
+    partitions from the real data (about the advisory partition size each),
+    so a hot group is cut into bounded slices and small inputs use few tasks."""
+    return df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
+
+
 def row_number_by(df: DataFrame, order: Sequence, within: Sequence[str] = (),
                   out: str = "row_number", num_partitions: int | None = None) -> DataFrame:
     """``row_number() over (partition by within order by order)`` without
@@ -33,10 +40,8 @@ def row_number_by(df: DataFrame, order: Sequence, within: Sequence[str] = (),
     ``order`` must be a total order inside each group (append the key as a
     tie-breaker) so a recomputed partition numbers its rows the same way.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(w) for w in within] + [_sort_col(o) for o in order]
-    tagged = _materialize(df.repartitionByRange(n, *keys)
+    tagged = _materialize(_range(df, keys, num_partitions)
                             .sortWithinPartitions(*keys)
                             .withColumn("_rf_pid", F.spark_partition_id())
                             .withColumn("_rf_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW33))))
@@ -96,10 +101,8 @@ def abc_curve(df: DataFrame, item: str, value: str, cuts: tuple[float, float] =
     :func:`row_number_by`: each task sums its slice, and the slice totals
     (one row per task) are turned into offsets.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(value).desc(), F.col(item).asc()]
-    tagged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    tagged = (_range(df, keys, num_partitions).sortWithinPartitions(*keys)
                 .withColumn("_rf_pid", F.spark_partition_id()))
     # running sum inside the task's slice (the slice is already sorted and bounded)
     w_local = (Window.partitionBy("_rf_pid").orderBy(*keys)

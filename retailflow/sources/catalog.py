@@ -71,9 +71,9 @@ def _layout(df: DataFrame, partition_by: Sequence[str], spread_key: Sequence[str
     write: each task then holds a few whole days, and a day with a third of
     the rows still spans several tasks, so files stay bounded in number and
     size (tasks x days small files without it)."""
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(c) for c in partition_by] + [F.col(c) for c in (spread_key or [])]
-    return df.repartitionByRange(n, *keys)
+    # without an explicit count AQE sizes the write tasks from the real data
+    return df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
 
 
 def save(df: DataFrame, name: str, mode: str = "overwrite", partition_by: Sequence[str] | None = None,

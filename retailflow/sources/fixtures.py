@@ -183,7 +183,8 @@ def bronze_stock(top_ids: list, stores: DataFrame, start, end,
     and in any partition layout.
     """
     spark = stores.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # the pair list is tiny before the day explode: spread it over all cores
+    n = num_partitions or spark.sparkContext.defaultParallelism
     if not top_ids:
         return stores.select(F.lit(None).cast("date").alias("day"), F.lit(None).cast("bigint").alias("product_id"),
                              "store_id", F.lit(None).cast("int").alias("stock_qty")).limit(0)

@@ -106,7 +106,8 @@ def transaction_grid(stores: DataFrame, start, end, tx_per_day: float = TX_PER_D
     difference in ``sin`` cannot change a count.
     """
     spark = stores.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # the day x store grid is small before the explodes: spread it over all cores
+    n = num_partitions or spark.sparkContext.defaultParallelism
     grid = stores.select("store_id", F.explode(date_sequence(F.lit(start).cast("date"),
                                                               F.lit(end).cast("date"))).alias("day"))
     grid = grid.repartition(n, "day", "store_id")
