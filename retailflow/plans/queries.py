@@ -163,7 +163,8 @@ def q_dedup_order_lines(spark, sf_dir):
     (part, supplier, quantity, price, discount, ship date)."""
     li = read_table(spark, sf_dir, "lineitem",
                     ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
-                     "l_extendedprice", "l_discount", "l_shipdate"], spread_by="l_orderkey")
+                     "l_extendedprice", "l_discount", "l_shipdate"],
+                    spread_by=["l_orderkey", "l_linenumber"])
     order = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_shipdate"]
     out = dedup(li, ["l_orderkey", "l_linenumber"], order)
     return out.withColumn("l_shipdate", F.col("l_shipdate").cast("date"))

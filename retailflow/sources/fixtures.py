@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import MONEY, RATE, keyed_int, padded_id, to_money
 from ..operators.joins import bounded_values, explode_dates, explode_values
 from ..operators.windows import row_number_by
-from .tables import read_table
+from .tables import read_table, spread
 
 # --- fixed values for the fixture mapping -----------------------------------
 ZIPF_EXPONENT = 1.1          # popularity weight = rank ** -1.1, normalised
@@ -55,8 +55,15 @@ def bronze_sales(spark: SparkSession, sf_dir: str, as_of=None) -> DataFrame:
     an exact half-cent, as in the surveyed generator).
     """
     li = read_table(spark, sf_dir, "lineitem",
-                    ["l_orderkey", "l_partkey", "l_suppkey", "l_quantity",
-                     "l_extendedprice", "l_discount", "l_shipdate"], spread_by="l_orderkey")
+                    ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+                     "l_extendedprice", "l_discount", "l_shipdate"])
+    # narrow types first (fewer bytes if the scan is spread), then spread on
+    # the row-unique (order, line) so no business key decides a task's load
+    li = spread(li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                          F.col("l_quantity").cast("int").alias("l_quantity"),
+                          "l_extendedprice", "l_discount",
+                          F.col("l_shipdate").cast("date").alias("l_shipdate")),
+                ["l_orderkey", "l_linenumber"])
     supp = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_nationkey"])
     # nation has 25 rows by definition of the schema: a fixed-size broadcast
     nation = F.broadcast(read_table(spark, sf_dir, "nation", ["n_nationkey", "n_regionkey"]))
@@ -69,11 +76,11 @@ def bronze_sales(spark: SparkSession, sf_dir: str, as_of=None) -> DataFrame:
     price = to_money("l_extendedprice")
     rate = F.col("l_discount").cast(RATE)
     return lines.select(
-        F.col("l_shipdate").cast("date").alias("sale_date"),
+        F.col("l_shipdate").alias("sale_date"),
         F.col("l_orderkey").alias("order_id"),
         F.col("store_id"),
         F.col("l_partkey").alias("product_id"),
-        F.col("l_quantity").cast("int").alias("qty"),
+        F.col("l_quantity").alias("qty"),
         F.round(price * (F.lit(1) - rate), 2).cast(MONEY).alias("net"),
         F.round(price * rate, 2).cast(MONEY).alias("discount"),
         load_ts(as_of).alias("bronze_ts"),

@@ -15,17 +15,22 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def spread(df: DataFrame, key: str | None = None, parallelism: int | None = None) -> DataFrame:
+def spread(df: DataFrame, key=None, parallelism: int | None = None) -> DataFrame:
     """Hash-repartition a scan that has fewer splits than the cluster has
     cores (e.g. one file with one row group), so the per-row work that follows
     runs on every core. Hashing on a key keeps the layout deterministic if a
     task is retried. Scans that already have enough splits — any large input
-    on a cluster — are returned unchanged, so no shuffle is added there."""
+    on a cluster — are returned unchanged, so no shuffle is added there.
+    ``key`` may be one column or several; a row-unique key spreads evenly
+    even when one business key holds a large share of the rows."""
     spark = df.sparkSession
     target = parallelism or spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
-    return df.repartition(target, F.col(key)) if key else df.repartition(target)
+    if not key:
+        return df.repartition(target)
+    keys = [key] if isinstance(key, str) else list(key)
+    return df.repartition(target, *[F.col(k) for k in keys])
 
 
 _SCANS: dict = {}
@@ -41,7 +46,7 @@ def scan(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str,
-               cols: Sequence[str] | None = None, spread_by: str | None = None) -> DataFrame:
+               cols: Sequence[str] | None = None, spread_by=None) -> DataFrame:
     """Parquet scan of one table; ``cols`` become the scan's ReadSchema.
 
     ``spread_by`` names a key to spread an under-split scan on (see ``spread``).
