@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from ..functions import columns as C
 from ..operators.aggregates import dedup, union_counts
 from ..sources import fixtures as fx
 from ..sources.tables import read_table

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import MONEY, RATE, keyed_int, padded_id, to_money
 from ..operators.joins import bounded_values, explode_dates, explode_values
-from ..operators.windows import row_number_by
+from ..operators.windows import row_number_by, share_of_total
 from .tables import read_table, spread
 
 # --- fixed values for the fixture mapping -----------------------------------
@@ -105,6 +105,7 @@ def product_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _popularity_order():
+    """Most sold first; ties (e.g. unsold parts) by product id."""
     return [F.col("_qty").desc(), F.col("product_id").asc()]
 
 
@@ -136,11 +137,9 @@ def bronze_products(spark: SparkSession, sf_dir: str, exponent: float = ZIPF_EXP
     """
     base = product_base(spark, sf_dir)
     ranked = row_number_by(base, _popularity_order(), out="rank")
-    raw = F.pow(F.lit(1.0) / F.col("rank"), F.lit(float(exponent)))
-    total = ranked.agg(F.sum(raw).alias("t")).first()["t"]
-    return ranked.select(
-        "rank", "product_id", "sku", "name", "category", "brand", "list_price",
-        (raw / F.lit(total)).alias("weight"))
+    ranked = ranked.withColumn("_raw", F.pow(F.lit(1.0) / F.col("rank"), F.lit(float(exponent))))
+    weighted = share_of_total(ranked, "_raw", "weight")
+    return weighted.select("rank", "product_id", "sku", "name", "category", "brand", "list_price", "weight")
 
 
 def bronze_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
