@@ -111,7 +111,7 @@ def abc_curve(df: DataFrame, item: str, value: str, cuts: tuple[float, float] =
     slices = tagged.groupBy("_rf_pid").agg(F.sum(value).alias("_rf_slice"))
     before = Window.orderBy("_rf_pid").rowsBetween(Window.unboundedPreceding, -1)
     slices = slices.withColumn("_rf_off", F.coalesce(F.sum("_rf_slice").over(before), F.lit(0)))
-    total = column_total(df, value)
+    total = column_total(tagged, value)  # from the materialised rows, not a recomputation
     cum = F.col("_rf_off") + F.col("_rf_run")
     prior = cum - F.col(value)
     res = (tagged.join(F.broadcast(slices.select("_rf_pid", "_rf_off")), "_rf_pid")
