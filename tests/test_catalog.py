@@ -100,6 +100,10 @@ def test_end_to_end_pipeline(spark):
     res = jobs.run_pipeline(spark, SMOKE, layers=layers, as_of=dt.datetime(2025, 1, 1))
     assert res.rows["bronze.sales"] == res.rows["silver.sales"] > 0
     assert res.rows["gold.dim_stores"] == 5
+    # inputs were counted during the fact writes
+    assert res.rows["gold.input.sales_for_sales"] == res.rows["silver.sales"]
+    assert res.rows["gold.input.stock_for_sales"] == res.rows["silver.stock"]
+    assert res.rows["gold.fact_daily_stock"] == res.rows["silver.stock"]
     rep = {r.rule: (r.violations, r.status, r.declared) for r in res.key_report.collect()}
     assert len(rep) == 9
     assert all(v == 0 and s == "ok" for v, s, _ in rep.values()), rep
