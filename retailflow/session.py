@@ -49,7 +49,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's checkpoint folder; set a scratch one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is. Local runs and tests have none, so a fresh scratch folder is taken.
+    is. Local runs and tests have none, so a fresh scratch folder is taken;
+    a non-local session without the setting is an error, because a folder on
+    the driver's disk is not visible to the executors.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -57,6 +59,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     path = tempfile.mkdtemp(prefix="retailflow-ckpt-")
     sc.setCheckpointDir(path)
     return path
