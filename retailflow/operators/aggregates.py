@@ -27,6 +27,17 @@ def _decimal_type(df: DataFrame | dict, c: str):
     return df[c] if isinstance(df, dict) else df.schema[c].dataType
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _unscaled_sql(t, c: str) -> str:
+    scale = 10 ** t.scale
+    return (f"CASE WHEN abs({_q(c)}) < {_EXACT_DOUBLE_LIMIT!r} "
+            f"THEN CAST(rint(CAST({_q(c)} AS DOUBLE) * {float(scale)!r}) AS BIGINT) "
+            f"ELSE CAST({_q(c)} * {scale} AS BIGINT) END")
+
+
 def unscaled(df: DataFrame | dict, c: str) -> Column:
     """Unscaled integer value of a decimal column (e.g. cents of decimal(18,2)).
 
@@ -34,11 +45,7 @@ def unscaled(df: DataFrame | dict, c: str) -> Column:
     and cheap); larger values take the exact decimal multiplication. ``df``
     may be a DataFrame or a ``{column: DataType}`` map of its schema.
     """
-    t = _decimal_type(df, c)
-    scale = 10 ** t.scale
-    fast = F.rint(F.col(c).cast("double") * F.lit(float(scale))).cast("bigint")
-    slow = (F.col(c) * F.lit(scale)).cast("bigint")
-    return F.when(F.abs(F.col(c)) < F.lit(_EXACT_DOUBLE_LIMIT), fast).otherwise(slow)
+    return F.expr(_unscaled_sql(_decimal_type(df, c), c))
 
 
 def exact_sum(df: DataFrame | dict, c: str) -> Column:
@@ -51,8 +58,8 @@ def exact_sum(df: DataFrame | dict, c: str) -> Column:
     """
     t = _decimal_type(df, c)
     p, s = min(38, t.precision + 10), t.scale
-    total = F.sum(unscaled(df, c))
-    return (total.cast(f"decimal({min(38, p)},0)") * F.lit(Decimal(1).scaleb(-s))).cast(f"decimal({p},{s})")
+    unit = format(Decimal(1).scaleb(-s), "f")
+    return F.expr(f"CAST(CAST(sum({_unscaled_sql(t, c)}) AS DECIMAL({p},0)) * {unit}BD AS DECIMAL({p},{s}))")
 
 
 def sales_measures(lines: DataFrame, grain: Sequence, stock: str | None = "stock_qty") -> DataFrame:

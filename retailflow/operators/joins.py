@@ -74,7 +74,10 @@ def explode_dates(df: DataFrame, start, end, out: str) -> DataFrame:
 
 def explode_values(df: DataFrame, values: Sequence, out: str, dtype: str | None = None) -> DataFrame:
     """One row per input row and value of a short fixed list (a generator, no join)."""
-    arr = F.array(*[F.lit(v) for v in values])
+    if all(isinstance(v, int) and not isinstance(v, bool) for v in values):
+        arr = F.expr("array(" + ", ".join(f"{v}L" for v in values) + ")")  # one literal, one call
+    else:
+        arr = F.array(*[F.lit(v) for v in values])
     res = df.withColumn(out, F.explode(arr))
     return res.withColumn(out, F.col(out).cast(dtype)) if dtype else res
 

@@ -27,9 +27,9 @@ def comparable(df: DataFrame) -> DataFrame:
     for f in df.schema.fields:
         if f.name.endswith("_ts"):
             continue
-        c = F.col(f.name)
-        out.append(c.cast("double").alias(f.name) if isinstance(f.dataType, DecimalType) else c)
-    return df.select(*out)
+        q = "`" + f.name.replace("`", "``") + "`"
+        out.append(f"CAST({q} AS DOUBLE) AS {q}" if isinstance(f.dataType, DecimalType) else q)
+    return df.selectExpr(*out)
 
 
 class Retail:
