@@ -11,20 +11,9 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# --- fixed values (labels and cut points that results must reproduce) -------
-BAND_LABELS = ("Baixo", "Médio", "Alto")            # price and stock bands
-PRICE_CUTS = (10, 20)                               # price band upper bounds (<)
-STOCK_CUTS = (105, 115)                             # stock band upper bounds (<)
-POPULARITY_LABELS = ("Top", "Média", "Long tail")   # tiers by popularity rank
-POPULARITY_CUTS = (10, 40)                          # tier upper bounds (<=)
-STAR_RANK = 10                                      # rank <= 10 is a star product
-COST_RATE = 0.65                                    # estimated cost = 65 % of list price
-REGION_IN_LABEL = "Grande Vitória"
-REGION_OUT_LABEL = "Interior"
-REGION_CITIES = ("Vitoria", "Serra", "Vila Velha", "Cariacica", "Guarapari")
-CAPITAL_CITY = "Vitoria"
-WEEKEND_DAYS = (1, 7)                               # dayofweek: 1 = Sunday, 7 = Saturday
-# -----------------------------------------------------------------------------
+from ..fixed import (BAND_LABELS, CAPITAL_CITY, COST_RATE, POPULARITY_CUTS,  # noqa: F401
+                     POPULARITY_LABELS, PRICE_CUTS, REGION_CITIES, REGION_IN_LABEL,
+                     REGION_OUT_LABEL, STAR_RANK, STOCK_CUTS, WEEKEND_DAYS)
 
 MONEY = "decimal(18,2)"
 RATE = "decimal(5,4)"

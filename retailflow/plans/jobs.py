@@ -19,7 +19,7 @@ from ..sources import catalog as cat
 from ..sources import fixtures as fx
 from . import docs, gold, quality, silver
 
-# --- fixed values: table names (one constant per table, used by every step) --
+# --- table names (one constant per table, used by every step) -----------------
 LAYERS = {"bronze": "retail_bronze", "silver": "retail_silver", "gold": "retail_gold"}
 BRONZE = {"products": "products", "stores": "stores", "stock": "stock", "sales": "sales"}
 SILVER = {"products": "products", "stores": "stores", "stock": "stock", "sales": "sales"}

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
-# --- fixed values: keys of the Gold star schema ------------------------------
+# --- key rules of the Gold star schema (our names) ---------------------------
 GOLD_PRIMARY_KEYS = [
     ("pk_dim_stores", "dim_stores", ["store_id"]),
     ("pk_dim_products", "dim_products", ["product_id"]),

@@ -28,18 +28,16 @@ from ..operators.joins import bounded_values, explode_dates, explode_values
 from ..operators.windows import row_number_by, share_of_total
 from .tables import read_table, spread
 
-# --- fixed values for the fixture mapping -----------------------------------
-ZIPF_EXPONENT = 1.1          # popularity weight = rank ** -1.1, normalised
-STOCK_TOP_RANK = 40          # stock is kept only for the 40 most popular products
-STOCK_BASE = 100             # stock quantity = 100 + draw mod 20 -> 100..119
-STOCK_SPREAD = 20
+from ..fixed import STOCK_BASE, STOCK_SPREAD, STOCK_TOP_RANK  # noqa: F401
+from ..fixed import ZIPF_S as ZIPF_EXPONENT
+
+# Our choices for mapping the driver tables (not values of the surveyed pipeline)
 STOCK_SALT = "stock"
 FIXTURE_PRICE_CUTS = (933, 967)          # part prices run 900..999.9: about thirds
 FIXTURE_CORE_CITIES = ("AFRICA", "AMERICA", "ASIA", "EUROPE")
 FIXTURE_CAPITAL = "EUROPE"
 FIXTURE_STATE = "ES"
 SKU_WIDTH = 6
-# -----------------------------------------------------------------------------
 
 
 def load_ts(as_of) -> "F.Column":

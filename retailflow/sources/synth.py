@@ -26,25 +26,10 @@ from ..operators.joins import date_sequence, prefix_threshold_join
 from ..operators.windows import column_total
 from .fixtures import load_ts
 
-# --- fixed values of the generators -----------------------------------------
-CATEGORIES = ("Acessórios", "Bebidas", "Cozinha", "Limpeza", "Higiene", "Snacks")  # by p % 6
-BRANDS = ("MarcaA", "MarcaB", "MarcaC", "MarcaD")                                   # by p % 4
-CITIES = ("Vitoria", "Serra", "Vila Velha", "Cariacica", "Guarapari", "Linhares")   # by (i-1) % 6 + 1
-STATE = "ES"
-N_PRODUCTS = 120
-N_STORES = 6
-ZIPF_S = 1.1
-PRICE_BASE, PRICE_MOD, PRICE_SPREAD = 5, 20, 10    # price = 5 + p % 20 + U * 10
-TX_PER_DAY = 220                                    # transactions per day over all stores ...
-TX_DIVISOR = 6                                      # ... divided by a fixed 6 (not the store count)
-TX_LOW, TX_WIDTH = 0.8, 0.4                         # day-store volume factor U[0.8, 1.2]
-SEASON_AMPLITUDE = 0.15
-BASKET_MAX = 6                                      # items = ceil(min(6, 1 + 3 U1 + 2 U2))
-PICK_FACTOR = 3.0                                   # an item draw u matches products with 3 w > u
-U_RESOLUTION = 1_000_000                            # item draws have 1e-6 resolution
-QTY_P2, QTY_P3 = 0.35, 0.10                         # qty = 1 + [U < .35] + [U < .10]
-DISC_P, DISC_LOW, DISC_WIDTH = 0.12, 0.05, 0.15     # 12 % of lines get a rate in U[.05, .20]
-# -----------------------------------------------------------------------------
+from ..fixed import (BASKET_MAX, BRANDS, CATEGORIES, CITIES, DISC_LOW, DISC_P,  # noqa: F401
+                     DISC_WIDTH, N_PRODUCTS, N_STORES, PICK_FACTOR, PRICE_BASE, PRICE_MOD,
+                     PRICE_SPREAD, QTY_P2, QTY_P3, SEASON_AMPLITUDE, STATE, TX_DIVISOR, TX_LOW,
+                     TX_PER_DAY, TX_WIDTH, U_RESOLUTION, ZIPF_S)
 
 
 def _pick(values, idx):
