@@ -48,6 +48,17 @@ def unscaled(df: DataFrame | dict, c: str) -> Column:
     return F.expr(_unscaled_sql(_decimal_type(df, c), c))
 
 
+def unscaled_sum(df: DataFrame | dict, c: str) -> Column:
+    """Sum of the unscaled integer values (64-bit) of a decimal column."""
+    return F.expr(f"sum({_unscaled_sql(_decimal_type(df, c), c)})")
+
+
+def from_unscaled(c: str, precision: int, scale: int) -> Column:
+    """Decimal(precision, scale) from an integer count of 10**-scale units."""
+    unit = format(Decimal(1).scaleb(-scale), "f")
+    return F.expr(f"CAST(CAST({_q(c)} AS DECIMAL({precision},0)) * {unit}BD AS DECIMAL({precision},{scale}))")
+
+
 def exact_sum(df: DataFrame | dict, c: str) -> Column:
     """``sum(c)`` of a decimal column with Spark's result type
     (decimal(p + 10, s)), accumulated as a 64-bit integer of unscaled units.

@@ -99,3 +99,12 @@ def test_average_ticket_is_recomputed_not_averaged(r):
     for row in t:
         assert row.orders > 0
         assert abs(float(row.avg_ticket) - float(row.net_total) / row.orders) <= 0.005 + 1e-9
+
+
+def test_preaggregated_stock_mode_equals_line_mode(r):
+    for grain in (["sale_date", "store_id"], ["store_id"],
+                  [("year_month", F.date_format("sale_date", "yyyy-MM")), "store_id"]):
+        a = gold.fact_daily_sales(r.sales, r.stock, grain=grain, stock_join="preagg").drop("gold_ts")
+        b = gold.fact_daily_sales(r.sales, r.stock, grain=grain, stock_join="line").drop("gold_ts")
+        assert a.dtypes == b.dtypes
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
