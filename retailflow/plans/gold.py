@@ -95,7 +95,9 @@ def fact_daily_sales(sales: DataFrame, stock: DataFrame | None = None,
       counts distinct orders in a separate pre-aggregated branch joined back
       on the grain. Same result as ``"line"``, without shuffling raw lines on
       a business key;
-    * ``"auto"`` picks ``"grain"`` when possible, else ``"preagg"``.
+    * ``"auto"`` picks ``"grain"`` when possible; else ``"line"`` when the
+      snapshot is broadcast (a broadcast join moves no line, so no key can be
+      hot); else ``"preagg"``.
 
     Both give the same result when the snapshot has one row per key, which is
     ensured by deduplicating it on its key first.
@@ -125,8 +127,11 @@ def fact_daily_sales(sales: DataFrame, stock: DataFrame | None = None,
         snap = dedup(stock.select("stock_date", "store_id", "product_id", "stock_qty"),
                      ["stock_date", "store_id", "product_id"])
         grain_has_keys = all(k in names for k, _ in STOCK_KEYS)
-        mode = ("grain" if grain_has_keys else "preagg") if stock_join == "auto" else stock_join
         strategy = "broadcast" if stock_rows is not None and stock_rows <= BROADCAST_MAX_ROWS else "merge"
+        if stock_join == "auto":
+            mode = "grain" if grain_has_keys else ("line" if strategy == "broadcast" else "preagg")
+        else:
+            mode = stock_join
         if mode == "grain":
             if not grain_has_keys:
                 raise ValueError("stock_join='grain' needs sale_date, store_id and product_id in the grain")
