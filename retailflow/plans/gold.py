@@ -172,9 +172,15 @@ def _preaggregated_measures(lines: DataFrame, grain_cols: list, keys: list[str],
         F.sum(F.when(with_stock, F.col("_lines"))).alias("_stock_n"),
         F.max("stock_qty").alias("stock_final"))
     orders = lines.groupBy(*grain_cols).agg(F.countDistinct("order_id").alias("orders"))
+    orders = orders.select(*[F.col(k).alias(f"_o_{i}") for i, k in enumerate(keys)], "orders")
+    # null-safe: a group with a NULL key (e.g. an unknown store) must survive
+    cond = None
+    for i, k in enumerate(keys):
+        t = rolled[k].eqNullSafe(orders[f"_o_{i}"])
+        cond = t if cond is None else cond & t
     g, n, d = (types[c] for c in ("gross", "net", "discount"))
-    out = rolled.join(orders, keys, "inner").select(
-        *keys, "qty_sold", "orders",
+    out = rolled.join(orders, cond, "inner").select(
+        *[rolled[k] for k in keys], "qty_sold", "orders",
         F.round(from_unscaled("_gross_c", g.precision + 10, g.scale), 2).alias("gross_total"),
         F.round(from_unscaled("_net_c", n.precision + 10, n.scale), 2).alias("net_total"),
         F.round(from_unscaled("_disc_c", d.precision + 10, d.scale), 2).alias("discount_total"),

@@ -108,3 +108,13 @@ def test_preaggregated_stock_mode_equals_line_mode(r):
         b = gold.fact_daily_sales(r.sales, r.stock, grain=grain, stock_join="line").drop("gold_ts")
         assert a.dtypes == b.dtypes
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_preaggregated_mode_keeps_null_key_groups(spark, r):
+    # lines of an unknown store (NULL store id) must form their own group, as in line mode
+    orphan = r.sales.limit(50).withColumn("store_id", F.lit(None).cast("string"))
+    sales = r.sales.unionByName(orphan)
+    a = gold.fact_daily_sales(sales, r.stock, grain=["sale_date", "store_id"], stock_join="preagg").drop("gold_ts")
+    b = gold.fact_daily_sales(sales, r.stock, grain=["sale_date", "store_id"], stock_join="line").drop("gold_ts")
+    assert a.where("store_id IS NULL").count() > 0
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

@@ -63,3 +63,15 @@ def test_same_product_twice_in_one_order_counts_one_order(spark):
         "g string, order_id int, qty int, gross decimal(19,2), net decimal(18,2), discount decimal(18,2)")
     r = A.sales_measures(lines, ["g"], stock=None).first()
     assert (r.qty_sold, r.orders, r.avg_ticket) == (3, 1, Decimal("6.00"))
+
+
+def test_auto_stock_join_modes(spark):
+    r = Retail(spark, SMOKE)
+    grain = ["sale_date", "store_id"]
+    bounded = plan(gold.fact_daily_sales(r.sales, r.stock, grain=grain, stock_rows=r.stock_rows))
+    assert "BroadcastHashJoin [sale_date" in bounded and "SortMergeJoin" not in bounded
+    unbounded = plan(gold.fact_daily_sales(r.sales, r.stock, grain=grain)).splitlines()
+    at = next(i for i, line in enumerate(unbounded) if "SortMergeJoin" in line and "LeftOuter" in line)
+    # the sales side of the snapshot join is the (day, store, product) group-by, not raw lines
+    assert "Sort [" in unbounded[at + 1]
+    assert "HashAggregate(keys=[sale_date" in unbounded[at + 2] and "partial_" not in unbounded[at + 2]
