@@ -50,14 +50,20 @@ def row_number_by(df: DataFrame, order: Sequence, within: Sequence[str] = (),
         F.min("_rf_pos").alias("_rf_first"), F.count(F.lit(1)).alias("_rf_n"))
     before = Window.partitionBy(*within).orderBy("_rf_pid").rowsBetween(Window.unboundedPreceding, -1)
     slices = slices.withColumn("_rf_off", F.coalesce(F.sum("_rf_n").over(before), F.lit(0)))
-    slices = slices.select("_rf_pid", *within, "_rf_first", "_rf_off")
+    slices = slices.select(F.col("_rf_pid").alias("_rf_spid"),
+                           *[F.col(w).alias(f"_rf_w{i}") for i, w in enumerate(within)],
+                           "_rf_first", "_rf_off")
     if not within:
         # at most one row per task: a size bound that does not grow with the data
         slices = F.broadcast(slices)
-    numbered = tagged.join(slices, ["_rf_pid", *within], "inner")
+    cond = tagged["_rf_pid"] == slices["_rf_spid"]
+    for i, w in enumerate(within):
+        # null-safe: rows whose group key is NULL form a group of their own
+        cond = cond & tagged[w].eqNullSafe(slices[f"_rf_w{i}"])
+    numbered = tagged.join(slices, cond, "inner")
     return numbered.withColumn(
         out, (F.col("_rf_pos") - F.col("_rf_first") + F.col("_rf_off") + F.lit(1)).cast("int")
-    ).drop("_rf_pid", "_rf_pos", "_rf_first", "_rf_off")
+    ).drop("_rf_pid", "_rf_pos", "_rf_first", "_rf_off", "_rf_spid", *[f"_rf_w{i}" for i in range(len(within))])
 
 
 def _materialize(tagged: DataFrame) -> DataFrame:
