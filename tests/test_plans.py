@@ -75,3 +75,14 @@ def test_auto_stock_join_modes(spark):
     # the sales side of the snapshot join is the (day, store, product) group-by, not raw lines
     assert "Sort [" in unbounded[at + 1]
     assert "HashAggregate(keys=[sale_date" in unbounded[at + 2] and "partial_" not in unbounded[at + 2]
+
+
+def test_spread_only_touches_under_split_inputs(spark):
+    from retailflow.sources.tables import spread
+    cores = spark.sparkContext.defaultParallelism
+    many = spark.range(0, 1000, numPartitions=cores * 2)
+    assert spread(many, "id") is many                       # enough splits: unchanged, no shuffle
+    few = spark.range(0, 1000, numPartitions=1)
+    spread_few = spread(few, ["id"])
+    assert spread_few.rdd.getNumPartitions() == cores
+    assert sorted(r.id for r in spread_few.collect()) == list(range(1000))
