@@ -1,0 +1 @@
+"""Column expressions: labels, ratios, money, keyed draws, calendar parts."""

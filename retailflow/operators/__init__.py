@@ -1,0 +1 @@
+"""DataFrame operators: joins, aggregates and skew-safe window-style numbering."""
