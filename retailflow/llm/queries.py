@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from retailflow.llm import mixing, simhash, token_counts, url_reputation
+from retailflow.llm import mixing, simhash, substring_trees, suffix_arrays, token_counts, url_reputation
 from retailflow.llm.common import table
 
 
@@ -15,6 +15,17 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op2_substring_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated 35-word windows removed from ``documents``."""
+    return substring_trees.dedup_words(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+def op3_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated 400-byte strings removed from ``documents``."""
+    return suffix_arrays.dedup_bytes(table(spark, sf_dir, "documents"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` mixed to source weights 1, 2, 3 in turn."""
     return mixing.mix(table(spark, sf_dir, "documents"))
@@ -33,6 +44,8 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op2_substring_trees": op2_substring_trees,
+    "op3_suffix_arrays": op3_suffix_arrays,
     "op4_mixing": op4_mixing,
     "op7_url_reputation": op7_url_reputation,
     "op9_simhash": op9_simhash,
