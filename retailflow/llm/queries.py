@@ -3,8 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-
-from retailflow.llm import mixing, simhash, substring_trees, suffix_arrays, token_counts, url_reputation
+from pyspark.sql import functions as F
+
+from retailflow.llm import (
+    decontamination,
+    mixing,
+    permutation_index,
+    secret_scan,
+    simhash,
+    substring_trees,
+    suffix_arrays,
+    token_counts,
+    url_reputation,
+)
 from retailflow.llm.common import table
 
 
@@ -31,22 +42,43 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in ``documents``: counts, digest of the base spans, all spans."""
+    found = secret_scan.scan_secrets(table(spark, sf_dir, "documents"), ["doc_id"])
+    base = secret_scan.span_text(F.col("spans"), secret_scan.BASE_KINDS)
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(base, 256).alias("base_sha256"),
+                        secret_scan.span_text(F.col("spans")).alias("spans"))
+
+
 def op7_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict for every url of ``pages``."""
     return url_reputation.filter_urls(table(spark, sf_dir, "pages"))
 
 
+def op8_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest found of every hundredth row of ``embeddings``."""
+    return permutation_index.nearest(table(spark, sf_dir, "embeddings"), F.pmod(F.col("vec_id"), F.lit(100)) == 0)
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash components of ``documents`` (4-word shingles, at most 4 bits apart)."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select(
         "doc_id", "fingerprint", "component_id")
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` that contain 0.8 or more of the 5-word shingles of a ``benchmark`` item."""
+    return decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_substring_trees": op2_substring_trees,
     "op3_suffix_arrays": op3_suffix_arrays,
     "op4_mixing": op4_mixing,
+    "op5_secret_scan": op5_secret_scan,
     "op7_url_reputation": op7_url_reputation,
+    "op8_permutation_index": op8_permutation_index,
     "op9_simhash": op9_simhash,
+    "op10_decontamination": op10_decontamination,
 }
