@@ -14,6 +14,7 @@ from retailflow.llm import (
     substring_trees,
     suffix_arrays,
     token_counts,
+    toxicity,
     url_reputation,
 )
 from retailflow.llm.common import table
@@ -50,6 +51,11 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secret_scan.span_text(F.col("spans")).alias("spans"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of ``documents``, learnt from ``labels`` outside the held-out fold."""
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict for every url of ``pages``."""
     return url_reputation.filter_urls(table(spark, sf_dir, "pages"))
@@ -77,6 +83,7 @@ QUERIES = {
     "op3_suffix_arrays": op3_suffix_arrays,
     "op4_mixing": op4_mixing,
     "op5_secret_scan": op5_secret_scan,
+    "op6_toxicity": op6_toxicity,
     "op7_url_reputation": op7_url_reputation,
     "op8_permutation_index": op8_permutation_index,
     "op9_simhash": op9_simhash,
