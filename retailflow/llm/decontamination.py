@@ -145,36 +145,63 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
     its own length; equal items are found together; null ids stay null; empty
     tables on either side give empty lists (or no rows). Other columns are ignored.
     """
-    spark = docs.sparkSession
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    bench = items.select(F.col(item_col).alias("item_id"), F.col(item_text_col).cast("string").alias("text")) \
-        .where("text is not null").distinct()
-    shared = [spark.sparkContext.broadcast([(r.item_id, r.text.encode()) for r in part.collect()])
-              for part in _slices(bench, bound)]
-    item_type = bench.schema["item_id"].dataType.simpleString()
-    id_type = src.schema["doc_id"].dataType.simpleString()
+    shared, item_type = _broadcast_items(docs, items, item_col, item_text_col, bound)
+    item_arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[item_type]
+    kind = pa.list_(pa.struct([("item_id", item_arrow), ("n_shingles", pa.int64()), ("n_shared", pa.int64())]))
 
     def run(batches):
-        # one slice in memory at a time
-        loaded, current = None, -1
+        search = _Search(shared, shingle, containment)
         for b in batches:
-            texts = [t or b"" for t in b.column(1).cast(pa.large_binary()).to_pylist()]
-            found: list[list] = [[] for _ in texts]
-            for i, s in enumerate(shared):
-                if current != i:
-                    loaded, current = Sketches(s.value, shingle, containment), i
-                for f, text in zip(found, texts, strict=True):
-                    f += loaded.search(text)
             lists = [[{"item_id": i, "n_shingles": q, "n_shared": n}
-                      for i, q, n in sorted(f, key=lambda x: (x[0] is None, x[0]))] for f in found]
-            kind = pa.list_(pa.struct([("item_id", item_arrow), ("n_shingles", pa.int64()), ("n_shared", pa.int64())]))
+                      for i, q, n in sorted(f, key=lambda x: (x[0] is None, x[0]))] for f in search(b.column(1))]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(lists, kind)], ["doc_id", "items"])
 
-    item_arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[item_type]
+    id_type = src.schema["doc_id"].dataType.simpleString()
     return on_workers(src).mapInArrow(
         run, f"doc_id {id_type}, items array<struct<item_id:{item_type},n_shingles:bigint,n_shared:bigint>>")
 
 
+def _broadcast_items(docs: DataFrame, items: DataFrame, item_col: str, item_text_col: str, bound: int):
+    bench = items.select(F.col(item_col).alias("item_id"), F.col(item_text_col).cast("string").alias("text")) \
+        .where("text is not null").distinct()
+    shared = [docs.sparkSession.sparkContext.broadcast([(r.item_id, r.text.encode()) for r in part.collect()])
+              for part in _slices(bench, bound)]
+    return shared, bench.schema["item_id"].dataType.simpleString()
+
+
+class _Search:
+    """All slices of the benchmark against a column of texts, one slice in memory at a time."""
+
+    def __init__(self, shared: list, shingle: int, containment: float):
+        self.shared, self.options, self.loaded, self.current = shared, (shingle, containment), None, -1
+
+    def __call__(self, column: pa.Array) -> list[list]:
+        texts = [t or b"" for t in column.cast(pa.large_binary()).to_pylist()]
+        found: list[list] = [[] for _ in texts]
+        for i, s in enumerate(self.shared):
+            if self.current != i:
+                self.loaded, self.current = Sketches(s.value, *self.options), i
+            for f, text in zip(found, texts, strict=True):
+                f += self.loaded.search(text)
+        return found
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id",
+                      item_text_col: str = "text", shingle: int = SHINGLE, containment: float = CONTAINMENT,
+                      bound: int = BROADCAST_SHINGLES) -> DataFrame:
+    """The rows of ``docs``, all columns, that contain no item (filtered where they lie)."""
+    shared, _ = _broadcast_items(docs, items, item_col, item_text_col, bound)
+    place = docs.columns.index(text_col)
+
+    def run(batches):
+        search = _Search(shared, shingle, containment)
+        for b in batches:
+            yield b.filter(pa.array([not f for f in search(b.column(place))], pa.bool_()))
+
+    return on_workers(docs).mapInArrow(run, docs.schema)
+
+
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   **options) -> DataFrame:
     """One row per document: ``doc_id, n_items, item_ids, containment, contaminated``.

@@ -77,6 +77,13 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus pipeline over ``documents``, all stages."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_substring_trees": op2_substring_trees,
@@ -88,4 +95,5 @@ QUERIES = {
     "op8_permutation_index": op8_permutation_index,
     "op9_simhash": op9_simhash,
     "op10_decontamination": op10_decontamination,
+    "pipeline": pipeline,
 }

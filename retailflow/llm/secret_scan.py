@@ -22,6 +22,8 @@ from retailflow.llm.common import shared_path, stored
 
 #: Unseen blobs up to this number (32 bytes each) are broadcast to filter contents where they lie.
 BROADCAST_BLOBS = 50_000
+#: Findings up to this number of spans (about 60 bytes each) are broadcast to redact texts where they lie.
+BROADCAST_SPANS = 100_000
 
 #: The rules as (kind, pattern, least length, group that it holds for), in order.
 ASSIGN = (r"(?i:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
@@ -126,17 +128,48 @@ def scan_secrets(versions: DataFrame, keys: list[str], content_col: str = "text"
     repeated rows give repeated rows, an empty table gives an empty result, and
     columns that are not named are ignored.
     """
-    spark = versions.sparkSession
-    ledger = ledger or shared_path(spark, "secret-ledger")
     content = F.coalesce(F.col(content_col).cast("string"), F.lit(""))
-    addressed = stored(versions.select(*keys, blob_id(content).alias("blob")), "ledger-paths")
+    names = [f"key{i}" for i in range(len(keys))]
+    paths = [F.col(k).alias(n) for k, n in zip(keys, names, strict=True)]
+    addressed = stored(versions.select(*paths, blob_id(content).alias("blob")), "ledger-paths")
+    lists = _span_lists(addressed, versions, content, ledger)
+    out = addressed.join(lists, "blob", "left").withColumn("spans", F.coalesce("spans", _no_spans()))
+    return out.select(*[F.col(n).alias(k) for k, n in zip(keys, names, strict=True)],
+                      *[_count(k).alias(f"n_{k}") for k in BASE_KINDS], "spans")
+
+
+def _no_spans() -> Column:
+    return F.array().cast("array<struct<start:bigint,rank:int,kind:string,stop:bigint>>")
+
+
+def _span_lists(addressed: DataFrame, versions: DataFrame, content: Column, ledger: str | None) -> DataFrame:
+    """``blob, spans`` of the blobs with findings, after the ledger has been brought up to date."""
+    ledger = ledger or shared_path(addressed.sparkSession, "secret-ledger")
     findings = update_ledger(addressed, versions.select(blob_id(content).alias("blob"), content.alias("content")), ledger)
     rank = F.coalesce(*[F.when(F.col("kind") == k, F.lit(i)) for i, (k, *_) in enumerate(RULES)])
     span = F.struct(F.col("start"), rank.alias("rank"), F.col("kind"), F.col("stop"))
-    lists = findings.groupBy("blob").agg(F.array_sort(F.collect_list(span)).alias("spans"))
-    empty = F.array().cast("array<struct<start:bigint,rank:int,kind:string,stop:bigint>>")
-    out = addressed.join(lists, "blob", "left").withColumn("spans", F.coalesce("spans", empty))
-    return out.select(*keys, *[_count(k).alias(f"n_{k}") for k in BASE_KINDS], "spans")
+    return findings.groupBy("blob").agg(F.array_sort(F.collect_list(span)).alias("spans"))
+
+
+def redact_secrets(docs: DataFrame, text_col: str = "text", length_col: str | None = None,
+                   ledger: str | None = None) -> DataFrame:
+    """``docs``, all rows and columns, with every secret in ``text_col`` replaced by a mark.
+
+    ``length_col``, if given, is set to the new length of texts that change. Texts
+    stay where they are when the findings are few (at most ``BROADCAST_SPANS``
+    spans, counted first); else they meet them by blob.
+    """
+    content = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    addressed = stored(docs.select(blob_id(content).alias("blob")), "ledger-paths")
+    lists = stored(_span_lists(addressed, docs, content, ledger), "ledger-spans")
+    n = lists.agg(F.sum(F.size("spans"))).first()[0] or 0
+    rows = docs.select(F.struct("*").alias("doc"), blob_id(content).alias("blob"))
+    joined = rows.join(F.broadcast(lists) if n <= BROADCAST_SPANS else lists, "blob", "left")
+    text = redact(F.col(f"doc.{text_col}"), F.col("spans"))
+    found = F.col("doc").withField(text_col, text)
+    if length_col:
+        found = found.withField(length_col, F.length(text).cast(docs.schema[length_col].dataType))
+    return joined.select(F.when(F.col("spans").isNull(), F.col("doc")).otherwise(found).alias("doc")).select("doc.*")
 
 
 def _count(kind: str) -> Column:

@@ -26,6 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from retailflow.llm.common import on_workers, shuffle_width, stored
 from retailflow.llm.components import components
@@ -62,16 +63,23 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id, fp`` (signed 64-bit) for every row; a null text has no words (fp 0)."""
+    """``doc_id, text_key, fp`` for every row (signed 64-bit; text_key tells texts apart); a null text has no words (fp 0)."""
 
     def run(batches):
         for b in batches:
-            texts = b.column(1).cast(pa.large_binary()).to_pylist()
+            texts = b.column(2).cast(pa.large_binary()).to_pylist()
             fps = np.array([fingerprint(t or b"", shingle) for t in texts], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps, pa.int64())],
+                                             ["doc_id", "text_key", "fp"])
 
-    src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return on_workers(src).mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, fp long")
+    src = docs.select(F.col(id_col).alias("doc_id"), _text_key(text_col).alias("text_key"),
+                      F.col(text_col).cast("string").alias("text"))
+    kind = src.schema["doc_id"].dataType.simpleString()
+    return on_workers(src).mapInArrow(run, f"doc_id {kind}, text_key long, fp long")
+
+
+def _text_key(text_col: str) -> Column:
+    return F.xxhash64(F.col(text_col).cast("string"), F.lit(3))
 
 
 def gray_rank(v: Column) -> Column:
@@ -237,7 +245,7 @@ def _edges(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                     distance: int = DISTANCE) -> DataFrame:
-    """One row per document: ``doc_id, fingerprint, component_id, n_copies``.
+    """One row per document: ``doc_id, fingerprint, component_id, n_copies, text_key, component``.
 
     ``fingerprint`` is 16 lowercase hex digits; ``component_id`` the smallest
     ``doc_id`` reachable over links of at most ``distance`` differing bits;
@@ -245,6 +253,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     fingerprint zero, linked like any other. Repeated rows share a component. A
     null id stays null and is never a component's id unless the component has
     no other. An empty table gives an empty result; other columns are ignored.
+    ``component`` numbers the components, those without any id included.
     """
     marked = stored(fingerprints(docs, id_col, text_col, shingle), "simhash-fps")
     classes = marked.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n_copies"))
@@ -252,6 +261,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     linked = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left") \
         .withColumn("root", F.coalesce("root", "fp"))
     least = linked.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = linked.join(least, "root").select("fp", "component_id", "n_copies")
+    named = linked.join(least, "root").select("fp", "component_id", "n_copies", F.col("root").alias("component"))
     return marked.join(named, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "n_copies")
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "n_copies", "text_key",
+        "component")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One row of ``docs``, all columns, of each component: that of the smallest id.
+
+    Without ids in a component, one of its rows; of repeated rows, one.
+    """
+    found = near_duplicates(docs, id_col, text_col, **options)
+    first = found.groupBy("component").agg(F.min(F.struct(
+        F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("text_key").alias("key"))).alias("k"))
+    keys = ["none", "key", "id"]
+    kept = first.select("k.none", "k.key", F.coalesce(F.col("k.id").cast("string"), F.lit("")).alias("id"))
+    rows = docs.select(F.struct("*").alias("doc"), F.col(id_col).isNull().alias("none"), _text_key(text_col).alias("key"),
+                       F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id"))
+    # the join leaves each key's rows together: numbering them moves nothing
+    one = Window.partitionBy(*keys).orderBy(*keys)
+    return rows.join(kept, keys).withColumn("copy", F.row_number().over(one)).where("copy = 1").select("doc.*")

@@ -288,34 +288,56 @@ def _seen(model_id) -> dict[str, float]:
     return _cache["scores"]
 
 
-def score_texts(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text",
-                keep: list[str] | None = None) -> DataFrame:
-    """``docs`` ids (or the columns ``keep``) with ``score`` in 0..1; null and blank texts score lowest."""
-    names = keep or [id_col]
-    src = docs.select(*names, F.col(text_col).cast("string").alias("__text"))
-    shared = docs.sparkSession.sparkContext.broadcast(model | {"id": uuid.uuid4().hex})
+def _scorer(shared):
+    """Scores of the texts of one Arrow column, in a worker."""
+    model = shared.value
+    seen = _seen(model["id"])
+
+    def score(texts: pa.Array) -> np.ndarray:
+        worst = []
+        for text in texts.cast(pa.large_string()).to_pylist():
+            bag = units(text) if text else set()
+            missing = bag.difference(seen)
+            if missing:
+                if len(seen) + len(missing) > CACHE:
+                    seen.clear()
+                    missing = bag
+                missing = list(missing)
+                seen.update(zip(missing, decisions(missing, model["weight"], model["bias"]).tolist(), strict=True))
+            worst.append(max(map(seen.__getitem__, bag), default=LOWEST))
+        return 1 / (1 + np.exp(-np.clip(model["a"] * np.array(worst, float) + model["b"], -35, 35)))
+
+    return score
+
+
+def _broadcast(docs: DataFrame, model: dict):
+    return docs.sparkSession.sparkContext.broadcast(model | {"id": uuid.uuid4().hex})
+
+
+def score_texts(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, score`` (0..1) of every row; null and blank texts score lowest."""
+    src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    shared = _broadcast(docs, model)
 
     def run(batches):
-        weight, bias = shared.value["weight"], shared.value["bias"]
-        a, b0 = shared.value["a"], shared.value["b"]
-        seen = _seen(shared.value["id"])
-        for batch in batches:
-            worst = []
-            for text in batch.column(batch.num_columns - 1).to_pylist():
-                bag = units(text) if text else set()
-                missing = bag.difference(seen)
-                if missing:
-                    if len(seen) + len(missing) > CACHE:
-                        seen.clear()
-                        missing = bag
-                    missing = list(missing)
-                    seen.update(zip(missing, decisions(missing, weight, bias).tolist(), strict=True))
-                worst.append(max(map(seen.__getitem__, bag), default=LOWEST))
-            s = 1 / (1 + np.exp(-np.clip(a * np.array(worst, float) + b0, -35, 35)))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(s, pa.float64())], [*names, "score"])
-
-    schema = src.drop("__text").schema.add("score", "double")
-    return on_workers(src).mapInArrow(run, schema)
+        score = _scorer(shared)
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(score(b.column(1)), pa.float64())],
+                                             ["doc_id", "score"])
+
+    return on_workers(src).mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, score double")
+
+
+def keep_clean(docs: DataFrame, model: dict, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose text scores below ``threshold`` (filtered where they lie)."""
+    shared, place = _broadcast(docs, model), docs.columns.index(text_col)
+
+    def run(batches):
+        score = _scorer(shared)
+        for b in batches:
+            yield b.filter(pa.array(score(b.column(place)) < threshold))
+
+    return on_workers(docs).mapInArrow(run, docs.schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -329,6 +351,6 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     ones; an empty table gives an empty result; other columns are ignored.
     """
     model = fit(docs, labels, id_col, text_col, label_col, sample)
-    scored = score_texts(docs, model, id_col, text_col).withColumnRenamed(id_col, "doc_id")
+    scored = score_texts(docs, model, id_col, text_col)
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                          (F.col("score") >= F.lit(threshold)).cast("int").alias("predicted"))
