@@ -11,8 +11,8 @@ problem, solved by enumeration.
 
 On Spark the flight runs in blocks of a source's documents (hashed by id, so a
 source with a third of all rows is many blocks). A block leaves at most two
-fractional documents; these form the next level's blocks, until each source
-fits one block, which lands. Only ids and sizes are shuffled, never texts.
+fractional documents and a few that it holds back for the landing; these form
+the next level's blocks, until each source fits one block, which lands. Only ids and sizes are shuffled, never texts.
 """
 
 from __future__ import annotations
@@ -123,11 +123,13 @@ def balanced_extra(units: DataFrame, block: int = BLOCK, hold: int = LANDING) ->
     ``size`` is never null; ``source`` may be. Probabilities of 0 or 1 are
     decided at once. Levels of flight blocks follow until every source has one
     block, which lands. The number of levels is logarithmic in the largest
-    source, each level holds at most ``2 / block`` of the rows of the one before.
+    source, each level holds a few rows per block of the one before.
     """
     id_type = units.schema["doc_id"].dataType.simpleString()
     schema = _SCHEMA.format(id=id_type)
-    units = units.withColumns({"k": F.col("size"), "salt": F.xxhash64("doc_id", "size", "source"),
+    # rows without an id are told apart by their place, so that they spread over blocks too
+    place = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()).otherwise(0)
+    units = units.withColumns({"k": F.col("size"), "salt": F.xxhash64("doc_id", "size", "source", place),
                                "extra": F.lit(None).cast("long")})
     sure = units.where((F.col("pi") <= EPS) | (F.col("pi") >= 1 - EPS)) \
         .withColumn("extra", F.when(F.col("pi") > 0.5, F.lit(1)).otherwise(F.lit(0)).cast("long"))
@@ -140,12 +142,12 @@ def balanced_extra(units: DataFrame, block: int = BLOCK, hold: int = LANDING) ->
         if not most:
             return _union(parts)
         last = most <= block
-        blocks = F.lit(0) if last else F.pmod(
-            F.xxhash64("salt", F.lit(level)), F.greatest(F.lit(1), F.ceil(F.col("rows") / F.lit(block // 2))))
+        blocks = F.lit(1) if last else F.greatest(F.lit(1), F.ceil(F.col("rows") / F.lit(block // 2)))
         dealt = open_.join(F.broadcast(counts), open_.source.eqNullSafe(counts.source)).drop(counts.source) \
-            .withColumn("block", blocks.cast("long"))
+            .withColumn("blocks", blocks.cast("long")) \
+            .withColumn("block", F.pmod(F.xxhash64("salt", F.lit(level)), F.col("blocks")))
         done = on_workers(dealt).groupBy("source", "block").applyInPandas(
-            _step(last, hold), schema=schema + ", p double").drop("block")
+            _step(last, hold), schema=schema + ", p double")
         if last:
             parts.append(done.select("doc_id", "source", "size", "extra"))
             return _union(parts)
@@ -169,20 +171,18 @@ def _step(last: bool, hold: int):
         pdf = pdf.sort_values(["salt", "size"], kind="stable").reset_index(drop=True)
         p, pi, size = pdf["p"].to_numpy(float), pdf["pi"].to_numpy(float), pdf["size"].to_numpy(float)
         n = len(pdf)
+        # documents of all sizes are kept for the landing: their sums lie close to any goal
+        share = hold if last else -(-hold // int(pdf["blocks"].iloc[0]))
+        order = np.argsort(size, kind="stable")
+        kept = order[np.linspace(0, n - 1, share).astype(int)] if n > share else order
+        flown = np.setdiff1d(np.arange(n), kept)
+        goal, p = float((size * p).sum()), p.copy()
+        if len(flown):
+            p[flown] = flight(p[flown], size[flown])
         if last:
-            # documents of all sizes are kept for the landing: their sums lie close to any goal
-            order = np.argsort(size, kind="stable")
-            kept = order[np.linspace(0, n - 1, hold).astype(int)] if n > hold else order
-            flown = np.setdiff1d(np.arange(n), kept)
-            goal = float((size * p).sum())
-            if len(flown):
-                p = p.copy()
-                p[flown] = flight(p[flown], size[flown])
-                kept = np.concatenate([kept, flown[(p[flown] > EPS) & (p[flown] < 1 - EPS)]])
+            kept = np.concatenate([kept, flown[(p[flown] > EPS) & (p[flown] < 1 - EPS)]])
             fixed = np.setdiff1d(np.arange(n), kept)
             p[kept] = landing(p[kept], size[kept], goal - float(size[fixed][p[fixed] > 0.5].sum()))
-        else:
-            p = flight(p, size)
         decided = (p <= EPS) | (p >= 1 - EPS)
         pdf["p"] = p
         pdf["extra"] = pd.array(np.where(decided, (p > 0.5).astype(np.int64), 0), dtype="Int64")

@@ -98,7 +98,7 @@ def nearest(embeddings: DataFrame, query_rows, k: int = 10, id_col: str = "vec_i
     blocks, query_blocks = max(1, -(-n // shard)), max(1, -(-n_queries // shard))
     # a bounded sample, the same in every run
     chosen = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(pivots).collect()
-    shared = spark.sparkContext.broadcast(np.array([r.v for r in chosen], float).reshape(len(chosen), -1))
+    shared = spark.sparkContext.broadcast(np.array([r.v for r in chosen], float))
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple] = []

@@ -162,7 +162,7 @@ def _logistic(s: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(theta[0]), float(theta[1])
 
 
-def _singles(bags: list[set[str]], alike: float = 0.4) -> list[int]:
+def _singles(bags: list[set[str]], alike: float = 0.7) -> list[int]:
     """Positions of the token sets that are no near copy of an earlier one (MinHash bands, checked by overlap)."""
     kept: dict[tuple, list[int]] = {}
     out = []

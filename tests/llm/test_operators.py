@@ -1,0 +1,363 @@
+"""Each operator against a plain version, over the awkward table, and over empty tables."""
+
+import hashlib
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from retailflow.llm import (
+    components,
+    decontamination,
+    mixing,
+    permutation_index,
+    secret_scan,
+    simhash,
+    token_counts,
+    toxicity,
+    url_reputation,
+)
+
+from .conftest import by_id, prose
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+
+
+def test_token_counts(spark, awkward, nothing):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(VOCABULARY)
+    more = spark.createDataFrame([(90, "a<|endoftext|>b <|ENDOFTEXT|> it's\x1cx\x0by 123   é  z")], "doc_id long, text string")
+    docs = awkward.select("doc_id", "text").unionAll(more)
+    want = by_id((r.doc_id, len((r.text or "").encode()), len(t.encode(r.text or "", add_special_tokens=False).ids),
+                  len(t.encode(r.text or "", add_special_tokens=False).ids) > 2048) for r in docs.collect())
+    assert by_id(token_counts.count_tokens(docs, VOCABULARY).collect()) == want
+    assert by_id(token_counts.count_tokens(awkward, VOCABULARY, cache=3).collect()) == [w for w in want if w[0] != 90]
+    assert token_counts.count_tokens(nothing, VOCABULARY).collect() == []
+
+
+def test_mixing(awkward, nothing):
+    rows = mixing.mix(awkward).collect()
+    assert len(rows) == awkward.count()
+    size = {r.doc_id: len(re.findall(r"[^\x20\x09-\x0D]+", r.text or "")) for r in awkward.collect() if r.doc_id}
+    assert all(r.size == size[r.doc_id] for r in rows if r.doc_id)
+    assert all(0 <= r.taken <= 3 * r.size and (not r.size or r.taken % r.size == 0) for r in rows)
+    assert by_id(rows) == by_id(mixing.mix(awkward).collect())
+    assert mixing.mix(nothing).collect() == []
+
+
+def test_mixing_targets_and_totals(spark):
+    df = spark.range(6_000).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "a").when(F.col("id") % 7 == 0, None).otherwise("b").alias("source"),
+        F.repeat(F.lit("w "), (F.col("id") % 97).cast("int")).alias("text"))
+    out = mixing.mix(df).join(df.select("doc_id", "source"), "doc_id").groupBy("source").agg(
+        F.sum("taken").alias("taken"), F.first("target").alias("target"), F.first("source_size").alias("total")).collect()
+    assert all(abs(r.taken - r.target) <= 5 and r.target <= 3 * r.total for r in out)
+    assert abs(sum(r.target for r in out) - sum(r.total for r in out)) < 1e-6
+
+
+def test_flight_keeps_both_totals():
+    rng = np.random.default_rng(3)
+    p, a = rng.random(500), rng.integers(0, 900, 500).astype(float)
+    out = mixing.flight(p, a)
+    assert ((out > 1e-9) & (out < 1 - 1e-9)).sum() <= 2
+    assert abs(out.sum() - p.sum()) < 1e-6 and abs((out * a).sum() - (p * a).sum()) < 1e-3
+
+
+def test_mixing_in_blocks(spark):
+    df = spark.range(3_000).select(F.col("id").alias("doc_id"), F.lit("s").alias("source"), (F.col("id") % 50 + 1).alias("size"),
+                                   F.lit(0.3).alias("pi"))
+    out = mixing.balanced_extra(df, block=64)
+    row = out.agg(F.count("extra"), F.sum("extra"), F.sum(F.col("extra") * F.col("size"))).first()
+    assert row[0] == 3_000 and abs(row[1] - 900) <= 20 and abs(row[2] - 0.3 * 76_500) <= 30
+
+
+def plain_spans(text):
+    kinds = [("assign", r"(?:(?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 6, 1),
+             ("access", r"AKIA[A-Z0-9]+", 20, 0), ("hex", r"[0-9a-f]+", 24, 0)]
+    found = [(m.start(), i, f"{k}:{m.start()}:{m.end()}") for i, (k, p, least, g) in enumerate(kinds)
+             for m in re.finditer(p, text or "") if len(m[g]) >= least]
+    return ",".join(s for *_, s in sorted(found))
+
+
+def test_secrets(spark, awkward, nothing):
+    more = spark.createDataFrame([
+        (70, "token=token:abcdefgh secret=abc token=secret=abcdefgh Api_Key: 'zz.zz-zz'"), (71, "é" * 9 + "passwd = \"0123456\""),
+        (72, "AKIA" + "A" * 15 + " AKIAAKIA" + "B" * 12 + " " + "ab" * 11 + " " + "f" * 24),
+        (73, "-----BEGIN RSA PRIVATE KEY----- password=abcdef"), (74, "token=aaaaaa " * 300)], "doc_id long, text string")
+    docs = awkward.select("doc_id", "text").unionAll(more)
+    found = secret_scan.scan_secrets(docs, ["doc_id"])
+    base = secret_scan.span_text(F.col("spans"), secret_scan.BASE_KINDS)
+    got = by_id(found.select("doc_id", base).collect())
+    assert got == by_id((r.doc_id, plain_spans(r.text)) for r in docs.collect())
+    assert found.where("doc_id = 73").select(secret_scan.span_text(F.col("spans"))).first()[0].startswith("pem:0:31")
+    assert secret_scan.scan_secrets(nothing, ["doc_id"]).collect() == []
+
+
+def test_secret_ledger_scans_new_blobs_only(spark, tmp_path, monkeypatch):
+    ledger = f"file://{tmp_path}/ledger"
+    old = spark.createDataFrame([("a", 1, "password=abcdefg"), ("b", 1, "clean"), ("c", 1, "password=abcdefg")],
+                                "path string, version long, text string")
+    new = old.unionAll(spark.createDataFrame([("b", 2, "token=1234567"), ("d", 1, "clean")], old.schema))
+    keys = ["path", "version"]
+    first = secret_scan.scan_secrets(old, keys, ledger=ledger).collect()
+    assert spark.read.parquet(f"{ledger}/blobs").count() == 2
+    scanned = []
+    plain = secret_scan.find_spans
+    monkeypatch.setattr(secret_scan, "find_spans", lambda df: (scanned.append(df.count()), plain(df))[1])
+    second = secret_scan.scan_secrets(new, keys, ledger=ledger).collect()
+    assert scanned == [1] and spark.read.parquet(f"{ledger}/blobs").count() == 3
+    assert {(r.path, r.version): r.n_assign for r in second} == {
+        ("a", 1): 1, ("b", 1): 0, ("c", 1): 1, ("b", 2): 1, ("d", 1): 0}
+    assert len(first) == 3
+    monkeypatch.setattr(secret_scan, "RULES_VERSION", "next")
+    secret_scan.scan_secrets(new, keys, ledger=ledger).collect()
+    assert scanned == [1, 3]
+
+
+@pytest.mark.parametrize("bound", [0, 100])
+def test_redact(spark, awkward, bound, monkeypatch):
+    monkeypatch.setattr(secret_scan, "BROADCAST_SPANS", bound)
+    out = secret_scan.redact_secrets(awkward, length_col="n_chars")
+    assert out.columns == awkward.columns and out.count() == awkward.count()
+    row = out.where("doc_id = 15").first()
+    assert row.text == "[SECRET] and [SECRET] [SECRET]" and row.n_chars == len(row.text)
+    same = awkward.where("doc_id != 15 or doc_id is null")
+    assert by_id(out.where("doc_id != 15 or doc_id is null").collect()) == by_id(same.collect())
+
+
+def test_urls(spark, nothing):
+    rows = [(1, "https://A.Example.NET/en/1?x"), (2, "http://x.net/a"), (3, "http://example.com/de/1"), (4, "http://example.com/fr/"),
+            (5, "http://q.org/fr/2"), (6, "http://q.org/de"), (7, None), (8, "no scheme"), (9, "http://notexample.net/en/"),
+            (10, "http://h.net?x"), (11, "x\ny://Ünï.org/fr/\nq"), (None, "ftp://example.org#f"), (2, "http://x.net/a")]
+    pages = spark.createDataFrame(rows, "page_id long, url string").withColumn("host", F.lit("clash"))
+    out = {r.page_id: r for r in url_reputation.filter_urls(pages).collect()}
+    assert out[1][1:] == ("a.example.net", "/en/1", "example.net/en/", "allow")
+    assert out[2].rule == "net/" and out[2].verdict == "block" and out[9].rule == "net/"
+    assert out[3].rule == "example.com/de/" and out[5].rule == "org/fr/"
+    assert out[4].rule is None and out[4].verdict in ("allow", "block")
+    assert (out[7].host, out[7].path, out[8].host) == ("", "", "") and out[10].rule is None and out[10].path == ""
+    assert out[11].rule == "org/fr/" and out[11].path == "/fr/\nq"
+    assert len(url_reputation.filter_urls(pages).collect()) == 13
+    assert url_reputation.filter_urls(pages.where("false")).collect() == []
+
+
+def test_reputation_shrinks_and_blocks(spark):
+    rows = [("bad.x.com", 1)] * 40 + [("good.y.com", 0)] * 40 + [("new.x.com", None), ("new.y.com", None)]
+    out = {r.host: r for r in url_reputation.reputation(spark.createDataFrame(rows, "host string, outcome int")).collect()}
+    assert out["bad.x.com"].mean > out["new.x.com"].mean > out["new.y.com"].mean > out["good.y.com"].mean
+    assert out["bad.x.com"].sd < out["new.x.com"].sd
+
+
+@pytest.fixture(scope="module")
+def vectors(spark):
+    rng = np.random.default_rng(1)
+    centres = rng.normal(size=(8, 16))
+    x = centres[rng.integers(0, 8, 600)] + rng.normal(scale=0.7, size=(600, 16))
+    x[100:130] = x[100]
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(x)]
+    rows += [(1000, None), (1001, []), (1002, [0.0] * 16), (1003, [None] + [1.0] * 15), (1004, [float("nan")] * 16),
+             (1005, [float("inf")] + [1.0] * 15), (None, [1.0] * 16), (1006, [1.0, 2.0])]
+    return spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("v", F.lit(1)), x
+
+
+@pytest.mark.parametrize("shard", [4_096, 150])
+def test_nearest(vectors, shard):
+    table, x = vectors
+    got = {}
+    for r in permutation_index.nearest(table, F.pmod("vec_id", F.lit(10)) == 0, shard=shard, least=60).collect():
+        got.setdefault(r.query_id, {})[r.rank] = (r.vec_id, r.score)
+    assert set(got) == set(range(0, 600, 10))
+    hits = 0
+    for q, found in got.items():
+        d = np.sqrt(((x - x[q]) ** 2).sum(axis=1))
+        d[q] = np.inf
+        true = np.argsort(d, kind="stable")[:10]
+        assert list(found) == list(range(1, 11)) or sorted(found) == list(range(1, 11))
+        pairs = [found[i] for i in range(1, 11)]
+        assert pairs == sorted(pairs, key=lambda p: (p[1], p[0])) and all(abs(s - d[v]) < 1e-12 for v, s in pairs)
+        hits += len({v for v, _ in pairs} & set(true.tolist()))
+        if 100 <= q < 130:
+            assert [v for v, _ in pairs] == true.tolist()
+    assert hits >= 0.9 * 10 * len(got)
+
+
+def test_nearest_small_and_empty(spark, vectors):
+    table, _ = vectors
+    few = table.where("vec_id < 4 or vec_id > 999")
+    out = permutation_index.nearest(few, F.col("vec_id") == 0).collect()
+    assert sorted(r.vec_id for r in out) == [1, 2, 3]
+    assert permutation_index.nearest(table.where("false"), F.col("vec_id") == 0).collect() == []
+
+
+def plain_components(near):
+    label = np.arange(len(near))
+    while True:
+        new = np.where(near, label[None, :], len(near)).min(axis=1)
+        if (new == label).all():
+            return label
+        label = new
+
+
+@pytest.mark.parametrize("group", [simhash.GROUP, 3])
+def test_simhash(spark, awkward, nothing, group, monkeypatch):
+    near_links = simhash.near_links
+    monkeypatch.setattr(simhash, "near_links", lambda fps, distance: near_links(fps, distance, group))
+    base = prose(8, 400).split()
+    copies = [(200 + i, " ".join(base[:i * 7] + ["new"] + base[i * 7 + 1:])) for i in range(40)]
+    docs = awkward.select("doc_id", "text").unionAll(spark.createDataFrame(copies, "doc_id long, text string"))
+    rows = docs.collect()
+    fps = np.array([simhash.fingerprint((r.text or "").encode()) for r in rows], np.uint64)
+    label = plain_components(np.bitwise_count(fps[:, None] ^ fps[None, :]) <= 4)
+    ids = {c: min((r.doc_id for r, x in zip(rows, label, strict=True) if x == c and r.doc_id is not None), default=None) for c in set(label)}
+    want = by_id((r.doc_id, f"{f:016x}", ids[c]) for r, f, c in zip(rows, fps.tolist(), label, strict=True))
+    assert by_id(simhash.near_duplicates(docs).select("doc_id", "fingerprint", "component_id").collect()) == want
+    assert simhash.near_duplicates(nothing).collect() == []
+    assert simhash.keep_one(docs).count() == len(set(label))
+
+
+def test_fingerprint_by_hand():
+    import xxhash
+
+    words = [f"w{i}" for i in range(9)]
+    h = [xxhash.xxh64_intdigest(" ".join(words[i:i + 4]), 42) for i in range(6)]
+    want = sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > 6)
+    assert simhash.fingerprint(" W0\tw1\nw2 w3 w4\x0bw5 w6 w7  w8 ".encode()) == want
+    assert simhash.fingerprint(b"") == 0 and simhash.fingerprint(b"A b") == xxhash.xxh64_intdigest("a b", 42)
+
+
+def test_gray_rank(spark):
+    n = 64
+    codes = [i ^ (i >> 1) for i in range(n)]
+    df = spark.createDataFrame([(c,) for c in codes], "v long")
+    assert [r[0] for r in df.select(simhash.gray_rank(F.col("v"))).collect()] == list(range(n))
+
+
+def test_group_links_keep_connectivity():
+    rng = np.random.default_rng(5)
+    v = np.unique(rng.integers(0, 1 << 12, 700).astype(np.uint64))
+    near = np.bitwise_count(v[:, None] ^ v[None, :]) <= 1
+    forest = simhash._Forest(len(v))
+    place = {int(x): i for i, x in enumerate(v)}
+    for a, b in simhash.group_links(v, None, 1) + simhash.group_links(v[:300], v[300:], 1):
+        assert (a ^ b).bit_count() <= 1
+        forest.join(place[a], place[b])
+    assert [forest.root(i) for i in range(len(v))] == plain_components(near).tolist()
+
+
+def test_components(spark):
+    edges = [(i, i + 1) for i in range(60)] + [(100, 200), (300, 200), (5, 5), (400, None)] + [(500, 500 + i) for i in range(50)]
+    out = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert all(out[i] == 0 for i in range(61)) and out[200] == out[300] == out[100] == 100 and out[549] == 500 and 400 not in out
+    assert components.components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+@pytest.mark.parametrize("bound", [decontamination.BROADCAST_SHINGLES, 40])
+def test_decontamination(spark, awkward, nothing, bound):
+    item = prose(20, 40)
+    changed = item.split()
+    changed[3] = "other"
+    items = spark.createDataFrame([(1, item), (2, "rare short item"), (3, None), (4, ""), (5, prose(21, 30)), (6, item)],
+                                  "item_id long, text string").withColumn("doc_id", F.lit(1))
+    docs = awkward.select("doc_id", "text").unionAll(spark.createDataFrame(
+        [(50, prose(22, 900) + " " + item.upper() + " " + prose(23, 900)), (51, prose(24, 50) + " " + " ".join(changed)),
+         (52, "a Rare short ITEM b"), (53, " ".join(item.split()[:20])), (54, " ".join(prose(21, 30).split()[2:]))],
+        "doc_id long, text string"))
+
+    def shingles(text):
+        w = re.sub("[A-Z]+", lambda m: m[0].lower(), text or "").split()
+        return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} - {()}
+
+    known = [(r.item_id, shingles(r.text)) for r in items.collect()]
+
+    def within(text):
+        w = re.sub("[A-Z]+", lambda m: m[0].lower(), text or "").split()
+        out = []
+        for i, q in known:
+            k = len(next(iter(q))) if q else 0
+            s = {tuple(w[j:j + k]) for j in range(len(w) - k + 1)}
+            if q and len(q & s) >= 0.8 * len(q):
+                out.append(i)
+        return out
+
+    want = by_id((r.doc_id, tuple(within(r.text))) for r in docs.collect())
+    got = decontamination.decontaminate(docs, items, bound=bound)
+    assert by_id((r.doc_id, tuple(r.item_ids)) for r in got.collect()) == want
+    assert {i for i, x in want if x} >= {50, 51, 52, 54} and not dict(want)[53]
+    clean = decontamination.drop_contaminated(docs, items, bound=bound)
+    assert clean.count() == sum(not x for _, x in want)
+    assert decontamination.decontaminate(nothing, items).collect() == []
+    assert decontamination.decontaminate(awkward, items.where("false")).where("contaminated").count() == 0
+
+
+@pytest.fixture(scope="module")
+def labelled(spark):
+    rows, labels = [], []
+    bad = ["numskull", "blockhead", "dimwit"]
+    for i in range(360):
+        words = prose(1000 + i, 60).split()
+        toxic = i % 3 == 0
+        if toxic:
+            words[10], words[30] = bad[i % 3], bad[(i // 3) % 3]
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(toxic)))
+    return spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+
+
+def test_toxicity_held_out(labelled):
+    docs, labels = labelled
+    rows = toxicity.toxicity(docs, labels).join(labels, "doc_id").collect()
+    import zlib
+
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
+    held = [r for r in rows if r.held_out]
+    assert np.mean([r.predicted == r.toxic for r in held]) > 0.95
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in rows)
+
+
+def test_toxicity_tolerates_inserted_characters(labelled):
+    rows = {r.doc_id: (r.text, r.doc_id % 3 == 0) for r in labelled[0].collect()}
+    model = toxicity.train([t for t, _ in rows.values()], [int(y) for _, y in rows.values()])
+    score = dict(zip(w := ["numskull", "num.skull", "numsskull", "blockhhead", "alpha", "sigma"],
+                     toxicity.decisions(w, model["weight"], model["bias"]), strict=True))
+    assert min(score["num.skull"], score["numsskull"], score["blockhhead"]) > max(score["alpha"], score["sigma"])
+    assert "numskull" in toxicity.units("you n u m s k u l l !")
+
+
+def test_toxicity_awkward(spark, awkward, nothing, labelled):
+    _, labels = labelled
+    out = toxicity.toxicity(awkward, labels).collect()
+    assert len(out) == awkward.count() and all(0 <= r.score <= 1 for r in out)
+    assert toxicity.toxicity(nothing, labels).collect() == []
+    assert len(toxicity.toxicity(awkward, labels.where("false")).collect()) == awkward.count()
+
+
+def test_pipeline(spark, tmp_path, awkward, labelled):
+    import corpus_pipeline
+
+    docs, labels = labelled
+    item = prose(30, 40)
+    more = docs.selectExpr("doc_id + 5000 AS doc_id", "text", "'s' AS source", "'en' AS lang", "length(text) AS n_chars")
+    extra = spark.createDataFrame([(9000, prose(31, 100) + " " + item + " " + prose(32, 100))], "doc_id long, text string") \
+        .selectExpr("doc_id", "text", "'z' AS source", "'en' AS lang", "length(text) AS n_chars")
+    base = awkward.select("doc_id", "text", "source", "lang", "n_chars").unionAll(more).unionAll(extra)
+    base.write.parquet(f"{tmp_path}/documents.parquet")
+    labels.withColumn("doc_id", F.col("doc_id") + 5000).write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    seen = [docs.count()]
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before, docs = docs, stage(spark, docs, str(tmp_path))
+        assert docs.columns == before.columns, name
+        seen.append(docs.count())
+    assert seen[0] > seen[1] > seen[2] > seen[3] == seen[4]
+    assert docs.where("doc_id = 9000").count() == 0
+    assert "[SECRET]" in docs.where("doc_id = 15").first().text
+    final = corpus_pipeline.run(spark, str(tmp_path))
+    assert final.count() == seen[4] and "taken" in final.columns
+
+
+def test_oracle_digest_of_nothing():
+    assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
