@@ -162,22 +162,25 @@ def _logistic(s: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(theta[0]), float(theta[1])
 
 
-def _singles(bags: list[set[str]], alike: float = 0.7) -> list[int]:
-    """Positions of the token sets that are no near copy of an earlier one (MinHash bands, checked by overlap)."""
-    kept: dict[tuple, list[int]] = {}
+def _singles(texts: list[str], alike: float = 0.5) -> list[int]:
+    """Positions of the texts that are no near copy of an earlier one (MinHash of
+    three-word shingles, checked by overlap)."""
+    kept: dict[tuple[int, int], list[int]] = {}
+    shingles: list[set[int]] = []
     out = []
-    for i, bag in enumerate(bags):
-        h = np.fromiter((zlib.crc32(w.encode()) for w in bag), np.uint64, len(bag))
-        bands = []
-        for band in range(16 if len(h) else 0):
-            v = (h ^ np.uint64(0x5851F42D * (band + 1))) * np.uint64(0x9E3779B97F4A7C15)
-            bands.append((band, int(v.min())))
-        near = {j for b in bands for j in kept.get(b, ())}
-        if any(len(bag & bags[j]) >= alike * len(bag | bags[j]) for j in near):
+    for i, text in enumerate(texts):
+        words = text.split()
+        own = {zlib.crc32(" ".join(words[k:k + 3]).encode()) for k in range(max(1, len(words) - 2))}
+        shingles.append(own)
+        h = np.fromiter(own, np.uint64, len(own))
+        bands = [(k, int(((h ^ np.uint64(0x5851F42D * (k + 1))) * np.uint64(0x9E3779B97F4A7C15)).min()))
+                 for k in range(16)]
+        near = {j for band in bands for j in kept.get(band, ())}
+        if any(len(own & shingles[j]) >= alike * len(own | shingles[j]) for j in near):
             continue
         out.append(i)
-        for b in bands:
-            kept.setdefault(b, []).append(i)
+        for band in bands:
+            kept.setdefault(band, []).append(i)
     return out
 
 
@@ -192,9 +195,11 @@ def train(texts: list[str], labels: list[int]) -> dict:
         p = min(max(share, 1e-6), 1 - 1e-6)
         return {"weight": np.zeros(1 << BITS), "bias": 0.0, "a": 0.0, "b": float(np.log(p / (1 - p)))}
     # copies of a text would vouch for each other's rare tokens
-    bags = [set().union(*map(units, sentences(t))) if t else set() for t in texts]
-    single = _singles(bags)
-    bags, marks_of = [sorted(bags[i]) for i in single], y[single]
+    single = _singles(texts)
+    bags = [sorted(set().union(*map(units, sentences(texts[i])))) for i in single]
+    marks_of = y[single]
+    if len(set(marks_of.tolist())) < 2:
+        return train([], [])
     pos, neg = Counter(), Counter()
     for bag, label in zip(bags, marks_of, strict=True):
         (pos if label else neg).update(bag)
