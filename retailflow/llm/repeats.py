@@ -234,7 +234,7 @@ def _runs_of_equal(*columns: np.ndarray) -> np.ndarray:
 
 
 def _resolve_block(g, c, row, at, end: np.ndarray) -> pa.RecordBatch:
-    """Rows of whole grams that are not unique (or stand at an end of the partition)."""
+    """Runs of grams that are not unique, and for grams at an end of the partition a row per content."""
     gs, cs = _runs_of_equal(g), _runs_of_equal(g, c)
     g_len, c_len = np.diff(np.append(gs, len(g))), np.diff(np.append(cs, len(g)))
     contents = np.bincount(np.searchsorted(gs, cs, "right") - 1, minlength=len(gs))
@@ -242,9 +242,12 @@ def _resolve_block(g, c, row, at, end: np.ndarray) -> pa.RecordBatch:
     n, many = np.repeat(c_len, c_len), contents[per_row]
     first = np.zeros(len(g), bool)
     first[cs] = True
-    keep = end | (n >= 2) | (first & (many >= 2))
-    cols = [row, at, g, c, n, many, first, end]
-    return pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in cols],
+    # whole grams are final; of grams at an end, repeats are known, and each content is summed up in one row
+    keep = np.where(end, n >= 2, (n >= 2) | (first & (many >= 2)))
+    parts = [(keep, first & ~end, False), (end & first, first, True)]
+    cols = [np.concatenate([x[m] for m, _, _ in parts]) for x in (row, at, g, c, n, many)]
+    cols += [np.concatenate([f[m] for m, f, _ in parts]), np.concatenate([np.full(m.sum(), e) for m, _, e in parts])]
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in cols],
                                       ["row", "at", "g", "c", "n", "contents", "first", "end"])
 
 
@@ -274,15 +277,16 @@ def resolve(indexed: DataFrame) -> DataFrame:
     gram has more than ``GROUP_ROWS`` of them.
     """
     runs = on_workers(indexed).select("row", "runs").mapInArrow(_spread, "g long, c long, row long, at long")
-    ranged = runs.repartitionByRange(shuffle_width(indexed.sparkSession), "g", "c") \
-        .sortWithinPartitions("g", "c", "row", "at")
+    # all four columns: a content that a third of all texts hold spreads over many partitions
+    keys = ["g", "c", "row", "at"]
+    ranged = runs.repartitionByRange(shuffle_width(indexed.sparkSession), *keys).sortWithinPartitions(*keys)
     seen = stored(ranged.mapInArrow(_resolve, _RESOLVED), "repeat-runs")
     inner = seen.where("not end").select("row", "at", "g", "n", "contents", "first")
-    ends = seen.where("end").select("row", "at", "g", "c")
-    per_c = ends.groupBy("g", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "at")).alias("rep"))
+    ends = seen.where("end").select("row", "at", "g", "c", F.col("n").alias("here"))
+    per_c = ends.groupBy("g", "c").agg(F.sum("here").alias("n"), F.min(F.struct("row", "at")).alias("rep"))
     per_g = per_c.groupBy("g").agg(F.count(F.lit(1)).alias("contents"))
-    outer = ends.join(per_c.join(per_g, "g"), ["g", "c"]).select(
-        "row", "at", "g", "n", "contents", (F.struct("row", "at") == F.col("rep")).alias("first"))
+    outer = ends.join(per_c.join(per_g, "g"), ["g", "c"]).withColumn("first", F.struct("row", "at") == F.col("rep"))
+    outer = outer.where("here = 1 or first").select("row", "at", "g", "n", "contents", "first")
     every = inner.unionAll(outer)
     ask = F.col("first") & (F.col("contents") >= 2)
     return every.select("row", "at", "g", (F.col("n") >= 2).alias("whole"), ask.alias("ask"),
