@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-
 def zero_dec() -> Column:
     """SQL's ``0.0`` is a decimal literal; using it keeps ratio results decimal."""
     return F.lit(Decimal("0.0"))
@@ -19,65 +18,12 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-# Lines whose absolute value stays below this fit a double exactly in cents.
-_EXACT_DOUBLE_LIMIT = 9.0e13
-
-
-def _decimal_type(df: DataFrame | dict, c: str):
-    return df[c] if isinstance(df, dict) else df.schema[c].dataType
-
-
-def _q(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
-def _unscaled_sql(t, c: str) -> str:
-    scale = 10 ** t.scale
-    return (f"CASE WHEN abs({_q(c)}) < {_EXACT_DOUBLE_LIMIT!r} "
-            f"THEN CAST(rint(CAST({_q(c)} AS DOUBLE) * {float(scale)!r}) AS BIGINT) "
-            f"ELSE CAST({_q(c)} * {scale} AS BIGINT) END")
-
-
-def unscaled(df: DataFrame | dict, c: str) -> Column:
-    """Unscaled integer value of a decimal column (e.g. cents of decimal(18,2)).
-
-    The usual path goes through a double (exact for |value| < 9e13 at scale 2,
-    and cheap); larger values take the exact decimal multiplication. ``df``
-    may be a DataFrame or a ``{column: DataType}`` map of its schema.
-    """
-    return F.expr(_unscaled_sql(_decimal_type(df, c), c))
-
-
-def unscaled_sum(df: DataFrame | dict, c: str) -> Column:
-    """Sum of the unscaled integer values (64-bit) of a decimal column."""
-    return F.expr(f"sum({_unscaled_sql(_decimal_type(df, c), c)})")
-
-
-def from_unscaled(c: str, precision: int, scale: int) -> Column:
-    """Decimal(precision, scale) from an integer count of 10**-scale units."""
-    unit = format(Decimal(1).scaleb(-scale), "f")
-    return F.expr(f"CAST(CAST({_q(c)} AS DECIMAL({precision},0)) * {unit}BD AS DECIMAL({precision},{scale}))")
-
-
-def exact_sum(df: DataFrame | dict, c: str) -> Column:
-    """``sum(c)`` of a decimal column with Spark's result type
-    (decimal(p + 10, s)), accumulated as a 64-bit integer of unscaled units.
-
-    Spark keeps decimal sums wider than 18 digits as BigDecimal per row; the
-    integer buffer is the same rewrite Spark applies on its own to narrow
-    decimals. An overflow of the 64-bit total raises (ANSI), it never wraps.
-    """
-    t = _decimal_type(df, c)
-    p, s = min(38, t.precision + 10), t.scale
-    unit = format(Decimal(1).scaleb(-s), "f")
-    return F.expr(f"CAST(CAST(sum({_unscaled_sql(t, c)}) AS DECIMAL({p},0)) * {unit}BD AS DECIMAL({p},{s}))")
-
-
 def sales_measures(lines: DataFrame, grain: Sequence, stock: str | None = "stock_qty") -> DataFrame:
     """Daily-sales measures of the sales lines at ``grain``.
 
     qty_sold = sum(qty) (bigint); orders = distinct order ids (bigint);
-    gross/net/discount totals rounded to 2 places (decimal); stock_avg =
+    gross/net/discount totals rounded to 2 places (decimal sums, exact over the
+    whole range of the money type); stock_avg =
     round(avg(stock), 2) over the lines (NULLs skipped); stock_final = max(stock);
     discount_pct, unit_value and avg_ticket are computed from the *unrounded*
     sums (the ticket from the rounded net total), with 0.0 / NULL / 0.0 when
@@ -88,15 +34,14 @@ def sales_measures(lines: DataFrame, grain: Sequence, stock: str | None = "stock
     second shuffle on grain. Both shuffles carry pre-aggregated rows, so a hot
     grain or a hot order does not end up as raw lines in one task.
     """
-    types = {f.name: f.dataType for f in lines.schema.fields}
     aggs = [
         F.sum("qty").alias("qty_sold"),
         F.countDistinct("order_id").alias("orders"),
-        F.round(exact_sum(types, "gross"), 2).alias("gross_total"),
-        F.round(exact_sum(types, "net"), 2).alias("net_total"),
-        F.round(exact_sum(types, "discount"), 2).alias("discount_total"),
-        exact_sum(types, "gross").alias("_sum_gross"),
-        exact_sum(types, "discount").alias("_sum_discount"),
+        F.round(F.sum("gross"), 2).alias("gross_total"),
+        F.round(F.sum("net"), 2).alias("net_total"),
+        F.round(F.sum("discount"), 2).alias("discount_total"),
+        F.sum("gross").alias("_sum_gross"),
+        F.sum("discount").alias("_sum_discount"),
     ]
     if stock:
         aggs += [F.round(F.avg(stock), 2).alias("stock_avg"), F.max(stock).alias("stock_final")]
@@ -123,7 +68,7 @@ def average_ticket(lines: DataFrame, grain: Sequence, net: str = "net", order: s
     always recomputed from the lines, never re-aggregated from a finer fact.
     """
     out = lines.groupBy(*[_c(g) for g in grain]).agg(
-        F.round(exact_sum(lines, net), 2).alias("net_total"),
+        F.round(F.sum(net), 2).alias("net_total"),
         F.countDistinct(order).alias("orders"))
     return out.withColumn("avg_ticket", F.when(
         F.col("orders") > 0, F.round(F.col("net_total") / F.col("orders"), 2)).otherwise(zero_dec()))
@@ -148,6 +93,12 @@ def dedup(df: DataFrame, keys: Sequence[str], order: Sequence | None = None) ->
     return best.select(*keys, *[F.col(f"_rf_row.{c}").alias(c) for c in others]).select(*df.columns)
 
 
+def latest_first(df: DataFrame, ts: str) -> list[Column]:
+    """A total order of a table's rows: newest ``ts`` first (if the table has it), then all other columns."""
+    newest = [-F.unix_micros(ts)] if ts in df.columns else []
+    return newest + [F.col(c) for c in df.columns if c != ts]
+
+
 def count_rows(df: DataFrame, label: str, label_col: str = "table_name", count_col: str = "row_count") -> DataFrame:
     """One labelled row-count (a global aggregate; map-side partial counts)."""
     return df.agg(F.count(F.lit(1)).alias(count_col)).select(

@@ -8,9 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.calendar import calendar_columns
-from ..operators.aggregates import (add_ratio_measures, average_ticket, dedup, from_unscaled,
-                                   sales_measures, unscaled_sum)
-from ..operators.joins import BROADCAST_MAX_ROWS, date_sequence, enrich, enrich_snapshot
+from ..operators.aggregates import add_ratio_measures, average_ticket, dedup, latest_first, sales_measures
+from ..operators.joins import BROADCAST_MAX_BYTES, date_sequence, enrich, enrich_snapshot
 from ..operators.windows import abc_curve
 from ..sources.fixtures import load_ts
 from .silver import SILVER_PRODUCTS, SILVER_STORES
@@ -23,6 +22,7 @@ FACT_STOCK = ["stock_date", "store_id", "product_id", "stock_band", "stock_qty",
 FACT_SALES_GRAIN = ["sale_date", "store_id", "product_id"]
 FACT_SALES_MEASURES = ["qty_sold", "orders", "gross_total", "net_total", "discount_total",
                        "discount_pct", "unit_value", "avg_ticket", "stock_avg", "stock_final"]
+SNAPSHOT_ROW_BYTES = 64  # day, store text, product key, quantity as a hashed row, rounded up
 STOCK_KEYS = [("sale_date", "stock_date"), ("store_id", "store_id"), ("product_id", "product_id")]
 
 
@@ -40,14 +40,25 @@ def grain_columns(grain: Sequence) -> tuple[list, list[str]]:
     return cols, names
 
 
+def _newest(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """``keys`` and ``cols`` of one row per key: the newest load, ties by the columns."""
+    ts = [c for c in ("silver_ts",) if c in df.columns]
+    rows = df.select(*keys, *cols, *ts)
+    return dedup(rows, keys, latest_first(rows, "silver_ts")).select(*keys, *cols)
+
+
+def _attributes(dim: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
+    return _newest(dim, [key], cols)
+
+
 def dim_stores(silver: DataFrame, order: Sequence | None = None, as_of=None) -> DataFrame:
-    """One row per store id (optional total order picks the survivor)."""
-    return dedup(silver, ["store_id"], order).withColumn("gold_ts", load_ts(as_of)).select(*DIM_STORES)
+    """One row per store id: the newest load, ties by all columns (or the first in ``order``)."""
+    return dedup(silver, ["store_id"], order or latest_first(silver, "silver_ts")).withColumn("gold_ts", load_ts(as_of)).select(*DIM_STORES)
 
 
 def dim_products(silver: DataFrame, order: Sequence | None = None, as_of=None) -> DataFrame:
-    """One row per product id (optional total order picks the survivor)."""
-    return dedup(silver, ["product_id"], order).withColumn("gold_ts", load_ts(as_of)).select(*DIM_PRODUCTS)
+    """One row per product id: the newest load, ties by all columns (or the first in ``order``)."""
+    return dedup(silver, ["product_id"], order or latest_first(silver, "silver_ts")).withColumn("gold_ts", load_ts(as_of)).select(*DIM_PRODUCTS)
 
 
 def dim_calendar(spark: SparkSession, start, end, locale: str = "en", as_of=None,
@@ -90,7 +101,7 @@ def fact_daily_sales(sales: DataFrame, stock: DataFrame | None = None,
       contain the three stock keys. The join input is then one row per key,
       so a hot key never reaches the join as raw lines;
     * ``"preagg"`` (any grain) groups the lines first by grain + the three
-      stock keys (integer-cent sums and line counts), joins the snapshot one
+      stock keys (sums and line counts), joins the snapshot one
       row per key, rolls up to the grain with a line-weighted stock mean, and
       counts distinct orders in a separate pre-aggregated branch joined back
       on the grain. Same result as ``"line"``, without shuffling raw lines on
@@ -104,7 +115,7 @@ def fact_daily_sales(sales: DataFrame, stock: DataFrame | None = None,
 
     ``stock_rows`` is a proven upper bound of the snapshot's row count (a
     generated snapshot knows it: stores x products x days). At most
-    ``BROADCAST_MAX_ROWS`` rows -> the snapshot is broadcast; otherwise (or
+    ``BROADCAST_MAX_BYTES`` bytes -> the snapshot is broadcast; otherwise (or
     unknown) it is sort-merge joined, never broadcast on an estimate.
     """
     grain_cols, keys = grain_columns(grain)
@@ -114,20 +125,19 @@ def fact_daily_sales(sales: DataFrame, stock: DataFrame | None = None,
     if products is not None:
         want = [c for c in products.columns if c in names and c not in lines.columns]
         if want:
-            lines = enrich(lines, dedup(products.select("product_id", *want), ["product_id"]), "product_id")
+            lines = enrich(lines, _attributes(products, "product_id", want), "product_id")
     if stores is not None:
         want = [c for c in stores.columns if c in names and c not in lines.columns]
         if want:
-            lines = enrich(lines, dedup(stores.select("store_id", *want), ["store_id"]), "store_id")
+            lines = enrich(lines, _attributes(stores, "store_id", want), "store_id")
 
     if stock is None:
         fact = sales_measures(lines, grain_cols, stock=None).withColumns({
             "stock_avg": F.lit(None).cast("double"), "stock_final": F.lit(None).cast("int")})
     else:
-        snap = dedup(stock.select("stock_date", "store_id", "product_id", "stock_qty"),
-                     ["stock_date", "store_id", "product_id"])
+        snap = _newest(stock, ["stock_date", "store_id", "product_id"], ["stock_qty"])
         grain_has_keys = all(k in names for k, _ in STOCK_KEYS)
-        strategy = "broadcast" if stock_rows is not None and stock_rows <= BROADCAST_MAX_ROWS else "merge"
+        strategy = "broadcast" if stock_rows is not None and stock_rows * SNAPSHOT_ROW_BYTES <= BROADCAST_MAX_BYTES else "merge"
         if stock_join == "auto":
             mode = "grain" if grain_has_keys else ("line" if strategy == "broadcast" else "preagg")
         else:
@@ -154,20 +164,20 @@ def _preaggregated_measures(lines: DataFrame, grain_cols: list, keys: list[str],
                             strategy: str) -> DataFrame:
     """Sales measures at a grain with a line-weighted snapshot, computed from
     pre-aggregated rows only (see ``fact_daily_sales``, mode "preagg")."""
-    types = {f.name: f.dataType for f in lines.schema.fields}
+    # a sum of sums keeps the type of the sum
+    money = {out: lines.select(F.sum(c).alias("s")).schema["s"].dataType
+             for out, c in (("_gross", "gross"), ("_net", "net"), ("_disc", "discount"))}
     stock_keys = [k for k, _ in STOCK_KEYS]
     extra = [F.col(k) for k in stock_keys if k not in keys]
     per_key = lines.groupBy(*grain_cols, *extra).agg(
         F.sum("qty").alias("_qty"),
-        unscaled_sum(types, "gross").alias("_gross_c"),
-        unscaled_sum(types, "net").alias("_net_c"),
-        unscaled_sum(types, "discount").alias("_disc_c"),
+        F.sum("gross").alias("_gross"), F.sum("net").alias("_net"), F.sum("discount").alias("_disc"),
         F.count(F.lit(1)).alias("_lines"))
     per_key = enrich_snapshot(per_key, snap, STOCK_KEYS, ["stock_qty"], strategy=strategy)
     with_stock = F.col("stock_qty").isNotNull()
     rolled = per_key.groupBy(*keys).agg(
         F.sum("_qty").alias("qty_sold"),
-        F.sum("_gross_c").alias("_gross_c"), F.sum("_net_c").alias("_net_c"), F.sum("_disc_c").alias("_disc_c"),
+        *[F.sum(c).cast(t).alias(c) for c, t in money.items()],
         F.sum(F.when(with_stock, F.col("stock_qty").cast("bigint") * F.col("_lines"))).alias("_stock_w"),
         F.sum(F.when(with_stock, F.col("_lines"))).alias("_stock_n"),
         F.max("stock_qty").alias("stock_final"))
@@ -178,14 +188,11 @@ def _preaggregated_measures(lines: DataFrame, grain_cols: list, keys: list[str],
     for i, k in enumerate(keys):
         t = rolled[k].eqNullSafe(orders[f"_o_{i}"])
         cond = t if cond is None else cond & t
-    g, n, d = (types[c] for c in ("gross", "net", "discount"))
     out = rolled.join(orders, cond, "inner").select(
         *[rolled[k] for k in keys], "qty_sold", "orders",
-        F.round(from_unscaled("_gross_c", g.precision + 10, g.scale), 2).alias("gross_total"),
-        F.round(from_unscaled("_net_c", n.precision + 10, n.scale), 2).alias("net_total"),
-        F.round(from_unscaled("_disc_c", d.precision + 10, d.scale), 2).alias("discount_total"),
-        from_unscaled("_gross_c", g.precision + 10, g.scale).alias("_sum_gross"),
-        from_unscaled("_disc_c", d.precision + 10, d.scale).alias("_sum_discount"),
+        F.round("_gross", 2).alias("gross_total"), F.round("_net", 2).alias("net_total"),
+        F.round("_disc", 2).alias("discount_total"),
+        F.col("_gross").alias("_sum_gross"), F.col("_disc").alias("_sum_discount"),
         F.round(F.col("_stock_w") / F.col("_stock_n"), 2).alias("stock_avg"),
         "stock_final")
     return add_ratio_measures(out).drop("_sum_gross", "_sum_discount")
@@ -200,11 +207,11 @@ def ticket_report(sales: DataFrame, grain: Sequence, products: DataFrame | None
     if products is not None:
         want = [c for c in products.columns if c in names and c not in lines.columns]
         if want:
-            lines = enrich(lines, dedup(products.select("product_id", *want), ["product_id"]), "product_id")
+            lines = enrich(lines, _attributes(products, "product_id", want), "product_id")
     if stores is not None:
         want = [c for c in stores.columns if c in names and c not in lines.columns]
         if want:
-            lines = enrich(lines, dedup(stores.select("store_id", *want), ["store_id"]), "store_id")
+            lines = enrich(lines, _attributes(stores, "store_id", want), "store_id")
     return average_ticket(lines, grain_cols)
 
 

@@ -32,17 +32,27 @@ def test_ratios_are_exact_half_up(spark, rows):
         assert r.unit == exp_unit
 
 
-@settings(max_examples=5, deadline=None)
-@given(st.lists(st.tuples(st.integers(0, 3), cents), min_size=1, max_size=60))
-def test_exact_sum_equals_decimal_sum(spark, rows):
-    data = [(g, Decimal(c).scaleb(-2)) for g, c in rows]
-    df = spark.createDataFrame(data, "g int, v decimal(18,2)")
-    got = {r.g: r.s for r in df.groupBy("g").agg(A.exact_sum(df, "v").alias("s")).collect()}
+whole_range = st.one_of(st.integers(-(10**18) + 1, 10**18 - 1), st.integers(35 * 10**14, 9 * 10**15),
+                        st.sampled_from([4049943105248009, 10**18 - 1, 9 * 10**17]))
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 2), whole_range), min_size=1, max_size=40), st.booleans())
+def test_sums_are_exact_over_the_whole_money_range(spark, rows, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", str(ansi).lower())
+    try:
+        lines = spark.createDataFrame([(g, i, 1, Decimal(c).scaleb(-2)) for i, (g, c) in enumerate(rows)],
+                                      "g int, order_id int, qty int, net decimal(18,2)")
+        lines = lines.selectExpr("g", "order_id", "qty", "CAST(net AS DECIMAL(19,2)) AS gross", "net",
+                                 "CAST(0 AS DECIMAL(18,2)) AS discount")
+        got = {r.g: (r.net_total, r.gross_total) for r in A.sales_measures(lines, ["g"], stock=None).collect()}
+        ticket = {r.g: r.net_total for r in A.average_ticket(lines, ["g"]).collect()}
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
     exp = {}
-    for g, v in data:
-        exp[g] = exp.get(g, Decimal(0)) + v
-    assert got == exp
-    assert dict(df.groupBy("g").agg(A.exact_sum(df, "v").alias("s")).dtypes)["s"] == "decimal(28,2)"
+    for g, c in rows:
+        exp[g] = exp.get(g, Decimal(0)) + Decimal(c).scaleb(-2)
+    assert {g: n for g, (n, _) in got.items()} == {g: x for g, (_, x) in got.items()} == ticket == exp
 
 
 @settings(max_examples=5, deadline=None)
