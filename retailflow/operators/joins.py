@@ -7,33 +7,23 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Dimensions up to this many rows are broadcast; larger ones are shuffled
-# (sort-merge, or a broadcast chosen by AQE from the real shuffle size).
-BROADCAST_MAX_ROWS = 2_000_000
+# A side whose size is known exactly (a generated snapshot) is broadcast up to this many bytes.
+BROADCAST_MAX_BYTES = 64 << 20
+# Ranks that a large share of all draws match; this many rows are broadcast.
+HOT_RANKS = 1024
+# Longest array that a candidate row is exploded from.
+RANK_BLOCK = 4096
 
 
-def bounded_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    Counts at most ``max_rows + 1`` rows, so the check costs no more than
-    the bound itself even for a huge input.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only behind a size check; otherwise leave the join to
-    the planner (shuffle join, or AQE's runtime broadcast when it proves small)."""
-    return F.broadcast(df) if bounded_rows(df, max_rows) else df
-
-
-def enrich(fact: DataFrame, dim: DataFrame, key: str | Sequence[str], how: str = "left",
-           broadcast_max_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
+def enrich(fact: DataFrame, dim: DataFrame, key: str | Sequence[str], how: str = "left") -> DataFrame:
     """Left equi join USING ``key``: one key column in the output, NULL
     attributes for unmatched facts. Duplicate dimension keys multiply fact
-    rows, so pass a deduplicated dimension (see ``dedup``)."""
-    side = sized_broadcast(dim, broadcast_max_rows) if broadcast_max_rows else dim
-    return fact.join(side, key if isinstance(key, str) else list(key), how)
+    rows, so pass a deduplicated dimension (see ``dedup``).
+
+    No hint: the planner broadcasts a dimension whose size is under its own
+    threshold (AQE again at run time, from the real size); a larger one is
+    shuffled, and AQE splits a hot key of the fact."""
+    return fact.join(dim, key if isinstance(key, str) else list(key), how)
 
 
 def enrich_snapshot(fact: DataFrame, snap: DataFrame, on: Sequence[tuple[str, str]],
@@ -95,9 +85,9 @@ def bounded_values(df: DataFrame, c: str, max_rows: int) -> list:
 
 def prefix_threshold_join(items: DataFrame, u: str, ranked: DataFrame, rank: str, weight: str,
                           factor: float, n_ranked: int, exponent: float, norm: float,
-                          broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                          hot_ranks: int = HOT_RANKS) -> DataFrame:
     """Theta join ``u < weight * factor`` against a table whose weights fall
-    with rank (``weight = rank**-exponent / norm``).
+    with rank (``weight = rank**-exponent / norm``; the caller checks that).
 
     The match set of a draw is a rank prefix, so instead of comparing every
     item with every product the candidate ranks ``1 .. r(u)`` are generated
@@ -105,16 +95,31 @@ def prefix_threshold_join(items: DataFrame, u: str, ranked: DataFrame, rank: str
     on rank, and the exact predicate is applied to each candidate. The output
     is row-for-row the theta join; the work is proportional to the output.
 
-    The ranked table is broadcast only when it has at most
-    ``broadcast_max_rows`` rows (``n_ranked`` is its row count); a larger one
-    is joined by a shuffle on rank, where AQE splits the hot low ranks that
-    almost every draw matches.
+    Low ranks are matched by a large share of all draws: the first
+    ``hot_ranks`` rows are broadcast (a fixed number of rows), so no task
+    gathers them. Candidates beyond are spread over many ranks and are joined
+    as the planner sees fit. Candidates are exploded in blocks of at most
+    ``RANK_BLOCK`` ranks, so no row holds an array as long as the catalogue.
     """
     est = F.floor(F.pow(F.lit(factor) / (F.col(u) * F.lit(norm)), F.lit(1.0 / exponent)))
-    top = F.when(F.col(u) <= F.lit(0.0), F.lit(n_ranked)).otherwise(
+    top = F.when(F.col(u) <= F.lit(0.0), F.lit(n_ranked).cast("bigint")).otherwise(
         F.least(F.lit(n_ranked).cast("bigint"), est.cast("bigint") + F.lit(2)))
-    cands = items.withColumn("_rf_top", top).where(F.col("_rf_top") >= 1)
-    cands = cands.withColumn(rank, F.explode(F.sequence(F.lit(1), F.col("_rf_top").cast("int"))))
-    side = F.broadcast(ranked) if n_ranked <= broadcast_max_rows else ranked
-    joined = cands.join(side, rank, "inner")
-    return joined.where(F.col(u) < F.col(weight) * F.lit(factor)).drop("_rf_top")
+    tops = items.withColumn("_rf_top", top).where(F.col("_rf_top") >= 1)
+    kind = ranked.schema[rank].dataType.simpleString()
+
+    def candidates(lo: Column, hi: Column) -> DataFrame:
+        blocks = tops.withColumns({"_rf_lo": lo, "_rf_hi": hi}).where(F.col("_rf_lo") <= F.col("_rf_hi"))
+        blocks = blocks.withColumn("_rf_block", F.explode(F.sequence(
+            F.lit(0).cast("bigint"), F.floor((F.col("_rf_hi") - F.col("_rf_lo")) / F.lit(RANK_BLOCK)))))
+        start = F.col("_rf_lo") + F.col("_rf_block") * F.lit(RANK_BLOCK)
+        stop = F.least(F.col("_rf_hi"), start + F.lit(RANK_BLOCK - 1))
+        return blocks.withColumn(rank, F.explode(F.sequence(start, stop).cast(f"array<{kind}>"))) \
+            .drop("_rf_lo", "_rf_hi", "_rf_block", "_rf_top")
+
+    one, hot = F.lit(1).cast("bigint"), F.lit(hot_ranks).cast("bigint")
+    out = candidates(one, F.least(F.col("_rf_top"), hot)).join(
+        F.broadcast(ranked.where(F.col(rank) <= hot_ranks)), rank, "inner")
+    if n_ranked > hot_ranks:
+        out = out.unionByName(candidates(hot + 1, F.col("_rf_top")).join(
+            ranked.where(F.col(rank) > hot_ranks), rank, "inner"))
+    return out.where(F.col(u) < F.col(weight) * F.lit(factor))

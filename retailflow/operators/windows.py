@@ -62,10 +62,16 @@ def row_number_by(df: DataFrame, order: Sequence, within: Sequence[str] = (),
         cond = cond & tagged[w].eqNullSafe(slices[f"_rf_w{i}"])
     numbered = tagged.join(slices, cond, "inner")
     return numbered.withColumn(
-        out, (F.col("_rf_pos") - F.col("_rf_first") + F.col("_rf_off") + F.lit(1)).cast("int")
+        out, _checked_int(F.col("_rf_pos") - F.col("_rf_first") + F.col("_rf_off") + F.lit(1))
     ).drop("_rf_pid", "_rf_pos", "_rf_first", "_rf_off", "_rf_spid", *[f"_rf_w{i}" for i in range(len(within))])
 
 
+def _checked_int(position: Column) -> Column:
+    """The declared 32-bit column from a 64-bit position; beyond its range the job fails, it never wraps."""
+    return F.when(position <= F.lit(2147483647), position.cast("int")).otherwise(
+        F.raise_error(F.lit("row number beyond 32 bits")).cast("int"))
+
+
 def _materialize(tagged: DataFrame) -> DataFrame:
     """Write the sorted, tagged rows once to the checkpoint folder.
 
@@ -93,7 +99,7 @@ def share_of_total(df: DataFrame, value, out: str) -> DataFrame:
     """``value / sum(value) over ()``. The total is one distributed aggregate
     brought back as a scalar, so no task ever holds the whole table."""
     total = column_total(df, value)
-    return df.withColumn(out, _sort_col(value) / F.lit(total))
+    return df.withColumn(out, _sort_col(value) / F.lit(total).cast("double"))  # no rows: no total
 
 
 def abc_curve(df: DataFrame, item: str, value: str, cuts: tuple[float, float] = (0.80, 0.95),
@@ -117,7 +123,8 @@ def abc_curve(df: DataFrame, item: str, value: str, cuts: tuple[float, float] =
     slices = tagged.groupBy("_rf_pid").agg(F.sum(value).alias("_rf_slice"))
     before = Window.orderBy("_rf_pid").rowsBetween(Window.unboundedPreceding, -1)
     slices = slices.withColumn("_rf_off", F.coalesce(F.sum("_rf_slice").over(before), F.lit(0)))
-    total = column_total(tagged, value)  # from the materialised rows, not a recomputation
+    # from the materialised rows, not a recomputation; an empty table has no total and no classes
+    total = column_total(tagged, value) or Decimal(0)
     cum = F.col("_rf_off") + F.col("_rf_run")
     prior = cum - F.col(value)
     res = (tagged.join(F.broadcast(slices.select("_rf_pid", "_rf_off")), "_rf_pid")

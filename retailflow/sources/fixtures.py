@@ -164,20 +164,22 @@ def sales_date_range(sales: DataFrame, date_col: str = "sale_date") -> tuple[_dt
 
 
 def calendar_range(sales: DataFrame, date_col: str = "sale_date") -> tuple[_dt.date, _dt.date]:
-    """Whole years covering the sales: Jan 1 of the first year .. Dec 31 of the last."""
+    """Whole years covering the sales: Jan 1 of the first year .. Dec 31 of the last (no sales: no days)."""
     lo, hi = sales_date_range(sales, date_col)
+    if lo is None:
+        return None, None
     return _dt.date(lo.year, 1, 1), _dt.date(hi.year, 12, 31)
 
 
 def stock_row_bound(top_ids: list, n_stores: int, start, end) -> int:
     """Exact row count of ``bronze_stock`` (stores x products x days)."""
-    return len(top_ids) * n_stores * ((end - start).days + 1)
+    return len(top_ids) * n_stores * ((end - start).days + 1) if start else 0
 
 
 def bronze_stock(top_ids: list, stores: DataFrame, start, end,
                  num_partitions: int | None = None) -> DataFrame:
     """Stock snapshots: (day, product_id, store_id, stock_qty) for every store,
-    every product of ``top_ids`` (the ids with rank <= 40, see
+    every product of ``top_ids`` (the ids with rank <= 40, numbers or text, see
     ``top_product_ids``) and every day in [start, end].
 
     Built with generators instead of a cross join: each store row explodes the
@@ -189,10 +191,11 @@ def bronze_stock(top_ids: list, stores: DataFrame, start, end,
     spark = stores.sparkSession
     # the pair list is tiny before the day explode: spread it over all cores
     n = num_partitions or spark.sparkContext.defaultParallelism
-    if not top_ids:
+    kind = "string" if top_ids and isinstance(top_ids[0], str) else "bigint"
+    if not top_ids or start is None:
         return stores.select(F.lit(None).cast("date").alias("day"), F.lit(None).cast("bigint").alias("product_id"),
                              "store_id", F.lit(None).cast("int").alias("stock_qty")).limit(0)
-    grid = explode_values(stores.select("store_id"), top_ids, "product_id", "bigint")
+    grid = explode_values(stores.select("store_id"), top_ids, "product_id", kind)
     grid = explode_dates(grid.repartition(n, "store_id", "product_id"), start, end, "day")
     qty = (F.lit(STOCK_BASE) + keyed_int("product_id", "store_id", "day",
                                          salt=STOCK_SALT, modulus=STOCK_SPREAD)).cast("int")

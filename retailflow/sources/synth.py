@@ -17,6 +17,8 @@ Generator chain for sales lines:
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +34,10 @@ from ..fixed import (BASKET_MAX, BRANDS, CATEGORIES, CITIES, DISC_LOW, DISC_P,
                      TX_PER_DAY, TX_WIDTH, U_RESOLUTION, ZIPF_S)
 
 
+# Orders that one row is exploded to.
+ORDER_BLOCK = 1_000
+
+
 def _pick(values, idx):
     """``values[idx]`` through a literal map (missing key -> NULL)."""
     m = F.create_map(*[x for i, v in enumerate(values) for x in (F.lit(i), F.lit(v))])
@@ -43,11 +49,14 @@ def int_series(spark: SparkSession, lo: int, hi: int, name: str = "n") -> DataFr
     return spark.range(lo, hi + 1).select(F.col("id").cast("int").alias(name))
 
 
-def zipf_products(spark: SparkSession, n: int = N_PRODUCTS, s: float = ZIPF_S, salt: str = "price") -> DataFrame:
-    """Products 1..n: id ``P0001``, sku, name, category (p mod 6), brand (p mod 4),
-    list price 5 + p mod 20 + U*10, rank = p, weight = p**-s / sum(p**-s)."""
+def zipf_products(spark: SparkSession, n: int = N_PRODUCTS, s: float = ZIPF_S, salt: str = "price",
+                  numbers: DataFrame | None = None) -> DataFrame:
+    """Products p = 1..n: id ``P0001``, sku, name, category (p mod 6), brand (p mod 4),
+    list price 5 + p mod 20 + U*10, rank = p, weight = p**-s / sum(p**-s).
+
+    ``numbers`` (one positive int column ``p``) gives the products instead of 1..n."""
     p = F.col("p")
-    base = int_series(spark, 1, n, "p").select(
+    base = (int_series(spark, 1, n, "p") if numbers is None else numbers).select(
         p.alias("rank"),
         padded_id("P", p, 4).alias("product_id"),
         padded_id("SKU-", p, 4).alias("sku"),
@@ -58,14 +67,14 @@ def zipf_products(spark: SparkSession, n: int = N_PRODUCTS, s: float = ZIPF_S, s
         F.pow(F.lit(1.0) / p, F.lit(float(s))).alias("_w"),
     )
     total = column_total(base, "_w")
-    return base.withColumn("weight", F.col("_w") / F.lit(total)).drop("_w")
+    return base.withColumn("weight", F.col("_w") / F.lit(total).cast("double")).drop("_w")
 
 
-def synthetic_stores(spark: SparkSession, n: int = N_STORES) -> DataFrame:
-    """Stores 1..n: id as text, name, city by ((i - 1) mod 6) + 1, state."""
+def synthetic_stores(spark: SparkSession, n: int = N_STORES, numbers: DataFrame | None = None) -> DataFrame:
+    """Stores i = 1..n (or the column ``i`` of ``numbers``): id as text, name, city by ((i - 1) mod 6) + 1, state."""
     i = F.col("i")
     cities = F.create_map(*[x for k, c in enumerate(CITIES, start=1) for x in (F.lit(k), F.lit(c))])
-    return int_series(spark, 1, n, "i").select(
+    return (int_series(spark, 1, n, "i") if numbers is None else numbers).select(
         i.cast("string").alias("store_id"),
         F.concat(F.lit("Loja "), i.cast("string")).alias("name"),
         F.element_at(cities, (i - 1) % len(CITIES) + 1).alias("city"),
@@ -73,13 +82,6 @@ def synthetic_stores(spark: SparkSession, n: int = N_STORES) -> DataFrame:
     )
 
 
-def season_calendar(spark: SparkSession, start, end) -> DataFrame:
-    """Days in [start, end] with the weekly season factor (Sunday = 1.0)."""
-    days = spark.range(1).select(F.explode(date_sequence(F.lit(start).cast("date"),
-                                                         F.lit(end).cast("date"))).alias("day"))
-    return days.withColumn("season", season_factor("day", SEASON_AMPLITUDE))
-
-
 def transaction_grid(stores: DataFrame, start, end, tx_per_day: float = TX_PER_DAY,
                      divisor: float = TX_DIVISOR, num_partitions: int | None = None) -> DataFrame:
     """(day, store_id, tx): transactions per day and store =
@@ -102,8 +104,17 @@ def transaction_grid(stores: DataFrame, start, end, tx_per_day: float = TX_PER_D
 
 
 def explode_transactions(grid: DataFrame) -> DataFrame:
-    """One row per transaction: local order number 1..tx."""
-    return grid.select("day", "store_id", F.explode(F.sequence(F.lit(1), F.col("tx"))).alias("local_order"))
+    """One row per transaction: local order number 1..tx.
+
+    Each day and store is first cut into blocks of orders, which are spread
+    over the tasks: a day-store with many orders is no single task's work.
+    """
+    blocks = grid.select("day", "store_id", "tx", F.explode(F.sequence(
+        F.lit(0), F.floor((F.col("tx") - 1) / F.lit(ORDER_BLOCK)).cast("int"))).alias("block"))
+    blocks = blocks.repartition(grid.sparkSession.sparkContext.defaultParallelism, "day", "store_id", "block")
+    first = F.col("block") * F.lit(ORDER_BLOCK) + 1
+    last = F.least(F.col("tx"), first + F.lit(ORDER_BLOCK - 1))
+    return blocks.select("day", "store_id", F.explode(F.sequence(first, last)).alias("local_order"))
 
 
 def basket_size(tx: DataFrame) -> DataFrame:
@@ -125,19 +136,30 @@ def explode_items(tx: DataFrame) -> DataFrame:
     return items.withColumn("u", u).drop("pos")
 
 
-def pick_products(items: DataFrame, products: DataFrame, factor: float = PICK_FACTOR,
-                  s: float = ZIPF_S) -> DataFrame:
+def pick_products(items: DataFrame, products: DataFrame, factor: float = PICK_FACTOR) -> DataFrame:
     """Each item draw matches every product with ``u < weight * factor``.
 
     Not weighted sampling: with weights falling in rank, a draw yields the
     rank prefix 1..r(u) (no product for u >= factor * w1, all of them near
-    u = 0). Executed as the prefix rewrite of the theta join.
+    u = 0). Executed as the prefix rewrite of the theta join, which needs
+    weights of the form ``rank ** -s / norm``: s and norm are read from the
+    weights of ranks 1 and 2, and weights of another form are refused.
+    An empty product table matches nothing.
     """
     ranked = products.select("rank", "product_id", "list_price", "weight")
-    n = ranked.count()
-    # weight = rank**-s / norm, so norm = 1 / weight of rank 1
-    w1 = ranked.where(F.col("rank") == 1).select("weight").first()["weight"]
-    return prefix_threshold_join(items, "u", ranked, "rank", "weight", factor, n, s, 1.0 / w1)
+
+    def weight_at(k: int):
+        return F.max(F.when(F.col("rank") == k, F.col("weight")))
+
+    row = ranked.agg(F.count(F.lit(1)).alias("n"), weight_at(1).alias("w1"), weight_at(2).alias("w2")).first()
+    if not row["n"]:
+        return items.join(ranked, F.lit(False))
+    s = math.log2(row["w1"] / row["w2"]) if row["w2"] else 1.0
+    off = F.abs(F.col("weight") * F.pow(F.col("rank"), F.lit(s)) / F.lit(row["w1"] or 0.0) - 1)
+    worst = ranked.agg(F.max(off), F.max("rank")).first() if row["w1"] and s > 0 else None
+    if worst is None or worst[0] > 1e-6 or worst[1] != row["n"]:
+        raise ValueError("weights are not rank ** -s / norm over ranks 1..n")
+    return prefix_threshold_join(items, "u", ranked, "rank", "weight", factor, row["n"], s, 1.0 / row["w1"])
 
 
 def price_lines(lines: DataFrame) -> DataFrame:
