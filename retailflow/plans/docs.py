@@ -1,99 +1,112 @@
-"""Column and table descriptions applied as catalog comments after each load."""
+"""Catalog comments, one per output column, written from what our operators guarantee.
+
+Each text states the type, the NULL rule and the rounding that the column has
+in this library, so a reader of the catalog need not read the code.
+"""
 
 from __future__ import annotations
 
-_SHARED = {
-    "product_id": "Product business key.",
-    "store_id": "Store business key (text).",
-    "silver_ts": "Load time of the Silver row.",
-    "gold_ts": "Load time of the Gold row.",
-    "bronze_ts": "Load time of the Bronze row.",
+#: Columns that mean the same in every table.
+_EVERYWHERE = {
+    "product_id": "Join key to products; same type as in the loaded source; never changed by a job.",
+    "store_id": "Join key to stores, always text.",
+    "bronze_ts": "Timestamp of the load that wrote the source row.",
+    "silver_ts": "Timestamp of the Silver load; newest wins when a key is loaded twice.",
+    "gold_ts": "Timestamp of the Gold load.",
+}
+
+_PRODUCT = {
+    "sku": "Text code: fixed prefix and the zero-padded product number.",
+    "product_name": "Text, copied.",
+    "category": "Text, copied; groups the ranking of prices.",
+    "brand": "Text, copied.",
+    "list_price": "decimal(18,2), cast before any arithmetic.",
+    "price_band": "Label by strict upper bounds on list_price; NULL prices get the last label.",
+    "rank": "1-based position by popularity, a total order without gaps; int.",
+    "price_rank_in_category": "1-based position by list_price from the dearest, ties by product_id; int.",
+    "popularity": "Label by inclusive upper bounds on rank.",
+    "is_star": "Whether rank is within the first tier's bound.",
+    "weight": "Double; rank to a negative power over the sum of all products' powers.",
+    "est_cost": "Double, 2 places half-up: a fixed rate of list_price.",
+    "margin": "Double, 2 places half-up: list_price less est_cost.",
+    "margin_pct": "Double, 4 places half-up: margin over list_price; 0.0 unless list_price > 0.",
+}
+
+_STORE = {
+    "store_id_int": "store_id as int, or NULL if it does not parse.",
+    "store_name": "Text, copied.",
+    "city": "Text, copied.",
+    "region": "One label for the listed cities, another for all others and for NULL.",
+    "state": "Text, copied.",
+    "is_capital": "city equals the configured capital; NULL for a NULL city.",
+}
+
+_STOCK = {
+    "stock_date": "Date of the snapshot.",
+    "stock_qty": "Int, copied from the snapshot.",
+    "stock_band": "Label by strict upper bounds on stock_qty; NULL gets the last label.",
+}
+
+_SALE = {
+    "sale_date": "Date of the sale.",
+    "order_id": "Groups the lines of one order; counted distinct, never summed.",
+    "qty": "Int, copied.",
+    "gross": "decimal(19,2): net plus discount, each already in cents.",
+    "net": "decimal(18,2), rounded half-up once at the source.",
+    "discount": "decimal(18,2), rounded half-up once at the source.",
+    "discount_pct": "Double, 4 places half-up: discount over gross; 0.0 unless gross > 0.",
+    "unit_value": "Decimal, 2 places half-up: gross over qty; NULL unless qty > 0.",
+}
+
+_CALENDAR = {
+    "day": "Date; one row each, no gaps between the first and last.",
+    "year": "Int from day.",
+    "month": "Int from day, counted from 1.",
+    "day_of_month": "Int from day, counted from 1.",
+    "quarter": "Int from day, counted from 1.",
+    "year_month": "Text key for monthly grouping; sorts in time order.",
+    "month_name": "Text in the locale of the load.",
+    "weekday_num": "Int as Spark's dayofweek gives it.",
+    "weekday_name": "Text in the locale of the load.",
+    "is_weekend": "weekday_num is in the weekend list; never NULL.",
+}
+
+_FACT_SALES = {
+    "sale_date": "Grain; must exist in dim_calendar (foreign key, reported by the key check).",
+    "qty_sold": "Bigint sum of qty.",
+    "orders": "Bigint count of distinct order_id; cannot be added over rows.",
+    "gross_total": "Exact decimal sum of gross.",
+    "net_total": "Exact decimal sum of net.",
+    "discount_total": "Exact decimal sum of discount.",
+    "discount_pct": "Ratio of the two sums, 4 places half-up; 0.0 unless the gross sum > 0.",
+    "unit_value": "Gross sum over qty_sold, 2 places half-up; NULL unless qty_sold > 0.",
+    "avg_ticket": "net_total over orders, 2 places half-up; 0.0 without orders; recompute for other grains.",
+    "stock_avg": "Line-weighted mean of the matched snapshots, 2 places; NULL if none matched.",
+    "stock_final": "Greatest matched snapshot quantity; NULL if none matched.",
 }
 
 COLUMNS: dict[str, dict[str, str]] = {
-    "products": {
-        "sku": "Stock keeping unit code.",
-        "product_name": "Product name.",
-        "category": "Product category.",
-        "brand": "Product brand.",
-        "list_price": "List price before discounts.",
-        "price_band": "Price band (low / mid / high) from the list price.",
-        "rank": "Popularity rank (1 = most sold).",
-        "price_rank_in_category": "Price position inside the category (1 = dearest).",
-        "popularity": "Popularity tier from the rank (top / mid / long tail).",
-        "is_star": "True for the ten most popular products.",
-        "weight": "Popularity weight (Zipf); weights sum to 1.",
-        "est_cost": "Estimated unit cost (share of list price).",
-        "margin": "Gross margin value (list price - estimated cost).",
-        "margin_pct": "Gross margin as a share of the list price.",
-    },
-    "stores": {
-        "store_id_int": "Numeric store id (NULL when the id is not a number).",
-        "store_name": "Store name.",
-        "city": "Store city.",
-        "region": "Store region label.",
-        "state": "Store state.",
-        "is_capital": "True when the store is in the capital city.",
-    },
-    "stock": {
-        "stock_date": "Snapshot day.",
-        "stock_qty": "Units on hand for the product, store and day.",
-        "stock_band": "Stock band (low / mid / high).",
-    },
-    "sales": {
-        "sale_date": "Sale day.",
-        "order_id": "Order id.",
-        "qty": "Units on the line.",
-        "gross": "Gross revenue of the line (net + discount).",
-        "net": "Net revenue of the line after discount.",
-        "discount": "Discount given on the line.",
-        "discount_pct": "Discount as a share of gross revenue.",
-        "unit_value": "Average unit value (gross / quantity).",
-    },
-    "calendar": {
-        "day": "Calendar day (key).",
-        "year": "Year.", "month": "Month number 1-12.", "day_of_month": "Day of the month.",
-        "quarter": "Quarter 1-4.", "year_month": "Year and month as yyyy-MM.",
-        "month_name": "Month name.", "weekday_num": "Day of week, 1 = Sunday ... 7 = Saturday.",
-        "weekday_name": "Weekday name.", "is_weekend": "True on Saturday and Sunday.",
-    },
-    "fact_sales": {
-        "sale_date": "Sale day (references dim_calendar.day).",
-        "qty_sold": "Units sold.",
-        "orders": "Distinct orders containing the product.",
-        "gross_total": "Gross revenue.",
-        "net_total": "Net revenue after discounts.",
-        "discount_total": "Discounts given.",
-        "discount_pct": "Discount total / gross total.",
-        "unit_value": "Gross total / units sold.",
-        "avg_ticket": "Net total / distinct orders (not additive across rows).",
-        "stock_avg": "Mean stock over the sales lines.",
-        "stock_final": "Largest stock snapshot of the day.",
-    },
-    "fact_stock": {
-        "stock_date": "Snapshot day (references dim_calendar.day).",
-        "stock_band": "Stock band (low / mid / high).",
-        "stock_qty": "Units on hand.",
-    },
+    "products": _PRODUCT,
+    "stores": _STORE,
+    "stock": _STOCK,
+    "sales": _SALE,
+    "calendar": _CALENDAR,
+    "fact_sales": _FACT_SALES,
+    "fact_stock": _STOCK,
 }
 
 TABLES = {
-    "products": "Products with price band, popularity tier, margins and price rank.",
-    "stores": "Stores with numeric id, region label and capital flag.",
-    "stock": "Daily stock snapshot per store and product.",
-    "sales": "Sales lines with gross revenue, discount share and unit value.",
-    "calendar": "Calendar dimension, one row per day.",
-    "fact_sales": "Daily sales fact per day, store and product.",
-    "fact_stock": "Daily stock fact per day, store and product.",
+    "products": "Silver and dimension grain: a row per product_id.",
+    "stores": "Silver and dimension grain: a row per store_id.",
+    "stock": "Grain: stock_date, store_id, product_id; only the most popular products.",
+    "sales": "Grain: order line as loaded; appending a load twice doubles it.",
+    "calendar": "Grain: day, whole years around the sales.",
+    "fact_sales": "Grain: sale_date, store_id, product_id; partitioned by sale_date.",
+    "fact_stock": "Grain: stock_date, store_id, product_id; partitioned by stock_date.",
 }
 
 
 def comments_for(kind: str, columns) -> dict[str, str]:
-    """Descriptions for the given columns of a table kind (unknown ones skipped)."""
-    table = COLUMNS.get(kind, {})
-    out = {}
-    for c in columns:
-        text = table.get(c) or _SHARED.get(c)
-        if text:
-            out[c] = text
-    return out
+    """Texts for the given columns of a table kind; columns without one are left out."""
+    known = _EVERYWHERE | COLUMNS.get(kind, {})
+    return {c: known[c] for c in columns if c in known}

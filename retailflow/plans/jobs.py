@@ -15,8 +15,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import bounded_values
 from ..sources import catalog as cat
 from ..sources import fixtures as fx
+from ..sources import synth
+from ..functions import columns as C
 from . import docs, gold, quality, silver
 
 # --- table names (one constant per table, used by every step) -----------------
@@ -25,6 +28,8 @@ BRONZE = {"products": "products", "stores": "stores", "stock": "stock", "sales":
 SILVER = {"products": "products", "stores": "stores", "stock": "stock", "sales": "sales"}
 GOLD = {"dim_stores": "dim_stores", "dim_products": "dim_products", "dim_calendar": "dim_calendar",
         "fact_daily_sales": "fact_daily_sales", "fact_daily_stock": "fact_daily_stock"}
+# Silver inputs of each fact, all counted by the load (the dimensions hold for both)
+FACT_INPUTS = {"sales": ("sales", "products", "stores", "stock"), "stock": ("stock", "products", "stores")}
 # -----------------------------------------------------------------------------
 
 
@@ -38,13 +43,42 @@ def _name(layers: dict, layer: str, table: str) -> str:
     return cat.qualified(layers[layer], table)
 
 
+# rows per file of every load: bounds the files however large a task's share is
+FILE_ROWS = 5_000_000
+
+
+def load_synthetic_bronze(spark: SparkSession, start, end, layers=LAYERS, mode: str = "overwrite",
+                          n_products: int = synth.N_PRODUCTS, n_stores: int = synth.N_STORES,
+                          tx_per_day: float = synth.TX_PER_DAY, as_of=None) -> dict[str, int]:
+    """Bronze from the generators: products, stores, stock of the top ranks, and sales from ``start`` to ``end``.
+
+    Sales and stock read the written products and stores, so the tables agree
+    with each other whatever the generators' parameters are.
+    """
+    rows = {}
+
+    def put(key: str, df: DataFrame) -> DataFrame:
+        name = _name(layers, "bronze", BRONZE[key])
+        rows[f"bronze.{key}"] = cat.save(df, name, mode=mode, max_records_per_file=FILE_ROWS)
+        return spark.table(name)
+
+    products = put("products", synth.zipf_products(spark, n_products))
+    stores = put("stores", synth.synthetic_stores(spark, n_stores))
+    top = bounded_values(products.where(F.col("rank") <= fx.STOCK_TOP_RANK).select("product_id"),
+                         "product_id", fx.STOCK_TOP_RANK)
+    put("stock", fx.bronze_stock(top, stores, start, end))
+    put("sales", synth.synthetic_sales(products, stores, start, end, tx_per_day=tx_per_day, as_of=as_of))
+    return rows
+
+
 def load_bronze_tables(spark: SparkSession, sf_dir: str, layers=LAYERS, mode: str = "overwrite",
                        as_of=None) -> dict[str, int]:
     """Bronze from the driver tables (see ``sources.fixtures``)."""
     b = fx.load_bronze(spark, sf_dir, as_of=as_of)
     rows = {}
     for key, df in (("products", b.products), ("stores", b.stores), ("stock", b.stock), ("sales", b.sales)):
-        rows[f"bronze.{key}"] = cat.save(df, _name(layers, "bronze", BRONZE[key]), mode=mode)
+        rows[f"bronze.{key}"] = cat.save(df, _name(layers, "bronze", BRONZE[key]), mode=mode,
+                                           max_records_per_file=FILE_ROWS)
     return rows
 
 
@@ -61,7 +95,7 @@ def load_silver_tables(spark: SparkSession, layers=LAYERS, mode: str = "overwrit
     rows = {}
     for key, df in frames.items():
         rows[f"silver.{key}"] = cat.save(
-            df, _name(layers, "silver", SILVER[key]), mode=mode,
+            df, _name(layers, "silver", SILVER[key]), mode=mode, max_records_per_file=FILE_ROWS,
             column_comments=docs.comments_for(key, df.columns), table_comment=docs.TABLES[key])
     return rows
 
@@ -96,35 +130,42 @@ def load_gold_tables(spark: SparkSession, layers=LAYERS, mode: str = "overwrite"
         spread = ["store_id", "product_id"] if part else None
         rows[f"gold.{key}"] = cat.save(
             df, _name(layers, "gold", GOLD[key]), mode=m, partition_by=part, spread_key=spread,
-            replace_partitions=replace_partitions,
+            replace_partitions=replace_partitions, max_records_per_file=FILE_ROWS,
             column_comments=docs.comments_for(kind, df.columns), table_comment=docs.TABLES[kind])
     for k, obs in audits.items():
         rows[f"gold.input.{k}"] = int(obs.get.get("rows", 0))
+    # the other inputs of the facts are written tables: their counts are in the file footers
+    for fact, inputs in FACT_INPUTS.items():
+        for t in inputs:
+            if f"gold.input.{t}_for_{fact}" not in rows:
+                rows[f"gold.input.{t}_for_{fact}"] = read(t).count()
     return rows
 
 
 def apply_gold_keys(spark: SparkSession, layers=LAYERS) -> DataFrame:
     """Declare the star schema's keys and report the data against them.
 
-    Primary keys are declared only when their column holds no NULL (checked
-    first); foreign keys are declared regardless of their primary key, as
+    Primary keys are declared only when the report finds neither a NULL nor a
+    duplicate key; foreign keys are declared regardless of their primary key, as
     informational constraints. The returned report (rule, table_name,
     key_columns, violations, status, declared) also counts duplicate keys
     and orphan rows, which a declaration alone never checks.
     """
     star = {k: spark.table(_name(layers, "gold", t)) for k, t in GOLD.items()}
+    report = quality.gold_key_report(star)
+    found = {r["rule"]: r for r in report.collect()}  # a row per rule
     declared = {}
     for rule, table, cols in quality.GOLD_PRIMARY_KEYS:
         name = _name(layers, "gold", GOLD[table])
-        ok = all(cat.set_not_null(spark, name, c) for c in cols)
+        ok = found[rule]["violations"] == 0 and all(cat.set_not_null(spark, name, c) for c in cols)
         declared[rule] = cat.declare_key(spark, name, rule, cols) if ok else "skipped"
     for rule, table, cols, ref_table, ref_cols in quality.GOLD_FOREIGN_KEYS:
         name = _name(layers, "gold", GOLD[table])
         declared[rule] = cat.declare_key(spark, name, rule, cols, _name(layers, "gold", GOLD[ref_table]),
                                          ref_cols)
-    report = quality.gold_key_report(star)
-    status = spark.createDataFrame(list(declared.items()), "rule string, declared string")
-    return report.join(status, "rule", "left")
+    rows = [(*found[rule], state) for rule, state in declared.items()]
+    return spark.createDataFrame(rows, "rule string, table_name string, key_columns string, violations bigint, "
+                                       "status string, declared string")
 
 
 def run_pipeline(spark: SparkSession, sf_dir: str, layers=LAYERS, mode: str = "overwrite",
@@ -137,3 +178,16 @@ def run_pipeline(spark: SparkSession, sf_dir: str, layers=LAYERS, mode: str = "o
     res.rows.update(load_gold_tables(spark, layers, mode, as_of, locale=locale))
     res.key_report = apply_gold_keys(spark, layers)
     return res
+
+
+def run_synthetic_pipeline(spark: SparkSession, start, end, layers=LAYERS, as_of=None, locale: str = "en",
+                           **generator) -> RunResult:
+    """Generators -> Silver -> Gold -> keys, with the default cuts, cities and capital."""
+    cat.ensure_layers(spark, list(layers.values()))
+    res = RunResult()
+    res.rows.update(load_synthetic_bronze(spark, start, end, layers, as_of=as_of, **generator))
+    res.rows.update(load_silver_tables(spark, layers, as_of=as_of, price_cuts=C.PRICE_CUTS,
+                                       core_cities=C.REGION_CITIES, capital=C.CAPITAL_CITY))
+    res.rows.update(load_gold_tables(spark, layers, as_of=as_of, locale=locale))
+    res.key_report = apply_gold_keys(spark, layers)
+    return res

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
@@ -31,12 +31,6 @@ GOLD_FOREIGN_KEYS = [
 # -----------------------------------------------------------------------------
 
 
-def null_counts(df: DataFrame, cols: Sequence[str]) -> dict:
-    """NULL count per column in one pass (a single global aggregate)."""
-    row = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
-    return {c: row[c] for c in cols}
-
-
 def null_check(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """One row per column: (column_name, null_count); one scan for all columns."""
     wide = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
@@ -50,60 +44,62 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row: rows with a NULL key part, and rows beyond the first per key."""
+    """One row: rows with a NULL key part, and rows beyond the first per key (one pass)."""
     any_null = F.lit(False)
     for k in keys:
         any_null = any_null | F.col(k).isNull()
-    per_key = (df.where(~any_null).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-                 .agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("dup_rows")))
-    nulls = df.agg(F.count_if(any_null).alias("null_rows"))
-    return _one_row(nulls, per_key)
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return per_key.agg(
+        F.coalesce(F.sum(F.when(any_null, F.col("_n"))), F.lit(0)).cast("bigint").alias("null_rows"),
+        F.coalesce(F.sum(F.when(~any_null, F.col("_n") - 1)), F.lit(0)).cast("bigint").alias("dup_rows"))
 
 
-def _one_row(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Side-by-side of two single-row aggregates without a join: both become
-    rows of one union, and a global aggregate folds them into one row."""
-    a2 = a.select(F.col("null_rows").cast("bigint").alias("null_rows"), F.lit(None).cast("bigint").alias("dup_rows"))
-    b2 = b.select(F.lit(None).cast("bigint").alias("null_rows"), F.col("dup_rows").cast("bigint").alias("dup_rows"))
-    return a2.unionByName(b2).agg(F.max("null_rows").alias("null_rows"), F.max("dup_rows").alias("dup_rows"))
+def _key_text(keys: Sequence[str]) -> Column:
+    """A key as text; NULL if any part is."""
+    if len(keys) == 1:
+        return F.col(keys[0]).cast("string")
+    parts = F.lit(True)
+    for k in keys:
+        parts = parts & F.col(k).isNotNull()
+    return F.when(parts, F.to_json(F.struct(*[F.col(k).cast("string").alias(f"k{i}") for i, k in enumerate(keys)])))
 
 
-def orphan_count(child: DataFrame, child_keys: Sequence[str], parent: DataFrame,
-                 parent_keys: Sequence[str]) -> DataFrame:
-    """One row (``violations``): child rows whose non-NULL key has no parent.
+def orphan_counts(child: DataFrame, rules: Sequence[tuple[str, Sequence[str], DataFrame, Sequence[str]]]) -> DataFrame:
+    """``rule, violations`` for the foreign keys ``(rule, child keys, parent, parent keys)`` of one child.
 
-    The child is first reduced to (key, rows) with a map-side partial
-    aggregate, so the anti join only sees distinct keys however hot a key is.
+    The child is read once: every row gives its non-NULL keys tagged by rule,
+    counted on the map side, so the anti join only sees distinct keys however
+    hot a key is. Keys are compared as text.
     """
-    if len(child_keys) != len(parent_keys):
+    if any(len(ck) != len(pk) for _, ck, _, pk in rules):
         raise ValueError("foreign key and referenced key need the same number of columns")
-    not_null = F.lit(True)
-    for k in child_keys:
-        not_null = not_null & F.col(k).isNotNull()
-    keys = child.where(not_null).groupBy(*child_keys).agg(F.count(F.lit(1)).alias("_n"))
-    ref = parent.select(*[F.col(p).alias(f"_ref_{i}") for i, p in enumerate(parent_keys)]).distinct()
-    cond = None
-    for i, c in enumerate(child_keys):
-        t = keys[c] == ref[f"_ref_{i}"]
-        cond = t if cond is None else cond & t
-    missing = keys.join(ref, cond, "left_anti")
-    return missing.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("violations"))
+    tagged = child.select(F.explode(F.array(*[
+        F.struct(F.lit(rule).alias("rule"), _key_text(ck).alias("key")) for rule, ck, _, _ in rules])).alias("k"))
+    keys = tagged.select("k.rule", "k.key").where(F.col("key").isNotNull()) \
+        .groupBy("rule", "key").agg(F.count(F.lit(1)).alias("_n"))
+    refs = [parent.select(F.lit(rule).alias("rule"), _key_text(pk).alias("key")) for rule, _, parent, pk in rules]
+    known = refs[0]
+    for r in refs[1:]:
+        known = known.unionByName(r)
+    missing = keys.join(known.distinct(), ["rule", "key"], "left_anti")
+    # every rule has a row, at zero too
+    none = child.sparkSession.createDataFrame([(rule, 0) for rule, *_ in rules], "rule string, _n bigint")
+    return missing.select("rule", "_n").unionByName(none).groupBy("rule") \
+        .agg(F.sum("_n").cast("bigint").alias("violations"))
+
+
+def orphan_count(child: DataFrame, child_keys: Sequence[str], parent: DataFrame,
+                 parent_keys: Sequence[str]) -> DataFrame:
+    """One row (``violations``): child rows whose non-NULL key has no parent."""
+    return orphan_counts(child, [("key", child_keys, parent, parent_keys)]).select("violations")
 
 
 def orphan_report(child: DataFrame, child_name: str,
                   rules: Sequence[tuple[str, DataFrame, Sequence[tuple[str, str]]]]) -> DataFrame:
-    """(child_table, parent_table, violations) for each foreign-key rule."""
-    parts = []
-    for parent_name, parent, pairs in rules:
-        ck = [a for a, _ in pairs]
-        pk = [b for _, b in pairs]
-        parts.append(orphan_count(child, ck, parent, pk).select(
-            F.lit(child_name).alias("child_table"), F.lit(parent_name).alias("parent_table"),
-            "violations"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """(child_table, parent_table, violations) for each foreign-key rule, in one pass over the child."""
+    found = orphan_counts(child, [(name, [a for a, _ in pairs], parent, [b for _, b in pairs])
+                                  for name, parent, pairs in rules])
+    return found.select(F.lit(child_name).alias("child_table"), F.col("rule").alias("parent_table"), "violations")
 
 
 def _key_columns(star: Mapping[str, DataFrame]) -> dict[str, list[str]]:
@@ -135,14 +131,15 @@ def gold_key_report(star: Mapping[str, DataFrame], materialize: bool = False) ->
     parts = []
     for rule, table, cols in GOLD_PRIMARY_KEYS:
         kv = key_violations(star[table], cols)
-        parts.append(kv.select(F.lit(rule).alias("rule"), F.lit(table).alias("table_name"),
-                               F.lit(",".join(cols)).alias("key_columns"),
+        parts.append(kv.select(F.lit(rule).alias("rule"),
                                (F.col("null_rows") + F.col("dup_rows")).cast("bigint").alias("violations")))
-    for rule, table, cols, ref_table, ref_cols in GOLD_FOREIGN_KEYS:
-        oc = orphan_count(star[table], cols, star[ref_table], ref_cols)
-        parts.append(oc.select(F.lit(rule).alias("rule"), F.lit(table).alias("table_name"),
-                               F.lit(",".join(cols)).alias("key_columns"), "violations"))
+    for child in dict.fromkeys(table for _, table, *_ in GOLD_FOREIGN_KEYS):
+        parts.append(orphan_counts(star[child], [
+            (rule, cols, star[ref], ref_cols) for rule, table, cols, ref, ref_cols in GOLD_FOREIGN_KEYS if table == child]))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
+    about = [(r, t, ",".join(c)) for r, t, c, *_ in [*GOLD_PRIMARY_KEYS, *GOLD_FOREIGN_KEYS]]
+    names = out.sparkSession.createDataFrame(about, "rule string, table_name string, key_columns string")
+    out = out.join(F.broadcast(names), "rule").select("rule", "table_name", "key_columns", "violations")
     return out.withColumn("status", F.when(F.col("violations") == 0, F.lit("ok")).otherwise(F.lit("violated")))

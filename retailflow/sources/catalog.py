@@ -10,15 +10,18 @@ Load semantics
   only the partitions present in the new data);
 * ``append``: blind append — rerunning the same load duplicates rows, there is
   no upsert (run the DQ checks after every load);
-* comments are re-applied after **every** write, because a Parquet overwrite
-  drops them.
+* column comments travel with the schema of the write (partition columns
+  included), so one write sets them all; on a table that is kept (append,
+  partition replace) they are altered where they differ.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,8 +64,46 @@ def read_columns(spark: SparkSession, name: str, cols: Sequence[str] | None = No
 
 
 def create_or_replace(df: DataFrame, name: str, fmt: str = "parquet") -> None:
-    """CREATE OR REPLACE TABLE AS SELECT: atomically replaces data and schema."""
-    df.write.format(fmt).mode("overwrite").option("overwriteSchema", "true").saveAsTable(name)
+    """Replace a table's data and schema, so that a failed write leaves the old table.
+
+    The rows are written to a staging table, which takes the name after the
+    write has ended. Parquet tables have no transaction: between the drop and
+    the rename (two catalog calls, no data moves) readers find no table.
+    """
+    spark = df.sparkSession
+    staging = f"{name}__staging"
+    spark.sql(f"DROP TABLE IF EXISTS {quote_ident(staging)}")
+    df.write.format(fmt).saveAsTable(staging)
+    spark.sql(f"DROP TABLE IF EXISTS {quote_ident(name)}")
+    spark.sql(f"ALTER TABLE {quote_ident(staging)} RENAME TO {quote_ident(name)}")
+
+
+def _with_comments(df: DataFrame, comments: Mapping[str, str]) -> DataFrame:
+    """Column comments as column metadata."""
+    return df.select(*[F.col(c).alias(c, metadata={**df.schema[c].metadata, "comment": comments[c].strip()})
+                       if c in comments else F.col(c) for c in df.columns])
+
+
+def _fit_columns(df: DataFrame, name: str, merge_schema: bool) -> DataFrame:
+    """``df`` in the column order of an existing table.
+
+    Columns that the table lacks are an error, or with ``merge_schema`` are
+    added to the table (old rows read NULL); with it, columns that ``df``
+    lacks are written as NULL.
+    """
+    spark = df.sparkSession
+    have = spark.table(name).schema
+    new = [f for f in df.schema.fields if f.name not in have.names]
+    lost = [f for f in have.fields if f.name not in df.columns]
+    if (new or lost) and not merge_schema:
+        raise ValueError(f"{name}: columns differ (new {[f.name for f in new]}, missing {[f.name for f in lost]}); "
+                         "pass merge_schema=True to keep them")
+    if new:
+        cols = ", ".join(f"{quote_ident(f.name)} {f.dataType.simpleString()}" for f in new)
+        spark.sql(f"ALTER TABLE {quote_ident(name)} ADD COLUMNS ({cols})")
+    for f in lost:
+        df = df.withColumn(f.name, F.lit(None).cast(f.dataType))
+    return df.select(*spark.table(name).columns)
 
 
 def _layout(df: DataFrame, partition_by: Sequence[str], spread_key: Sequence[str] | None,
@@ -80,9 +121,12 @@ def save(df: DataFrame, name: str, mode: str = "overwrite", partition_by: Sequen
          column_comments: Mapping[str, str] | None = None, table_comment: str | None = None,
          replace_partitions: bool = False, max_records_per_file: int | None = None,
          spread_key: Sequence[str] | None = None, num_partitions: int | None = None,
-         fmt: str = "parquet") -> int:
+         fmt: str = "parquet", merge_schema: bool = False) -> int:
     """Write ``df`` to table ``name`` and return the number of rows written.
 
+    A load into a table that is kept (append, partition replace) needs the
+    table's columns; ``merge_schema`` adds new ones instead of refusing them.
+
     The row count is observed during the write (one pass), instead of a
     separate ``count()`` job that would recompute the whole plan.
     """
@@ -90,17 +134,21 @@ def save(df: DataFrame, name: str, mode: str = "overwrite", partition_by: Sequen
         raise ValueError(f"mode must be one of {MODES}")
     spark = df.sparkSession
     obs = Observation(f"rows_{abs(hash(name))}")
+    exists = table_exists(spark, name)
+    kept = exists and (mode == "append" or bool(replace_partitions and partition_by))
+    if kept:
+        df = _fit_columns(df, name, merge_schema)
+    elif column_comments:
+        df = _with_comments(df, column_comments)
     out = _layout(df, partition_by, spread_key, num_partitions) if partition_by else df
     # observed above the range exchange: its sampling pass must not count rows
     out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
-    exists = table_exists(spark, name)
     if exists and replace_partitions and partition_by and mode == "overwrite":
         # dynamic partition overwrite: only the days present in df are replaced
-        cols = spark.table(name).columns
         with_conf = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         try:
-            out.select(*cols).write.insertInto(name, overwrite=True)
+            out.write.insertInto(name, overwrite=True)
         finally:
             spark.conf.set("spark.sql.sources.partitionOverwriteMode", with_conf)
     else:
@@ -110,8 +158,9 @@ def save(df: DataFrame, name: str, mode: str = "overwrite", partition_by: Sequen
         if max_records_per_file:
             w = w.option("maxRecordsPerFile", int(max_records_per_file))
         w.saveAsTable(name)
-    if column_comments:
-        comment_columns(spark, name, column_comments)
+    if column_comments and kept:
+        known = read_column_comments(spark, name)
+        comment_columns(spark, name, {c: t for c, t in column_comments.items() if c in known and known[c] != t.strip()})
     if table_comment is not None:
         comment_table(spark, name, table_comment)
     return int(obs.get.get("rows", 0))
@@ -137,7 +186,7 @@ def comment_table(spark: SparkSession, name: str, text) -> None:
     spark.sql(f"ALTER TABLE {quote_ident(name)} SET TBLPROPERTIES ('comment' = {quote_text(text)})")
 
 
-def column_comments(spark: SparkSession, name: str) -> dict[str, str | None]:
+def read_column_comments(spark: SparkSession, name: str) -> dict[str, str | None]:
     return {c.name: c.description for c in spark.catalog.listColumns(name)}
 
 
@@ -178,7 +227,10 @@ def set_not_null(spark: SparkSession, name: str, column: str) -> bool:
         return False
     try:
         spark.sql(f"ALTER TABLE {quote_ident(name)} ALTER COLUMN {quote_ident(column)} SET NOT NULL")
-    except Exception:  # noqa: BLE001 - the catalog decides what it supports
+    except AnalysisException as e:
+        # only the refusal of the table format; any other failure is the caller's to see
+        if not re.search("UNSUPPORTED|NOT_SUPPORTED", e.getCondition() or ""):
+            raise
         spark.sql(f"ALTER TABLE {quote_ident(name)} SET TBLPROPERTIES "
                   f"('{_PROP}not_null.{column}' = 'true')")
     return True
