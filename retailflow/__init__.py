@@ -6,7 +6,6 @@ functions/  column expressions (labels, ratios, keyed draws, calendar parts)
 operators/  DataFrame operators (joins, aggregates, skew-safe windows, grids)
 sources/    driver-table fixtures, catalog IO and metadata, synthetic generators
 plans/      the table jobs: silver, gold, data quality, end-to-end runner
-streaming/  nothing to build: the surveyed pipeline has no streams
 """
 
 __version__ = "0.1.0"

@@ -65,10 +65,6 @@ def cast_col(c: str | Column, to: str, safe: bool = False) -> Column:
     return col(c).try_cast(to) if safe else col(c).cast(to)
 
 
-def const(v, dtype: str | None = None) -> Column:
-    return F.lit(v).cast(dtype) if dtype else F.lit(v)
-
-
 def safe_ratio(num: str | Column, den: str | Column, scale: int, default=0.0) -> Column:
     """``den > 0 ? round(num / den, scale) : default``.
 

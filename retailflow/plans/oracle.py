@@ -16,10 +16,48 @@ Rounding rules used to compare across engines:
 
 from __future__ import annotations
 
-from ..functions import calendar as CAL
-from ..functions import columns as C
-from ..sources import fixtures as fx
-from ..sources import synth as SY
+
+class C:
+    """Constants of the statements, written out here: the oracle shares none with the code that it checks."""
+
+    BAND_LABELS = ("Baixo", "Médio", "Alto")
+    PRICE_CUTS = (10, 20)
+    STOCK_CUTS = (105, 115)
+    POPULARITY_LABELS = ("Top", "Média", "Long tail")
+    POPULARITY_CUTS = (10, 40)
+    STAR_RANK = 10
+    COST_RATE = 0.65
+    REGION_IN_LABEL, REGION_OUT_LABEL = "Grande Vitória", "Interior"
+    WEEKEND_DAYS = (1, 7)
+
+
+class CAL:
+    MONTH_NAMES = {
+        "en": ("January", "February", "March", "April", "May", "June", "July", "August", "September", "October",
+               "November", "December"),
+        "pt": ("janeiro", "fevereiro", "março", "abril", "maio", "junho", "julho", "agosto", "setembro", "outubro",
+               "novembro", "dezembro"),
+    }
+    WEEKDAY_NAMES = {
+        "en": ("Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday"),
+        "pt": ("domingo", "segunda-feira", "terça-feira", "quarta-feira", "quinta-feira", "sexta-feira", "sábado"),
+    }
+
+
+class fx:
+    SKU_WIDTH, ZIPF_EXPONENT, STOCK_TOP_RANK, STOCK_BASE, STOCK_SPREAD, STOCK_SALT = 6, 1.1, 40, 100, 20, "stock"
+    FIXTURE_PRICE_CUTS = (933, 967)
+    FIXTURE_CORE_CITIES = ("AFRICA", "AMERICA", "ASIA", "EUROPE")
+    FIXTURE_CAPITAL, FIXTURE_STATE = "EUROPE", "ES"
+
+
+class SY:
+    TX_DIVISOR, TX_LOW, TX_WIDTH, SEASON_AMPLITUDE, BASKET_MAX, U_RESOLUTION = 6, 0.8, 0.4, 0.15, 6, 1_000_000
+    PICK_FACTOR, QTY_P2, QTY_P3, DISC_P, DISC_LOW, DISC_WIDTH = 3.0, 0.35, 0.10, 0.12, 0.05, 0.15
+    ZIPF_S, PRICE_BASE, PRICE_MOD, PRICE_SPREAD, STATE = 1.1, 5, 20, 10, "ES"
+    CATEGORIES = ("Acessórios", "Bebidas", "Cozinha", "Limpeza", "Higiene", "Snacks")
+    BRANDS = ("MarcaA", "MarcaB", "MarcaC", "MarcaD")
+    CITIES = ("Vitoria", "Serra", "Vila Velha", "Cariacica", "Guarapari", "Linhares")
 
 
 def spark_round(x: str, exact: str, k: int) -> str:
@@ -136,7 +174,9 @@ stock AS (
   FROM region r, top_products t, days d
 )"""
 
-CALENDAR_CTE = f"""
+
+def calendar_cte(locale: str) -> str:
+    return f"""
 cal_span AS (SELECT make_date(year(min(l_shipdate)), 1, 1) AS lo,
                     make_date(year(max(l_shipdate)), 12, 31) AS hi FROM lineitem),
 calendar AS (
@@ -144,14 +184,17 @@ calendar AS (
          CAST(year(day) AS INTEGER) AS year, CAST(month(day) AS INTEGER) AS month,
          CAST(day(day) AS INTEGER) AS day_of_month, CAST(quarter(day) AS INTEGER) AS quarter,
          strftime(day, '%Y-%m') AS year_month,
-         [{_q(CAL.MONTH_NAMES['en'])}][month(day)] AS month_name,
+         [{_q(CAL.MONTH_NAMES[locale])}][month(day)] AS month_name,
          CAST(dayofweek(day) + 1 AS INTEGER) AS weekday_num,
-         [{_q(CAL.WEEKDAY_NAMES['en'])}][dayofweek(day) + 1] AS weekday_name,
+         [{_q(CAL.WEEKDAY_NAMES[locale])}][dayofweek(day) + 1] AS weekday_name,
          dayofweek(day) + 1 IN ({", ".join(str(d) for d in C.WEEKEND_DAYS)}) AS is_weekend
   FROM (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS day FROM cal_span)
 )"""
 
 
+CALENDAR_CTE = calendar_cte("en")
+
+
 def _with(*ctes: str) -> str:
     return "WITH " + ",".join(ctes)
 
@@ -222,6 +265,9 @@ SELECT stock_date, store_id, product_id, stock_qty, {_STOCK_BAND} AS stock_band
 SQL["fact_daily_stock"] = SQL["silver_stock"]
 
 SQL["dim_calendar"] = _with(CALENDAR_CTE) + "\nSELECT * FROM calendar"
+SQL["dim_calendar_pt"] = _with(calendar_cte("pt")) + "\nSELECT * FROM calendar"
+SQL["fact_daily_sales_by_store_preaggregated"] = SQL["fact_daily_sales_by_store"]
+SQL["written_fact_by_store"] = SQL["fact_daily_sales_by_store"]
 
 SQL["dedup_order_lines"] = """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount,
@@ -325,14 +371,14 @@ _DSO = _DS + " || '|' || CAST(local_order AS VARCHAR)"
 _DSOI = _DSO + " || '|' || CAST(item_no AS VARCHAR)"
 _LINE = _DSOI + " || '|' || CAST(product_id AS VARCHAR)"
 
-SQL["synthetic_sales"] = _with(PRODUCTS_CTE, f"""
-span AS (SELECT min(CAST(l_shipdate AS DATE)) AS lo, max(CAST(l_shipdate AS DATE)) AS hi FROM lineitem),
+SYNTHETIC_CTE = f"""
+synth_span AS (SELECT min(CAST(l_shipdate AS DATE)) AS lo, max(CAST(l_shipdate AS DATE)) AS hi FROM lineitem),
 vol AS (SELECT (SELECT count(*) FROM orders)::DOUBLE / (date_diff('day', lo, hi) + 1)::DOUBLE AS tx_per_day
-        FROM span),
+        FROM synth_span),
 grid AS (
   SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS day,
          CAST(r.r_regionkey AS VARCHAR) AS store_id
-  FROM span, region r
+  FROM synth_span, region r
 ),
 tx AS (
   SELECT day, store_id,
@@ -365,19 +411,34 @@ priced AS (
               THEN CAST({SY.DISC_LOW}::DOUBLE + {_u(_LINE, 'rate')} * {SY.DISC_WIDTH}::DOUBLE AS DECIMAL(5,4))
               ELSE CAST(0 AS DECIMAL(5,4)) END AS rate
   FROM picked
-)""") + """
+),
+synthetic AS (
 SELECT day AS sale_date,
        strftime(day, '%Y%m%d') || '-' || store_id || '-' ||
          CASE WHEN length(CAST(local_order AS VARCHAR)) > 6 THEN CAST(local_order AS VARCHAR)
               ELSE lpad(CAST(local_order AS VARCHAR), 6, '0') END AS order_id,
        store_id, product_id, qty,
-       CAST(CAST(round(list_price * qty * (1 - rate), 2) AS DECIMAL(18,2)) AS DOUBLE) AS net,
-       CAST(CAST(round(list_price * qty * rate, 2) AS DECIMAL(18,2)) AS DOUBLE) AS discount
-FROM priced"""
+       CAST(round(list_price * qty * (1 - rate), 2) AS DECIMAL(18,2)) AS net,
+       CAST(round(list_price * qty * rate, 2) AS DECIMAL(18,2)) AS discount
+FROM priced
+)"""
+
+SQL["synthetic_sales"] = _with(PRODUCTS_CTE, SYNTHETIC_CTE) + """
+SELECT sale_date, order_id, store_id, product_id, qty, CAST(net AS DOUBLE) AS net, CAST(discount AS DOUBLE) AS discount
+FROM synthetic"""
+
+SQL["synthetic_fact_by_store"] = _with(PRODUCTS_CTE, SYNTHETIC_CTE, STOCK_CTE, """
+lines AS (
+  SELECT s.*, net + discount AS gross, k.stock_qty FROM synthetic s
+  LEFT JOIN stock k ON s.sale_date = k.stock_date AND s.store_id = k.store_id AND s.product_id = k.product_id
+)""") + f"""
+SELECT sale_date, store_id,{_fact_measures()}
+FROM lines GROUP BY sale_date, store_id"""
 
-SQL["generated_products"] = f"""
-WITH s AS (SELECT CAST(unnest(generate_series(1, (SELECT count(*) FROM part))) AS INTEGER) AS p),
-w AS (SELECT *, pow(1.0::DOUBLE / p, {SY.ZIPF_S}::DOUBLE) AS w0 FROM s)
+GENERATED_CTE = f"""
+s AS (SELECT CAST(p_partkey + 1 AS INTEGER) AS p FROM part),
+w AS (SELECT *, pow(1.0::DOUBLE / p, {SY.ZIPF_S}::DOUBLE) AS w0 FROM s),
+generated AS (
 SELECT p AS rank,
        'P' || CASE WHEN length(CAST(p AS VARCHAR)) > 4 THEN CAST(p AS VARCHAR) ELSE lpad(CAST(p AS VARCHAR), 4, '0') END
          AS product_id,
@@ -386,12 +447,35 @@ SELECT p AS rank,
        'Produto ' || CAST(p AS VARCHAR) AS name,
        [{_q(SY.CATEGORIES)}][p % {len(SY.CATEGORIES)} + 1] AS category,
        [{_q(SY.BRANDS)}][p % {len(SY.BRANDS)} + 1] AS brand,
-       CAST(CAST({SY.PRICE_BASE} + p % {SY.PRICE_MOD} + {_u("CAST(p AS VARCHAR)", "price")} * {SY.PRICE_SPREAD}
-                 AS DECIMAL(18,2)) AS DOUBLE) AS list_price,
-       round(w0 / sum(w0) OVER (), 10) AS weight
-FROM w"""
+       CAST({SY.PRICE_BASE} + p % {SY.PRICE_MOD} + {_u("CAST(p AS VARCHAR)", "price")} * {SY.PRICE_SPREAD}
+                 AS DECIMAL(18,2)) AS list_price,
+       w0 / sum(w0) OVER () AS weight
+FROM w
+)"""
+
+SQL["generated_products"] = _with(GENERATED_CTE) + """
+SELECT rank, product_id, sku, name, category, brand, CAST(list_price AS DOUBLE) AS list_price, round(weight, 10) AS weight
+FROM generated"""
+
+SQL["silver_generated_products"] = _with(GENERATED_CTE, f"""
+costed AS (
+  SELECT *, {spark_round(f"CAST(list_price AS DOUBLE) * {C.COST_RATE}::DOUBLE",
+                         f"list_price * CAST({C.COST_RATE} AS DECIMAL(4,2))", 2)} AS est_cost FROM generated
+),
+margined AS (SELECT *, round(CAST(list_price AS DOUBLE) - est_cost, 2) AS margin FROM costed)""") + f"""
+SELECT product_id, sku, name AS product_name, category, brand, CAST(list_price AS DOUBLE) AS list_price,
+       CASE WHEN list_price < {C.PRICE_CUTS[0]} THEN '{C.BAND_LABELS[0]}'
+            WHEN list_price < {C.PRICE_CUTS[1]} THEN '{C.BAND_LABELS[1]}' ELSE '{C.BAND_LABELS[2]}' END AS price_band,
+       rank, CAST(row_number() OVER (PARTITION BY category ORDER BY list_price DESC, product_id) AS INTEGER)
+         AS price_rank_in_category,
+       CASE WHEN rank <= {C.POPULARITY_CUTS[0]} THEN '{C.POPULARITY_LABELS[0]}'
+            WHEN rank <= {C.POPULARITY_CUTS[1]} THEN '{C.POPULARITY_LABELS[1]}'
+            ELSE '{C.POPULARITY_LABELS[2]}' END AS popularity,
+       rank <= {C.STAR_RANK} AS is_star, round(weight, 10) AS weight, est_cost, margin,
+       CASE WHEN list_price > 0 THEN round(margin / CAST(list_price AS DOUBLE), 4) ELSE 0.0::DOUBLE END AS margin_pct
+FROM margined"""
 
 SQL["generated_stores"] = f"""
 SELECT CAST(i AS VARCHAR) AS store_id, 'Loja ' || CAST(i AS VARCHAR) AS name,
        [{_q(SY.CITIES)}][(i - 1) % {len(SY.CITIES)} + 1] AS city, '{SY.STATE}' AS state
-FROM (SELECT CAST(unnest(generate_series(1, (SELECT count(*) FROM supplier))) AS INTEGER) AS i)"""
+FROM (SELECT CAST(s_suppkey + 1 AS INTEGER) AS i FROM supplier)"""

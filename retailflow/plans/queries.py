@@ -8,6 +8,7 @@ compare across engines (see :func:`comparable`).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from ..operators.aggregates import dedup, union_counts
+from ..sources import catalog as cat
 from ..sources import fixtures as fx
 from ..sources.tables import read_table
 from ..sources import synth
@@ -97,9 +99,11 @@ class Retail:
         return silver.silver_stock(self.b_stock)
 
     # gold
-    def calendar(self):
+    def calendar(self, locale: str = "en"):
         lo, hi = self.date_range
-        return gold.dim_calendar(self.spark, f"{lo.year}-01-01", f"{hi.year}-12-31")
+        if lo is None:  # no sales, no days
+            return gold.dim_calendar(self.spark, "1970-01-01", "1970-01-01", locale=locale).where(F.lit(False))
+        return gold.dim_calendar(self.spark, f"{lo.year}-01-01", f"{hi.year}-12-31", locale=locale)
 
 
 def q_fact_daily_sales(spark, sf_dir):
@@ -113,6 +117,12 @@ def q_fact_daily_sales_by_store(spark, sf_dir):
                                             stock_rows=r.stock_rows))
 
 
+def q_fact_daily_sales_by_store_preaggregated(spark, sf_dir):
+    """The same fact by the plan for snapshots too large to broadcast."""
+    r = Retail(spark, sf_dir)
+    return comparable(gold.fact_daily_sales(r.sales, r.stock, grain=["sale_date", "store_id"], stock_join="preagg"))
+
+
 def q_fact_monthly_sales_by_category(spark, sf_dir):
     r = Retail(spark, sf_dir)
     grain = [("year_month", F.date_format("sale_date", "yyyy-MM")), "region", "category"]
@@ -156,6 +166,10 @@ def q_dim_calendar(spark, sf_dir):
     return comparable(Retail(spark, sf_dir).calendar())
 
 
+def q_dim_calendar_pt(spark, sf_dir):
+    return comparable(Retail(spark, sf_dir).calendar("pt"))
+
+
 def q_dedup_order_lines(spark, sf_dir):
     """Deterministic de-duplication on a business key that really repeats:
     (order, line number) of lineitem; the survivor is the first row by
@@ -182,7 +196,8 @@ def q_abc_products(spark, sf_dir):
 
 def q_load_report(spark, sf_dir):
     r = Retail(spark, sf_dir)
-    return union_counts({"products": r.b_products, "stores": r.b_stores,
+    # counting products needs no ranking
+    return union_counts({"products": fx.product_attributes(spark, sf_dir), "stores": r.b_stores,
                          "stock": r.b_stock, "sales": r.b_sales})
 
 
@@ -220,29 +235,65 @@ def q_gold_key_report(spark, sf_dir):
     return quality.gold_key_report(star)
 
 
+def _synthetic_sales(r: Retail) -> DataFrame:
+    lo, hi = r.date_range
+    n_orders = read_table(r.spark, r.sf_dir, "orders", ["o_orderkey"]).count()
+    tx_per_day = n_orders / float((hi - lo).days + 1)
+    return synth.synthetic_sales(r.b_products, r.b_stores, lo, hi, tx_per_day=tx_per_day)
+
+
 def q_synthetic_sales(spark, sf_dir):
     """The Bronze sales generator chain driven by the data: products (with
     popularity rank and Zipf weight) from part and lineitem, stores from
     region, days from the ship-date range, and a daily transaction volume
     equal to the average number of orders per day."""
+    return comparable(_synthetic_sales(Retail(spark, sf_dir)))
+
+
+def q_synthetic_fact_by_store(spark, sf_dir):
+    """Generated Bronze sales through Silver to the fact by day and store, with stock of the same products."""
     r = Retail(spark, sf_dir)
-    lo, hi = r.date_range
-    n_orders = read_table(spark, sf_dir, "orders", ["o_orderkey"]).count()
-    tx_per_day = n_orders / float((hi - lo).days + 1)
-    return comparable(synth.synthetic_sales(r.b_products, r.b_stores, lo, hi, tx_per_day=tx_per_day))
+    sales = silver.silver_sales(_synthetic_sales(r))
+    return comparable(gold.fact_daily_sales(sales, r.stock, grain=["sale_date", "store_id"], stock_rows=r.stock_rows))
+
+
+def _generated_products(spark, sf_dir):
+    """The product generator over the part keys (each key is a product number)."""
+    numbers = read_table(spark, sf_dir, "part", ["p_partkey"]).select((F.col("p_partkey") + 1).cast("int").alias("p"))
+    return synth.zipf_products(spark, numbers=numbers)
 
 
 def q_generated_products(spark, sf_dir):
-    """The Zipf product generator sized by the data: one product per part."""
-    n = read_table(spark, sf_dir, "part", ["p_partkey"]).count()
-    df = comparable(synth.zipf_products(spark, n=n))
-    return df.withColumn("weight", F.round("weight", 10))
+    return comparable(_generated_products(spark, sf_dir)).withColumn("weight", F.round("weight", 10))
+
+
+def q_silver_generated_products(spark, sf_dir):
+    """Silver products of the generated ones, with the default price bounds."""
+    out = comparable(silver.silver_products(_generated_products(spark, sf_dir)))
+    return out.withColumn("weight", F.round("weight", 10))
 
 
 def q_generated_stores(spark, sf_dir):
-    """The store generator sized by the data: one store per supplier."""
-    n = read_table(spark, sf_dir, "supplier", ["s_suppkey"]).count()
-    return synth.synthetic_stores(spark, n=n)
+    """The store generator over the supplier keys (each key is a store number)."""
+    numbers = read_table(spark, sf_dir, "supplier", ["s_suppkey"]).select((F.col("s_suppkey") + 1).cast("int").alias("i"))
+    return synth.synthetic_stores(spark, numbers=numbers)
+
+
+def q_written_fact_by_store(spark, sf_dir):
+    """The fact by day and store written as a partitioned table, replaced for its last month, and read back."""
+    r = Retail(spark, sf_dir)
+    fact = gold.fact_daily_sales(r.sales, r.stock, grain=["sale_date", "store_id"], stock_rows=r.stock_rows) \
+        .withColumn("month", F.date_format("sale_date", "yyyy-MM"))
+    layer = "retail_check"
+    cat.ensure_layers(spark, [layer])
+    name = cat.qualified(layer, f"fact_by_store_{uuid.uuid4().hex[:12]}")
+    load = {"partition_by": ["month"], "spread_key": ["sale_date", "store_id"], "max_records_per_file": 1_000_000,
+            "column_comments": {"month": "Partition of the load."}}
+    cat.save(fact, name, **load)
+    _, hi = r.date_range
+    if hi is not None:
+        cat.save(fact.where(F.col("month") == f"{hi:%Y-%m}"), name, replace_partitions=True, **load)
+    return comparable(cat.read_columns(spark, name)).drop("month")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -257,6 +308,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dim_products": q_dim_products,
     "dim_stores": q_dim_stores,
     "dim_calendar": q_dim_calendar,
+    "dim_calendar_pt": q_dim_calendar_pt,
     "dedup_order_lines": q_dedup_order_lines,
     "average_ticket": q_average_ticket,
     "abc_products": q_abc_products,
@@ -266,6 +318,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_orphans": q_dq_orphans,
     "gold_key_report": q_gold_key_report,
     "synthetic_sales": q_synthetic_sales,
+    "synthetic_fact_by_store": q_synthetic_fact_by_store,
+    "silver_generated_products": q_silver_generated_products,
+    "written_fact_by_store": q_written_fact_by_store,
+    "fact_daily_sales_by_store_preaggregated": q_fact_daily_sales_by_store_preaggregated,
     "generated_products": q_generated_products,
     "generated_stores": q_generated_stores,
 }

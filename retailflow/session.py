@@ -35,7 +35,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     builder = SparkSession.builder.appName(app_name).master(master or f"local[{cpus}]")
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or int(cpus))
-    conf.setdefault("spark.driver.memory", os.environ.get("RETAILFLOW_DRIVER_MEMORY", "16g"))
+    conf.setdefault("spark.driver.memory", os.environ.get("RETAILFLOW_DRIVER_MEMORY", "8g"))
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -59,7 +59,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
-    if not sc.master.startswith("local"):
+    if sc.master != "local" and not sc.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     path = tempfile.mkdtemp(prefix="retailflow-ckpt-")
     sc.setCheckpointDir(path)

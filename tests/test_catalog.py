@@ -31,7 +31,7 @@ def test_comments_reapplied_after_overwrite(spark, db):
     name = f"{db}.c"
     cat.save(_frame(spark, 3), name, column_comments={"v": "it's twice k"}, table_comment="first")
     cat.save(_frame(spark, 3), name, column_comments={"v": "it's twice k"}, table_comment="second")
-    assert cat.column_comments(spark, name)["v"] == "it's twice k"
+    assert cat.read_column_comments(spark, name)["v"] == "it's twice k"
     assert cat.table_comment(spark, name) == "second"
     cat.comment_table(spark, name, 42)                         # non-text: no-op
     assert cat.table_comment(spark, name) == "second"
@@ -112,7 +112,7 @@ def test_end_to_end_pipeline(spark):
     assert set(again.values()) == {"exists"}
     fact = spark.table("e2e_gold.fact_daily_sales")
     assert fact.count() == res.rows["gold.fact_daily_sales"]
-    assert cat.column_comments(spark, "e2e_gold.fact_daily_sales")["avg_ticket"].startswith("Net total")
+    assert cat.read_column_comments(spark, "e2e_gold.fact_daily_sales")["avg_ticket"].startswith("net_total over")
     # sums survive the whole chain
     a = fact.agg(F.sum("net_total")).first()[0]
     b = spark.table("e2e_silver.sales").agg(F.sum("net")).first()[0]
