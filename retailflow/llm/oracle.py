@@ -61,3 +61,84 @@ FROM decided JOIN judged USING (host)
 """
 
 SQL = {"op7_url_reputation": OP7}
+
+#: Windows of 35 words as strings, counted over all documents.
+OP2 = r"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+           FROM documents),
+words AS (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM t),
+starts AS (SELECT r, i, word, count(*) OVER ahead AS size, string_agg(word, ' ') OVER ahead AS s
+           FROM words WINDOW ahead AS (PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING)),
+repeated AS (SELECT s FROM starts WHERE size = 35 GROUP BY s HAVING count(*) > 1),
+flagged AS (SELECT r, i, word, CASE WHEN size = 35 AND s IN (SELECT s FROM repeated) THEN 1 ELSE 0 END AS hit FROM starts),
+covered AS (SELECT r, i, word, max(hit) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone
+            FROM flagged),
+kept AS (SELECT r, count(*) AS n_words, sum(gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (gone = 0) AS rest
+         FROM covered GROUP BY r)
+SELECT doc_id, CAST(coalesce(n_words, 0) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(rest, '')) AS kept_sha256
+FROM t LEFT JOIN kept USING (r)
+"""
+
+
+def _spans(kind: str, rank: int, pattern: str, keep: str) -> str:
+    """Matches of one rule with their places: pieces between matches and matches before add up."""
+    p = pattern.replace("'", "''")
+    return f"""
+  SELECT r, '{kind}' AS kind, {rank} AS rank, m.start AS start, m.start + length(m.hit) AS stop
+  FROM (SELECT r, unnest(list_transform(range(1, len(hits) + 1), lambda i: {{
+          'hit': hits[i],
+          'start': CAST(list_sum(list_transform(gaps[1:i], lambda s: length(s)))
+                   + coalesce(list_sum(list_transform(hits[1:i - 1], lambda s: length(s))), 0) AS BIGINT)}})) AS m
+        FROM (SELECT r, regexp_extract_all(x, '{p}') AS hits, string_split_regex(x, '{p}') AS gaps FROM t))
+  WHERE {keep}"""
+
+
+_ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+OP5 = "WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS x FROM documents), spans AS (" + "\n  UNION ALL".join([
+    _spans("assign", 0, _ASSIGN, "length(regexp_extract(m.hit, '" + _ASSIGN.replace("'", "''") + "', 2)) >= 6"),
+    _spans("access", 1, "AKIA[A-Z0-9]+", "length(m.hit) >= 20"),
+    _spans("hex", 2, "[0-9a-f]{24,}", "true"),
+    _spans("pem", 3, "-----BEGIN [A-Z ]*PRIVATE KEY-----", "true"),
+    _spans("jwt", 4, r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}", "true"),
+]) + """),
+lists AS (
+  SELECT r, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+         count(*) FILTER (kind = 'hex') AS n_hex,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) FILTER (rank < 3) AS base,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) AS spans
+  FROM spans GROUP BY r)
+SELECT doc_id, CAST(coalesce(n_assign, 0) AS BIGINT) AS n_assign, CAST(coalesce(n_access, 0) AS BIGINT) AS n_access,
+       CAST(coalesce(n_hex, 0) AS BIGINT) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM t LEFT JOIN lists USING (r)
+"""
+
+#: Containment of an item's shingles in a document; items shorter than five words are one shingle of their length.
+OP10 = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+items AS (
+  SELECT row_number() OVER () AS it, item_id, w, least(5, len(w)) AS k
+  FROM (SELECT item_id, regexp_extract_all(
+          translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+        FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL))
+  WHERE len(w) > 0),
+item_shingles AS (
+  SELECT DISTINCT it, k, array_to_string(w[i:i + k - 1], ' ') AS s
+  FROM (SELECT it, k, w, unnest(range(1, len(w) - k + 2)) AS i FROM items)),
+sizes AS (SELECT it, count(*) AS q FROM item_shingles GROUP BY it),
+doc_shingles AS (
+  SELECT DISTINCT r, k, string_agg(word, ' ') OVER (PARTITION BY r, k ORDER BY i ROWS BETWEEN CURRENT ROW AND k - 1 FOLLOWING) AS s
+  FROM (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM docs), (SELECT DISTINCT k FROM items)),
+shared AS (SELECT r, it, count(*) AS n FROM doc_shingles JOIN item_shingles USING (k, s) GROUP BY r, it),
+found AS (SELECT r, item_id, n / q AS share FROM shared JOIN sizes USING (it) JOIN items USING (it) WHERE n >= 0.8 * q - 1e-9),
+per_doc AS (SELECT r, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id) AS item_ids,
+                   max(share) AS containment FROM found GROUP BY r)
+SELECT doc_id, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, coalesce(item_ids, '') AS item_ids,
+       CAST(coalesce(containment, 0) AS DOUBLE) AS containment, n_items IS NOT NULL AS contaminated
+FROM docs LEFT JOIN per_doc USING (r)
+"""
+
+SQL |= {"op2_substring_trees": OP2, "op5_secret_scan": OP5, "op10_decontamination": OP10}

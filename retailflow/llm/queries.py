@@ -74,7 +74,9 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` that contain 0.8 or more of the 5-word shingles of a ``benchmark`` item."""
-    return decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    items = F.concat_ws(",", F.transform("item_ids", lambda i: i.cast("string")))
+    return found.withColumn("item_ids", items)
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
