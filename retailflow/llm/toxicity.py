@@ -5,8 +5,7 @@ characters that they share, gaps allowed: every occurrence weighs
 ``DECAY ** span`` and spans reach ``SPAN`` characters, so an insult with
 inserted or dropped characters keeps most of its subsequences. The unit of the
 kernel is a token of a sentence (a run of single characters, as in a spaced-out
-word, is one token); a sentence is as toxic as its worst token and a document
-as its worst sentence.
+word, is one token).
 
 Training takes labelled documents cut into sentences, which inherit the label.
 In a toxic document only some sentences carry the label, so it is represented
@@ -14,8 +13,9 @@ by witnesses (multiple-instance learning): tokens that its sentences share with
 many toxic and no clean ones, or else the token that speaks most for the label,
 first by frequencies and then by the machine trained so far. Landmarks are a spread-out
 sample of witnesses and clean tokens; the Nystroem map ``K_mm^(-1/2) k_m`` turns
-the kernel into features of a linear SVM. A logistic curve over the document
-scores calibrates them.
+the kernel into features of a linear SVM. A document's score is a logistic curve
+over its best two token decisions and the number of tokens that speak for
+toxicity: one look-alike in a clean text counts less than several insults.
 
 The subsequence kernel has an explicit (hashed) feature space, so the
 decision function over landmarks folds into one weight vector: scoring a token
@@ -25,6 +25,7 @@ is one sparse product, cached per worker. Texts are scored where they lie.
 from __future__ import annotations
 
 import itertools
+import math
 import re
 import uuid
 import zlib
@@ -147,19 +148,28 @@ def _svm(x: np.ndarray, y: np.ndarray, c: np.ndarray, rounds: int = 40) -> np.nd
     return w
 
 
-def _logistic(s: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Platt scaling: a, b of 1 / (1 + exp(-(a s + b))), smoothed targets, Newton steps."""
+def evidence(scores: list[float]) -> tuple[float, float, float]:
+    """What a document's token decisions say: the best, the second best, and how many speak for toxicity."""
+    top = sorted((x for x in scores if x > -0.5), reverse=True)
+    if len(top) < 2:
+        top = sorted(scores, reverse=True)[:2] + [LOWEST, LOWEST]
+    return top[0], top[1], math.log1p(sum(x > 0 for x in top))
+
+
+def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
+    """Weights (the last is the constant) of a logistic curve: smoothed targets, Newton steps, a small ridge."""
     pos, neg = y.sum(), len(y) - y.sum()
     t = np.where(y > 0, (pos + 1) / (pos + 2), 1 / (neg + 2))
-    z, theta = np.column_stack([s, np.ones(len(s))]), np.zeros(2)
-    for _ in range(50):
+    z = np.column_stack([x, np.ones(len(x))])
+    theta = np.zeros(z.shape[1])
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(z @ theta, -35, 35)))
-        h = z.T @ (z * (p * (1 - p))[:, None]) + 1e-6 * np.eye(2)
-        step = np.linalg.solve(h, z.T @ (p - t) + 1e-6 * theta)
-        theta -= np.clip(step, -5, 5)
+        h = z.T @ (z * (p * (1 - p))[:, None]) + ridge * np.eye(len(theta))
+        step = np.linalg.solve(h, z.T @ (p - t) + ridge * theta)
+        theta -= np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-9:
             break
-    return float(theta[0]), float(theta[1])
+    return theta
 
 
 def _singles(texts: list[str], alike: float = 0.5) -> list[int]:
@@ -185,7 +195,7 @@ def _singles(texts: list[str], alike: float = 0.5) -> list[int]:
 
 
 def train(texts: list[str], labels: list[int]) -> dict:
-    """Fit on labelled texts: ``weight, bias`` of the machine, ``a, b`` of the calibration.
+    """Fit on labelled texts: ``weight, bias`` of the machine, ``curve`` of the calibration.
 
     With one class only (or no text) the model is constant: the share of toxic texts.
     """
@@ -193,7 +203,7 @@ def train(texts: list[str], labels: list[int]) -> dict:
     if len(set(y.tolist())) < 2:
         share = float(y.mean()) if len(y) else 0.0
         p = min(max(share, 1e-6), 1 - 1e-6)
-        return {"weight": np.zeros(1 << BITS), "bias": 0.0, "a": 0.0, "b": float(np.log(p / (1 - p)))}
+        return {"weight": np.zeros(1 << BITS), "bias": 0.0, "curve": np.array([0, 0, 0, np.log(p / (1 - p))])}
     # copies of a text would vouch for each other's rare tokens
     single = _singles(texts)
     bags = [sorted(set().union(*map(units, sentences(texts[i])))) for i in single]
@@ -253,9 +263,8 @@ def train(texts: list[str], labels: list[int]) -> dict:
         clean_tokens = list(dict.fromkeys(hard + clean_tokens))[:2 * TOKENS]
     names = sorted(set().union(*bags))
     score = dict(zip(names, decisions(names, **model), strict=True))
-    best = np.array([max((score[t] for t in b), default=LOWEST) for b in bags])
-    a, b = _logistic(best, marks_of)
-    return {**model, "a": max(a, 1e-3), "b": b}
+    seen = np.array([evidence([score[t] for t in b]) for b in bags])
+    return {**model, "curve": _logistic(seen, marks_of)}
 
 
 def held_out(doc_id: Column) -> Column:
@@ -278,7 +287,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         known.where("y = 0").orderBy(*order).limit(sample))
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")) \
         .join(F.broadcast(picked), "doc_id")
-    rows = {r.doc_id: (r.text or "", r.y) for r in texts.select("doc_id", "text", "y").toLocalIterator()}
+    one = texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("y").alias("y"))  # repeated ids count once
+    rows = {r.doc_id: (r.text or "", r.y) for r in one.toLocalIterator()}
     keys = sorted(rows)
     return train([rows[k][0] for k in keys], [rows[k][1] for k in keys])
 
@@ -299,7 +309,7 @@ def _scorer(shared):
     seen = _seen(model["id"])
 
     def score(texts: pa.Array) -> np.ndarray:
-        worst = []
+        found = []
         for text in texts.cast(pa.large_string()).to_pylist():
             bag = units(text) if text else set()
             missing = bag.difference(seen)
@@ -309,8 +319,9 @@ def _scorer(shared):
                     missing = bag
                 missing = list(missing)
                 seen.update(zip(missing, decisions(missing, model["weight"], model["bias"]).tolist(), strict=True))
-            worst.append(max(map(seen.__getitem__, bag), default=LOWEST))
-        return 1 / (1 + np.exp(-np.clip(model["a"] * np.array(worst, float) + model["b"], -35, 35)))
+            found.append(evidence(list(map(seen.__getitem__, bag))))
+        z = np.array(found, float).reshape(-1, 3) @ model["curve"][:-1] + model["curve"][-1]
+        return 1 / (1 + np.exp(-np.clip(z, -35, 35)))
 
     return score
 
