@@ -15,6 +15,7 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
 
@@ -102,37 +103,52 @@ def share_of_total(df: DataFrame, value, out: str) -> DataFrame:
     return df.withColumn(out, _sort_col(value) / F.lit(total).cast("double"))  # no rows: no total
 
 
+# Rows of a running-sum slice, and sampled rows per slice that place its bounds.
+SLICE_ROWS, SLICE_SAMPLE = 200_000, 32
+
+
 def abc_curve(df: DataFrame, item: str, value: str, cuts: tuple[float, float] = (0.80, 0.95),
               labels: tuple[str, str, str] = ("A", "B", "C"), out: str = "abc_class",
               num_partitions: int | None = None) -> DataFrame:
     """ABC (Pareto) classes by cumulative share of ``value``.
 
-    Items are ordered by value descending, ties by ``item``. An item is A while
-    the share of all items *before* it is below ``cuts[0]``, B while below
-    ``cuts[1]``, else C. The running sum uses the same slice-offset scheme as
-    :func:`row_number_by`: each task sums its slice, and the slice totals
-    (one row per task) are turned into offsets.
+    Items are ordered by value descending (NULL last), ties by ``item``. An
+    item is A while the share of all items *before* it is below ``cuts[0]``, B
+    while below ``cuts[1]``, else C. The order is cut into slices at bounds on
+    (value, item) taken from a sample, so many items of one value still spread;
+    each slice sums its own rows, and the slice totals (a row per slice) become
+    offsets. The rows move once, to their slices.
     """
-    keys = [F.col(value).desc(), F.col(item).asc()]
-    tagged = (_range(df, keys, num_partitions).sortWithinPartitions(*keys)
-                .withColumn("_rf_pid", F.spark_partition_id()))
-    # running sum inside the task's slice (the slice is already sorted and bounded)
-    w_local = (Window.partitionBy("_rf_pid").orderBy(*keys)
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    tagged = _materialize(tagged.withColumn("_rf_run", F.sum(value).over(w_local)))
-    slices = tagged.groupBy("_rf_pid").agg(F.sum(value).alias("_rf_slice"))
-    before = Window.orderBy("_rf_pid").rowsBetween(Window.unboundedPreceding, -1)
-    slices = slices.withColumn("_rf_off", F.coalesce(F.sum("_rf_slice").over(before), F.lit(0)))
-    # from the materialised rows, not a recomputation; an empty table has no total and no classes
-    total = column_total(tagged, value) or Decimal(0)
-    cum = F.col("_rf_off") + F.col("_rf_run")
-    prior = cum - F.col(value)
-    res = (tagged.join(F.broadcast(slices.select("_rf_pid", "_rf_off")), "_rf_pid")
-                 .withColumn("cum_value", cum)
-                 .withColumn("cum_share", cum.cast("double") / F.lit(float(total))))
+    rows = _materialize(df)
+    total, n = rows.agg(F.sum(value), F.count(F.lit(1))).first()
+    total = total or Decimal(0)  # no rows: no total and no classes
+    slices = num_partitions or max(1, -(-n // SLICE_ROWS))
+    types = {c: df.schema[c].dataType for c in (item, value)}
+    # a bounded sample, the same in every run
+    sample = rows.select(value, item).where(F.col(value).isNotNull() & F.col(item).isNotNull()) \
+        .orderBy(F.xxhash64(item), item).limit(slices * SLICE_SAMPLE).collect()
+    sample = sorted((-v, i) for v, i in sample)
+    bounds = [F.struct(F.lit(False).alias("n"), F.lit(v).cast(types[value]).alias("v"), F.lit(i).cast(types[item]).alias("i"))
+              for v, i in sample[SLICE_SAMPLE::SLICE_SAMPLE]]
+    key = F.struct(F.col(value).isNull().alias("n"), (-F.col(value)).cast(types[value]).alias("v"), F.col(item).alias("i"))
+    at = F.size(F.filter(F.array(*bounds), lambda b: b <= key)) if bounds else F.lit(0)
+    sliced = rows.withColumn("_rf_slice", at)
+    offsets, before = [], None
+    for r in sliced.groupBy("_rf_slice").agg(F.sum(value).alias("s")).orderBy("_rf_slice").collect():
+        offsets.append((r["_rf_slice"], before))
+        before = (before or Decimal(0)) + (r["s"] or Decimal(0))
+    running = rows.select(F.sum(value).alias("s")).schema["s"].dataType
+    schema = T.StructType([T.StructField("_rf_slice", T.IntegerType()), T.StructField("_rf_off", running)])
+    offset = F.broadcast(df.sparkSession.createDataFrame(offsets, schema))  # a row per slice
+    w = Window.partitionBy("_rf_slice").orderBy(F.col(value).desc_nulls_last(), F.col(item).asc()) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cum = F.coalesce(F.col("_rf_off"), F.lit(0)) + F.coalesce(F.col("_rf_run"), F.lit(0))
+    prior = cum - F.coalesce(F.col(value), F.lit(0))
+    res = sliced.withColumn("_rf_run", F.sum(value).over(w)).join(offset, "_rf_slice") \
+        .withColumn("cum_value", cum).withColumn("cum_share", cum.cast("double") / F.lit(float(total)))
     # class bounds compared exactly: prior < cut * total (no division)
     cut_a, cut_b = (F.lit(Decimal(str(c))) for c in cuts)
     res = res.withColumn(out, F.when(prior < F.lit(total) * cut_a, F.lit(labels[0]))
                                .when(prior < F.lit(total) * cut_b, F.lit(labels[1]))
                                .otherwise(F.lit(labels[2])))
-    return res.drop("_rf_pid", "_rf_run", "_rf_off")
+    return res.drop("_rf_slice", "_rf_run", "_rf_off")

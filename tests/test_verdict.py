@@ -93,6 +93,24 @@ def test_threshold_join_refuses_other_weights(spark):
     assert S.pick_products(items, ranked.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("slices", [1, 5])
+def test_abc_curve_over_slices_with_ties(spark, slices):
+    rows = [(f"i{k:03d}", Decimal(k % 4).scaleb(-2)) for k in range(300)]
+    df = spark.createDataFrame(rows, "item string, value decimal(18,2)")
+    got = {r.item: (r.cum_value, r.abc_class) for r in W.abc_curve(df, "item", "value", num_partitions=slices).collect()}
+    total, run = sum(v for _, v in rows), Decimal(0)
+    for i, v in sorted(rows, key=lambda r: (-r[1], r[0])):
+        want = "A" if run < total * Decimal("0.8") else "B" if run < total * Decimal("0.95") else "C"
+        run += v
+        assert got[i] == (run, want)
+
+
+def test_abc_curve_moves_its_rows_once(spark):
+    df = spark.range(300).select(F.col("id").alias("item"), F.col("id").cast("decimal(18,2)").alias("value"))
+    plan = W.abc_curve(df, "item", "value", num_partitions=3)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan and plan.count("Exchange hashpartitioning") == 1 and "rangepartitioning" not in plan
+
+
 def test_empty_inputs(spark):
     none = spark.createDataFrame([], "item string, value decimal(18,2)")
     assert W.abc_curve(none, "item", "value").collect() == []
