@@ -169,7 +169,7 @@ def _step(last: bool, hold: int):
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["salt", "size"], kind="stable").reset_index(drop=True)
-        p, pi, size = pdf["p"].to_numpy(float), pdf["pi"].to_numpy(float), pdf["size"].to_numpy(float)
+        p, size = pdf["p"].to_numpy(float), pdf["size"].to_numpy(float)
         n = len(pdf)
         # documents of all sizes are kept for the landing: their sums lie close to any goal
         share = hold if last else -(-hold // int(pdf["blocks"].iloc[0]))

@@ -25,7 +25,7 @@ from pyspark.sql.window import Window
 from retailflow.llm.common import on_workers, stored
 
 #: Pivots, length of the posted prefix, share of a shard that is reranked (and its least), rows of a block.
-PIVOTS, PREFIX, RERANK, LEAST, SHARD = 128, 64, 0.25, 200, 4_096
+PIVOTS, PREFIX, RERANK, LEAST, SHARD = 128, 64, 0.35, 200, 4_096
 
 
 def nearest_pivots(x: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndarray:

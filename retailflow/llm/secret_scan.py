@@ -13,6 +13,7 @@ and adding up lengths, which stays in the JVM.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,7 +21,7 @@ from pyspark.sql.window import Window
 
 from retailflow.llm.common import shared_path, stored
 
-#: Unseen blobs up to this number (32 bytes each) are broadcast to filter contents where they lie.
+#: Unseen blobs up to this number (64 hex digits each) are broadcast to filter contents where they lie.
 BROADCAST_BLOBS = 50_000
 #: Findings up to this number of spans (about 60 bytes each) are broadcast to redact texts where they lie.
 BROADCAST_SPANS = 100_000
@@ -84,11 +85,12 @@ def find_spans(blobs: DataFrame) -> DataFrame:
 
 def _ledger(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A ledger table (empty before the first run)."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hadoop):
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
 
 
 def update_ledger(addressed: DataFrame, versions: DataFrame, ledger: str) -> DataFrame:
