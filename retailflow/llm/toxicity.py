@@ -176,17 +176,19 @@ def _singles(texts: list[str], alike: float = 0.5) -> list[int]:
     """Positions of the texts that are no near copy of an earlier one (MinHash of
     three-word shingles, checked by overlap)."""
     kept: dict[tuple[int, int], list[int]] = {}
-    shingles: list[set[int]] = []
+    shingles: list[np.ndarray] = []
     out = []
     for i, text in enumerate(texts):
         words = text.split()
-        own = {zlib.crc32(" ".join(words[k:k + 3]).encode()) for k in range(max(1, len(words) - 2))}
+        many = max(1, len(words) - 2)
+        own = np.unique(np.fromiter((zlib.crc32(" ".join(words[k:k + 3]).encode()) for k in range(many)), np.uint32, many))
         shingles.append(own)
-        h = np.fromiter(own, np.uint64, len(own))
+        h = own.astype(np.uint64)
         bands = [(k, int(((h ^ np.uint64(0x5851F42D * (k + 1))) * np.uint64(0x9E3779B97F4A7C15)).min()))
                  for k in range(16)]
         near = {j for band in bands for j in kept.get(band, ())}
-        if any(len(own & shingles[j]) >= alike * len(own | shingles[j]) for j in near):
+        shared = {j: len(np.intersect1d(own, shingles[j], assume_unique=True)) for j in near}
+        if any(n >= alike * (len(own) + len(shingles[j]) - n) for j, n in shared.items()):
             continue
         out.append(i)
         for band in bands:
@@ -206,7 +208,8 @@ def train(texts: list[str], labels: list[int]) -> dict:
         return {"weight": np.zeros(1 << BITS), "bias": 0.0, "curve": np.array([0, 0, 0, np.log(p / (1 - p))])}
     # copies of a text would vouch for each other's rare tokens
     single = _singles(texts)
-    bags = [sorted(set().union(*map(units, sentences(texts[i])))) for i in single]
+    known: dict[str, str] = {}  # one string object per token
+    bags = [sorted(known.setdefault(w, w) for w in set().union(*map(units, sentences(texts[i])))) for i in single]
     marks_of = y[single]
     if len(set(marks_of.tolist())) < 2:
         return train([], [])
