@@ -54,9 +54,10 @@ def _bytes(column: pa.Array) -> list[bytes]:
 
 def frequent_lengths(docs: DataFrame, vocabulary: str, text_col: str = "text",
                      size: int = FREQUENT, sample_rows: int = SAMPLE_ROWS) -> dict[bytes, int]:
-    """Lengths of the ``size`` most frequent pre-tokens of ``sample_rows`` rows.
+    """Lengths of the ``size`` most frequent pre-tokens of about ``sample_rows`` sampled rows.
 
-    At most ``size`` entries reach the driver, whatever the input's size.
+    The sample's rows, a fixed number, are counted in one task; at most
+    ``size`` entries reach the driver, whatever the input's size.
     """
 
     def count(batches):
@@ -69,7 +70,9 @@ def frequent_lengths(docs: DataFrame, vocabulary: str, text_col: str = "text",
         yield pa.RecordBatch.from_arrays(
             [pa.array([w for w, _ in pairs], pa.binary()), pa.array([n for _, n in pairs], pa.int32())], ["w", "n"])
 
-    rows = on_workers(docs).select(text_col).limit(sample_rows).coalesce(1).mapInArrow(count, "w binary, n int").collect()
+    n = docs.count()
+    sample = docs.select(text_col).sample(min(1.0, sample_rows / n), seed=1) if n > sample_rows else docs.select(text_col)
+    rows = on_workers(sample).repartition(1).mapInArrow(count, "w binary, n int").collect()
     return {bytes(r.w): r.n for r in rows}
 
 
