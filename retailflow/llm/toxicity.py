@@ -10,9 +10,11 @@ word, is one token).
 Training takes labelled documents cut into sentences, which inherit the label.
 In a toxic document only some sentences carry the label, so it is represented
 by witnesses (multiple-instance learning): tokens that its sentences share with
-many toxic and no clean ones, or else the token that speaks most for the label,
-first by frequencies and then by the machine trained so far. Landmarks are a spread-out
-sample of witnesses and clean tokens; the Nystroem map ``K_mm^(-1/2) k_m`` turns
+many toxic and no clean ones, or else the token with the most look-alikes (by the
+kernel) in other toxic documents and the fewest in clean ones, weighed by how clear
+that is and chosen anew by the machine trained so far. Every toxic document
+has a witness; of near copies with one label the first stands for all. Landmarks are a
+spread-out sample of witnesses, and clean tokens; the Nystroem map ``K_mm^(-1/2) k_m`` turns
 the kernel into features of a linear SVM. A document's score is a logistic curve
 over its best two token decisions and the number of tokens that speak for
 toxicity: one look-alike in a clean text counts less than several insults.
@@ -45,6 +47,8 @@ TRAIN_DOCS, LANDMARKS, TOKENS = 1_500, 256, 4_000
 #: Clean tokens watched for false alarms, rounds of training, standard deviations that make a token
 #: clear, decision of a text without tokens.
 WATCHED, ROUNDS, CLEAR, LOWEST = 40_000, 3, 6.0, -3.0
+#: Look-alikes: pairs of drawn kernel features that make two tokens meet; least weight of a witness.
+BANDS, FAINT = 32, 0.2
 #: Tokens kept in a worker's cache; longer tokens are scored in pieces of PIECE characters.
 CACHE, PIECE = 400_000, 24
 THRESHOLD = 0.3
@@ -123,6 +127,59 @@ def landmark_kernel(words: list[str], phi: np.ndarray) -> np.ndarray:
     return out
 
 
+def spread(words: list[str], weights: np.ndarray, many: int) -> list[str]:
+    """At most ``many`` words by weight and by what the ones before leave unexplained (pivoted Cholesky)."""
+    row, col, val = kernel_features(words)
+    left, parts, out = np.ones(len(words)), np.zeros((len(words), min(many, len(words)))), []
+    for j in range(parts.shape[1]):
+        p = int(np.argmax(left * weights))
+        if left[p] < 1e-3:
+            break
+        dense, own = np.zeros(1 << BITS), row == p
+        dense[col[own]] = val[own]
+        near = np.bincount(row, weights=val * dense[col], minlength=len(words))
+        parts[:, j] = (near - parts[:, :j] @ parts[p, :j]) / np.sqrt(left[p])
+        left = np.maximum(left - parts[:, j] ** 2, 0.0)
+        left[p] = 0.0
+        out.append(words[p])
+    return out
+
+
+def look_alikes(bags: list[list[str]], marks: np.ndarray) -> dict[str, float]:
+    """For every token, how far its look-alikes lean to other toxic documents.
+
+    Tokens meet if they draw the same two kernel features (weighted min-hash); a token counts
+    with the clearest of its ``BANDS`` meetings, in documents (signed root of the deviance).
+    """
+    words = sorted(set().union(*bags))
+    place = {w: i for i, w in enumerate(words)}
+    drawn = np.random.default_rng(13).exponential(size=(2 * BANDS, 1 << BITS))
+    picks = np.zeros((2 * BANDS, len(words)), np.uint16)
+    for lo in range(0, len(words), 4096):
+        row, col, val = kernel_features(words[lo:lo + 4096])
+        first = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
+        sizes = np.diff(np.append(first, len(row)))
+        for k, draw in enumerate(drawn):
+            x = draw[col] / val
+            hit = np.flatnonzero(x == np.repeat(np.minimum.reduceat(x, first), sizes))
+            picks[k, lo + row[hit]] = col[hit]
+    token = np.fromiter((place[w] for b in bags for w in b), np.int64)
+    doc = np.repeat(np.arange(len(bags)), [len(b) for b in bags])
+    rate, best = marks.mean(), np.full(len(words), -np.inf)
+    for k in range(BANDS):
+        group = np.unique(picks[2 * k].astype(np.int64) << BITS | picks[2 * k + 1], return_inverse=True)[1]
+        held = np.unique(group[token] * len(bags) + doc)
+        of, toxic = held // len(bags), marks[held % len(bags)]
+        hits = np.bincount(of, weights=toxic)
+        rest = np.bincount(of) - hits
+        hits = np.maximum(hits - 1, 0.0)  # the token's own document
+        n = np.maximum(hits + rest, 1.0)
+        deviance = sum(x * np.log(np.maximum(x, 1.0) / (n * r)) for x, r in ((hits, rate), (rest, 1 - rate)))
+        lean = np.sign(hits - n * rate) * np.sqrt(2 * np.maximum(deviance, 0.0))
+        best = np.maximum(best, lean[group])
+    return dict(zip(words, best.tolist(), strict=True))
+
+
 def decisions(words: list[str], weight: np.ndarray, bias: float) -> np.ndarray:
     """SVM decision of every token (all landmarks folded into one weight vector)."""
     out = np.full(len(words), bias)
@@ -206,8 +263,9 @@ def train(texts: list[str], labels: list[int]) -> dict:
         share = float(y.mean()) if len(y) else 0.0
         p = min(max(share, 1e-6), 1 - 1e-6)
         return {"weight": np.zeros(1 << BITS), "bias": 0.0, "curve": np.array([0, 0, 0, np.log(p / (1 - p))])}
-    # copies of a text would vouch for each other's rare tokens
-    single = _singles(texts)
+    # copies of a text would vouch for each other's rare tokens; a copy with the other label is a contrast
+    single = sorted(rows[i] for rows in (np.flatnonzero(y == label) for label in (0, 1))
+                    for i in _singles([texts[r] for r in rows]))
     known: dict[str, str] = {}  # one string object per token
     bags = [sorted(known.setdefault(w, w) for w in set().union(*map(units, sentences(texts[i])))) for i in single]
     marks_of = y[single]
@@ -235,33 +293,41 @@ def train(texts: list[str], labels: list[int]) -> dict:
         return (pos[w] - n * rate) / np.sqrt(n * rate * (1 - rate))
 
     shared = {w: n for w, n in pos.items() if n > 2 and surplus(w) >= CLEAR}
+    # every other toxic document stands by one token, weighed by how clearly its look-alikes are toxic
     bare = [b for b in toxic if not shared.keys() & set(b)]
-    if len(bare) < len(toxic) / 2:
-        bare = []  # what few documents do not share is as likely a wrong label
-    witness = Counter(shared) + Counter(max(b, key=lambda w: (odds(w), w)) for b in bare)
+    unexplained = [b for b, label in zip(bags, marks_of, strict=True) if not label] + bare
+    lean = look_alikes(unexplained, np.arange(len(unexplained)) >= n_neg) if bare else {}
+
+    def with_bare(best) -> dict[str, float]:
+        weight = {w: 1.0 + math.log1p(n) for w, n in shared.items()}
+        for b in bare:
+            w = max(b, key=lambda w: (best(w), w))
+            weight[w] = weight.get(w, 0.0) + min(max(lean[w] / CLEAR, FAINT), 1.0) ** 2
+        return weight
+
+    witness = with_bare(lambda w: lean[w] + 0.25 * odds(w))
     model: dict = {}
     for _ in range(ROUNDS):
-        good = sorted((w for w in witness if odds(w) > 0), key=lambda w: (-witness[w], w))[:TOKENS // 2]
-        held = set(good)
-        bad = [w for w in clean_tokens if w not in held]
+        good = sorted(witness, key=lambda w: (-witness[w], w))
+        weights = np.array([witness[w] for w in good])
+        clear = {w for w in good if odds(w) > 0}
+        bad = [w for w in clean_tokens if w not in clear]
         words, target = good + bad, np.array([1.0] * len(good) + [-1.0] * len(bad))
-        # landmarks: the heaviest witnesses and clean tokens, hard ones first
-        chosen = good[:LANDMARKS // 2]
-        chosen = chosen + bad[:LANDMARKS - len(chosen)]
+        # landmarks: witnesses that differ, heavy ones first, and clean tokens, hard ones first
+        chosen = spread(good, weights, LANDMARKS // 2)
+        chosen = chosen + [w for w in bad if w not in set(chosen)][:LANDMARKS - len(chosen)]
         row, col, val = kernel_features(chosen)
         phi = np.zeros((1 << BITS, len(chosen)))
         phi[col, row] = val
         value, vector = np.linalg.eigh(phi.T @ phi + 1e-6 * np.eye(len(chosen)))
         root = vector @ np.diag(1 / np.sqrt(np.maximum(value, 1e-6))) @ vector.T
-        weights = np.array([1.0 + np.log1p(witness[w]) for w in good] + [1.0] * len(bad))
-        weights[:len(good)] *= max(1.0, 0.5 * len(bad) / weights[:len(good)].sum())
+        weights = np.append(weights * max(1.0, 0.5 * len(bad) / max(weights.sum(), 1.0)), np.ones(len(bad)))
         w = _svm(landmark_kernel(words, phi) @ root, target, weights)
         model = {"weight": phi @ (root @ w[:-1]), "bias": float(w[-1])}
-        # the machine names witnesses of documents that share none; clean tokens it takes for toxic join the negatives
+        # the machine names witnesses of documents that share none, look-alikes counting; clean tokens it takes for toxic join the negatives
         every = sorted(set().union(*bare, watched)) if bare else watched
         score = dict(zip(every, decisions(every, **model), strict=True))
-        witness = Counter(shared) + Counter(
-            t for b in bare for t in [max(b, key=lambda t: (score[t] + 0.25 * odds(t), t))] if score[t] > -0.5)
+        witness = with_bare(lambda w: score[w] + 0.25 * odds(w) + min(lean[w], CLEAR) / CLEAR)  # noqa: B023
         hard = sorted((t for t in watched if score[t] > -0.7), key=lambda t: (-score[t], t))
         clean_tokens = list(dict.fromkeys(hard + clean_tokens))[:2 * TOKENS]
     names = sorted(set().union(*bags))

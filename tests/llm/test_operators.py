@@ -192,6 +192,18 @@ def test_nearest_small_and_empty(spark, vectors):
     assert permutation_index.nearest(table.where("false"), F.col("vec_id") == 0).collect() == []
 
 
+def test_nearest_repeated_queries(spark, vectors):
+    table, _ = vectors
+    plain = permutation_index.nearest(table, F.col("vec_id").isin(20, 30)).collect()
+    again = table.unionAll(table.where("vec_id = 20")).unionAll(table.where("vec_id = 20"))
+    assert by_id(permutation_index.nearest(again, F.col("vec_id").isin(20, 30)).where("vec_id <> 20").collect()) == by_id(
+        r for r in plain if r.vec_id != 20)
+    # one id with two vectors: a list each
+    other = table.where("vec_id = 40").withColumn("vec_id", F.lit(20).cast(table.schema["vec_id"].dataType))
+    rows = permutation_index.nearest(table.unionAll(other), F.col("vec_id") == 20).collect()
+    assert sorted(r["rank"] for r in rows) == sorted(2 * list(range(1, 11)))
+
+
 def plain_components(near):
     label = np.arange(len(near))
     while True:
