@@ -87,13 +87,15 @@ def nearest(embeddings: DataFrame, query_rows, k: int = 10, id_col: str = "vec_i
     candidates of a query are all rows with another id. ``score`` is the
     Euclidean distance of the original vectors in doubles; ties go to the
     smaller id, equal vectors included. Rows that ``usable_vectors`` leaves out
-    take no part; repeated rows are candidates each; with fewer than ``k``
-    candidates all are returned; an empty table gives no rows. Other columns
-    are ignored.
+    take no part; repeated rows are candidates each, but ask once: a query row that
+    is repeated as a whole has one list of ``k``, and rows of one id with different
+    vectors have a list each. With fewer than ``k`` candidates all are returned; an
+    empty table gives no rows. Other columns are ignored.
     """
     spark = embeddings.sparkSession
     vectors = stored(usable_vectors(embeddings, id_col, vector_col), "vectors")
-    queries = vectors.where(query_rows)
+    # numbered once, as written: ranks are by this number
+    queries = stored(vectors.where(query_rows).distinct().withColumn("query", F.monotonically_increasing_id()), "queries")
     n, n_queries = vectors.count(), queries.count()
     blocks, query_blocks = max(1, -(-n // shard)), max(1, -(-n_queries // shard))
     # a bounded sample, the same in every run
@@ -109,16 +111,17 @@ def nearest(embeddings: DataFrame, query_rows, k: int = 10, id_col: str = "vec_i
             files = InvertedFiles(nearest_pivots(x, pivot, width), len(pivot))
             q = np.stack(right["v"].to_numpy())
             many = max(least, k + 1, int(np.ceil(rerank * len(x))))
-            for query, vector, order in zip(right["vec_id"], q, nearest_pivots(q, pivot, width), strict=True):
+            for number, query, vector, order in zip(right["query"], right["vec_id"], q, nearest_pivots(q, pivot, width),
+                                                    strict=True):
                 score = files.agreement(order)
                 score[ids == query] = -1.0
                 near = np.sort(best(score, many))
                 near = near[ids[near] != query]
                 distance = np.sqrt(((x[near] - vector) ** 2).sum(axis=1))
                 top = np.argsort(distance, kind="stable")[:k]
-                out += [(query, ids[near[i]], distance[i]) for i in top]
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype(
-            {"query_id": "int64", "vec_id": "int64", "score": "float64"})
+                out += [(number, query, ids[near[i]], distance[i]) for i in top]
+        return pd.DataFrame(out, columns=["query", "query_id", "vec_id", "score"]).astype(
+            {"query": "int64", "query_id": "int64", "vec_id": "int64", "score": "float64"})
 
     numbers = F.sequence(F.lit(0), F.lit(query_blocks - 1))
     shards = vectors.withColumns({"block": F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"),
@@ -127,7 +130,7 @@ def nearest(embeddings: DataFrame, query_rows, k: int = 10, id_col: str = "vec_i
                                  "block": F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))})
     keys = ["block", "part"]
     found = on_workers(shards).groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(
-        search, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+        search, "query long, query_id long, vec_id long, score double")
+    order = Window.partitionBy("query").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k) \
         .select("query_id", "rank", "vec_id", "score")

@@ -1,6 +1,7 @@
 """Each operator against a plain version, over the awkward table, and over empty tables."""
 
 import hashlib
+import random
 import re
 
 import numpy as np
@@ -338,6 +339,36 @@ def test_toxicity_tolerates_inserted_characters(labelled):
     assert "numskull" in toxicity.units("you n u m s k u l l !")
 
 
+def test_toxicity_learns_varied_spellings_of_a_small_language():
+    rng = random.Random(5)
+    syllables = ["al", "be", "ga", "del", "ep", "ze", "et", "io", "kap", "lam", "mu", "xi", "om", "pi", "ro", "sig", "tau"]
+    ends = ["a", "o", "as", "os", "ito", "ada", "ez", "udo", "ear", "ie", "ja", "ue"]
+
+    def word():
+        return "".join(rng.choice(syllables) for _ in range(rng.randint(1, 4)))
+
+    texts, labels, small = [], [], []
+    for i in range(600):
+        words, toxic, of_small = [word() for _ in range(25)], i % 3 == 0, i % 10 == 0
+        if of_small:
+            words = [w + rng.choice(ends) for w in words]
+        if toxic:
+            # few documents share one spelling in the small language
+            words[3:3] = [f"bomente{rng.choice(ends)}{rng.choice(ends)}" for _ in range(3)] if of_small else ["numskull", "nitwit"]
+        texts.append(" ".join(words))
+        labels.append(int(toxic))
+        small.append(of_small)
+    model = toxicity.train(texts[:450], labels[:450])
+
+    def score(text):
+        seen = toxicity.evidence(toxicity.decisions(sorted(toxicity.units(text)), model["weight"], model["bias"]).tolist())
+        return 1 / (1 + np.exp(-(np.dot(seen, model["curve"][:-1]) + model["curve"][-1])))
+
+    held = [(score(texts[i]) >= toxicity.THRESHOLD, labels[i]) for i in range(450, 600) if small[i]]
+    assert len(held) == 15 and sum(y for _, y in held) == 5
+    assert all(found == bool(y) for found, y in held)
+
+
 def test_toxicity_awkward(spark, awkward, nothing, labelled):
     _, labels = labelled
     out = toxicity.toxicity(awkward, labels).collect()
