@@ -36,6 +36,13 @@ RULES = (
     ("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}", 1, 0),
 )
 BASE_KINDS = ("assign", "access", "hex")
+
+# What goes with a pem header when a text is redacted: all up to the END that follows (no other block between), else,
+# without one, its header and base64 lines; possessive and atomic groups, as Java's others go deeper with every line.
+_BREAK, _BASE64 = r"(?:\s|\\[nr])", "[A-Za-z0-9+/=]"
+PEM_BLOCK = (r"^-----BEGIN [A-Z ]*PRIVATE KEY-----(?:(?>(?s:.*?)-----(?=BEGIN |END ))END [A-Z ]*PRIVATE KEY-----|"
+             rf"(?:{_BREAK}++[A-Za-z-]+:\x20[^\r\n\\]*+)*+(?:{_BREAK}++{_BASE64}{{16,}}+)*+"
+             r"(?:(?:[\x20\t]|\\r)*+(?:\r?\n|\r|\\n)[\x20\t]*+" rf"{_BASE64}++(?=[\x20\t]*+(?:[\r\n\\]|\z)))?+)")
 #: Changes whenever RULES change: the ledger keeps results per version.
 RULES_VERSION = "2"
 
@@ -187,7 +194,12 @@ def span_text(spans: Column, kinds: tuple[str, ...] | None = None) -> Column:
 
 
 def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """The text with every span (overlapping ones merged) replaced by a mark."""
+    """The text with every span (overlapping ones merged) replaced by a mark, private keys with their bodies."""
+    def whole(s):
+        block = F.length(F.regexp_extract(F.substring(text, (s["start"] + 1).cast("int"), F.lit(2147483647)), PEM_BLOCK, 0))
+        return s.withField("stop", F.when(s["kind"] == "pem", F.greatest(s["stop"], s["start"] + block)).otherwise(s["stop"]))
+
+    spans = F.transform(spans, whole)
     state = T.StructType([T.StructField("at", T.LongType()), T.StructField("out", T.StringType())])
     start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
 
