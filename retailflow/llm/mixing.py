@@ -10,7 +10,8 @@ change on the way. The few documents that stay fractional are a small landing
 problem, solved by enumeration.
 
 On Spark the flight runs in blocks of a source's documents (hashed by id, so a
-source with a third of all rows is many blocks). A block leaves at most two
+source with a third of all rows is many blocks; rows that repeat a whole
+(id, size, source) are counted and numbered, and spread by number). A block leaves at most two
 fractional documents and a few that it holds back for the landing; these form
 the next level's blocks, until each source fits one block, which lands. Only ids and sizes are shuffled, never texts.
 """
@@ -120,17 +121,17 @@ def targets(by_source: DataFrame, weights=(1, 2, 3), most: int = MAX_REPEATS) ->
 def balanced_extra(units: DataFrame, block: int = BLOCK, hold: int = LANDING) -> DataFrame:
     """Draw the extra copies: adds ``extra`` (0 or 1) to ``doc_id, source, size, pi``.
 
-    ``size`` is never null; ``source`` may be. Probabilities of 0 or 1 are
+    ``row`` tells rows apart that are otherwise equal; without it they are counted and numbered. ``size`` is never null; ``source`` may be. Probabilities of 0 or 1 are
     decided at once. Levels of flight blocks follow until every source has one
     block, which lands. The number of levels is logarithmic in the largest
     source, each level holds a few rows per block of the one before.
     """
     id_type = units.schema["doc_id"].dataType.simpleString()
     schema = _SCHEMA.format(id=id_type)
-    # rows without an id are told apart by their place, so that they spread over blocks too
-    place = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()).otherwise(0)
-    units = units.withColumns({"k": F.col("size"), "salt": F.xxhash64("doc_id", "size", "source", place),
-                               "extra": F.lit(None).cast("long")})
+    if "row" not in units.columns:
+        units = numbered(units.groupBy(*units.columns).agg(F.count(F.lit(1)).alias("n")))
+    units = units.withColumns({"k": F.col("size"), "salt": F.xxhash64("doc_id", "size", "source", "row"),
+                               "extra": F.lit(None).cast("long")}).drop("row")
     sure = units.where((F.col("pi") <= EPS) | (F.col("pi") >= 1 - EPS)) \
         .withColumn("extra", F.when(F.col("pi") > 0.5, F.lit(1)).otherwise(F.lit(0)).cast("long"))
     parts = [sure.select("doc_id", "source", "size", "extra")]
@@ -157,6 +158,19 @@ def balanced_extra(units: DataFrame, block: int = BLOCK, hold: int = LANDING) ->
         level += 1
 
 
+def numbered(kinds: DataFrame, block: int = BLOCK) -> DataFrame:
+    """``kinds`` (with a count ``n``) as ``n`` rows each, numbered from 0 in ``row``.
+
+    Equal rows are interchangeable, so the numbers are the same in every run. Kinds
+    of more than ``block`` rows are dealt out in ranges of ``block`` first.
+    """
+    few = kinds.where(F.col("n") <= block).withColumn("row", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+    at = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(block).cast("long")))
+    ranges = kinds.where(F.col("n") > block).withColumn("at", at).repartition("doc_id", "source", "size", "at")
+    many = ranges.withColumn("row", F.explode(F.sequence(F.col("at"), F.least(F.col("n"), F.col("at") + block) - 1)))
+    return few.unionByName(many.drop("at")).drop("n")
+
+
 def _union(parts: list[DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
@@ -205,14 +219,16 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     table gives an empty result; other columns are ignored. Sources must be
     few enough for a row each on the driver. Reruns give the same draw.
     """
-    units = stored(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
-                               word_count(F.col(text_col).cast("string")).alias("size")), "mix-sizes")
-    by_source = units.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n"))
+    sizes = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
+                        word_count(F.col(text_col).cast("string")).alias("size"))
+    kinds = stored(sizes.groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("n")), "mix-sizes")
+    by_source = kinds.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"), F.sum("n").alias("n"))
     goal = targets(by_source, weights, most)
+    units = numbered(kinds)
     joined = units.join(F.broadcast(goal), units.source.eqNullSafe(goal.source)).drop(goal.source)
     # size 0 adds nothing to either total of words: decided at once
     pi = F.when(F.col("size") == 0, F.lit(0.0)).otherwise(F.col("pi"))
-    drawn = balanced_extra(joined.select("doc_id", "source", "size", pi.alias("pi")))
+    drawn = balanced_extra(joined.select("doc_id", "source", "size", "row", pi.alias("pi")))
     out = drawn.join(F.broadcast(goal), drawn.source.eqNullSafe(goal.source)).drop(goal.source)
     return out.select("doc_id", "size", "source_size", "target",
                       (F.col("size") * (F.col("base") + F.col("extra"))).alias("taken"))

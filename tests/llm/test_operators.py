@@ -39,6 +39,28 @@ def test_token_counts(spark, awkward, nothing):
     assert token_counts.count_tokens(nothing, VOCABULARY).collect() == []
 
 
+def test_mixing_spreads_repeated_rows(spark, monkeypatch):
+    plain = mixing._step
+
+    def bounded(last, hold):
+        run = plain(last, hold)
+
+        def step(pdf):
+            assert len(pdf) <= 2_048
+            return run(pdf)
+
+        return step
+
+    monkeypatch.setattr(mixing, "_step", bounded)
+    docs = spark.range(9_000).selectExpr("if(id < 6000, 7, id) AS doc_id", "if(id < 6000, 'a b c', repeat('x ', 1 + id % 9)) AS text",
+                                         "if(id < 7000, 'a', 'b') AS source")
+    rows = mixing.mix(docs).collect()
+    assert len(rows) == 9_000 and sum(r.doc_id == 7 for r in rows) == 6_000
+    assert by_id(rows) == by_id(mixing.mix(docs.repartition(3)).collect())
+    for goal in {r.target for r in rows}:
+        assert abs(sum(r.taken for r in rows if r.target == goal) - goal) <= 3
+
+
 def test_mixing(awkward, nothing):
     rows = mixing.mix(awkward).collect()
     assert len(rows) == awkward.count()
