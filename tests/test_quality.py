@@ -1,5 +1,7 @@
 """Data-quality checks with seeded bad rows."""
 
+from pyspark.sql import functions as F
+
 from retailflow.plans import quality as Q
 
 
@@ -53,3 +55,20 @@ def test_gold_key_report_flags_each_rule(spark):
     assert rep["fk_fact_sales_dim_products"] == (1, "violated")
     assert rep["fk_fact_stock_dim_calendar"] == (0, "ok")
     assert len(rep) == 9
+
+
+def test_registered_key_report_sees_the_star_as_built(spark, monkeypatch):
+    from retailflow.plans import gold, queries
+
+    smoke = "/root/testdata/sf0.001"
+    dim, fact = gold.dim_products, gold.fact_daily_sales
+    # a dimension that doubles its rows, and a stock join that breaks the fact's product keys
+
+    def broken(sales, stock=None, **kw):
+        out = fact(sales, stock, **kw)
+        return out if stock is None else out.withColumn("product_id", -F.col("product_id"))
+
+    monkeypatch.setattr(gold, "dim_products", lambda p: dim(p).unionAll(dim(p)))
+    monkeypatch.setattr(gold, "fact_daily_sales", broken)
+    bad = {r.table_name for r in queries.QUERIES["gold_key_report"](spark, smoke).where("violations > 0").collect()}
+    assert {"dim_products", "fact_daily_sales"} <= bad
