@@ -142,3 +142,41 @@ FROM docs LEFT JOIN per_doc USING (r)
 """
 
 SQL |= {"op2_substring_trees": OP2, "op5_secret_scan": OP5, "op10_decontamination": OP10}
+
+
+def _crc32(text: str) -> str:
+    """The unsigned CRC-32 of an ASCII string, bit by bit."""
+    return f"""xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split({text}, ''), lambda ch: CAST(ascii(ch) AS BIGINT))),
+      lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+
+#: All pairs of equal words at most a third of the text apart, chained to stretches.
+OP13 = r"""
+WITH hashed AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         CASE WHEN doc_id IS NULL THEN 1 ELSE """ + _crc32("CAST(doc_id AS VARCHAR)") + r""" END AS h
+  FROM documents),
+placed AS (SELECT *, len(w) AS n, h // 10 AS g, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a FROM hashed),
+texts AS (
+  SELECT r, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+    THEN list_transform(range(0, n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END])
+    ELSE w END AS w
+  FROM placed),
+words AS (SELECT r, n, unnest(w) AS word, unnest(range(0, n)) AS x FROM texts),
+equal AS (SELECT i.r, i.x, j.x - i.x AS p FROM words i JOIN words j ON i.r = j.r AND i.word = j.word
+          AND j.x > i.x AND 3 * (j.x - i.x) <= i.n),
+chained AS (SELECT r, p, x, x - row_number() OVER (PARTITION BY r, p ORDER BY x) AS chain FROM equal),
+stretches AS (SELECT r, p, min(x) AS start, count(*) + p AS length FROM chained GROUP BY r, p, chain),
+runs AS (SELECT r, start, length, min(p) AS period FROM stretches WHERE length >= greatest(24, 3 * p) GROUP BY ALL),
+best AS (SELECT r, start, length, period FROM runs
+         QUALIFY row_number() OVER (PARTITION BY r ORDER BY CAST(length AS DOUBLE) / period DESC, start, period) = 1),
+lines AS (SELECT r, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS t
+          FROM runs GROUP BY r),
+gone AS (SELECT DISTINCT r, unnest(range(start + period, start + length)) AS x FROM runs),
+kept AS (SELECT r, string_agg(word, ' ' ORDER BY x) AS t FROM words ANTI JOIN gone USING (r, x) GROUP BY r)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+       sha256(coalesce(lines.t, '')) AS runs_sha256, sha256(coalesce(kept.t, '')) AS collapsed_sha256
+FROM texts LEFT JOIN best USING (r) LEFT JOIN lines USING (r) LEFT JOIN kept USING (r)
+"""
+
+SQL |= {"op13_periodic_runs": OP13}

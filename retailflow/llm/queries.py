@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from retailflow.llm import (
     decontamination,
     mixing,
+    periodic_runs,
     permutation_index,
     secret_scan,
     simhash,
@@ -79,6 +80,18 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("item_ids", items)
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of ``documents``, a tenth of which get a repeating tail first."""
+    runs = periodic_runs.find_runs(periodic_runs.with_cycles(table(spark, sf_dir, "documents")))
+    best = periodic_runs.strongest(F.col("runs"))
+    found = runs.select("doc_id", "runs", "collapsed", best.alias("best"))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(periodic_runs.run_lines(F.col("runs")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline over ``documents``, all stages."""
     import corpus_pipeline
@@ -97,5 +110,6 @@ QUERIES = {
     "op8_permutation_index": op8_permutation_index,
     "op9_simhash": op9_simhash,
     "op10_decontamination": op10_decontamination,
+    "op13_periodic_runs": op13_periodic_runs,
     "pipeline": pipeline,
 }
