@@ -180,3 +180,69 @@ FROM texts LEFT JOIN best USING (r) LEFT JOIN lines USING (r) LEFT JOIN kept USI
 """
 
 SQL |= {"op13_periodic_runs": OP13}
+
+
+def _edited(state: str, cost: str, letter: str) -> str:
+    """A path 'nine digits of cost, then audit' with one more edit."""
+    return f"lpad(CAST(CAST(left({state}, 9) AS BIGINT) + {cost} AS VARCHAR), 9, '0') || substr({state}, 10) || '{letter}'"
+
+
+def _moved(source: list[str], initial: str) -> list[str]:
+    """Keep (where the initial fits) and rerole from each of the sources; not for blank or duplicate rows."""
+    more = "CASE WHEN f.fault = 3 THEN 5 ELSE 0 END"
+    return [f"CASE WHEN f.fault < 1 OR f.fault > 2 THEN CASE WHEN f.initial = '{initial}' THEN {_edited(x, more, 'K')} END END" for x in source] + \
+        [f"CASE WHEN f.fault < 1 OR f.fault > 2 THEN {_edited(x, '1 + ' + more, 'R')} END" for x in source if initial != "s"]
+
+
+#: Least of 'cost, audit' strings for each phase, row after row. An insert costs more than deleting its neighbour in
+#: the pattern and a leading s, so no cheapest audit has one, and letter i belongs to row i.
+OP11 = r"""
+WITH RECURSIVE src AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         """ + _crc32("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')") + r""" % 20 AS h
+  FROM conversations),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+         CASE h WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM src, range(2) AS copies(copy) WHERE h <> 0 AND (copy = 0 OR h = 3)),
+numbered AS (
+  SELECT *, left(role, 1) AS initial, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i
+  FROM damaged),
+earlier AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS seen FROM numbered),
+faults AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 1 WHEN seen > 1 THEN 2
+                 WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 3 ELSE 0 END AS fault,
+         left(role, 1) || lead(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS pair FROM earlier),
+walk AS (
+  SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS i, '000000000' AS b, CAST(NULL AS VARCHAR) AS s, CAST(NULL AS VARCHAR) AS u,
+         CAST(NULL AS VARCHAR) AS a FROM damaged
+  UNION ALL
+  SELECT f.conv_id, f.i, """ + _edited("w.b", "2", "D") + r""",
+         least(""" + ", ".join([_edited("w.s", "2", "D"), *_moved(["w.b"], "s")]) + r"""),
+         least(""" + ", ".join([_edited("w.u", "2", "D"), *_moved(["w.b", "w.s", "w.a"], "u")]) + r"""),
+         least(""" + ", ".join([_edited("w.a", "2", "D"), *_moved(["w.u"], "a")]) + r""")
+  FROM walk w JOIN faults f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1),
+best AS (SELECT conv_id, least(b, a) AS path FROM walk QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1),
+kept AS (
+  SELECT f.conv_id, f.i, f.role, f.initial, f.text, substr(path, 9 + f.i, 1) AS edit,
+         row_number() OVER (PARTITION BY f.conv_id ORDER BY f.i) AS k
+  FROM faults f JOIN best ON f.conv_id IS NOT DISTINCT FROM best.conv_id WHERE substr(path, 9 + f.i, 1) <> 'D'),
+lines AS (
+  SELECT conv_id, i, text, CASE WHEN edit = 'K' THEN role
+    WHEN (k - max(CASE WHEN k = 1 AND edit = 'K' AND initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id)) % 2 = 1
+    THEN 'user' ELSE 'assistant' END AS role FROM kept),
+repaired AS (SELECT conv_id, string_agg(role || ':' || text, chr(10) ORDER BY i) AS t FROM lines GROUP BY conv_id),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank,
+         count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+         count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM faults GROUP BY conv_id)
+SELECT ids.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(CAST(left(path, 9) AS BIGINT), 0) AS cost,
+       coalesce(substr(path, 10), '') AS audit, sha256(coalesce(t, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) ids
+LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM ids.conv_id
+LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM ids.conv_id
+LEFT JOIN repaired ON repaired.conv_id IS NOT DISTINCT FROM ids.conv_id
+"""
+
+SQL |= {"op11_conversation_repair": OP11}

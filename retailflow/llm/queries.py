@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retailflow.llm import (
+    conversation_repair,
     decontamination,
     mixing,
     periodic_runs,
@@ -18,7 +19,7 @@ from retailflow.llm import (
     toxicity,
     url_reputation,
 )
-from retailflow.llm.common import table
+from retailflow.llm.common import stored, table
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,6 +81,21 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("item_ids", items)
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults planted in ``conversations``, counted and repaired; every original conversation has its row."""
+    rows = table(spark, sf_dir, "conversations")
+    fixed = stored(conversation_repair.repair(conversation_repair.damage(rows)), "conversations-repaired")
+    names = [*conversation_repair.TOTALS, "audit", "sha256"]
+    parts = [rows.select("conv_id"), fixed.where("audit is not null").select("conv_id", *names[:-1]),
+             conversation_repair.digests(fixed)]
+    every = parts[0].unionByName(parts[1], allowMissingColumns=True).unionByName(parts[2], allowMissingColumns=True)
+    found = every.groupBy("conv_id").agg(*[F.max(n).alias(n) for n in names])
+    nothing = F.sha2(F.lit(""), 256)
+    return found.select("conv_id", *[F.coalesce(F.col(n), F.lit(0)).alias(n) for n in conversation_repair.TOTALS],
+                        F.coalesce("audit", F.lit("")).alias("audit"),
+                        F.coalesce("sha256", nothing).alias("repaired_sha256"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of ``documents``, a tenth of which get a repeating tail first."""
     runs = periodic_runs.find_runs(periodic_runs.with_cycles(table(spark, sf_dir, "documents")))
@@ -110,6 +126,7 @@ QUERIES = {
     "op8_permutation_index": op8_permutation_index,
     "op9_simhash": op9_simhash,
     "op10_decontamination": op10_decontamination,
+    "op11_conversation_repair": op11_conversation_repair,
     "op13_periodic_runs": op13_periodic_runs,
     "pipeline": pipeline,
 }
