@@ -246,3 +246,23 @@ LEFT JOIN repaired ON repaired.conv_id IS NOT DISTINCT FROM ids.conv_id
 """
 
 SQL |= {"op11_conversation_repair": OP11}
+
+#: All pairs that share a shingle, counted; components by following links.
+OP12 = r"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+words AS (SELECT r, least(4, len(w)) AS k, len(w) AS n, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM docs),
+runs AS (SELECT r, k, n, i, string_agg(word, ' ') OVER (PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND 3 FOLLOWING) AS s FROM words),
+shingles AS (SELECT DISTINCT r, s FROM runs WHERE i <= n - k + 1),
+sizes AS (SELECT r, count(*) AS n FROM shingles GROUP BY r),
+common AS (SELECT x.r AS a, y.r AS b, count(*) AS c FROM shingles x JOIN shingles y ON x.s = y.s AND x.r <> y.r GROUP BY ALL),
+links AS (SELECT a, b FROM common JOIN sizes sa ON sa.r = a JOIN sizes sb ON sb.r = b WHERE 100 * c >= 85 * (sa.n + sb.n - c)),
+reached AS (SELECT r AS a, r AS b FROM docs UNION SELECT reached.a, links.b FROM reached JOIN links ON links.a = reached.b),
+least_id AS (SELECT a, min(doc_id) AS component_id FROM reached JOIN docs ON docs.r = reached.b GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM docs JOIN least_id ON least_id.a = docs.r LEFT JOIN sizes ON sizes.r = docs.r
+"""
+
+SQL |= {"op12_jaccard_join": OP12}

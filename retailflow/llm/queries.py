@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from retailflow.llm import (
     conversation_repair,
     decontamination,
+    jaccard_join,
     mixing,
     periodic_runs,
     permutation_index,
@@ -96,6 +97,11 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.coalesce("sha256", nothing).alias("repaired_sha256"))
 
 
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of ``documents`` whose 4-word shingle sets have a Jaccard similarity of 0.85 or more."""
+    return jaccard_join.near_classes(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of ``documents``, a tenth of which get a repeating tail first."""
     runs = periodic_runs.find_runs(periodic_runs.with_cycles(table(spark, sf_dir, "documents")))
@@ -127,6 +133,7 @@ QUERIES = {
     "op9_simhash": op9_simhash,
     "op10_decontamination": op10_decontamination,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_jaccard_join": op12_jaccard_join,
     "op13_periodic_runs": op13_periodic_runs,
     "pipeline": pipeline,
 }
