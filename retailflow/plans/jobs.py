@@ -59,7 +59,8 @@ def load_synthetic_bronze(spark: SparkSession, start, end, layers=LAYERS, mode:
 
     def put(key: str, df: DataFrame) -> DataFrame:
         name = _name(layers, "bronze", BRONZE[key])
-        rows[f"bronze.{key}"] = cat.save(df, name, mode=mode, max_records_per_file=FILE_ROWS)
+        rows[f"bronze.{key}"] = cat.create_or_replace(df, name, max_records_per_file=FILE_ROWS) if mode == "overwrite" \
+            else cat.save(df, name, mode=mode, max_records_per_file=FILE_ROWS)
         return spark.table(name)
 
     products = put("products", synth.zipf_products(spark, n_products))

@@ -41,7 +41,7 @@ def test_partitioned_write_and_partition_replace(spark, db):
     name = f"{db}.p"
     df = _frame(spark, 6, "2025-01-01").unionByName(_frame(spark, 4, "2025-01-02"))
     cat.save(df, name, partition_by=["d"], spread_key=["k"], num_partitions=3)
-    parts = {r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    parts = {r[0] for r in spark.sql(f"SHOW PARTITIONS {cat.current(spark, name)}").collect()}
     assert parts == {"d=2025-01-01", "d=2025-01-02"}
     cat.save(_frame(spark, 2, "2025-01-02"), name, partition_by=["d"], replace_partitions=True)
     counts = {str(r.d): r["count"] for r in spark.table(name).groupBy("d").count().collect()}
@@ -54,7 +54,7 @@ def test_max_records_per_file_splits_files(spark, db):
     import os
     name = f"{db}.m"
     cat.save(_frame(spark, 50).coalesce(1), name, max_records_per_file=10)
-    loc = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first().data_type
+    loc = spark.sql(f"DESCRIBE TABLE EXTENDED {cat.current(spark, name)}").where("col_name = 'Location'").first().data_type
     files = [f for f in os.listdir(loc.replace("file:", "")) if f.endswith(".parquet")]
     assert len(files) == 5 and spark.table(name).count() == 50
 
