@@ -7,12 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+from .windows import row_number_by
+
 # A side whose size is known exactly (a generated snapshot) is broadcast up to this many bytes.
 BROADCAST_MAX_BYTES = 64 << 20
 # Ranks that a large share of all draws match; this many rows are broadcast.
 HOT_RANKS = 1024
 # Longest array that a candidate row is exploded from.
 RANK_BLOCK = 4096
+# Thresholds in a node of the threshold index, and bytes of one when broadcast.
+FANOUT, THRESHOLD_BYTES = 64, 16
 
 
 def enrich(fact: DataFrame, dim: DataFrame, key: str | Sequence[str], how: str = "left") -> DataFrame:
@@ -83,43 +88,76 @@ def bounded_values(df: DataFrame, c: str, max_rows: int) -> list:
     return [r[0] for r in rows]
 
 
-def prefix_threshold_join(items: DataFrame, u: str, ranked: DataFrame, rank: str, weight: str,
-                          factor: float, n_ranked: int, exponent: float, norm: float,
-                          hot_ranks: int = HOT_RANKS) -> DataFrame:
-    """Theta join ``u < weight * factor`` against a table whose weights fall
-    with rank (``weight = rank**-exponent / norm``; the caller checks that).
-
-    The match set of a draw is a rank prefix, so instead of comparing every
-    item with every product the candidate ranks ``1 .. r(u)`` are generated
-    from the closed form (with a margin of two ranks for float error), joined
-    on rank, and the exact predicate is applied to each candidate. The output
-    is row-for-row the theta join; the work is proportional to the output.
+def _threshold_levels(placed: DataFrame, n: int, fanout: int) -> list[tuple[DataFrame, int]]:
+    """The sorted thresholds (``_rf_at`` from 0, ``_rf_t``) as levels of nodes, root first: (node, thresholds) and entries.
 
-    Low ranks are matched by a large share of all draws: the first
-    ``hot_ranks`` rows are broadcast (a fixed number of rows), so no task
-    gathers them. Candidates beyond are spread over many ranks and are joined
-    as the planner sees fit. Candidates are exploded in blocks of at most
-    ``RANK_BLOCK`` ranks, so no row holds an array as long as the catalogue.
+    A leaf holds ``fanout`` thresholds that follow each other, a node above the first threshold of each of its children.
     """
-    est = F.floor(F.pow(F.lit(factor) / (F.col(u) * F.lit(norm)), F.lit(1.0 / exponent)))
-    top = F.when(F.col(u) <= F.lit(0.0), F.lit(n_ranked).cast("bigint")).otherwise(
-        F.least(F.lit(n_ranked).cast("bigint"), est.cast("bigint") + F.lit(2)))
-    tops = items.withColumn("_rf_top", top).where(F.col("_rf_top") >= 1)
-    kind = ranked.schema[rank].dataType.simpleString()
-
-    def candidates(lo: Column, hi: Column) -> DataFrame:
+    levels, entries, count = [], placed.select(F.col("_rf_at").alias("_rf_e"), "_rf_t"), n
+    while True:
+        node = F.floor(F.col("_rf_e") / F.lit(fanout)).alias("_rf_node")
+        nodes = entries.groupBy(node).agg(F.sort_array(F.collect_list(F.struct("_rf_e", "_rf_t"))).alias("_rf_s")) \
+            .select("_rf_node", F.col("_rf_s._rf_t").alias("_rf_ts"))
+        levels.append((nodes, count))
+        if count <= fanout:
+            return levels[::-1]
+        entries = nodes.select(F.col("_rf_node").alias("_rf_e"), F.element_at("_rf_ts", 1).alias("_rf_t"))
+        count = -(-count // fanout)
+
+
+def threshold_join(items: DataFrame, u: str, ranked: DataFrame, weight: str, factor: float,
+                   hot_ranks: int = HOT_RANKS, fanout: int = FANOUT) -> DataFrame:
+    """Theta join ``u < weight * factor`` for weights of any form: unsorted, tied, zero, negative or NULL.
+
+    Row for row the theta join (NULL on either side matches nothing), without
+    comparing every item with every row. In falling order of the thresholds
+    ``weight * factor`` (a distributed numbering) the matches of a draw are the places
+    1 .. r(u). r(u) is read from an index of the sorted thresholds: nodes of ``fanout``
+    thresholds that follow each other, cut from the numbering, and levels of nodes above
+    them; each level is an equi join on the node and a search among ``fanout`` thresholds. Then
+    the places up to r(u) are generated and joined, so the work is proportional to the output.
+
+    A level is broadcast if its thresholds are under ``BROADCAST_MAX_BYTES`` (the upper
+    ones always are in practice); a larger one is joined as the planner sees fit. Low places,
+    which a large share of all draws match, are broadcast too: the first ``hot_ranks``, a fixed number
+    of rows. Places are generated in blocks of at most ``RANK_BLOCK``, so no row
+    holds an array as long as the catalogue.
+    """
+    known = ranked.where(F.col(weight).isNotNull()).withColumn("_rf_t", F.col(weight) * F.lit(factor))
+    order = [F.col("_rf_t").desc(), *[F.col(c).asc() for c in ranked.columns]]
+    placed = row_number_by(known, order, out="_rf_place").withColumn("_rf_at", F.col("_rf_place").cast("bigint") - 1)
+    ensure_checkpoint_dir(ranked.sparkSession)
+    placed = placed.checkpoint(eager=True)
+    n = placed.count()
+    if not n:
+        return items.join(ranked, F.lit(False))
+    found = items.withColumn("_rf_node", F.lit(0).cast("bigint"))
+    levels = _threshold_levels(placed, n, fanout)
+    for k, (nodes, entries) in enumerate(levels):
+        if entries * THRESHOLD_BYTES <= BROADCAST_MAX_BYTES:
+            nodes = F.broadcast(nodes)
+        above = F.size(F.filter("_rf_ts", lambda t: t > F.col(u)))
+        inside = above if k == len(levels) - 1 else F.greatest(above - 1, F.lit(0))
+        found = found.join(nodes, "_rf_node", "left").withColumn(
+            "_rf_node", F.when(F.col(u).isNull(), F.lit(0)).otherwise(F.col("_rf_node") * F.lit(fanout) + inside).cast("bigint")) \
+            .drop("_rf_ts")
+    # of the leaf, node * fanout + those above u is r(u) itself
+    tops = found.withColumnRenamed("_rf_node", "_rf_top").where(F.col("_rf_top") >= 1)
+    rows = placed.select(F.col("_rf_place").cast("bigint").alias("_rf_place"), *ranked.columns)
+
+    def places(lo: Column, hi: Column) -> DataFrame:
         blocks = tops.withColumns({"_rf_lo": lo, "_rf_hi": hi}).where(F.col("_rf_lo") <= F.col("_rf_hi"))
         blocks = blocks.withColumn("_rf_block", F.explode(F.sequence(
             F.lit(0).cast("bigint"), F.floor((F.col("_rf_hi") - F.col("_rf_lo")) / F.lit(RANK_BLOCK)))))
         start = F.col("_rf_lo") + F.col("_rf_block") * F.lit(RANK_BLOCK)
         stop = F.least(F.col("_rf_hi"), start + F.lit(RANK_BLOCK - 1))
-        return blocks.withColumn(rank, F.explode(F.sequence(start, stop).cast(f"array<{kind}>"))) \
+        return blocks.withColumn("_rf_place", F.explode(F.sequence(start, stop))) \
             .drop("_rf_lo", "_rf_hi", "_rf_block", "_rf_top")
 
     one, hot = F.lit(1).cast("bigint"), F.lit(hot_ranks).cast("bigint")
-    out = candidates(one, F.least(F.col("_rf_top"), hot)).join(
-        F.broadcast(ranked.where(F.col(rank) <= hot_ranks)), rank, "inner")
-    if n_ranked > hot_ranks:
-        out = out.unionByName(candidates(hot + 1, F.col("_rf_top")).join(
-            ranked.where(F.col(rank) > hot_ranks), rank, "inner"))
-    return out.where(F.col(u) < F.col(weight) * F.lit(factor))
+    out = places(one, F.least(F.col("_rf_top"), hot)).join(
+        F.broadcast(rows.where(F.col("_rf_place") <= hot_ranks)), "_rf_place", "inner")
+    if n > hot_ranks:
+        out = out.unionByName(places(hot + 1, F.col("_rf_top")).join(
+            rows.where(F.col("_rf_place") > hot_ranks), "_rf_place", "inner"))
+    return out.drop("_rf_place")

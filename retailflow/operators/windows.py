@@ -15,7 +15,6 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
 
@@ -97,14 +96,12 @@ def column_total(df: DataFrame, c) -> object:
 
 
 def share_of_total(df: DataFrame, value, out: str) -> DataFrame:
-    """``value / sum(value) over ()``. The total is one distributed aggregate
-    brought back as a scalar, so no task ever holds the whole table."""
-    total = column_total(df, value)
-    return df.withColumn(out, _sort_col(value) / F.lit(total).cast("double"))  # no rows: no total
+    """``value / sum(value) over ()``, NULL if the total is zero or NULL.
 
-
-# Rows of a running-sum slice, and sampled rows per slice that place its bounds.
-SLICE_ROWS, SLICE_SAMPLE = 200_000, 32
+    The total is one distributed aggregate brought back as a scalar, so no task
+    ever holds the whole table."""
+    total = F.lit(column_total(df, value)).cast("double")  # no rows: no total
+    return df.withColumn(out, F.when(total != 0, _sort_col(value) / total))
 
 
 def abc_curve(df: DataFrame, item: str, value: str, cuts: tuple[float, float] = (0.80, 0.95),
@@ -114,41 +111,34 @@ def abc_curve(df: DataFrame, item: str, value: str, cuts: tuple[float, float] =
 
     Items are ordered by value descending (NULL last), ties by ``item``. An
     item is A while the share of all items *before* it is below ``cuts[0]``, B
-    while below ``cuts[1]``, else C. The order is cut into slices at bounds on
-    (value, item) taken from a sample, so many items of one value still spread;
-    each slice sums its own rows, and the slice totals (a row per slice) become
-    offsets. The rows move once, to their slices.
+    while below ``cuts[1]``, else C. If the total is zero or NULL there are no
+    shares: ``cum_share`` is NULL and every item is in the last class. A NULL value adds nothing.
+
+    Spark cuts the order into ranges of (value, item), so many items of one
+    value still spread. The sorted rows with the number of their range are written once; the
+    sums of the ranges (a row per task) become offsets of the running sums.
     """
-    rows = _materialize(df)
-    total, n = rows.agg(F.sum(value), F.count(F.lit(1))).first()
-    total = total or Decimal(0)  # no rows: no total and no classes
-    slices = num_partitions or max(1, -(-n // SLICE_ROWS))
-    types = {c: df.schema[c].dataType for c in (item, value)}
-    # a bounded sample, the same in every run
-    sample = rows.select(value, item).where(F.col(value).isNotNull() & F.col(item).isNotNull()) \
-        .orderBy(F.xxhash64(item), item).limit(slices * SLICE_SAMPLE).collect()
-    sample = sorted((-v, i) for v, i in sample)
-    bounds = [F.struct(F.lit(False).alias("n"), F.lit(v).cast(types[value]).alias("v"), F.lit(i).cast(types[item]).alias("i"))
-              for v, i in sample[SLICE_SAMPLE::SLICE_SAMPLE]]
-    key = F.struct(F.col(value).isNull().alias("n"), (-F.col(value)).cast(types[value]).alias("v"), F.col(item).alias("i"))
-    at = F.size(F.filter(F.array(*bounds), lambda b: b <= key)) if bounds else F.lit(0)
-    sliced = rows.withColumn("_rf_slice", at)
-    offsets, before = [], None
-    for r in sliced.groupBy("_rf_slice").agg(F.sum(value).alias("s")).orderBy("_rf_slice").collect():
-        offsets.append((r["_rf_slice"], before))
-        before = (before or Decimal(0)) + (r["s"] or Decimal(0))
-    running = rows.select(F.sum(value).alias("s")).schema["s"].dataType
-    schema = T.StructType([T.StructField("_rf_slice", T.IntegerType()), T.StructField("_rf_off", running)])
-    offset = F.broadcast(df.sparkSession.createDataFrame(offsets, schema))  # a row per slice
-    w = Window.partitionBy("_rf_slice").orderBy(F.col(value).desc_nulls_last(), F.col(item).asc()) \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    keys = [F.col(value).desc_nulls_last(), F.col(item).asc()]
+    rows = _materialize(_range(df, keys, num_partitions).sortWithinPartitions(*keys)
+                        .withColumn("_rf_slice", F.spark_partition_id()))
+    sums = rows.groupBy("_rf_slice").agg(F.sum(value).alias("_rf_s"))
+    # a row per task
+    ahead = Window.orderBy("_rf_slice").rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.orderBy("_rf_slice").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    total_type = sums.schema["_rf_s"].dataType
+    offsets = F.broadcast(sums.select(
+        "_rf_slice", F.sum("_rf_s").over(ahead).cast(total_type).alias("_rf_off"),
+        F.sum("_rf_s").over(every).cast(total_type).alias("_rf_total")))
+    w = Window.partitionBy("_rf_slice").orderBy(*keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cum = F.coalesce(F.col("_rf_off"), F.lit(0)) + F.coalesce(F.col("_rf_run"), F.lit(0))
-    prior = cum - F.coalesce(F.col(value), F.lit(0))
-    res = sliced.withColumn("_rf_run", F.sum(value).over(w)).join(offset, "_rf_slice") \
-        .withColumn("cum_value", cum).withColumn("cum_share", cum.cast("double") / F.lit(float(total)))
+    total = F.col("_rf_total")
+    res = rows.withColumn("_rf_run", F.sum(value).over(w)).join(offsets, "_rf_slice").withColumns({
+        "cum_value": cum,
+        "cum_share": F.when(total != 0, cum.cast("double") / total.cast("double"))})
     # class bounds compared exactly: prior < cut * total (no division)
+    prior = F.col("cum_value") - F.coalesce(F.col(value), F.lit(0))
     cut_a, cut_b = (F.lit(Decimal(str(c))) for c in cuts)
-    res = res.withColumn(out, F.when(prior < F.lit(total) * cut_a, F.lit(labels[0]))
-                               .when(prior < F.lit(total) * cut_b, F.lit(labels[1]))
+    res = res.withColumn(out, F.when((total != 0) & (prior < total * cut_a), F.lit(labels[0]))
+                               .when((total != 0) & (prior < total * cut_b), F.lit(labels[1]))
                                .otherwise(F.lit(labels[2])))
-    return res.drop("_rf_slice", "_rf_run", "_rf_off")
+    return res.drop("_rf_slice", "_rf_run", "_rf_off", "_rf_total")

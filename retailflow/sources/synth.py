@@ -11,20 +11,18 @@ Generator chain for sales lines:
     days x stores (season factor)  -> transactions per day and store
     -> one row per transaction      -> basket size
     -> one row per basket item      -> popularity draw u
-    -> products with 3 * weight > u (a rank prefix; see prefix_threshold_join)
+    -> products with 3 * weight > u (see threshold_join)
     -> quantity and discount draws  -> order id, net and discount money
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.calendar import season_factor
 from ..functions.columns import MONEY, RATE, padded_id, uniform
-from ..operators.joins import date_sequence, prefix_threshold_join
+from ..operators.joins import date_sequence, threshold_join
 from ..operators.windows import column_total
 from .fixtures import load_ts
 
@@ -141,25 +139,10 @@ def pick_products(items: DataFrame, products: DataFrame, factor: float = PICK_FA
 
     Not weighted sampling: with weights falling in rank, a draw yields the
     rank prefix 1..r(u) (no product for u >= factor * w1, all of them near
-    u = 0). Executed as the prefix rewrite of the theta join, which needs
-    weights of the form ``rank ** -s / norm``: s and norm are read from the
-    weights of ranks 1 and 2, and weights of another form are refused.
-    An empty product table matches nothing.
+    u = 0). Weights may have any form (see ``threshold_join``); products
+    without one, and an empty product table, match nothing.
     """
-    ranked = products.select("rank", "product_id", "list_price", "weight")
-
-    def weight_at(k: int):
-        return F.max(F.when(F.col("rank") == k, F.col("weight")))
-
-    row = ranked.agg(F.count(F.lit(1)).alias("n"), weight_at(1).alias("w1"), weight_at(2).alias("w2")).first()
-    if not row["n"]:
-        return items.join(ranked, F.lit(False))
-    s = math.log2(row["w1"] / row["w2"]) if row["w2"] else 1.0
-    off = F.abs(F.col("weight") * F.pow(F.col("rank"), F.lit(s)) / F.lit(row["w1"] or 0.0) - 1)
-    worst = ranked.agg(F.max(off), F.max("rank")).first() if row["w1"] and s > 0 else None
-    if worst is None or worst[0] > 1e-6 or worst[1] != row["n"]:
-        raise ValueError("weights are not rank ** -s / norm over ranks 1..n")
-    return prefix_threshold_join(items, "u", ranked, "rank", "weight", factor, row["n"], s, 1.0 / row["w1"])
+    return threshold_join(items, "u", products.select("rank", "product_id", "list_price", "weight"), "weight", factor)
 
 
 def price_lines(lines: DataFrame) -> DataFrame:

@@ -69,31 +69,47 @@ def test_dimensions_do_not_depend_on_the_layout(spark):
     assert all(r.silver_ts == dt.datetime(2025, 1, 3) for r in seen[0])
 
 
-@pytest.mark.parametrize("s", [0.5, 0.8, 1.1, 2.0])
-@pytest.mark.parametrize("hot", [4, 1024])
-def test_threshold_join_for_any_exponent(spark, s, hot, monkeypatch):
+def _theta(items, ranked, factor):
+    return sorted((i.id, r.rank) for i in items.collect() for r in ranked.collect()
+                  if i.u is not None and r.weight is not None and i.u < r.weight * factor)
+
+
+def _products(spark, weights):
+    return spark.createDataFrame([(k, k, Decimal("1.00"), w) for k, w in enumerate(weights, 1)],
+                                 "rank int, product_id int, list_price decimal(18,2), weight double")
+
+
+@pytest.mark.parametrize("hot,fanout", [(4, 3), (1024, 64)])
+@pytest.mark.parametrize("kind", ["zipf", "unsorted", "ties", "odd"])
+def test_threshold_join_for_any_weights(spark, kind, hot, fanout, monkeypatch):
     monkeypatch.setattr(J, "RANK_BLOCK", 7)
-    n = 60
-    raw = [k ** -s for k in range(1, n + 1)]
-    ranked = spark.createDataFrame([(k, k, Decimal("1.00"), w / sum(raw)) for k, w in enumerate(raw, 1)],
-                                   "rank int, product_id int, list_price decimal(18,2), weight double")
-    items = spark.range(400).select("id", (F.col("id") / 400).alias("u"))
-    want = items.join(ranked, F.col("u") < F.col("weight") * 3.0).select("id", "rank")
-    got = J.prefix_threshold_join(items, "u", ranked, "rank", "weight", 3.0, n, s, sum(raw), hot_ranks=hot).select("id", "rank")
-    assert sorted(got.collect()) == sorted(want.collect())
-    assert sorted(S.pick_products(items, ranked).select("id", "rank").collect()) == sorted(want.collect())
-
-
-def test_threshold_join_refuses_other_weights(spark):
+    weights = {"zipf": [k ** -1.1 / 4 for k in range(1, 61)], "unsorted": [(k * 37 % 61) / 100 for k in range(60)],
+               "ties": [(k % 3) / 6 for k in range(60)], "odd": [None, 0.0, -0.5, 0.2, None, 0.2, float("inf"), 0.01, 0.0]}[kind]
+    ranked = _products(spark, weights)
+    items = spark.range(200).select("id", F.when(F.col("id") != 13, F.col("id") / 200 - 0.1).alias("u"))
+    want = _theta(items, ranked, 3.0)
+    got = J.threshold_join(items, "u", ranked, "weight", 3.0, hot_ranks=hot, fanout=fanout)
+    assert got.columns == ["id", "u", *ranked.columns]
+    assert sorted((r.id, r["rank"]) for r in got.collect()) == want
+    if hot == 4:
+        assert sorted((r.id, r["rank"]) for r in S.pick_products(items, ranked).collect()) == want
+
+
+def test_threshold_join_with_large_levels_joined_by_the_planner(spark, monkeypatch):
+    monkeypatch.setattr(J, "BROADCAST_MAX_BYTES", 0)
+    ranked = _products(spark, [(k * 7 % 50) / 60 for k in range(50)])
+    items = spark.range(90).select("id", (F.col("id") / 90).alias("u"))
+    got = J.threshold_join(items, "u", ranked, "weight", 1.5, hot_ranks=2, fanout=4)
+    assert sorted((r.id, r["rank"]) for r in got.collect()) == _theta(items, ranked, 1.5)
+
+
+def test_threshold_join_without_products(spark):
     items = spark.range(3).select("id", F.lit(0.1).alias("u"))
-    ranked = spark.createDataFrame([(1, 1, 1.0, 0.5), (2, 2, 1.0, 0.25), (3, 3, 1.0, 0.24)],
-                                   "rank int, product_id int, list_price double, weight double")
-    with pytest.raises(ValueError, match="weights"):
-        S.pick_products(items, ranked)
-    assert S.pick_products(items, ranked.where("false")).count() == 0
+    assert S.pick_products(items, _products(spark, [0.5]).where("false")).count() == 0
+    assert S.pick_products(items, _products(spark, [None])).count() == 0
 
 
-@pytest.mark.parametrize("slices", [1, 5])
+@pytest.mark.parametrize("slices", [1, 4, 64])
 def test_abc_curve_over_slices_with_ties(spark, slices):
     rows = [(f"i{k:03d}", Decimal(k % 4).scaleb(-2)) for k in range(300)]
     df = spark.createDataFrame(rows, "item string, value decimal(18,2)")
@@ -105,10 +121,26 @@ def test_abc_curve_over_slices_with_ties(spark, slices):
         assert got[i] == (run, want)
 
 
-def test_abc_curve_moves_its_rows_once(spark):
+def test_abc_curve_has_no_list_from_the_driver(spark):
     df = spark.range(300).select(F.col("id").alias("item"), F.col("id").cast("decimal(18,2)").alias("value"))
-    plan = W.abc_curve(df, "item", "value", num_partitions=3)._jdf.queryExecution().executedPlan().toString()
-    assert "Window" in plan and plan.count("Exchange hashpartitioning") == 1 and "rangepartitioning" not in plan
+    plan = W.abc_curve(df, "item", "value", num_partitions=3)._jdf.queryExecution().toString()
+    assert "Window" in plan and "LocalRelation" not in plan and "LocalTableScan" not in plan
+    assert plan.split("== Physical Plan ==")[1].count("Exchange hashpartitioning") <= 2
+
+
+@pytest.mark.parametrize("values", [[0, 0, 0], [None, None], [5, -5], [0, None]])
+def test_totals_of_zero_have_no_shares(spark, values):
+    rows = [(f"i{k}", None if v is None else Decimal(v)) for k, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "item string, value decimal(18,2)")
+    got = W.abc_curve(df, "item", "value").collect()
+    assert len(got) == len(rows) and all(r.cum_share is None and r.abc_class == "C" for r in got)
+    assert [r.share for r in W.share_of_total(df, "value", "share").collect()] == [None] * len(rows)
+
+
+def test_null_values_add_nothing_to_the_curve(spark):
+    df = spark.createDataFrame([("a", Decimal(8)), ("b", None), ("c", Decimal(2))], "item string, value decimal(18,2)")
+    got = {r.item: (float(r.cum_value), r.cum_share, r.abc_class) for r in W.abc_curve(df, "item", "value", num_partitions=2).collect()}
+    assert got == {"a": (8.0, 0.8, "A"), "c": (10.0, 1.0, "B"), "b": (10.0, 1.0, "C")}
 
 
 def test_empty_inputs(spark):
