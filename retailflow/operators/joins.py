@@ -16,6 +16,8 @@ BROADCAST_MAX_BYTES = 64 << 20
 HOT_RANKS = 1024
 # Longest array that a candidate row is exploded from.
 RANK_BLOCK = 4096
+# Share of the rows from which a key is hot, and items that the frequent-items sketch tracks.
+HOT_SHARE, HOT_TRACKED = 0.001, 10_000
 # Thresholds in a node of the threshold index, and bytes of one when broadcast.
 FANOUT, THRESHOLD_BYTES = 64, 16
 
@@ -31,6 +33,54 @@ def enrich(fact: DataFrame, dim: DataFrame, key: str | Sequence[str], how: str =
     return fact.join(dim, key if isinstance(key, str) else list(key), how)
 
 
+def hot_keys(fact: DataFrame, key: str | Sequence[str], share: float = HOT_SHARE, tracked: int = HOT_TRACKED) -> DataFrame:
+    """``key, _rf_n`` of the keys that hold more than ``share`` of the rows, by Spark's frequent-items sketch.
+
+    The sketch keeps ``tracked`` items a task and merges them, so its size does not grow
+    with the keys; a key above ``1 / tracked`` of the rows is never missed, and at
+    most ``1 / share`` keys are returned. NULL keys are not counted.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    k = max(1, int(1 / share))
+    item = F.to_json(F.struct(*[F.col(c).cast("string").alias(f"k{i}") for i, c in enumerate(keys)]))
+    known = F.lit(True)
+    for c in keys:
+        known = known & F.col(c).isNotNull()
+    got = fact.select(F.when(known, item).alias("_rf_item")).agg(
+        F.expr(f"approx_top_k(_rf_item, {k}, {max(tracked, k)})").alias("top"), F.count(F.lit(1)).alias("n"))
+    rows = got.select("n", F.explode("top").alias("t")).where(
+        F.col("t.item").isNotNull() & (F.col("t.count") > F.lit(share) * F.col("n")))
+    parsed = F.from_json("t.item", ", ".join(f"k{i} string" for i in range(len(keys))))
+    return rows.select(*[parsed[f"k{i}"].cast(fact.schema[c].dataType).alias(c) for i, c in enumerate(keys)],
+                       F.col("t.count").alias("_rf_n"))
+
+
+def enrich_spread(fact: DataFrame, dim: DataFrame, key: str | Sequence[str], how: str = "left",
+                  parts: int | None = None, share: float | None = None) -> DataFrame:
+    """``enrich`` for a dimension that may be too large to broadcast and a fact with hot keys.
+
+    A key with more than ``share`` of the fact's rows (a quarter of an even part
+    by default) is salted: its fact rows go to ``parts`` places by a hash of
+    the whole row, and only the hot dimension rows are copied to all of them (at most
+    ``1 / share`` keys). Fact rows with a NULL key, which match nothing, are spread the same way.
+    Other keys join as before. Same rows as ``enrich``; a retried task salts its rows alike.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    parts = parts or int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    hot = hot_keys(fact, keys, share or 0.25 / parts).select(*keys, F.lit(True).alias("_rf_hot"))
+    ensure_checkpoint_dir(fact.sparkSession)
+    hot = F.broadcast(hot.checkpoint(eager=True))  # at most 1 / share rows
+    missing = F.lit(False)
+    for c in keys:
+        missing = missing | F.col(c).isNull()
+    salt = F.pmod(F.xxhash64(*fact.columns), F.lit(parts)).cast("int")
+    salted = fact.join(hot, keys, "left").withColumn(
+        "_rf_salt", F.when(missing | F.col("_rf_hot"), salt).otherwise(F.lit(0))).drop("_rf_hot")
+    copies = F.when(F.col("_rf_hot"), F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
+    spread = dim.join(hot, keys, "left").withColumn("_rf_salt", F.explode(copies)).drop("_rf_hot")
+    return salted.join(spread, [*keys, "_rf_salt"], how).drop("_rf_salt")
+
+
 def enrich_snapshot(fact: DataFrame, snap: DataFrame, on: Sequence[tuple[str, str]],
                     cols: Sequence[str], how: str = "left", strategy: str | None = "merge") -> DataFrame:
     """Left join on several differently named keys (e.g. sale date = stock

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.calendar import calendar_columns
-from ..operators.aggregates import add_ratio_measures, average_ticket, dedup, latest_first, sales_measures
-from ..operators.joins import BROADCAST_MAX_BYTES, date_sequence, enrich, enrich_snapshot
+from ..operators.aggregates import add_ratio_measures, average_ticket, dedup, latest_first, sales_measures, zero_dec
+from ..operators.distinct import distinct_sets, with_set_counts
+from ..operators.joins import BROADCAST_MAX_BYTES, date_sequence, enrich, enrich_snapshot, enrich_spread
 from ..operators.windows import abc_curve
 from ..sources.fixtures import load_ts
 from .silver import SILVER_PRODUCTS, SILVER_STORES
@@ -86,7 +87,7 @@ def fact_daily_stock(silver_stock: DataFrame, as_of=None) -> DataFrame:
 def fact_daily_sales(sales: DataFrame, stock: DataFrame | None = None,
                      products: DataFrame | None = None, stores: DataFrame | None = None,
                      grain: Sequence = FACT_SALES_GRAIN, stock_join: str = "auto",
-                     stock_rows: int | None = None, as_of=None) -> DataFrame:
+                     stock_rows: int | None = None, as_of=None, spread_hot_keys: bool = False) -> DataFrame:
     """Daily sales fact at ``grain`` (default day x store x product).
 
     ``grain`` items are column names of the sales lines or of the product /
@@ -117,7 +118,12 @@ def fact_daily_sales(sales: DataFrame, stock: DataFrame | None = None,
     generated snapshot knows it: stores x products x days). At most
     ``BROADCAST_MAX_BYTES`` bytes -> the snapshot is broadcast; otherwise (or
     unknown) it is sort-merge joined, never broadcast on an estimate.
+
+    ``spread_hot_keys`` joins product and store attributes with the hot keys
+    salted (``enrich_spread``): for dimensions too large to broadcast, where a product or
+    store with a third of the lines would otherwise be one task's work.
     """
+    attach = enrich_spread if spread_hot_keys else enrich
     grain_cols, keys = grain_columns(grain)
     names = set(keys)
     lines = sales.select("sale_date", "order_id", "store_id", "product_id", "qty",
@@ -125,11 +131,11 @@ def fact_daily_sales(sales: DataFrame, stock: DataFrame | None = None,
     if products is not None:
         want = [c for c in products.columns if c in names and c not in lines.columns]
         if want:
-            lines = enrich(lines, _attributes(products, "product_id", want), "product_id")
+            lines = attach(lines, _attributes(products, "product_id", want), "product_id")
     if stores is not None:
         want = [c for c in stores.columns if c in names and c not in lines.columns]
         if want:
-            lines = enrich(lines, _attributes(stores, "store_id", want), "store_id")
+            lines = attach(lines, _attributes(stores, "store_id", want), "store_id")
 
     if stock is None:
         fact = sales_measures(lines, grain_cols, stock=None).withColumns({
@@ -222,3 +228,27 @@ def abc_products(sales: DataFrame, value: str = "net", cuts=(0.80, 0.95),
     revenue = sales.groupBy("product_id").agg(F.sum(value).alias("revenue"))
     return abc_curve(revenue, "product_id", "revenue", cuts=cuts, num_partitions=num_partitions).select(
         "product_id", "revenue", "cum_value", "cum_share", "abc_class")
+
+
+def ticket_sets(sales: DataFrame, grain: Sequence, order_numbers: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """What any coarser ticket needs, at ``grain``: net totals, and the sets of orders as mergeable bitmaps.
+
+    ``order_numbers`` (order_id, number) numbers the orders; without it the
+    order ids are non-negative whole numbers themselves.
+    """
+    grain_cols, keys = grain_columns(grain)
+    lines = sales.select(*grain_cols, "order_id", "net")
+    totals = lines.groupBy(*keys).agg(F.sum("net").alias("net_sum"))
+    if order_numbers is not None:
+        lines = enrich(lines, order_numbers, "order_id")
+    return totals, distinct_sets(lines, keys, "order_id" if order_numbers is None else "number")
+
+
+def ticket_from_sets(totals: DataFrame, sets: DataFrame, grain: Sequence) -> DataFrame:
+    """Average ticket at ``grain`` from the stored totals and order sets of a finer grain: no line is read again."""
+    grain_cols, keys = grain_columns(grain)
+    money = totals.schema["net_sum"].dataType
+    rolled = totals.groupBy(*grain_cols).agg(F.round(F.sum("net_sum").cast(money), 2).alias("net_total"))
+    out = with_set_counts(rolled, sets, grain, "orders")
+    return out.withColumn("avg_ticket", F.when(
+        F.col("orders") > 0, F.round(F.col("net_total") / F.col("orders"), 2)).otherwise(zero_dec()))

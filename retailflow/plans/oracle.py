@@ -479,3 +479,24 @@ SQL["generated_stores"] = f"""
 SELECT CAST(i AS VARCHAR) AS store_id, 'Loja ' || CAST(i AS VARCHAR) AS name,
        [{_q(SY.CITIES)}][(i - 1) % {len(SY.CITIES)} + 1] AS city, '{SY.STATE}' AS state
 FROM (SELECT CAST(s_suppkey + 1 AS INTEGER) AS i FROM supplier)"""
+
+# tables that were written, replaced, appended to or refreshed hold what the plain query gives
+SQL["fact_monthly_sales_by_category_spread"] = SQL["fact_monthly_sales_by_category"]
+SQL["average_ticket_from_sets"] = SQL["average_ticket"]
+SQL["reloaded_fact_by_store"] = SQL["fact_daily_sales_by_store"]
+SQL["replaced_sales"] = SQL["silver_sales"]
+SQL["appended_sales"] = SQL["silver_sales"]
+SQL["refreshed_fact_by_store"] = SQL["fact_daily_sales_by_store"]
+SQL["refreshed_key_report"] = SQL["gold_key_report"]
+SQL["load_audit"] = SQL["load_report"]
+
+SQL["orders_by_revenue_weight"] = _with(SALES_CTE, f"""
+revenue AS (SELECT product_id, CAST(sum(net) AS DOUBLE) AS revenue FROM silver_sales GROUP BY product_id),
+total AS (SELECT sum(revenue) AS t FROM revenue),
+draws AS (SELECT o_orderkey AS order_id, {_u("CAST(o_orderkey AS VARCHAR)", "revenue")} AS u FROM orders)""") + """
+SELECT order_id, product_id FROM draws JOIN (SELECT product_id, revenue / t AS weight FROM revenue, total) w ON u < weight * 3.0::DOUBLE"""
+
+SQL["part_key_series"] = """
+WITH span AS (SELECT min(p_partkey) AS lo, max(p_partkey) AS hi FROM part),
+series AS (SELECT CAST(unnest(generate_series(lo, hi)) AS INTEGER) AS n FROM span)
+SELECT n, count(l_partkey) AS lines_sold FROM series LEFT JOIN lineitem ON l_partkey = n GROUP BY n"""

@@ -139,7 +139,13 @@ def gold_key_report(star: Mapping[str, DataFrame], materialize: bool = False) ->
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
+    return status_of(out.withColumnRenamed("violations", "v"))
+
+
+def status_of(found: DataFrame) -> DataFrame:
+    """The report's columns for every rule of the star, from ``rule, v`` (rules that are absent have no violation)."""
     about = [(r, t, ",".join(c)) for r, t, c, *_ in [*GOLD_PRIMARY_KEYS, *GOLD_FOREIGN_KEYS]]
-    names = out.sparkSession.createDataFrame(about, "rule string, table_name string, key_columns string")
-    out = out.join(F.broadcast(names), "rule").select("rule", "table_name", "key_columns", "violations")
+    names = found.sparkSession.createDataFrame(about, "rule string, table_name string, key_columns string")
+    out = names.join(found, "rule", "left").select(  # a row per rule on either side
+        "rule", "table_name", "key_columns", F.coalesce("v", F.lit(0)).cast("bigint").alias("violations"))
     return out.withColumn("status", F.when(F.col("violations") == 0, F.lit("ok")).otherwise(F.lit("violated")))

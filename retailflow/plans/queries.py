@@ -15,12 +15,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
+from ..functions import columns as C
 from ..operators.aggregates import dedup, union_counts
+from ..operators.joins import enrich, threshold_join
+from ..operators.windows import share_of_total
 from ..sources import catalog as cat
 from ..sources import fixtures as fx
 from ..sources.tables import read_table
-from ..sources import synth
-from . import gold, quality, silver
+from ..sources import synth, upkeep
+from . import gold, quality, refresh, silver
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -297,6 +300,149 @@ def q_written_fact_by_store(spark, sf_dir):
     return comparable(cat.read_columns(spark, name)).drop("month")
 
 
+def _check_name(table: str) -> str:
+    """A fresh table name for a query that writes."""
+    layer = "retail_check"
+    return cat.qualified(layer, f"{table}_{uuid.uuid4().hex[:12]}")
+
+
+def q_fact_monthly_sales_by_category_spread(spark, sf_dir):
+    """The monthly fact with the hot products and stores of the lines salted, as for dimensions too large to broadcast."""
+    r = Retail(spark, sf_dir)
+    grain = [("year_month", F.date_format("sale_date", "yyyy-MM")), "region", "category"]
+    products = fx.product_attributes(spark, sf_dir)
+    return comparable(gold.fact_daily_sales(r.sales, r.stock, products=products, stores=r.stores, grain=grain,
+                                            stock_rows=r.stock_rows, spread_hot_keys=True))
+
+
+def q_average_ticket_from_sets(spark, sf_dir):
+    """The average ticket by region and year from stored totals and order bitmaps by day and store."""
+    r = Retail(spark, sf_dir)
+    cat.ensure_layers(spark, ["retail_check"])
+    parts = {}
+    for kind, df in zip(("totals", "orders"), gold.ticket_sets(r.sales, ["sale_date", "store_id"]), strict=True):
+        name = _check_name(f"ticket_{kind}")
+        cat.create_or_replace(df, name)
+        parts[kind] = enrich(cat.read_columns(spark, name), r.stores.select("store_id", "region"), "store_id")
+    grain = ["region", ("sale_year", F.year("sale_date"))]
+    return comparable(gold.ticket_from_sets(parts["totals"], parts["orders"], grain))
+
+
+def q_reloaded_fact_by_store(spark, sf_dir):
+    """The fact by day and store: a first load without its last year, then the whole-table reload, read back."""
+    r = Retail(spark, sf_dir)
+    fact = gold.fact_daily_sales(r.sales, r.stock, grain=["sale_date", "store_id"], stock_rows=r.stock_rows)
+    cat.ensure_layers(spark, ["retail_check"])
+    name, (_, hi) = _check_name("reloaded_fact"), r.date_range
+    cat.save(fact.where(F.year("sale_date") < (hi.year if hi else 0)), name, max_records_per_file=1_000_000,
+             column_comments={"orders": "Distinct orders."}, table_comment="Daily sales by store.")
+    cat.save(fact, name, max_records_per_file=1_000_000)
+    return comparable(cat.read_columns(spark, name))
+
+
+def q_replaced_sales(spark, sf_dir):
+    """Bronze sales written, then replaced by the Silver sales that are read from the same table."""
+    cat.ensure_layers(spark, ["retail_check"])
+    name = _check_name("replaced_sales")
+    cat.create_or_replace(Retail(spark, sf_dir).b_sales, name)
+    cat.create_or_replace(silver.silver_sales(cat.read_columns(spark, name)), name)
+    return comparable(cat.read_columns(spark, name))
+
+
+def q_appended_sales(spark, sf_dir):
+    """Silver sales appended in batches by year: the odd years, then all years (the odd ones are there already)."""
+    cat.ensure_layers(spark, ["retail_check"])
+    name = _check_name("appended_sales")
+    sales = Retail(spark, sf_dir).sales.withColumn("batch_id", F.year("sale_date"))
+    for rows in (sales.where("batch_id % 2 = 1"), sales):
+        upkeep.append_batches(rows, name, spread_key=["sale_date", "order_id"], max_records_per_file=1_000_000)
+    return comparable(cat.read_columns(spark, name)).drop("batch_id")
+
+
+def q_refreshed_fact_by_store(spark, sf_dir):
+    """The fact by day and store, first built from sales with missing, changed and additional lines, then
+    refreshed: only the months whose lines differ are rebuilt."""
+    r = Retail(spark, sf_dir)
+    cat.ensure_layers(spark, ["retail_check"])
+    name = _check_name("refreshed_fact")
+    _, hi = r.date_range
+
+    def month(day: str):
+        return F.date_format(day, "yyyy-MM")
+
+    def build(parts):
+        fact = gold.fact_daily_sales(parts["sales"], parts["stock"], grain=["sale_date", "store_id"], stock_rows=r.stock_rows)
+        return fact.withColumn("month", month("sale_date"))
+
+    def load(sales):
+        sources = {"sales": (sales, month("sale_date")), "stock": (r.stock, month("stock_date"))}
+        return refresh.refresh_partitions(spark, name, "month", sources, build, spread_key=["sale_date", "store_id"],
+                                          max_records_per_file=1_000_000)
+
+    if hi is None:
+        return comparable(build({"sales": r.sales, "stock": r.stock})).drop("month")
+    # the last month is still missing, one has other quantities, and one that does not exist has lines
+    first = r.sales.where(month("sale_date") < f"{hi:%Y-%m}")
+    first = first.withColumn("qty", F.when(F.month("sale_date") == 2, F.col("qty") + 1).otherwise(F.col("qty")))
+    late = r.sales.where(month("sale_date") == f"{hi:%Y-%m}").withColumn("sale_date", F.add_months("sale_date", 12))
+    load(first.unionByName(late))
+    load(r.sales)
+    return comparable(cat.read_columns(spark, name)).drop("month")
+
+
+def q_refreshed_key_report(spark, sf_dir):
+    """The key report from stored key summaries, after the last month of the sales fact was replaced."""
+    r = Retail(spark, sf_dir)
+    cat.ensure_layers(spark, ["retail_check"])
+    _, hi = r.date_range
+
+    def month(day: str):
+        return F.date_format(day, "yyyy-MM")
+
+    fact = gold.fact_daily_sales(r.sales, r.stock, stock_rows=r.stock_rows).withColumn("month", month("sale_date"))
+    star = {
+        "dim_stores": gold.dim_stores(r.stores), "dim_products": gold.dim_products(r.products), "dim_calendar": r.calendar(),
+        "fact_daily_sales": fact, "fact_daily_stock": gold.fact_daily_stock(r.stock).withColumn("month", month("stock_date"))}
+    names = {t: _check_name(t) for t in star}
+    parts = {t: "month" if t.startswith("fact") else None for t in star}
+    for t, df in star.items():
+        cat.save(df, names[t], partition_by=[parts[t]] if parts[t] else None, max_records_per_file=1_000_000)
+        refresh.refresh_keys(spark, names[t], refresh.key_rules(t), parts[t])
+    last = [f"{hi:%Y-%m}"] if hi else []
+    cat.save(fact.where(F.col("month").isin(last)), names["fact_daily_sales"], partition_by=["month"], replace_partitions=True)
+    return refresh.key_report({t: refresh.refresh_keys(spark, names[t], refresh.key_rules(t), parts[t], parts=last) for t in star})
+
+
+def q_orders_by_revenue_weight(spark, sf_dir):
+    """Every order draws the products whose share of revenue, times three, is above its draw: a threshold
+    join whose weights are neither sorted nor of a closed form; unsold products have none."""
+    revenue = Retail(spark, sf_dir).sales.groupBy("product_id").agg(F.sum("net").cast("double").alias("revenue"))
+    part = read_table(spark, sf_dir, "part", ["p_partkey"]).select(F.col("p_partkey").alias("product_id"))
+    weighted = share_of_total(part.join(revenue, "product_id", "left"), "revenue", "weight").select("product_id", "weight")
+    orders = read_table(spark, sf_dir, "orders", ["o_orderkey"], spread_by=["o_orderkey"]).select(
+        F.col("o_orderkey").alias("order_id"), C.uniform("o_orderkey", salt="revenue").alias("u"))
+    return threshold_join(orders, "u", weighted, "weight", 3.0).select("order_id", "product_id")
+
+
+def q_part_key_series(spark, sf_dir):
+    """Every number from the least to the largest part key, with the lines sold of that part."""
+    part = read_table(spark, sf_dir, "part", ["p_partkey"])
+    lo, hi = part.agg(F.min("p_partkey"), F.max("p_partkey")).first()
+    series = synth.int_series(spark, lo, hi) if lo is not None else synth.int_series(spark, 0, -1)
+    sold = read_table(spark, sf_dir, "lineitem", ["l_partkey"]).groupBy(F.col("l_partkey").cast("int").alias("n")) \
+        .agg(F.count(F.lit(1)).alias("lines_sold"))
+    return series.join(sold, "n", "left").select("n", F.coalesce("lines_sold", F.lit(0)).alias("lines_sold"))
+
+
+def q_load_audit(spark, sf_dir):
+    """The rows that the Bronze loads say they have written, counted during the writes."""
+    r = Retail(spark, sf_dir)
+    cat.ensure_layers(spark, ["retail_check"])
+    frames = {"products": fx.product_attributes(spark, sf_dir), "stores": r.b_stores, "stock": r.b_stock, "sales": r.b_sales}
+    rows = [(t, cat.save(df, _check_name(t), max_records_per_file=1_000_000)) for t, df in frames.items()]
+    return spark.createDataFrame(rows, "table_name string, row_count bigint")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_daily_sales": q_fact_daily_sales,
     "fact_daily_sales_by_store": q_fact_daily_sales_by_store,
@@ -325,4 +471,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_daily_sales_by_store_preaggregated": q_fact_daily_sales_by_store_preaggregated,
     "generated_products": q_generated_products,
     "generated_stores": q_generated_stores,
+    "fact_monthly_sales_by_category_spread": q_fact_monthly_sales_by_category_spread,
+    "average_ticket_from_sets": q_average_ticket_from_sets,
+    "reloaded_fact_by_store": q_reloaded_fact_by_store,
+    "replaced_sales": q_replaced_sales,
+    "appended_sales": q_appended_sales,
+    "refreshed_fact_by_store": q_refreshed_fact_by_store,
+    "refreshed_key_report": q_refreshed_key_report,
+    "orders_by_revenue_weight": q_orders_by_revenue_weight,
+    "part_key_series": q_part_key_series,
+    "load_audit": q_load_audit,
 }
