@@ -318,9 +318,14 @@ _OUT_SQL = "n_units long, n_removed long, n_spans long, kept_sha256 string"
 
 
 def finish_closed(src: DataFrame, marks: DataFrame, units: Units, window: int) -> DataFrame:
-    """Texts with their runs: final rows, and for open ones the text, covered ranges and contents."""
+    """Texts with their runs: final rows, and for open ones the text, covered ranges and contents.
+
+    Copies of a row (same id and text) share their runs: each run is listed once, whatever the number of copies,
+    and a task hands out the contents of one copy only.
+    """
 
     def run(batches):
+        asked = set()
         for b in batches:
             lists = b.column(4).to_pylist()
             rows = list(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), lists,
@@ -329,6 +334,7 @@ def finish_closed(src: DataFrame, marks: DataFrame, units: Units, window: int) -
                 out = []
                 for rid, k1, k2, runs, text in part:
                     ranges, open_, opens = [], False, []
+                    again = (k1, k2) in asked
                     for m in runs or ():
                         lo, n = m["at"] >> 32, (m["at"] >> 16) & 0xFFFF
                         if m["whole"]:
@@ -337,9 +343,11 @@ def finish_closed(src: DataFrame, marks: DataFrame, units: Units, window: int) -
                             open_ = True
                     cut, removed, spans = _marked(units, text, ranges, window)
                     for m in runs or ():
-                        if m["ask"]:
+                        if m["ask"] and not again:
                             lo, n = m["at"] >> 32, (m["at"] >> 16) & 0xFFFF
                             opens.append({**m, "content": units.slice(cut, lo, lo + n - 1 + window)})
+                    if opens:
+                        asked.add((k1, k2))
                     end = (None,) * 4 if open_ else _final(units, cut, removed, spans)
                     covered = np.array(ranges, np.int64).tobytes() if open_ else None
                     out.append((rid, k1, k2, *end, text if open_ else None, covered, opens or None))
@@ -349,7 +357,9 @@ def finish_closed(src: DataFrame, marks: DataFrame, units: Units, window: int) -
                 columns = [pa.array(x, t) for x, t in zip(zip(*out, strict=True), kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    lists = marks.groupBy("k1", "k2").agg(F.collect_list(F.struct("at", "g", "whole", "ask", "big")).alias("runs"))
+    # copies of a row give the same marks, but that one of them asks
+    once = marks.groupBy("k1", "k2", "at", "g").agg(*[F.max(c).alias(c) for c in ("whole", "ask", "big")])
+    lists = once.groupBy("k1", "k2").agg(F.collect_list(F.struct("at", "g", "whole", "ask", "big")).alias("runs"))
     joined = src.join(lists, ["k1", "k2"], "left").select("doc_id", "k1", "k2", "text", "runs")
     kind = src.schema["doc_id"].dataType.simpleString()
     return on_workers(joined).mapInArrow(run, f"doc_id {kind}, k1 long, k2 long, {_OUT_SQL}, open_text binary, "
@@ -371,7 +381,7 @@ def finish_open(texts: DataFrame, found: DataFrame, units: Units, window: int) -
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), kinds, strict=True)],
                                                  ["doc_id", *(n for n, _ in _OUT)])
 
-    lists = found.groupBy("k1", "k2").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
+    lists = found.distinct().groupBy("k1", "k2").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
     joined = texts.join(lists, ["k1", "k2"], "left").select("doc_id", "open_text", "covered", "ranges")
     return joined.mapInArrow(run, f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, {_OUT_SQL}")
 

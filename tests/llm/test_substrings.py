@@ -83,3 +83,14 @@ def test_sorted_suffixes_find_equal_windows(texts):
         for r, a, b in zip(rows, lo, hi, strict=True):
             hit = [j for j in range(r[4]) if seen[r[5][r[3] + j:r[3] + j + window]] > 1]
             assert (a, b) == ((hit[0], hit[-1]) if hit else (-1, -1))
+
+
+@pytest.mark.parametrize("kind", CASES)
+def test_many_copies_of_one_row(spark, kind):
+    from .conftest import prose
+
+    operator, cut, join, window = CASES[kind]
+    other = prose(60, 300)
+    rows = [(7, prose(61, 300) + " " + other[:900])] * 500 + [(i, other + " " + prose(70 + i, 120)) for i in range(20)] + [(99, prose(62, 200))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    assert by_id(operator(docs).collect()) == brute(rows, cut, join, window)
