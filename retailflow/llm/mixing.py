@@ -7,7 +7,7 @@ the cube method: the flight phase moves the probabilities of a few documents
 at a time along the null space of the balancing constraints (documents and
 words of the source), until one of them reaches 0 or 1, so both totals never
 change on the way. The few documents that stay fractional are a small landing
-problem, solved by enumeration.
+problem, solved by enumeration together with a ladder of document sizes that was held back for it.
 
 On Spark the flight runs in blocks of a source's documents (hashed by id, so a
 source with a third of all rows is many blocks; rows that repeat a whole
@@ -19,7 +19,6 @@ the next level's blocks, until each source fits one block, which lands. Only ids
 from __future__ import annotations
 
 from fractions import Fraction
-from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -29,7 +28,9 @@ from pyspark.sql import functions as F
 from retailflow.llm.common import WORD, on_workers, stored
 
 #: Documents per flight block, and documents left for the landing problem.
-BLOCK, LANDING = 2_048, 12
+BLOCK, LANDING = 2_048, 16
+#: Halvings that make a ladder, and sizes from which a document is far larger than another.
+LADDER, OUTLIER = 12, 2
 EPS = 1e-9
 MAX_REPEATS = 3
 
@@ -77,12 +78,43 @@ def flight(pi: np.ndarray, a: np.ndarray) -> np.ndarray:
 def landing(pi: np.ndarray, size: np.ndarray, goal: float) -> np.ndarray:
     """Of a few documents, those whose sizes come nearest to ``goal`` words
     (then nearest in number to the sum of ``pi``, then the earliest)."""
-    n, want = len(pi), float(pi.sum())
-    best = min((round(abs(float(size[list(c)].sum()) - goal), 6), abs(r - want), c)
-               for r in range(n + 1) for c in combinations(range(n), r))
-    out = np.zeros(n)
-    out[list(best[2])] = 1
-    return out
+    sums, counts = np.zeros(1), np.zeros(1)
+    for x in size.astype(float):
+        # subset m of the first i documents, and the same with document i: bit i of the place
+        sums, counts = np.concatenate([sums, sums + x]), np.concatenate([counts, counts + 1])
+    away, many = np.round(np.abs(sums - goal), 6), np.abs(counts - float(pi.sum()))
+    near = np.flatnonzero(away == away.min())
+    best = int(near[np.argmin(many[near])])
+    return np.array([float(best >> i & 1) for i in range(len(pi))])
+
+
+def settle_outliers(p: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Documents far larger than all but a few are decided first, by a draw seeded by the sizes.
+
+    A few documents cannot make up for the fraction of such a document at the landing. The words that
+    its decision adds or takes are spread over the probabilities of the others, so the
+    expected words of the source stay as they are. A document is left open if the others cannot take it.
+    """
+    p = p.astype(float).copy()
+    if len(p) <= LANDING:
+        return p
+    order = np.argsort(-size, kind="stable")
+    large = OUTLIER * size[order[LANDING]]
+    rng = np.random.default_rng([len(p), int(size.sum()) & 0xFFFFFFFF, 1])
+    for i in order[:LANDING]:
+        draw = rng.random()
+        if size[i] <= large or not EPS < p[i] < 1 - EPS:
+            continue
+        rest = np.flatnonzero((p > EPS) & (p < 1 - EPS) & (size <= large))
+        for taken in ((1.0, 0.0) if draw < p[i] else (0.0, 1.0)):
+            words = size[i] * (p[i] - taken)  # for the others to take up
+            room = (size[rest] * (1 - p[rest])).sum() if words > 0 else (size[rest] * p[rest]).sum()
+            if abs(words) < 0.9 * room:
+                share = words / room
+                p[rest] += share * (1 - p[rest]) if words > 0 else share * p[rest]
+                p[i] = taken
+                break
+    return p
 
 
 def targets(by_source: DataFrame, weights=(1, 2, 3), most: int = MAX_REPEATS) -> DataFrame:
@@ -178,6 +210,22 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
+def rungs(size: np.ndarray, share: int, first: int = 0) -> np.ndarray:
+    """Documents held for the landing: a ladder of sizes, each about half of the one before.
+
+    The sums of a ladder reach every number of words up to the largest document to
+    about its smallest rung, whatever large document is left fractional. Blocks take their
+    rungs in turn (``first``), so the ladder is whole on the next level.
+    """
+    away, out = size.astype(float), []
+    free = np.ones(len(size), bool)
+    for i in range(share):
+        goal = size.max() / 2 ** (1 + (first + i) % LANDING % LADDER)
+        out.append(int(np.argmin(np.where(free, np.abs(away - goal), np.inf))))
+        free[out[-1]] = False
+    return np.array(out, np.int64)
+
+
 def _step(last: bool, hold: int):
     columns = ["doc_id", "source", "size", "pi", "k", "salt", "extra", "p"]
 
@@ -185,12 +233,15 @@ def _step(last: bool, hold: int):
         pdf = pdf.sort_values(["salt", "size"], kind="stable").reset_index(drop=True)
         p, size = pdf["p"].to_numpy(float), pdf["size"].to_numpy(float)
         n = len(pdf)
-        # documents of all sizes are kept for the landing: their sums lie close to any goal
+        if last:
+            p = settle_outliers(p, size)
         share = hold if last else -(-hold // int(pdf["blocks"].iloc[0]))
-        order = np.argsort(size, kind="stable")
-        kept = order[np.linspace(0, n - 1, share).astype(int)] if n > share else order
-        flown = np.setdiff1d(np.arange(n), kept)
-        goal, p = float((size * p).sum()), p.copy()
+        open_ = np.flatnonzero((p > EPS) & (p < 1 - EPS))
+        kept = open_[rungs(size[open_], share, int(pdf["block"].iloc[0]) * share)] if len(open_) > share else open_
+        flown = np.setdiff1d(open_, kept)
+        # large documents first: those that stay fractional are mostly among the last
+        flown = flown[np.argsort(-size[flown], kind="stable")]
+        goal, p = float((size * pdf["p"].to_numpy(float)).sum()), p.copy()
         if len(flown):
             p[flown] = flight(p[flown], size[flown])
         if last:
