@@ -27,6 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from retailflow.llm.common import on_workers
 
@@ -63,13 +64,14 @@ def shingle_hashes(words: list[bytes], k: int = SHINGLE) -> np.ndarray:
 class Sketches:
     """Sketches and shingles of a slice of items, for a task.
 
-    Items by size partition (powers of two of their shingle count), and a flat
-    hash filter of all sketched values in front of the exact look-up.
+    Items by size partition (powers of two of their shingle count), each with an
+    index of its own: a document meets the partitions whose least item it is long enough
+    to contain. A flat filter of all sketched values stands in front of the look-ups.
     """
 
     def __init__(self, items: list[tuple[object, bytes]], k: int, t: float):
-        self.k, self.t, self.items, self.sizes = k, t, [], []
-        entries: list[tuple[int, int]] = []
+        self.k, self.t, self.items = k, t, []
+        by_size: dict[int, list[tuple[int, int]]] = {}
         for item, text in items:
             words = words_of(text)
             shingles = shingles_of(words, k)
@@ -77,34 +79,40 @@ class Sketches:
                 continue
             hashes = np.unique(shingle_hashes(words, k))
             depth = min(len(hashes), int((1 - t) * len(shingles) + 1e-9) + 1)
-            entries += [(int(h), len(self.items)) for h in hashes[:depth]]
+            by_size.setdefault(len(shingles).bit_length(), []).extend((int(h), len(self.items)) for h in hashes[:depth])
             self.items.append((item, shingles, len(words) < k and len(words)))
-        entries.sort()
-        self.hashes = np.array([h for h, _ in entries], np.uint64)
-        self.owners = np.array([i for _, i in entries], np.int64)
+        #: (least number of words, sketched values in order, their items) of each size partition
+        self.sizes: list[tuple[float, np.ndarray, np.ndarray]] = []
+        for size, entries in sorted(by_size.items()):
+            entries.sort()
+            self.sizes.append((t * (1 << size - 1), np.array([h for h, _ in entries], np.uint64),
+                               np.array([i for _, i in entries], np.int64)))
         # short items (fewer words than a shingle) are shingles of their own length
         self.short = sorted({s for _, _, s in self.items if s})
-        bits = max(16, int(len(entries) * 16).bit_length())
+        bits = max(16, int(sum(len(h) for _, h, _ in self.sizes) * 16).bit_length())
         self.shift = np.uint64(64 - bits)
         self.filter = np.zeros(1 << bits, bool)
-        self.filter[(self.hashes >> self.shift).astype(np.int64)] = True
+        for _, h, _ in self.sizes:
+            self.filter[(h >> self.shift).astype(np.int64)] = True
 
-    def candidates(self, hashes: np.ndarray) -> np.ndarray:
-        """Items with a sketched value among the hashes."""
+    def candidates(self, hashes: np.ndarray, n_words: int) -> np.ndarray:
+        """Items with a sketched value among the hashes, of the partitions that a text of so many words can contain."""
         h = hashes[self.filter[(hashes >> self.shift).astype(np.int64)]]
-        if not len(h):
-            return self.owners[:0]
-        lo, hi = np.searchsorted(self.hashes, h, "left"), np.searchsorted(self.hashes, h, "right")
-        met = np.flatnonzero(hi > lo)
-        return np.unique(np.concatenate([self.owners[lo[i]:hi[i]] for i in met])) if len(met) else self.owners[:0]
+        found = [np.zeros(0, np.int64)]
+        for least, sketched, owners in self.sizes if len(h) else ():
+            if n_words < least:
+                break
+            lo, hi = np.searchsorted(sketched, h, "left"), np.searchsorted(sketched, h, "right")
+            found += [owners[lo[i]:hi[i]] for i in np.flatnonzero(hi > lo)]
+        return np.unique(np.concatenate(found))
 
     def search(self, text: bytes) -> list[tuple[object, int, int]]:
         """(item, its shingles, those contained) of the items that the text contains."""
         words = words_of(text)
         if not words or not self.items:
             return []
-        found = [self.candidates(shingle_hashes(words, self.k))] if len(words) >= self.k else []
-        found += [self.candidates(shingle_hashes(words, s)) for s in self.short if s <= len(words)]
+        found = [self.candidates(shingle_hashes(words, self.k), len(words))] if len(words) >= self.k else []
+        found += [self.candidates(shingle_hashes(words, s), len(words)) for s in self.short if s <= len(words)]
         which = np.unique(np.concatenate(found)) if found else []
         if not len(which):
             return []
@@ -143,11 +151,12 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
     empty for clean documents. Null and blank texts contain nothing; null or
     blank items are in nothing; an item shorter than a shingle is one shingle of
     its own length; equal items are found together; null ids stay null; empty
-    tables on either side give empty lists (or no rows). Other columns are ignored.
+    tables on either side give empty lists (or no rows). Item ids may have any type that
+    can be sorted. Other columns are ignored.
     """
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     shared, item_type = _broadcast_items(docs, items, item_col, item_text_col, bound)
-    item_arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[item_type]
+    item_arrow = to_arrow_type(items.schema[item_col].dataType)
     kind = pa.list_(pa.struct([("item_id", item_arrow), ("n_shingles", pa.int64()), ("n_shared", pa.int64())]))
 
     def run(batches):
@@ -190,7 +199,11 @@ class _Search:
 def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id",
                       item_text_col: str = "text", shingle: int = SHINGLE, containment: float = CONTAINMENT,
                       bound: int = BROADCAST_SHINGLES) -> DataFrame:
-    """The rows of ``docs``, all columns, that contain no item (filtered where they lie)."""
+    """The rows of ``docs``, all columns, that contain no item (filtered where they lie).
+
+    Rows with a null or blank text stay; repeated rows stay or go alike; without items all rows
+    stay; an empty table gives an empty result.
+    """
     shared, _ = _broadcast_items(docs, items, item_col, item_text_col, bound)
     place = docs.columns.index(text_col)
 

@@ -442,3 +442,60 @@ def test_pipeline(spark, tmp_path, awkward, labelled):
 
 def test_oracle_digest_of_nothing():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
+
+
+@pytest.mark.parametrize("kind", ["smallint", "int", "string", "decimal(9,2)", "date", "binary", "double"])
+def test_decontamination_takes_item_ids_of_any_type(spark, kind):
+    texts = [prose(900 + i, 12 + 40 * i) for i in range(4)]
+    number = F.expr("date'2025-01-01' + cast(i as int)") if kind == "date" else F.col("i").cast("string").cast("binary") \
+        if kind == "binary" else F.col("i").cast(kind)
+    items = spark.createDataFrame(list(enumerate(texts)), "i int, text string").select(number.alias("item_id"), "text")
+    docs = spark.createDataFrame([(0, prose(77, 50) + " " + texts[1]), (1, " ".join(texts)), (2, prose(78, 500)), (3, None)],
+                                 "doc_id int, text string")
+    found = decontamination.contained_items(docs, items).collect()
+    ids = [r.item_id for r in items.orderBy("item_id").collect()]
+    assert {r.doc_id: [x.item_id for x in r["items"]] for r in found} == {0: ids[1:2], 1: ids, 2: [], 3: []}
+
+
+def test_size_partitions_hold_their_items():
+    texts = [prose(300 + i, n) for i, n in enumerate((3, 7, 9, 30, 33, 200))]
+    sketches = decontamination.Sketches([(i, t.encode()) for i, t in enumerate(texts)], 5, 0.8)
+    sizes = [len(s) for _, s, _ in sketches.items]
+    for least, _, owners in sketches.sizes:
+        inside = [sizes[i] for i in set(owners.tolist())]
+        assert all(least <= 0.8 * q < 2 * least for q in inside)
+    assert len(sketches.sizes) == len({s.bit_length() for s in sizes}) > 2
+
+
+def test_mixing_reaches_its_targets_on_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    got = mixing.mix(docs).join(docs.select("doc_id", "source"), "doc_id").groupBy("source").agg(
+        F.sum("taken").alias("taken"), F.first("target").alias("target"), F.sum("size").alias("size"),
+        F.max(F.col("taken") - 3 * F.col("size")).alias("over")).collect()
+    total = sum(r.size for r in got)
+    names = sorted((r.source for r in got), key=lambda s: (s is None, (s or "").encode()))
+    size = {r.source: r.size for r in got}
+    # targets by pouring: what a full source cannot take goes to the others by weight
+    weight = {s: 1 + i % 3 for i, s in enumerate(names)}
+    goal, open_, left = dict.fromkeys(names, 0.0), set(names), float(total)
+    while open_ and left > 1e-6:
+        unit = min([left / sum(weight[s] for s in open_), *[(3 * size[s] - goal[s]) / weight[s] for s in open_]])
+        for s in open_:
+            goal[s] += unit * weight[s]
+        left -= unit * sum(weight[s] for s in open_)
+        open_ = {s for s in open_ if goal[s] < 3 * size[s] - 1e-6}
+    for r in got:
+        assert abs(r.target - goal[r.source]) < 1e-3 and r.over <= 0
+        assert abs(r.taken - r.target) <= 0.005 * r.target
+
+
+def test_outliers_are_settled_before_the_flight():
+    rng = np.random.default_rng(5)
+    for seed in range(50):
+        size = np.concatenate([rng.integers(1, 400, 300), [20_000, 9_000]]).astype(float)
+        p = rng.random(302)
+        settled = mixing.settle_outliers(p, size)
+        assert set(settled[-2:].tolist()) <= {0.0, 1.0} and settled.min() >= 0 and settled.max() <= 1
+        assert abs((settled * size).sum() - (p * size).sum()) < 1e-6
+    few = np.array([0.5, 0.5])
+    assert mixing.settle_outliers(few, np.array([1.0, 900.0])).tolist() == few.tolist()
