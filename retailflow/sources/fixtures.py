@@ -20,7 +20,7 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import MONEY, RATE, keyed_int, padded_id, to_money
@@ -85,11 +85,20 @@ def bronze_sales(spark: SparkSession, sf_dir: str, as_of=None) -> DataFrame:
     )
 
 
-def product_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts with their total quantity sold (``_qty``; 0 when never sold)."""
+def product_base(spark: SparkSession, sf_dir: str, span: Observation | None = None) -> DataFrame:
+    """Parts with their total quantity sold (``_qty``; 0 when never sold).
+
+    ``span`` observes the first and last sale day (``lo``, ``hi``) in the same scan of the lines.
+    """
     part = read_table(spark, sf_dir, "part", ["p_partkey", "p_name", "p_brand", "p_type", "p_retailprice"])
-    sold = (read_table(spark, sf_dir, "lineitem", ["l_partkey", "l_quantity"])
-            .groupBy("l_partkey").agg(F.sum("l_quantity").alias("_qty")))
+    if span is None:
+        sold = (read_table(spark, sf_dir, "lineitem", ["l_partkey", "l_quantity"])
+                .groupBy("l_partkey").agg(F.sum("l_quantity").alias("_qty")))
+    else:
+        day = F.col("l_shipdate").cast("date")
+        sold = (read_table(spark, sf_dir, "lineitem", ["l_partkey", "l_quantity", "l_shipdate"])
+                .groupBy("l_partkey").agg(F.sum("l_quantity").alias("_qty"), F.min(day).alias("_lo"), F.max(day).alias("_hi"))
+                .observe(span, F.min("_lo").alias("lo"), F.max("_hi").alias("hi")))
     base = part.join(sold, part.p_partkey == sold.l_partkey, "left").select(
         F.col("p_partkey").alias("product_id"),
         padded_id("SKU-", "p_partkey", SKU_WIDTH).alias("sku"),
@@ -126,6 +135,14 @@ def top_product_ids(spark: SparkSession, sf_dir: str, n: int = STOCK_TOP_RANK) -
     return bounded_values(top, "product_id", n)
 
 
+def top_ids_and_span(spark: SparkSession, sf_dir: str, n: int = STOCK_TOP_RANK) -> tuple[list, tuple]:
+    """``top_product_ids`` and the first and last sale day, from one scan of the lines."""
+    span = Observation()
+    ids = bounded_values(product_base(spark, sf_dir, span).orderBy(*_popularity_order()).limit(n), "product_id", n)
+    found = span.get
+    return ids, (found.get("lo"), found.get("hi"))
+
+
 def bronze_products(spark: SparkSession, sf_dir: str, exponent: float = ZIPF_EXPONENT) -> DataFrame:
     """Products: (rank, product_id, sku, name, category, brand, list_price, weight).
 
@@ -217,6 +234,6 @@ def load_bronze(spark: SparkSession, sf_dir: str, as_of=None, with_stock: bool =
     sales = bronze_sales(spark, sf_dir, as_of)
     products = bronze_products(spark, sf_dir)
     stores = bronze_stores(spark, sf_dir)
-    lo, hi = sales_date_range(ship_days(spark, sf_dir))
-    stock = bronze_stock(top_product_ids(spark, sf_dir), stores, lo, hi) if with_stock else None
+    top, (lo, hi) = top_ids_and_span(spark, sf_dir)
+    stock = bronze_stock(top, stores, lo, hi) if with_stock else None
     return Bronze(products, stores, sales, stock, lo, hi)
