@@ -4,9 +4,11 @@ Two sets link when ``100 * common >= percent * union``. Of all shingles in one
 fixed order, linked sets share one of the first ``n - ceil(percent n / 100) + 1`` of
 each (its prefix), so only sets that meet in a prefix shingle are compared.
 
-1. ``hot_shingles``: prefixes by hash order; shingles in very many of them (a
-   passage of boilerplate) go to the end of the order. Any order is right, this one keeps
-   the lists short. The most frequent ``HOT`` at most are broadcast.
+1. ``hot_shingles``: shingles of very many sets (a passage of boilerplate) go to the
+   end of the order, by hash. Any order is right, this one keeps the lists short. They are found by
+   lossy counting over all shingles (each task reports what it meets several times); the
+   most frequent ``HOT`` at most are broadcast. Lists that are long all the same make their
+   shingles hot, too, and the index is built again.
 2. ``described``: each row's set as a number, its size and its prefix in that order. Equal
    sets are one set. Sets with the same prefix and size are one *group*.
 3. ``neighbours``: an inverted index of groups: (shingle, group) range-partitioned and
@@ -15,9 +17,11 @@ each (its prefix), so only sets that meet in a prefix shingle are compared.
 4. Rounds: in each list every group looks at its neighbour of another component only, and takes the
    neighbour that most lists name. Of a large cluster this is a pair per member, not
    all pairs; verified links join components.
-5. Rest: all pairs of groups that still are in different components, meet in a list, have
-   fitting sizes and share enough of their prefixes (``least_common``), are expanded to members and
-   verified. A pair inside one component can add nothing and is not made.
+5. Rest: groups are expanded to members, and all pairs of members that still are in different
+   components, meet in a list, have fitting sizes, signatures that do not differ in more bits than linked
+   sets can (256 parities of the shingles), and share enough of their prefixes
+   (``least_common``) are verified. A pair inside one component can add nothing and is not made: in
+   each list only members outside its largest component look for partners.
 6. ``verified``: the texts of the sets in question give their shingles again; exact counts decide.
 
 Shingles and sets are 64-bit hashes; that no two sets or groups got the same number is checked
@@ -38,8 +42,12 @@ from retailflow.llm.common import on_workers, shuffle_width, stored
 from retailflow.llm.components import components
 
 SHINGLE, PERCENT = 4, 85
-#: A shingle in more prefixes than this is hot, and the most of them that are broadcast (8 bytes each).
+#: A shingle in more sets than this is hot, and the most of them that are broadcast (8 bytes each).
 LONG_LIST, HOT = 64, 1_000_000
+#: Shingles counted together, and the count that a task reports.
+CHUNK, REPORTED = 4_000_000, 3
+#: Pairs in long lists, for each entry of the index, that make their shingles hot.
+EXCESS = 4
 #: Rounds of neighbours before the rest; rows of a table that is broadcast (24 bytes each).
 ROUNDS, BROADCAST_ROWS = 2, 1_000_000
 
@@ -97,35 +105,57 @@ def _signed(x) -> pa.Array:
     return pa.array(np.asarray(x, np.uint64).view(np.int64), pa.int64())
 
 
-def hot_shingles(docs: DataFrame, shingle: int, percent: int) -> np.ndarray:
-    """Sorted hashes of the shingles that more than ``LONG_LIST`` prefixes hold (or more, if they would be over ``HOT``)."""
-    none = np.zeros(0, np.uint64)
+def _signature(shingles: np.ndarray) -> np.ndarray:
+    """256 parities: bit i tells whether an odd number of the hashes have i as their low byte."""
+    odd = np.bincount((shingles & np.uint64(255)).astype(np.int64), minlength=256) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def hot_shingles(docs: DataFrame, shingle: int) -> np.ndarray:
+    """Sorted hashes of the shingles that are often met, in more than ``LONG_LIST`` rows as far as tasks report them."""
 
     def run(batches):
+        held, size = [], 0
+
+        def flush():
+            h, n = np.unique(np.concatenate(held), return_counts=True)
+            many = n >= REPORTED
+            return pa.RecordBatch.from_arrays([_signed(h[many]), pa.array(n[many], pa.int64())], ["h", "n"])
+
         for b in batches:
-            found = [prefix(shingle_set(t, shingle), none, percent) for t in _texts(b.column(0))]
-            if found:
-                h, n = np.unique(np.concatenate(found), return_counts=True)
-                yield pa.RecordBatch.from_arrays([_signed(h), pa.array(n, pa.int64())], ["h", "n"])
+            for t in _texts(b.column(0)):
+                held.append(shingle_set(t, shingle))
+                size += len(held[-1])
+                if size >= CHUNK:
+                    yield flush()
+                    held, size = [], 0
+        if held:
+            yield flush()
 
     counted = on_workers(docs).select("text").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    many = stored(counted.where(F.col("n") > LONG_LIST), "jaccard-hot")
+    return _most(counted.where(F.col("n") > LONG_LIST))
+
+
+def _most(counted: DataFrame) -> np.ndarray:
+    """Sorted hashes ``h`` of the largest ``n``, at most ``HOT`` (whole powers of two of n stay together)."""
+    many = stored(counted.select("h", "n"), "jaccard-hot")
     by_size = many.groupBy(F.floor(F.log2("n")).alias("e")).agg(F.count(F.lit(1)).alias("c")).collect()
-    total, least = 0, LONG_LIST
+    total, least = 0, 0
     for r in sorted(by_size, key=lambda r: -r.e):
         total += r.c
         if total > HOT:
             least = 2 ** (r.e + 1) - 1
             break
-    return np.sort(np.array([r.h for r in many.where(F.col("n") > least).select("h").toLocalIterator()], np.int64).view(np.uint64))
+    rows = many.where(F.col("n") > least).select("h").toLocalIterator()
+    return np.sort(np.array([r.h for r in rows], np.int64).view(np.uint64))
 
 
 _SETS = [("k1", pa.int64()), ("k2", pa.int64()), ("sid", pa.int64()), ("sid2", pa.int64()), ("n", pa.int64()), ("gid", pa.int64()),
-         ("gid2", pa.int64()), ("head", pa.binary())]
+         ("gid2", pa.int64()), ("head", pa.binary()), *((f"s{i}", pa.int64()) for i in range(4))]
 
 
 def described(docs: DataFrame, hot: np.ndarray, seed: int, shingle: int, percent: int) -> DataFrame:
-    """``doc_id, k1, k2, sid, sid2, n, gid, gid2, head``: the set, its size, its group and its prefix, for every row."""
+    """``doc_id, k1, k2, sid, sid2, n, gid, gid2, head, s0 … s3`` for every row: set, size, group, prefix, signature."""
     shared = docs.sparkSession.sparkContext.broadcast(hot.tobytes())
     salts = [4 * seed + i for i in range(4)]
 
@@ -139,16 +169,16 @@ def described(docs: DataFrame, hot: np.ndarray, seed: int, shingle: int, percent
                 ids = [xxhash.xxh64_intdigest(s.tobytes(), x) for x in salts[:2]]
                 whole = np.sort(head).tobytes() + len(s).to_bytes(8, "little")
                 groups = [xxhash.xxh64_intdigest(whole, x) for x in salts[2:]]
-                rows.append((*ids, len(s), *groups, head.tobytes()))
+                rows.append((*ids, len(s), *groups, head.tobytes(), *_signature(s).tolist()))
             if rows:
-                ids, ids2, n, groups, groups2, heads = zip(*rows, strict=True)
+                ids, ids2, n, groups, groups2, heads, *bits = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), b.column(1), b.column(2), _signed(ids), _signed(ids2), pa.array(n, pa.int64()),
-                     _signed(groups), _signed(groups2), pa.array(heads, pa.binary())], ["doc_id", *(x for x, _ in _SETS)])
+                     _signed(groups), _signed(groups2), pa.array(heads, pa.binary()), *(pa.array(x, pa.int64()) for x in bits)], ["doc_id", *(x for x, _ in _SETS)])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return on_workers(docs).mapInArrow(run, f"doc_id {kind}, k1 long, k2 long, sid long, sid2 long, n long, gid long, "
-                                            "gid2 long, head binary")
+                                            "gid2 long, head binary, s0 long, s1 long, s2 long, s3 long")
 
 
 def _clash(sets: DataFrame) -> bool:
@@ -256,12 +286,38 @@ def _ordered(x: str, y: str) -> list:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def links(docs: DataFrame, sets: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Edges ``a, b`` between sets whose components are those of all links."""
-    members = stored(sets.where("n > 0").select("gid", "sid", "n").distinct(), "jaccard-members")
+_BITS = ("s0", "s1", "s2", "s3")
+
+
+def _index(sets: DataFrame) -> DataFrame:
+    """The lists of the groups' prefix shingles."""
     groups = sets.where("n > 0").groupBy("gid").agg(F.first("n").alias("n"), F.first("head").alias("head"))
     posts = on_workers(groups).mapInArrow(_spread, "h long, gid long, n long")
-    lists = stored(neighbours(posts.withColumn("comp", F.col("gid")), 0), "jaccard-lists")
+    return stored(neighbours(posts.withColumn("comp", F.col("gid")), 0), "jaccard-lists")
+
+
+def _described(src: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Sets and lists in an order that leaves no long list of shingles that are not known to be hot."""
+    hot, seed = hot_shingles(src, shingle), 0
+    while True:
+        seed += 1
+        sets = stored(described(src, hot, seed, shingle, percent), "jaccard-sets")
+        if _clash(sets):
+            continue
+        lists = _index(sets)
+        sizes = lists.groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+        known = src.sparkSession.createDataFrame([], "h long") if not len(hot) else \
+            sets.sparkSession.createDataFrame(pa.table({"h": hot.view(np.int64)}))
+        long = stored(sizes.where(F.col("n") > LONG_LIST).join(F.broadcast(known), "h", "left_anti"), "jaccard-long")
+        pairs = long.agg(F.sum(F.col("n").cast("double") * F.col("n") / 2)).first()[0] or 0
+        if pairs <= EXCESS * lists.count() or len(hot) >= HOT:
+            return sets, lists
+        hot = np.union1d(hot, _most(long))
+
+
+def links(docs: DataFrame, sets: DataFrame, lists: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Edges ``a, b`` between sets whose components are those of all links."""
+    members = stored(sets.where("n > 0").groupBy("gid", "sid").agg(*[F.first(c).alias(c) for c in ("n", *_BITS)]), "jaccard-members")
     inside = members.groupBy("gid").agg(F.count(F.lit(1)).alias("m"), F.min("sid").alias("sid")).where("m > 1")
     # members of one group: each with the first
     pairs = members.join(inside.select("gid", F.col("sid").alias("first")), "gid").where("sid != first").select(*_ordered("sid", "first"))
@@ -288,14 +344,14 @@ def links(docs: DataFrame, sets: DataFrame, shingle: int, percent: int) -> DataF
         found = stored(more if found is None else found.unionAll(more), "jaccard-links")
         named = stored(_named(members, found), "jaccard-named")
     # the rest: whatever meets in a list or a group and is in different components still
-    pairs = _apart(_entries(lists, named), named, percent)
+    pairs = _apart(lists, named, percent)
     return found.unionAll(verified(docs, sets, pairs, shingle, percent))
 
 
 def _named(members: DataFrame, found: DataFrame) -> DataFrame:
     """Members with their component so far."""
     roots = components(found, "jaccard-components").toDF("sid", "root")
-    return members.join(roots, "sid", "left").select("gid", "sid", "n", F.coalesce("root", "sid").alias("comp"))
+    return members.join(roots, "sid", "left").select("gid", "sid", "n", F.coalesce("root", "sid").alias("comp"), *_BITS)
 
 
 def _entries(lists: DataFrame, named: DataFrame) -> DataFrame:
@@ -305,22 +361,28 @@ def _entries(lists: DataFrame, named: DataFrame) -> DataFrame:
     return every.join(mixed, "h")
 
 
-def _apart(entries: DataFrame, named: DataFrame, percent: int) -> DataFrame:
-    """Pairs of sets in different components that meet in a list or a group and may link by size and prefix."""
-    entries = stored(entries.select("h", "comp", "gid", "n"), "jaccard-rest")
-    comps = entries.select("h", "comp").distinct()
-    two = comps.toDF("h", "cx").join(comps.toDF("h", "cy"), "h").where("cx < cy")
-    met = two.join(entries.toDF("h", "cx", "gx", "nx"), ["h", "cx"]).join(entries.toDF("h", "cy", "gy", "ny"), ["h", "cy"]) \
-        .where(f"gx != gy and 100 * least(nx, ny) >= {percent} * greatest(nx, ny)")
-    enough = met.groupBy("cx", "gx", "nx", "cy", "gy", "ny").agg(F.count(F.lit(1)).alias("k")) \
-        .where("k >= " + least_common("nx", "ny", percent)).select("cx", "gx", "cy", "gy")
-    one = named.select("gid", "comp", "sid")
-    between = enough.join(one.toDF("gx", "cx", "x"), ["gx", "cx"]).join(one.toDF("gy", "cy", "y"), ["gy", "cy"]).select(*_ordered("x", "y"))
-    sides = one.select("gid", "comp").distinct()
-    split = sides.toDF("gid", "cx").join(sides.toDF("gid", "cy"), "gid").where("cx < cy")
-    within = split.join(one.toDF("gid", "cx", "x"), ["gid", "cx"]).join(one.toDF("gid", "cy", "y"), ["gid", "cy"]) \
-        .select(*_ordered("x", "y"))
-    return between.unionAll(within)
+def _apart(lists: DataFrame, named: DataFrame, percent: int) -> DataFrame:
+    """Pairs of sets in different components that meet in a list or a group and may link by size, signature and prefix."""
+    keys = ["sid", "gid", "n", "comp", *_BITS]
+    every = lists.select("h", "gid").join(named, "gid").select("h", *keys)
+    sizes = every.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("c"))
+    top = sizes.groupBy("h").agg(F.max_by("comp", F.struct("c", "comp")).alias("top"), F.count(F.lit(1)).alias("comps")) \
+        .where("comps > 1").select("h", "top")
+    every = stored(every.join(top, "h"), "jaccard-rest")
+    x = every.where("comp != top").select("h", "top", *[F.col(c).alias(f"x_{c}") for c in keys])
+    y = every.select("h", *[F.col(c).alias(f"y_{c}") for c in keys])
+    apart = " + ".join(f"bit_count(x_{b} ^ y_{b})" for b in _BITS)
+    differ = f"(x_n + y_n - 2 * (({percent} * (x_n + y_n) + {99 + percent}) div {100 + percent}))"
+    fit = f"x_comp != y_comp and 100 * least(x_n, y_n) >= {percent} * greatest(x_n, y_n) and {apart} <= {differ}"
+    met = x.join(y, "h").where(f"(y_comp = top or x_sid < y_sid) and {fit}")
+    enough = met.groupBy("x_sid", "y_sid", "x_n", "y_n").agg(F.count(F.lit(1)).alias("k")) \
+        .where("k >= " + least_common("x_n", "y_n", percent))
+    # members of one group share their whole prefix, which may be in no list
+    split = named.groupBy("gid").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("gid")
+    both = named.join(split, "gid")
+    left, right = (both.select("gid", *[F.col(c).alias(f"{side}_{c}") for c in keys if c != "gid"]) for side in "xy")
+    within = left.join(right, "gid").where(f"x_sid < y_sid and {fit}")
+    return enough.select(*_ordered("x_sid", "y_sid")).unionAll(within.select(*_ordered("x_sid", "y_sid")))
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
@@ -337,12 +399,9 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rid, text = F.col(id_col), F.col(text_col).cast("string")
     src = docs.select(rid.alias("doc_id"), F.xxhash64(rid, F.lit(1)).alias("k1"), F.xxhash64(text, F.lit(2)).alias("k2"),
                       F.coalesce(text, F.lit("")).alias("text"))
-    hot = hot_shingles(src, shingle, percent)
-    seed, sets = 0, None
-    while sets is None or _clash(sets):
-        seed, sets = seed + 1, stored(described(src, hot, seed + 1, shingle, percent), "jaccard-sets")
+    sets, lists = _described(src, shingle, percent)
     classes = sets.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("first"))
-    roots = components(links(src, sets, shingle, percent), "jaccard-components").toDF("sid", "root")
+    roots = components(links(src, sets, lists, shingle, percent), "jaccard-components").toDF("sid", "root")
     linked = classes.join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     least = linked.groupBy("root").agg(F.min("first").alias("component_id"))
     named = linked.join(least, "root").select("sid", "component_id")

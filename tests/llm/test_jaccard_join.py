@@ -69,6 +69,7 @@ def near_copies():
 def test_classes_are_those_of_all_pairs(spark, monkeypatch, limits):
     monkeypatch.setattr(jaccard_join, "LONG_LIST", limits[0])
     monkeypatch.setattr(jaccard_join, "HOT", limits[1])
+    monkeypatch.setattr(jaccard_join, "EXCESS", 0.1 if limits[0] < 64 else 4)
     rows = near_copies()
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     got = near_classes(docs).collect()
