@@ -83,14 +83,14 @@ def test_bounded_values_raises_over_bound(spark):
     assert J.bounded_values(spark.range(3), "id", 5) == [0, 1, 2]
 
 
-def test_prefix_threshold_join_equals_theta_join(spark):
+def test_threshold_join_equals_theta_join(spark):
     n, s = 50, 1.1
     prods = spark.range(1, n + 1).select(F.col("id").cast("int").alias("rank"))
     norm = sum((1.0 / r) ** s for r in range(1, n + 1))
     prods = prods.withColumn("weight", F.pow(F.lit(1.0) / F.col("rank"), F.lit(s)) / F.lit(norm))
     items = (spark.range(4000).withColumn("u", F.floor(F.rand(7) * 1e6) / 1e6)
              .union(spark.createDataFrame([(100000, 0.0), (100001, 0.999999)], "id long, u double")))
-    got = J.prefix_threshold_join(items, "u", prods, "rank", "weight", 3.0, n, s, norm)
+    got = J.threshold_join(items, "u", prods, "weight", 3.0)
     ref = items.join(prods, F.col("u") < F.col("weight") * F.lit(3.0))
     a = sorted((r.id, r.rank) for r in got.select("id", "rank").collect())
     b = sorted((r.id, r.rank) for r in ref.select("id", "rank").collect())
