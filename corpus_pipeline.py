@@ -23,23 +23,28 @@ from retailflow.llm.common import stored, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows scoring 0.3 or more go; null and empty texts score as texts without words; no rows give no rows."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return toxicity.keep_clean(docs, model)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each component stays, of repeated rows one; null and blank texts are one component; no rows give no rows."""
     return simhash.keep_one(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that contain a benchmark item go; null and blank texts stay; an empty benchmark drops nothing."""
     return decontamination.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows stay; found spans become a mark; null and empty texts stay as they are."""
     return secret_scan.redact_secrets(docs, length_col="n_chars" if "n_chars" in docs.columns else None)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row per row: size and words taken; null texts have size 0, a null source is a source of its own."""
     return mixing.mix(docs)
 
 
