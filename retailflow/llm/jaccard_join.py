@@ -11,15 +11,15 @@ each (its prefix), so only sets that meet in a prefix shingle are compared.
    shingles hot, too, and the index is built again.
 2. ``described``: each row's set as a number, its size and its prefix in that order. Equal
    sets are one set. Sets with the same prefix and size are one *group*.
-3. ``neighbours``: an inverted index of groups: (shingle, group) range-partitioned and
+3. ``_index``: an inverted index of groups: (shingle, group) range-partitioned and
    sorted, so a shingle that a third of all groups share spans many
    tasks. Shingles of one group are left out.
-4. Rounds: in each list every group looks at its neighbour of another component only, and takes the
-   neighbour that most lists name. Of a large cluster this is a pair per member, not
-   all pairs; verified links join components.
-5. Rest: groups are expanded to members, and all pairs of members that still are in different
-   components, meet in a list, have fitting sizes, signatures that do not differ in more bits than linked
-   sets can (256 parities of the shingles), and share enough of their prefixes
+4. Groups are expanded to members. Rounds: in each sorted list a member looks back a few rows for one of
+   another component whose size and signature fit (256 parities of the shingles, which differ in no more bits
+   than the sets in shingles), and takes the one that most lists name. Of a large cluster
+   this is a pair per member, not all pairs; verified links join components.
+5. Rest: all pairs of members that still are in different
+   components, meet in a list, have fitting sizes and signatures and share enough of their prefixes
    (``least_common``) are verified. A pair inside one component can add nothing and is not made: in
    each list only members outside its largest component look for partners.
 6. ``verified``: the texts of the sets in question give their shingles again; exact counts decide.
@@ -48,8 +48,8 @@ LONG_LIST, HOT = 64, 1_000_000
 CHUNK, REPORTED = 4_000_000, 3
 #: Pairs in long lists, for each entry of the index, that make their shingles hot.
 EXCESS = 4
-#: Rounds of neighbours before the rest; rows of a table that is broadcast (24 bytes each).
-ROUNDS, BROADCAST_ROWS = 2, 1_000_000
+#: Rounds before the rest, rows that a member looks back; rows of a table that is broadcast (24 bytes each).
+ROUNDS, LOOK_BACK, BROADCAST_ROWS = 1, 32, 1_000_000
 
 _C = [np.uint64(pow(0x9E3779B97F4A7C15, i + 1, 1 << 64)) for i in range(256)]
 
@@ -150,6 +150,7 @@ def _most(counted: DataFrame) -> np.ndarray:
     return np.sort(np.array([r.h for r in rows], np.int64).view(np.uint64))
 
 
+_BITS = ("s0", "s1", "s2", "s3")
 _SETS = [("k1", pa.int64()), ("k2", pa.int64()), ("sid", pa.int64()), ("sid2", pa.int64()), ("n", pa.int64()), ("gid", pa.int64()),
          ("gid2", pa.int64()), ("head", pa.binary()), *((f"s{i}", pa.int64()) for i in range(4))]
 
@@ -191,38 +192,26 @@ def _clash(sets: DataFrame) -> bool:
 
 def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        heads = [np.frombuffer(x, np.int64) for x in b.column(2).to_pylist()]
+        heads = [np.frombuffer(x, np.int64) for x in b.column(1).to_pylist()]
         sizes = [len(x) for x in heads]
         if sum(sizes):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(heads)), pa.array(np.repeat(b.column(0).to_numpy(), sizes)),
-                 pa.array(np.repeat(b.column(1).to_numpy(), sizes))], ["h", "gid", "n"])
+                [pa.array(np.concatenate(heads)), pa.array(np.repeat(b.column(0).to_numpy(), sizes))], ["h", "gid"])
 
 
-def _in_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted rows (h, gid, n, comp): those of a shingle with several rows, with the row before.
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted rows (h, gid): those of a shingle with several rows.
 
     The first and last shingle of a partition stay in any case, as they may go on in another.
     """
-    names = ["h", "gid", "n", "comp", "before", "before_comp"]
     held, first = None, None
 
-    def shown(v: list[np.ndarray], end: bool) -> pa.RecordBatch:
+    def shown(h, gid, end: bool) -> pa.RecordBatch:
         """All rows but the first, which was shown before, and unless at the end the last, which waits."""
-        h = v[0]
         same = h[1:] == h[:-1]
-        before = np.concatenate(([False], same))
-        after = np.concatenate((same, [False]))
-        show = before | after | (h == first)
-        show[0] = False
-        show[-1] |= end
-        if not end:
-            show[-1] = False
-        at = np.flatnonzero(show)
-        gone = ~before[at]
-        prior = np.maximum(at - 1, 0)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(x[at]) for x in v] + [pa.array(v[1][prior], mask=gone), pa.array(v[3][prior], mask=gone)], names)
+        show = np.concatenate(([False], same)) | np.concatenate((same, [False])) | (h == first)
+        show[0], show[-1] = False, end
+        return pa.RecordBatch.from_arrays([pa.array(h[show]), pa.array(gid[show])], ["h", "gid"])
 
     for b in batches:
         now = [c.to_numpy() for c in b.columns]
@@ -231,24 +220,51 @@ def _in_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if held is None:
             first = now[0][0]
             # a row that no other equals stands before the first
-            held = [np.array([~now[0][0]]), *(x[:1] for x in now[1:])]
+            held = [np.array([~now[0][0]]), now[1][:1]]
         now = [np.concatenate(x) for x in zip(held, now, strict=True)]
-        yield shown(now, False)
+        yield shown(*now, False)
         held = [x[-2:] for x in now]
     if held is not None:
-        yield shown(held, True)
+        yield shown(*held, True)
 
 
-def neighbours(rows: DataFrame, seed: int) -> DataFrame:
-    """``h, gid, n, comp, before, before_comp``: lists of the shingles that several rows share.
+def _sorted(rows: DataFrame, *keys: str) -> DataFrame:
+    return rows.repartitionByRange(shuffle_width(rows.sparkSession), *keys).sortWithinPartitions(*keys)
 
-    ``before`` is the row before in an order by size, or by chance for a seed over 0.
-    """
-    order = F.col("n") if not seed else F.xxhash64("gid", F.lit(seed))
-    src = rows.select("h", order.alias("place"), "gid", "n", "comp")
-    keys = ["h", "place", "gid"]
-    ranged = src.repartitionByRange(shuffle_width(rows.sparkSession), *keys).sortWithinPartitions(*keys)
-    return ranged.select("h", "gid", "n", "comp").mapInArrow(_in_lists, "h long, gid long, n long, comp long, before long, before_comp long")
+
+def allowed(n: str, m: str, percent: int = PERCENT) -> str:
+    """SQL: in how many shingles linked sets of sizes n and m differ at most."""
+    return f"({n} + {m} - 2 * (({percent} * ({n} + {m}) + {99 + percent}) div {100 + percent}))"
+
+
+def near_before(rows: DataFrame, percent: int, order: str) -> DataFrame:
+    """``sid, other``: for each row (h, sid, n, comp, s0 … s3) of a list the nearest row before it, of the last
+    ``LOOK_BACK``, in another component and with fitting size and signature."""
+
+    def run(batches):
+        held = None
+        for b in batches:
+            now = [c.to_numpy() for c in b.columns]
+            known = 0 if held is None else len(held[0])
+            now = now if held is None else [np.concatenate(x) for x in zip(held, now, strict=True)]
+            h, sid, n, comp, *bits = now
+            bits = [x.view(np.uint64) for x in bits]
+            other = np.full(len(h), -1)
+            for d in range(1, min(LOOK_BACK, len(h) - 1) + 1):
+                at = np.flatnonzero((other[d:] < 0) & (h[d:] == h[:-d]) & (comp[d:] != comp[:-d])) + d
+                at = at[at >= known]
+                x, y = n[at], n[at - d]
+                fit = 100 * np.minimum(x, y) >= percent * np.maximum(x, y)
+                at, x, y = at[fit], x[fit], y[fit]
+                apart = sum(np.bitwise_count(s[at] ^ s[at - d]).astype(np.int64) for s in bits)
+                near = apart <= x + y - 2 * ((percent * (x + y) + 99 + percent) // (100 + percent))
+                other[at[near]] = at[near] - d
+            found = np.flatnonzero(other >= 0)
+            yield pa.RecordBatch.from_arrays([pa.array(sid[found]), pa.array(sid[other[found]])], ["sid", "other"])
+            held = [x[-LOOK_BACK:] for x in now]
+
+    ranged = _sorted(rows.select("h", F.expr(order).alias("place"), "sid", "n", "comp", *_BITS), "h", "place", "sid")
+    return ranged.select("h", "sid", "n", "comp", *_BITS).mapInArrow(run, "sid long, other long")
 
 
 def verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -286,14 +302,11 @@ def _ordered(x: str, y: str) -> list:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-_BITS = ("s0", "s1", "s2", "s3")
-
-
 def _index(sets: DataFrame) -> DataFrame:
-    """The lists of the groups' prefix shingles."""
-    groups = sets.where("n > 0").groupBy("gid").agg(F.first("n").alias("n"), F.first("head").alias("head"))
-    posts = on_workers(groups).mapInArrow(_spread, "h long, gid long, n long")
-    return stored(neighbours(posts.withColumn("comp", F.col("gid")), 0), "jaccard-lists")
+    """``h, gid``: the lists of the groups' prefix shingles that several groups share."""
+    groups = sets.where("n > 0").groupBy("gid").agg(F.first("head").alias("head"))
+    posts = on_workers(groups).mapInArrow(_spread, "h long, gid long")
+    return stored(_sorted(posts, "h", "gid").mapInArrow(_shared, "h long, gid long"), "jaccard-lists")
 
 
 def _described(src: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -315,48 +328,37 @@ def _described(src: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, D
         hot = np.union1d(hot, _most(long))
 
 
-def links(docs: DataFrame, sets: DataFrame, lists: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Edges ``a, b`` between sets whose components are those of all links."""
+def linked(docs: DataFrame, sets: DataFrame, lists: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """``sid, comp``: the component of every set with shingles."""
     members = stored(sets.where("n > 0").groupBy("gid", "sid").agg(*[F.first(c).alias(c) for c in ("n", *_BITS)]), "jaccard-members")
-    inside = members.groupBy("gid").agg(F.count(F.lit(1)).alias("m"), F.min("sid").alias("sid")).where("m > 1")
-    # members of one group: each with the first
-    pairs = members.join(inside.select("gid", F.col("sid").alias("first")), "gid").where("sid != first").select(*_ordered("sid", "first"))
-    found, named = None, members.withColumn("comp", F.col("sid"))
-    entries = lists
+    named = members.withColumn("comp", F.col("sid"))
     for turn in range(ROUNDS):
-        rep = named.groupBy("gid", "comp").agg(F.min("sid").alias("sid"))
-        if turn:
-            entries = stored(neighbours(_entries(lists, named), turn), "jaccard-lists")
-        near = entries.where("before != gid and before_comp != comp")
-        # half of what two sets of this size share at least: the rest is not left to a guess
-        best = near.groupBy("gid", "comp", "n", "before", "before_comp").agg(F.count(F.lit(1)).alias("c")) \
-            .where("2 * c >= " + least_common("n", "n", percent)).groupBy("gid", "comp").agg(F.max(F.struct("c", "before", "before_comp")).alias("best")) \
-            .select("gid", "comp", F.col("best.before").alias("before"), F.col("best.before_comp").alias("before_comp"))
+        rows = lists.join(named, "gid") if not turn else _mixed_lists(lists, named)
+        near = near_before(rows, percent, "n" if not turn else f"xxhash64(sid, {turn})")
+        # of the sets named by any list the one that most lists name
+        best = near.groupBy("sid", "other").agg(F.count(F.lit(1)).alias("c")) \
+            .groupBy("sid").agg(F.max(F.struct("c", "other")).alias("best"))
+        two = best.select(*_ordered("sid", "best.other"))
         if not turn:
-            # groups, each by its first member
-            first = members.groupBy("gid").agg(F.min("sid").alias("sid"))
-            two = best.join(first, "gid").join(first.toDF("before", "other"), "before").select(*_ordered("sid", "other"))
-            two = two.unionAll(pairs)
-        else:
-            two = best.join(rep, ["gid", "comp"]).join(rep.toDF("before", "before_comp", "other"), ["before", "before_comp"]) \
-                .select(*_ordered("sid", "other"))
-        more = verified(docs, sets, two, shingle, percent)
-        found = stored(more if found is None else found.unionAll(more), "jaccard-links")
-        named = stored(_named(members, found), "jaccard-named")
+            # members of one group share their whole prefix: each with the first
+            first = members.groupBy("gid").agg(F.count(F.lit(1)).alias("m"), F.min("sid").alias("first")).where("m > 1")
+            two = two.unionAll(members.join(first, "gid").where("sid != first").select(*_ordered("sid", "first")))
+        named = _joined(named, verified(docs, sets, two, shingle, percent))
     # the rest: whatever meets in a list or a group and is in different components still
-    pairs = _apart(lists, named, percent)
-    return found.unionAll(verified(docs, sets, pairs, shingle, percent))
+    return _joined(named, verified(docs, sets, _apart(lists, named, percent), shingle, percent)).select("sid", "comp")
 
 
-def _named(members: DataFrame, found: DataFrame) -> DataFrame:
-    """Members with their component so far."""
-    roots = components(found, "jaccard-components").toDF("sid", "root")
-    return members.join(roots, "sid", "left").select("gid", "sid", "n", F.coalesce("root", "sid").alias("comp"), *_BITS)
+def _joined(named: DataFrame, found: DataFrame) -> DataFrame:
+    """The members with their components joined by the links ``a, b``."""
+    comp = named.select("sid", "comp")
+    edges = found.join(comp.toDF("a", "x"), "a").join(comp.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    roots = components(edges, "jaccard-components").toDF("comp", "root")
+    return stored(named.join(roots, "comp", "left").withColumn("comp", F.coalesce("root", "comp")).drop("root"), "jaccard-named")
 
 
-def _entries(lists: DataFrame, named: DataFrame) -> DataFrame:
-    """``h, gid, n, comp`` of the lists that hold several components (a group may be in several)."""
-    every = lists.select("h", "gid").join(named.select("gid", "n", "comp").distinct(), "gid")
+def _mixed_lists(lists: DataFrame, named: DataFrame) -> DataFrame:
+    """Members in the lists that hold several components."""
+    every = lists.join(named, "gid")
     mixed = every.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("h")
     return every.join(mixed, "h")
 
@@ -372,8 +374,7 @@ def _apart(lists: DataFrame, named: DataFrame, percent: int) -> DataFrame:
     x = every.where("comp != top").select("h", "top", *[F.col(c).alias(f"x_{c}") for c in keys])
     y = every.select("h", *[F.col(c).alias(f"y_{c}") for c in keys])
     apart = " + ".join(f"bit_count(x_{b} ^ y_{b})" for b in _BITS)
-    differ = f"(x_n + y_n - 2 * (({percent} * (x_n + y_n) + {99 + percent}) div {100 + percent}))"
-    fit = f"x_comp != y_comp and 100 * least(x_n, y_n) >= {percent} * greatest(x_n, y_n) and {apart} <= {differ}"
+    fit = f"x_comp != y_comp and 100 * least(x_n, y_n) >= {percent} * greatest(x_n, y_n) and {apart} <= {allowed('x_n', 'y_n', percent)}"
     met = x.join(y, "h").where(f"(y_comp = top or x_sid < y_sid) and {fit}")
     enough = met.groupBy("x_sid", "y_sid", "x_n", "y_n").agg(F.count(F.lit(1)).alias("k")) \
         .where("k >= " + least_common("x_n", "y_n", percent))
@@ -401,10 +402,9 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                       F.coalesce(text, F.lit("")).alias("text"))
     sets, lists = _described(src, shingle, percent)
     classes = sets.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("first"))
-    roots = components(links(src, sets, lists, shingle, percent), "jaccard-components").toDF("sid", "root")
-    linked = classes.join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    least = linked.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = linked.join(least, "root").select("sid", "component_id")
+    comps = classes.join(linked(src, sets, lists, shingle, percent), "sid")
+    least = comps.groupBy("comp").agg(F.min("first").alias("component_id"))
+    named = comps.join(least, "comp").select("sid", "component_id")
     return sets.join(named, "sid", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
         F.col("sid").alias("set_id"))

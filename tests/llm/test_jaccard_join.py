@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from retailflow.llm import jaccard_join
-from retailflow.llm.jaccard_join import _in_lists, near_classes, prefix, prefix_size, shingle_set
+from retailflow.llm.jaccard_join import near_classes, prefix, prefix_size, shingle_set
 
 from .conftest import by_id, prose
 
@@ -76,16 +76,24 @@ def test_classes_are_those_of_all_pairs(spark, monkeypatch, limits):
     assert by_id((r.doc_id, r.n_shingles, r.component_id) for r in got) == plain_classes(rows)
 
 
-def test_rest_alone_finds_every_link(spark, monkeypatch):
-    monkeypatch.setattr(jaccard_join, "ROUNDS", 1)
+@pytest.mark.parametrize("rounds", [0, 2])
+def test_rest_and_rounds_alone_find_every_link(spark, monkeypatch, rounds):
+    monkeypatch.setattr(jaccard_join, "ROUNDS", rounds)
     monkeypatch.setattr(jaccard_join, "BROADCAST_ROWS", 0)
-    # no round has a partner
-    monkeypatch.setattr(jaccard_join, "_in_lists", lambda bs: (b.set_column(4, "before", b.column(1)) for b in _in_lists(bs)))
     rows = near_copies()[:150]
     got = near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert by_id((r.doc_id, r.n_shingles, r.component_id) for r in got) == plain_classes(rows)
 
 
+def test_signatures_of_linked_sets_are_near():
+    rng = np.random.default_rng(4)
+    for _ in range(300):
+        a = np.unique(rng.integers(0, 1 << 62, int(rng.integers(1, 400))).astype(np.uint64))
+        b = np.unique(np.concatenate([a[rng.random(len(a)) < 0.95], rng.integers(0, 1 << 62, 5).astype(np.uint64)]))
+        apart = sum(int(x).bit_count() for x in (jaccard_join._signature(a) ^ jaccard_join._signature(b)).view(np.uint64))
+        assert apart <= len(np.setxor1d(a, b))
+
+
 def test_awkward_documents(awkward, nothing):
     rows = [(r.doc_id, r.text) for r in awkward.collect()]
     got = near_classes(awkward.withColumn("sid", F.lit(1)).withColumn("h", F.lit("x"))).collect()
