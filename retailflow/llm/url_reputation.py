@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from retailflow.llm.common import ascii_lower
+from retailflow.llm.common import ascii_lower, stored
 
 #: Lower bound: posterior mean minus Z standard deviations; blocked above THRESHOLD.
 Z, THRESHOLD = 1.64, 0.5
@@ -64,50 +64,50 @@ def host_suffix(host: Column) -> Column:
     return F.substring_index(host, ".", -1)
 
 
-def _strength(df: DataFrame, mean: Column) -> Column:
-    """A scalar: the prior strength of a level by the method of moments.
+def _strength(df: DataFrame) -> float:
+    """The prior strength of a level (``n, bad, prior``) by the method of moments.
 
     With n outcomes of rate p around mean m, E[n (p-m)^2] = m (1-m) (1 + (n-1) r),
     where r = 1 / (strength + 1). Summed over the level's rows this gives r.
     """
-    with_outcomes = df.where(F.col("n") > 0)
+    mean = F.col("prior")
     noise = mean * (1 - mean)
     spread = F.col("n") * (F.col("bad") / F.col("n") - mean) * (F.col("bad") / F.col("n") - mean)
-    sums = with_outcomes.agg(F.sum(spread).alias("a"), F.sum(noise).alias("b"),
-                             F.sum(noise * (F.col("n") - 1)).alias("c"))
+    sums = df.where(F.col("n") > 0).agg(F.sum(spread).alias("a"), F.sum(noise).alias("b"),
+                                        F.sum(noise * (F.col("n") - 1)).alias("c"))
     r = F.round((F.col("a") - F.col("b")) / F.col("c"), 9)
     strength = F.when(F.coalesce(F.col("c"), F.lit(0.0)) <= 0, F.lit(STRONGEST)) \
         .when(r <= F.lit(1 / (STRONGEST + 1)), F.lit(STRONGEST)) \
         .otherwise(F.greatest(F.lit(WEAKEST), 1 / r - 1))
-    return sums.select(strength.alias("strength")).scalar()
+    return sums.select(strength.alias("strength")).first()["strength"]
 
 
 def reputation(pages: DataFrame) -> DataFrame:
     """Host reputations from ``host, outcome`` rows (outcome 1 bad, 0 good, null unknown).
 
     One row per host: ``host, n, bad, mean, sd``: outcomes, bad ones, posterior
-    mean and standard deviation. Hosts without outcomes get their prior.
-    Prior strengths and the table's rate are scalar subqueries. An empty
+    mean and standard deviation. Hosts without outcomes get their prior. The counts
+    by host are stored once; the rate and the three prior strengths are numbers computed from them. An empty
     table gives no rows; without any outcome every mean is 0.5.
     """
     hosts = pages.groupBy("host").agg(
         F.count("outcome").cast("double").alias("n"),
         F.coalesce(F.sum("outcome"), F.lit(0)).cast("double").alias("bad"))
-    hosts = hosts.withColumns({"domain": registered_domain(F.col("host")), "suffix": host_suffix(F.col("host"))})
+    hosts = stored(hosts.withColumns({"domain": registered_domain(F.col("host")), "suffix": host_suffix(F.col("host"))}), "url-hosts")
     domains = hosts.groupBy("suffix", "domain").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     total = suffixes.agg(((F.coalesce(F.sum("bad"), F.lit(0.0)) + 0.5)
-                          / (F.coalesce(F.sum("n"), F.lit(0.0)) + 1.0)).alias("prior"))
+                          / (F.coalesce(F.sum("n"), F.lit(0.0)) + 1.0)).alias("prior")).first()["prior"]
 
-    def shrunk(level: DataFrame) -> DataFrame:
-        return level.withColumn("strength", _strength(level, F.col("prior"))) \
+    def shrunk(level: DataFrame, name: str) -> DataFrame:
+        level = stored(level, f"url-{name}")
+        strength = F.lit(_strength(level))
+        return level.withColumn("strength", strength) \
             .withColumn("mean", (F.col("bad") + F.col("strength") * F.col("prior")) / (F.col("n") + F.col("strength")))
 
-    s = shrunk(suffixes.withColumn("prior", total.scalar()))
-    d = domains.join(s.select("suffix", F.col("mean").alias("prior")), "suffix")
-    d = shrunk(d)
-    h = hosts.join(d.select("suffix", "domain", F.col("mean").alias("prior")), ["suffix", "domain"])
-    h = shrunk(h)
+    s = shrunk(suffixes.withColumn("prior", F.lit(total)), "suffixes")
+    d = shrunk(domains.join(s.select("suffix", F.col("mean").alias("prior")), "suffix"), "domains")
+    h = shrunk(hosts.join(d.select("suffix", "domain", F.col("mean").alias("prior")), ["suffix", "domain"]), "priors")
     variance = F.col("mean") * (1 - F.col("mean")) / (F.col("n") + F.col("strength") + 1)
     return h.select("host", "n", "bad", "mean", F.sqrt(variance).alias("sd"))
 
