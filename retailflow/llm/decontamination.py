@@ -220,7 +220,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     """One row per document: ``doc_id, n_items, item_ids, containment, contaminated``.
 
     ``n_items`` items are contained by ``containment`` or more, ``item_ids``
-    lists them, ``containment`` is the largest share (0 if none).
+    lists them, ``containment`` is the largest share (0 if none). Null and blank texts, null ids,
+    repeated rows and empty tables as in ``contained_items``.
     """
     found = contained_items(docs, items, id_col, text_col, **options)
     share = F.transform("items", lambda x: x["n_shared"] / x["n_shingles"])

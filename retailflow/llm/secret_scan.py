@@ -166,7 +166,8 @@ def redact_secrets(docs: DataFrame, text_col: str = "text", length_col: str | No
 
     ``length_col``, if given, is set to the new length of texts that change. Texts
     stay where they are when the findings are few (at most ``BROADCAST_SPANS``
-    spans, counted first); else they meet them by blob.
+    spans, counted first); else they meet them by blob. Null and empty texts stay as
+    they are; repeated rows change alike; an empty table gives an empty result.
     """
     content = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     addressed = stored(docs.select(blob_id(content).alias("blob")), "ledger-paths")

@@ -270,7 +270,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One row of ``docs``, all columns, of each component: that of the smallest id.
 
-    Without ids in a component, one of its rows; of repeated rows, one.
+    Without ids in a component, one of its rows; of repeated rows, one. Null and blank
+    texts share one fingerprint, so one of them stays; an empty table gives an empty result.
     """
     found = near_duplicates(docs, id_col, text_col, **options)
     first = found.groupBy("component").agg(F.min(F.struct(

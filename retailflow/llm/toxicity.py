@@ -414,7 +414,10 @@ def score_texts(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col:
 
 
 def keep_clean(docs: DataFrame, model: dict, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, whose text scores below ``threshold`` (filtered where they lie)."""
+    """The rows of ``docs``, all columns, whose text scores below ``threshold`` (filtered where they lie).
+
+    Null and empty texts score as texts without words; repeated rows stay or go alike; an empty table gives an empty result.
+    """
     shared, place = _broadcast(docs, model), docs.columns.index(text_col)
 
     def run(batches):
