@@ -38,7 +38,10 @@ def _norm(v):
 
 
 @pytest.mark.parametrize("name", ["fact_daily_sales_by_store", "silver_products", "average_ticket",
-                                  "abc_products", "dim_calendar", "gold_key_report", "synthetic_sales"])
+                                  "abc_products", "dim_calendar", "gold_key_report", "synthetic_sales",
+                                  "average_ticket_from_sets", "fact_monthly_sales_by_category_spread", "reloaded_fact_by_store",
+                                  "replaced_sales", "appended_sales", "refreshed_fact_by_store", "refreshed_key_report",
+                                  "orders_by_revenue_weight", "part_key_series", "load_audit"])
 def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SMOKE)
     cols = sorted(df.columns)
