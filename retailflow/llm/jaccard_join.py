@@ -49,7 +49,7 @@ CHUNK, REPORTED = 4_000_000, 3
 #: Pairs in long lists, for each entry of the index, that make their shingles hot.
 EXCESS = 4
 #: Rounds before the rest, rows that a member looks back; rows of a table that is broadcast (24 bytes each).
-ROUNDS, LOOK_BACK, BROADCAST_ROWS = 1, 32, 1_000_000
+ROUNDS, LOOK_BACK, BROADCAST_ROWS = 2, 32, 1_000_000
 
 _C = [np.uint64(pow(0x9E3779B97F4A7C15, i + 1, 1 << 64)) for i in range(256)]
 
@@ -238,8 +238,8 @@ def allowed(n: str, m: str, percent: int = PERCENT) -> str:
 
 
 def near_before(rows: DataFrame, percent: int, order: str) -> DataFrame:
-    """``sid, other``: for each row (h, sid, n, comp, s0 … s3) of a list the nearest row before it, of the last
-    ``LOOK_BACK``, in another component and with fitting size and signature."""
+    """``sid, other``: for each row (h, sid, n, comp, s0 … s3) of a list a row before it in another component and with
+    fitting size and signature: of the last ``LOOK_BACK`` rows the farthest, which keeps the chains of links short."""
 
     def run(batches):
         held = None
@@ -250,7 +250,7 @@ def near_before(rows: DataFrame, percent: int, order: str) -> DataFrame:
             h, sid, n, comp, *bits = now
             bits = [x.view(np.uint64) for x in bits]
             other = np.full(len(h), -1)
-            for d in range(1, min(LOOK_BACK, len(h) - 1) + 1):
+            for d in range(min(LOOK_BACK, len(h) - 1), 0, -1):
                 at = np.flatnonzero((other[d:] < 0) & (h[d:] == h[:-d]) & (comp[d:] != comp[:-d])) + d
                 at = at[at >= known]
                 x, y = n[at], n[at - d]
@@ -277,13 +277,16 @@ def verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, shingle: int, p
         one = F.broadcast(one)
 
     def shingles(batches):
+        seen = set()  # a repeated row is one row of each task
         for b in batches:
-            found = [shingle_set(t, shingle).tobytes() for t in _texts(b.column(1))]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.binary())], ["sid", "shingles"])
+            sids = b.column(0).to_pylist()
+            fresh = [i for i, sid in enumerate(sids) if not (sid in seen or seen.add(sid))]
+            found = [shingle_set(t, shingle).tobytes() for t in _texts(b.column(1).take(pa.array(fresh, pa.int64())))]
+            yield pa.RecordBatch.from_arrays([pa.array([sids[i] for i in fresh], pa.int64()), pa.array(found, pa.binary())],
+                                             ["sid", "shingles"])
 
     texts = docs.join(one, ["k1", "k2"]).select("sid", "text")
-    known = stored(on_workers(texts).mapInArrow(shingles, "sid long, shingles binary").groupBy("sid")
-                   .agg(F.first("shingles").alias("shingles")), "jaccard-sets")
+    known = stored(on_workers(texts).mapInArrow(shingles, "sid long, shingles binary"), "jaccard-sets")
 
     def compare(batches):
         for b in batches:
