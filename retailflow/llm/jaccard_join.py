@@ -360,9 +360,10 @@ def _joined(named: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def _mixed_lists(lists: DataFrame, named: DataFrame) -> DataFrame:
-    """Members in the lists that hold several components."""
+    """Members in the long lists that hold several components (the pairs of the others are few, and left to the rest)."""
     every = lists.join(named, "gid")
-    mixed = every.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("h")
+    mixed = every.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("c")) \
+        .where(f"lo != hi and c > {LONG_LIST}").select("h")
     return every.join(mixed, "h")
 
 
