@@ -2,10 +2,10 @@
 
 ``count(distinct order)`` of a coarser grain does not follow from the counts of a
 finer one, as an order has lines in several of its cells. Bitmaps do: every
-value gets a number, a cell keeps one bitmap for each block of 32,768 numbers that it
+value gets a number, a cell keeps one bitmap for each block of 64 numbers that it
 touches, and the bitmaps of many cells are merged by OR. The merged counts are
-exact. A bitmap is 4 KiB before compression, so the grain that is stored should have many lines
-a cell (day and store rather than day, store and product).
+exact. A bitmap is one long: a cell with few values has no more rows than values, and no
+row that is shuffled, sorted or stored is larger than its keys and 16 bytes.
 """
 
 from __future__ import annotations
@@ -38,25 +38,25 @@ def extended(known: DataFrame, values: DataFrame, value: str, out: str = "number
 def distinct_sets(rows: DataFrame, grain: Sequence, number: str) -> DataFrame:
     """The grain with one row per block: ``_set_block, _set_bits`` (numbers are non-negative; NULL counts for nothing).
 
-    Repeated (cell, number) pairs collapse on the map side, before any bitmap is made.
+    Repeated (cell, number) pairs, and the numbers of a block, collapse on the map side.
     """
     cells = [F.col(g) if isinstance(g, str) else g[1].alias(g[0]) for g in grain]
     names = [g if isinstance(g, str) else g[0] for g in grain]
-    pairs = rows.where(F.col(number).isNotNull()).select(*cells, F.col(number).cast("bigint").alias("_rf_n")).distinct()
-    return pairs.groupBy(*names, F.bitmap_bucket_number("_rf_n").alias(BLOCK)).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("_rf_n")).alias(BITS))
+    pairs = rows.where(F.col(number).isNotNull()).select(*cells, F.col(number).cast("bigint").alias("_rf_n"))
+    return pairs.groupBy(*names, F.expr("shiftright(_rf_n, 6)").alias(BLOCK)).agg(
+        F.bit_or(F.expr("shiftleft(1L, CAST(_rf_n & 63 AS INT))")).alias(BITS))
 
 
 def merged_sets(sets: DataFrame, grain: Sequence) -> DataFrame:
     """Stored sets at a coarser grain (names, or ``(name, Column)`` pairs over the finer grain)."""
     cells = [F.col(g) if isinstance(g, str) else g[1].alias(g[0]) for g in grain]
-    return sets.groupBy(*cells, BLOCK).agg(F.bitmap_or_agg(BITS).alias(BITS))
+    return sets.groupBy(*cells, BLOCK).agg(F.bit_or(BITS).alias(BITS))
 
 
 def set_counts(sets: DataFrame, grain: Sequence, out: str) -> DataFrame:
     """The grain with the number of different values, from stored sets of the same or a finer grain."""
     names = [g if isinstance(g, str) else g[0] for g in grain]
-    return merged_sets(sets, grain).groupBy(*names).agg(F.sum(F.bitmap_count(BITS)).alias(out))
+    return merged_sets(sets, grain).groupBy(*names).agg(F.sum(F.bit_count(BITS)).alias(out))
 
 
 def _same(left: Sequence[Column], right: Sequence[Column]) -> Column:
