@@ -6,6 +6,7 @@ work stays inside whole-stage codegen; nothing here runs Python per row.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column
@@ -120,6 +121,16 @@ def uniform(*keys: str | Column, salt: str) -> Column:
     return F.conv(h, 16, 10).cast("bigint") / F.lit(4294967296.0)
 
 
+def uniform_below(*keys: str | Column, salt: str, p: float) -> Column:
+    """``uniform(*keys, salt=salt) < p``, from the hex digits of the hash (no number is parsed)."""
+    bound = math.ceil(p * 2 ** 32)
+    if not 0 < bound < 2 ** 32:
+        return F.lit(bound > 0)
+    parts = [col(k).cast("string") for k in keys] + [F.lit(salt)]
+    # digits of equal length order like numbers; the 24 more ones of the hash only matter after equal digits, where both are false
+    return F.md5(F.concat_ws("|", *parts)) < F.lit(f"{bound:08x}")
+
+
 def keyed_int(*keys: str | Column, salt: str, modulus: int) -> Column:
     """Keyed draw in 0 .. modulus-1 (same hash as :func:`uniform`)."""
     parts = [col(k).cast("string") for k in keys] + [F.lit(salt)]

@@ -13,9 +13,9 @@ from .windows import row_number_by
 # A side whose size is known exactly (a generated snapshot) is broadcast up to this many bytes.
 BROADCAST_MAX_BYTES = 64 << 20
 # Ranks that a large share of all draws match; this many rows are broadcast.
-HOT_RANKS = 1024
+HOT_RANKS = 65_536
 # Longest array that a candidate row is exploded from.
-RANK_BLOCK = 4096
+RANK_BLOCK = 1024
 # Share of the rows from which a key is hot, and items that the frequent-items sketch tracks.
 HOT_SHARE, HOT_TRACKED = 0.001, 10_000
 # Thresholds in a node of the threshold index, and bytes of one when broadcast.
@@ -167,11 +167,14 @@ def threshold_join(items: DataFrame, u: str, ranked: DataFrame, weight: str, fac
     them; each level is an equi join on the node and a search among ``fanout`` thresholds. Then
     the places up to r(u) are generated and joined, so the work is proportional to the output.
 
-    A level is broadcast if its thresholds are under ``BROADCAST_MAX_BYTES`` (the upper
-    ones always are in practice); a larger one is joined as the planner sees fit. Low places,
-    which a large share of all draws match, are broadcast too: the first ``hot_ranks``, a fixed number
-    of rows. Places are generated in blocks of at most ``RANK_BLOCK``, so no row
-    holds an array as long as the catalogue.
+    Draws above the largest threshold, which match nothing, are left out before the search. A level is
+    broadcast if its thresholds are under ``BROADCAST_MAX_BYTES`` (the upper
+    ones always are in practice); a larger one is joined as the planner sees fit.
+
+    Low places, which a large share of all draws match, are generated and looked up in a broadcast: the first
+    ``hot_ranks``, a fixed number of rows. Beyond them an item meets whole blocks of ``RANK_BLOCK`` rows, so one
+    row per item and block is shuffled, not one per match; a block has at most ``RANK_BLOCK / hot_ranks`` of the
+    output. No row holds an array as long as the catalogue.
     """
     known = ranked.where(F.col(weight).isNotNull()).withColumn("_rf_t", F.col(weight) * F.lit(factor))
     order = [F.col("_rf_t").desc(), *[F.col(c).asc() for c in ranked.columns]]
@@ -181,33 +184,46 @@ def threshold_join(items: DataFrame, u: str, ranked: DataFrame, weight: str, fac
     n = placed.count()
     if not n:
         return items.join(ranked, F.lit(False))
-    found = items.withColumn("_rf_node", F.lit(0).cast("bigint"))
-    levels = _threshold_levels(placed, n, fanout)
-    for k, (nodes, entries) in enumerate(levels):
-        if entries * THRESHOLD_BYTES <= BROADCAST_MAX_BYTES:
-            nodes = F.broadcast(nodes)
-        above = F.size(F.filter("_rf_ts", lambda t: t > F.col(u)))
-        inside = above if k == len(levels) - 1 else F.greatest(above - 1, F.lit(0))
-        found = found.join(nodes, "_rf_node", "left").withColumn(
-            "_rf_node", F.when(F.col(u).isNull(), F.lit(0)).otherwise(F.col("_rf_node") * F.lit(fanout) + inside).cast("bigint")) \
-            .drop("_rf_ts")
-    # of the leaf, node * fanout + those above u is r(u) itself
-    tops = found.withColumnRenamed("_rf_node", "_rf_top").where(F.col("_rf_top") >= 1)
+    # at most two rows: the largest threshold, and the largest beyond the hot places
+    cuts = {r["_rf_at"]: r["_rf_t"] for r in placed.where(F.col("_rf_at").isin(0, hot_ranks)).select("_rf_at", "_rf_t").collect()}
+    kind = placed.schema["_rf_t"].dataType
+    levels = []
+    for nodes, entries in _threshold_levels(placed, n, fanout):
+        levels.append(F.broadcast(nodes) if entries * THRESHOLD_BYTES <= BROADCAST_MAX_BYTES else nodes)
+
+    def tops(cut) -> DataFrame:
+        """The items that match the place of the cut, with ``_rf_top``, the last place that they match."""
+        found = items.where(F.col(u) < F.lit(cut).cast(kind)).withColumn("_rf_node", F.lit(0).cast("bigint"))
+        for k, nodes in enumerate(levels):
+            above = F.size(F.filter("_rf_ts", lambda t: t > F.col(u)))
+            inside = above if k == len(levels) - 1 else F.greatest(above - 1, F.lit(0))
+            found = found.join(nodes, "_rf_node", "left").withColumn(
+                "_rf_node", (F.col("_rf_node") * F.lit(fanout) + inside).cast("bigint")).drop("_rf_ts")
+        # of the leaf, node * fanout + those above u is r(u) itself
+        return found.withColumnRenamed("_rf_node", "_rf_top").where(F.col("_rf_top") >= 1)
+
     rows = placed.select(F.col("_rf_place").cast("bigint").alias("_rf_place"), *ranked.columns)
 
-    def places(lo: Column, hi: Column) -> DataFrame:
-        blocks = tops.withColumns({"_rf_lo": lo, "_rf_hi": hi}).where(F.col("_rf_lo") <= F.col("_rf_hi"))
-        blocks = blocks.withColumn("_rf_block", F.explode(F.sequence(
-            F.lit(0).cast("bigint"), F.floor((F.col("_rf_hi") - F.col("_rf_lo")) / F.lit(RANK_BLOCK)))))
-        start = F.col("_rf_lo") + F.col("_rf_block") * F.lit(RANK_BLOCK)
-        stop = F.least(F.col("_rf_hi"), start + F.lit(RANK_BLOCK - 1))
-        return blocks.withColumn("_rf_place", F.explode(F.sequence(start, stop))) \
-            .drop("_rf_lo", "_rf_hi", "_rf_block", "_rf_top")
-
-    one, hot = F.lit(1).cast("bigint"), F.lit(hot_ranks).cast("bigint")
-    out = places(one, F.least(F.col("_rf_top"), hot)).join(
-        F.broadcast(rows.where(F.col("_rf_place") <= hot_ranks)), "_rf_place", "inner")
+    def blocks(found: DataFrame, before: int) -> DataFrame:
+        """A row per item and block of places after ``before`` that it reaches (``_rf_block`` from 0)."""
+        return found.withColumn("_rf_block", F.explode(F.sequence(
+            F.lit(0).cast("bigint"), F.floor((F.col("_rf_top") - F.lit(before + 1)) / F.lit(RANK_BLOCK)))))
+
+    first = F.col("_rf_block") * F.lit(RANK_BLOCK) + 1
+    head = blocks(tops(cuts[0]).withColumn("_rf_top", F.least("_rf_top", F.lit(hot_ranks).cast("bigint"))), 0)
+    head = head.withColumn("_rf_place", F.explode(F.sequence(first, F.least("_rf_top", first + F.lit(RANK_BLOCK - 1))))) \
+        .drop("_rf_block", "_rf_top")
+    out = head.join(F.broadcast(rows.where(F.col("_rf_place") <= hot_ranks)), "_rf_place", "inner").drop("_rf_place")
     if n > hot_ranks:
-        out = out.unionByName(places(hot + 1, F.col("_rf_top")).join(
-            rows.where(F.col("_rf_place") > hot_ranks), "_rf_place", "inner"))
-    return out.drop("_rf_place")
+        after = F.col("_rf_place") - F.lit(hot_ranks + 1)
+        packed = rows.where(F.col("_rf_place") > hot_ranks).groupBy(F.floor(after / F.lit(RANK_BLOCK)).alias("_rf_block")) \
+            .agg(F.sort_array(F.collect_list(F.struct("_rf_place", *ranked.columns))).alias("_rf_rows"))
+        tail = blocks(tops(cuts[hot_ranks]), hot_ranks)
+        # few small rows that become many: an even number of blocks a task, whatever their bytes
+        tail = tail.repartition(int(tail.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), "_rf_block")
+        reached = F.least(F.lit(RANK_BLOCK).cast("bigint"), F.col("_rf_top") - F.lit(hot_ranks) - F.col("_rf_block") * F.lit(RANK_BLOCK))
+        tail = tail.join(packed, "_rf_block", "inner") \
+            .select(*items.columns, F.explode(F.slice("_rf_rows", F.lit(1), reached.cast("int"))).alias("_rf_row")) \
+            .select(*items.columns, *[F.col("_rf_row")[c].alias(c) for c in ranked.columns])
+        out = out.unionByName(tail)
+    return out

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.calendar import season_factor
-from ..functions.columns import MONEY, RATE, padded_id, uniform
+from ..functions.columns import MONEY, RATE, padded_id, uniform, uniform_below
 from ..operators.joins import date_sequence, threshold_join
 from ..operators.windows import column_total
 from .fixtures import load_ts
@@ -32,8 +32,8 @@ from ..fixed import (BASKET_MAX, BRANDS, CATEGORIES, CITIES, DISC_LOW, DISC_P,
                      TX_PER_DAY, TX_WIDTH, U_RESOLUTION, ZIPF_S)
 
 
-# Orders that one row is exploded to.
-ORDER_BLOCK = 1_000
+# Orders that one row is exploded to, and tasks per core that the blocks are dealt to (a slow task is a small part).
+ORDER_BLOCK, TASKS_PER_CORE = 1_000, 4
 
 
 def _pick(values, idx):
@@ -109,7 +109,7 @@ def explode_transactions(grid: DataFrame) -> DataFrame:
     """
     blocks = grid.select("day", "store_id", "tx", F.explode(F.sequence(
         F.lit(0), F.floor((F.col("tx") - 1) / F.lit(ORDER_BLOCK)).cast("int"))).alias("block"))
-    blocks = blocks.repartition(grid.sparkSession.sparkContext.defaultParallelism, "day", "store_id", "block")
+    blocks = blocks.repartition(TASKS_PER_CORE * grid.sparkSession.sparkContext.defaultParallelism, "day", "store_id", "block")
     first = F.col("block") * F.lit(ORDER_BLOCK) + 1
     last = F.least(F.col("tx"), first + F.lit(ORDER_BLOCK - 1))
     return blocks.select("day", "store_id", F.explode(F.sequence(first, last)).alias("local_order"))
@@ -145,30 +145,37 @@ def pick_products(items: DataFrame, products: DataFrame, factor: float = PICK_FA
     return threshold_join(items, "u", products.select("rank", "product_id", "list_price", "weight"), "weight", factor)
 
 
+def item_labels(items: DataFrame) -> DataFrame:
+    """``order_id`` (``yyyyMMdd-store-000123``) and ``item_key``, the joined keys of the item's draws, once per
+    item: its lines, which are many more, share both."""
+    local = F.col("local_order").cast("string")
+    return items.withColumns({
+        "order_id": F.concat(F.date_format("day", "yyyyMMdd"), F.lit("-"), F.col("store_id"), F.lit("-"),
+                             F.when(F.length(local) > 6, local).otherwise(F.lpad(local, 6, "0"))),
+        "item_key": F.concat_ws("|", *[F.col(c).cast("string") for c in ("day", "store_id", "local_order", "item_no")])}) \
+        .drop("local_order", "item_no")
+
+
 def price_lines(lines: DataFrame) -> DataFrame:
     """Quantity 1 + [U < .35] + [U < .10]; discount rate U[.05, .20] on 12 %
-    of the lines, else 0 (decimal(5,4)). Each draw has its own salt."""
-    keys = ("day", "store_id", "local_order", "item_no", "product_id")
-    qty = (F.lit(1) + (uniform(*keys, salt="qty2") < QTY_P2).cast("int")
-           + (uniform(*keys, salt="qty3") < QTY_P3).cast("int")).cast("int")
-    rate = F.when(uniform(*keys, salt="disc") < DISC_P,
+    of the lines, else 0 (decimal(5,4)). Each draw has its own salt and is keyed by item and product."""
+    keys = ("item_key", "product_id")
+    qty = (F.lit(1) + uniform_below(*keys, salt="qty2", p=QTY_P2).cast("int")
+           + uniform_below(*keys, salt="qty3", p=QTY_P3).cast("int")).cast("int")
+    rate = F.when(uniform_below(*keys, salt="disc", p=DISC_P),
                   (F.lit(DISC_LOW) + uniform(*keys, salt="rate") * F.lit(DISC_WIDTH)).cast(RATE)) \
             .otherwise(F.lit(0).cast(RATE))
     return lines.withColumns({"qty": qty, "rate": rate})
 
 
 def finish_sales(lines: DataFrame, as_of=None) -> DataFrame:
-    """Bronze sales columns: order id ``yyyyMMdd-store-000123``, net and
-    discount money each rounded half-up to cents."""
+    """Bronze sales columns: net and discount money each rounded half-up to cents (most lines have no discount to round)."""
     amount = F.col("list_price") * F.col("qty")
+    plain = (F.col("rate") == 0) & amount.isNotNull()
     return lines.select(
-        F.col("day").alias("sale_date"),
-        F.concat(F.date_format("day", "yyyyMMdd"), F.lit("-"), F.col("store_id"), F.lit("-"),
-                 F.when(F.length(F.col("local_order").cast("string")) > 6, F.col("local_order").cast("string"))
-                  .otherwise(F.lpad(F.col("local_order").cast("string"), 6, "0"))).alias("order_id"),
-        "store_id", "product_id", "qty",
-        F.round(amount * (F.lit(1) - F.col("rate")), 2).cast(MONEY).alias("net"),
-        F.round(amount * F.col("rate"), 2).cast(MONEY).alias("discount"),
+        F.col("day").alias("sale_date"), "order_id", "store_id", "product_id", "qty",
+        F.when(plain, amount.cast(MONEY)).otherwise(F.round(amount * (F.lit(1) - F.col("rate")), 2).cast(MONEY)).alias("net"),
+        F.when(plain, F.lit(0).cast(MONEY)).otherwise(F.round(amount * F.col("rate"), 2).cast(MONEY)).alias("discount"),
         load_ts(as_of).alias("bronze_ts"),
     )
 
@@ -177,6 +184,6 @@ def synthetic_sales(products: DataFrame, stores: DataFrame, start, end, tx_per_d
                     divisor: float = TX_DIVISOR, as_of=None, num_partitions: int | None = None) -> DataFrame:
     """The whole chain: Bronze sales lines for every day and store."""
     grid = transaction_grid(stores, start, end, tx_per_day, divisor, num_partitions)
-    items = explode_items(basket_size(explode_transactions(grid)))
+    items = item_labels(explode_items(basket_size(explode_transactions(grid))))
     lines = price_lines(pick_products(items, products))
     return finish_sales(lines, as_of)

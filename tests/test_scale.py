@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
+from retailflow.functions import columns as C
 from retailflow.operators import distinct as D
+from retailflow.operators import joins as J
 
 
 def test_sets_of_sparse_cells_stay_small(spark):
@@ -23,3 +25,29 @@ def test_sets_hold_every_bit_of_a_word(spark):
     sets = D.distinct_sets(rows.withColumn("cell", F.lit(1)), ["cell"], "n")
     assert sorted((r[D.BLOCK], r[D.BITS]) for r in sets.collect()) == [(0, 1 - 2**63), (1, 1 - 2**63), (2**34, -2**63)]
     assert D.set_counts(sets, ["cell"], "c").first().c == 5
+
+
+def test_items_beyond_the_hot_places_meet_blocks(spark, monkeypatch):
+    """A draw that matches the whole catalogue is shuffled once a block of products, not once a product."""
+    monkeypatch.setattr(J, "RANK_BLOCK", 50)
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ranked = spark.range(1, 1_001).select(F.col("id").alias("rank"), (1 / F.col("id")).alias("weight"))
+        items = spark.createDataFrame([(1, 0.0), (2, 0.0015), (3, 0.9), (4, 5.0), (5, None), (6, 0.05)], "id int, u double")
+        got = J.threshold_join(items, "u", ranked, "weight", 1.0, hot_ranks=10, fanout=8)
+        rows = sorted((r.id, r["rank"]) for r in got.collect())
+        tops = {1: 1_000, 2: 666, 3: 1, 6: 19}
+        assert rows == [(i, k) for i, n in tops.items() for k in range(1, n + 1)]
+
+        # the item's rows are dealt by block, and places are only made for the broadcast ones
+        assert got._jdf.queryExecution().executedPlan().toString().count("hashpartitioning(_rf_place") == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+
+
+def test_draws_below_a_bound_equal_the_numbers(spark):
+    rows = spark.range(3_000)
+    for p in (0.0, 1e-9, 0.1, 0.12, 0.35, 0.5, 1 - 2**-33, 1.0, 1.5, -1.0):
+        assert rows.where(C.uniform("id", salt="s") < p).exceptAll(rows.where(C.uniform_below("id", salt="s", p=p))).count() == 0
+        assert rows.where(C.uniform_below("id", salt="s", p=p)).count() == rows.where(C.uniform("id", salt="s") < p).count()
