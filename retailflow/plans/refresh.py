@@ -16,6 +16,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, ByteType, DateType, IntegerType, LongType, ShortType, StringType
 
 from ..operators.joins import bounded_values
 from ..session import ensure_checkpoint_dir
@@ -33,12 +34,18 @@ def partition_summary(rows: DataFrame, part: Column, source: str, ts: str = "sil
 
     ``digest`` sums a hash of every column but the load timestamp, so it sees edits that keep
     count and timestamp, and does not depend on the order or the layout of the rows.
+    The 64 bits of a hash are added up as three longs, and only the sums become one decimal.
     """
     cols = [c for c in rows.columns if c != ts]
     newest = F.max(ts) if ts in rows.columns else F.lit(None).cast("timestamp")
-    return rows.groupBy(part.cast("string").alias("part")).agg(
+    names = [c for c in rows.columns if c in cols or c == ts]
+    hashed = rows.select(part.cast("string").alias("_rf_part"), *names, F.xxhash64(*cols).alias("_rf_h"))
+    low, mid, high = (f"({bits})" for bits in ("_rf_h & 4194303", "shiftright(_rf_h, 22) & 4194303", "shiftright(_rf_h, 44)"))
+    found = hashed.groupBy(F.col("_rf_part").alias("part")).agg(
         F.count(F.lit(1)).alias("rows"), newest.alias("newest"),
-        F.sum(F.xxhash64(*cols).cast("decimal(20,0)")).alias("digest")).select(F.lit(source).alias("source"), "*")
+        F.sum(F.expr(low)).alias("_rf_0"), F.sum(F.expr(mid)).alias("_rf_1"), F.sum(F.expr(high)).alias("_rf_2"))
+    digest = " + ".join(f"CAST(CAST(_rf_{i} AS DECIMAL(20,0)) * {2 ** (22 * i)}BD AS DECIMAL(38,0))" for i in range(3))
+    return found.select(F.lit(source).alias("source"), "part", "rows", "newest", F.expr(f"CAST({digest} AS DECIMAL(30,0))").alias("digest"))
 
 
 def changed_partitions(now: DataFrame, before: DataFrame) -> DataFrame:
@@ -106,12 +113,25 @@ def key_rules(table: str) -> dict[str, list[str]]:
     return {r: list(c) for r, t, c, *_ in [*GOLD_PRIMARY_KEYS, *GOLD_FOREIGN_KEYS] if t == table}
 
 
+#: Types of which different values have different texts.
+_PLAIN_TEXT = (ByteType, ShortType, IntegerType, LongType, DateType, StringType, BooleanType)
+
+
 def key_summary(rows: DataFrame, rules: Mapping[str, Sequence[str]], partition: str | None = None) -> DataFrame:
-    """``rule, key, n, <partition>``: the different keys with their rows, in one pass; a key with a NULL part is NULL."""
-    tagged = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), _key_text(c).alias("key")) for r, c in rules.items()]))
-    part = F.col(partition) if partition else F.lit("all")
-    return rows.select(tagged.alias("k"), part.alias("_rf_part")).groupBy("k.rule", "k.key", "_rf_part") \
-        .agg(F.count(F.lit(1)).alias("n")).select("rule", "key", "n", F.col("_rf_part").alias(partition or "part"))
+    """``rule, key, n, <partition>``: the different keys with their rows; a key with a NULL part is NULL.
+
+    Each rule reads its own columns, counted on the map side; the rows of a plain column are counted by value, and only
+    the different ones become text.
+    """
+    by, out = partition or "part", None
+    part = (F.col(partition) if partition else F.lit("all")).alias("_rf_part")
+    for rule, cols in rules.items():
+        plain = len(cols) == 1 and isinstance(rows.schema[cols[0]].dataType, _PLAIN_TEXT)
+        keys = rows.select((F.col(cols[0]) if plain else _key_text(cols)).alias("key"), part)
+        one = keys.groupBy("key", "_rf_part").agg(F.count(F.lit(1)).alias("n")).select(
+            F.lit(rule).alias("rule"), F.col("key").cast("string").alias("key"), "n", F.col("_rf_part").alias(by))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 def refresh_keys(spark: SparkSession, name: str, rules: Mapping[str, Sequence[str]], partition: str | None = None,

@@ -198,7 +198,11 @@ def _layout(df: DataFrame, partition_by: Sequence[str], spread_key: Sequence[str
     """Range-partition on (partition columns, spread key) before a partitioned
     write: each task then holds a few whole days, and a day with a third of
     the rows still spans several tasks, so files stay bounded in number and
-    size (tasks x days small files without it)."""
+    size (tasks x days small files without it). Without a spread key the rows are
+    dealt by the partition columns and AQE splits a large value and packs small ones:
+    no sampling pass, which would compute the rows once more, and no value is one task's work."""
+    if not spread_key and not num_partitions:
+        return df.hint("rebalance", *partition_by)
     keys = [F.col(c) for c in partition_by] + [F.col(c) for c in (spread_key or [])]
     # without an explicit count AQE sizes the write tasks from the real data
     return df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
