@@ -22,7 +22,8 @@ each (its prefix), so only sets that meet in a prefix shingle are compared.
    components, meet in a list, have fitting sizes and signatures and share enough of their prefixes
    (``least_common``) are verified. A pair inside one component can add nothing and is not made: in
    each list only members outside its largest component look for partners.
-6. ``verified``: the texts of the sets in question give their shingles again; exact counts decide.
+6. ``verified``: pairs whose wide parities (2 to 4 bits a shingle) differ in more bits than linked sets do in shingles are
+   left out, so whole sets are moved for few others; the texts of those give their shingles again; exact counts decide.
 
 Shingles and sets are 64-bit hashes; that no two sets or groups got the same number is checked
 with a second hash (a clash starts again with another seed). Components are joined on Spark.
@@ -105,10 +106,25 @@ def _signed(x) -> pa.Array:
     return pa.array(np.asarray(x, np.uint64).view(np.int64), pa.int64())
 
 
+def _parities(shingles: np.ndarray, bits: int) -> np.ndarray:
+    """Bit i tells whether an odd number of the hashes have i in their low bits (``bits``: a power of two)."""
+    odd = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8))
+
+
+def _folded(parities: np.ndarray, size: int) -> np.ndarray:
+    """The same parities in ``size`` bytes."""
+    return np.bitwise_xor.reduce(parities.reshape(-1, size), axis=0)
+
+
+def _wide(shingles: np.ndarray) -> np.ndarray:
+    """Parities of 2 to 4 bits a shingle, 256 at least."""
+    return _parities(shingles, max(256, 1 << (2 * len(shingles) - 1).bit_length() if len(shingles) else 0))
+
+
 def _signature(shingles: np.ndarray) -> np.ndarray:
-    """256 parities: bit i tells whether an odd number of the hashes have i as their low byte."""
-    odd = np.bincount((shingles & np.uint64(255)).astype(np.int64), minlength=256) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+    """256 parities as four numbers."""
+    return _parities(shingles, 256).view(np.int64)
 
 
 def hot_shingles(docs: DataFrame, shingle: int) -> np.ndarray:
@@ -152,11 +168,11 @@ def _most(counted: DataFrame) -> np.ndarray:
 
 _BITS = ("s0", "s1", "s2", "s3")
 _SETS = [("k1", pa.int64()), ("k2", pa.int64()), ("sid", pa.int64()), ("sid2", pa.int64()), ("n", pa.int64()), ("gid", pa.int64()),
-         ("gid2", pa.int64()), ("head", pa.binary()), *((f"s{i}", pa.int64()) for i in range(4))]
+         ("gid2", pa.int64()), ("head", pa.binary()), ("wide", pa.binary()), *((f"s{i}", pa.int64()) for i in range(4))]
 
 
 def described(docs: DataFrame, hot: np.ndarray, seed: int, shingle: int, percent: int) -> DataFrame:
-    """``doc_id, k1, k2, sid, sid2, n, gid, gid2, head, s0 … s3`` for every row: set, size, group, prefix, signature."""
+    """``doc_id, k1, k2, sid, sid2, n, gid, gid2, head, wide, s0 … s3`` for every row: set, size, group, prefix, signatures."""
     shared = docs.sparkSession.sparkContext.broadcast(hot.tobytes())
     salts = [4 * seed + i for i in range(4)]
 
@@ -170,16 +186,17 @@ def described(docs: DataFrame, hot: np.ndarray, seed: int, shingle: int, percent
                 ids = [xxhash.xxh64_intdigest(s.tobytes(), x) for x in salts[:2]]
                 whole = np.sort(head).tobytes() + len(s).to_bytes(8, "little")
                 groups = [xxhash.xxh64_intdigest(whole, x) for x in salts[2:]]
-                rows.append((*ids, len(s), *groups, head.tobytes(), *_signature(s).tolist()))
+                wide = _wide(s)
+                rows.append((*ids, len(s), *groups, head.tobytes(), wide.tobytes(), *_folded(wide, 32).view(np.int64).tolist()))
             if rows:
-                ids, ids2, n, groups, groups2, heads, *bits = zip(*rows, strict=True)
+                ids, ids2, n, groups, groups2, heads, wides, *bits = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), b.column(1), b.column(2), _signed(ids), _signed(ids2), pa.array(n, pa.int64()),
-                     _signed(groups), _signed(groups2), pa.array(heads, pa.binary()), *(pa.array(x, pa.int64()) for x in bits)], ["doc_id", *(x for x, _ in _SETS)])
+                     _signed(groups), _signed(groups2), pa.array(heads, pa.binary()), pa.array(wides, pa.binary()), *(pa.array(x, pa.int64()) for x in bits)], ["doc_id", *(x for x, _ in _SETS)])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return on_workers(docs).mapInArrow(run, f"doc_id {kind}, k1 long, k2 long, sid long, sid2 long, n long, gid long, "
-                                            "gid2 long, head binary, s0 long, s1 long, s2 long, s3 long")
+                                            "gid2 long, head binary, wide binary, s0 long, s1 long, s2 long, s3 long")
 
 
 def _clash(sets: DataFrame) -> bool:
@@ -267,12 +284,37 @@ def near_before(rows: DataFrame, percent: int, order: str) -> DataFrame:
     return ranged.select("h", "sid", "n", "comp", *_BITS).mapInArrow(run, "sid long, other long")
 
 
+def _ends(pairs: DataFrame, name: str) -> DataFrame:
+    """``sid`` of the sets in pairs, for a join with a large table."""
+    ends = stored(pairs.select(F.col("a").alias("sid")).unionAll(pairs.select(F.col("b").alias("sid"))).distinct(), name)
+    return F.broadcast(ends) if ends.count() <= BROADCAST_ROWS else ends
+
+
+def _fitting(sets: DataFrame, pairs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The pairs that may link by their wide parities, and ``sid, k1, k2``: where the text of a set in any pair is."""
+    one = sets.join(_ends(pairs, "jaccard-ends"), "sid").groupBy("sid").agg(
+        F.first("n").alias("n"), F.first("wide").alias("wide"), F.min(F.struct("k1", "k2")).alias("k"))
+    one = stored(one.select("sid", "n", "wide", "k.k1", "k.k2"), "jaccard-wide")
+
+    def fit(batches):
+        for b in batches:
+            keep = []
+            for n, m, x, y in zip(*(b.column(i).to_pylist() for i in range(2, 6)), strict=True):
+                x, y = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+                size = min(len(x), len(y))
+                apart = int(np.bitwise_count(_folded(x, size) ^ _folded(y, size)).sum(dtype=np.int64))
+                keep.append(apart <= n + m - 2 * ((percent * (n + m) + 99 + percent) // (100 + percent)))
+            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    left, right = (one.select(F.col("sid").alias(e), F.col("n").alias(f"{e}_n"), F.col("wide").alias(f"{e}_wide")) for e in "ab")
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "a_n", "b_n", "a_wide", "b_wide")
+    return stored(on_workers(both).mapInArrow(fit, "a long, b long"), "jaccard-fitting"), one.select("sid", "k1", "k2")
+
+
 def verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The pairs ``a, b`` of sets that link, by exact counts of their shingles."""
-    pairs = stored(pairs.distinct(), "jaccard-pairs")
-    wanted = pairs.select(F.col("a").alias("sid")).unionAll(pairs.select(F.col("b").alias("sid"))).distinct()
-    one = sets.groupBy("sid").agg(F.min(F.struct("k1", "k2")).alias("k")).join(wanted, "sid")
-    one = stored(one.select("sid", "k.k1", "k.k2"), "jaccard-wanted")
+    pairs, one = _fitting(sets, stored(pairs.distinct(), "jaccard-pairs"), percent)
+    one = stored(one.join(_ends(pairs, "jaccard-wanted"), "sid"), "jaccard-places")
     if one.count() <= BROADCAST_ROWS:
         one = F.broadcast(one)
 

@@ -127,3 +127,28 @@ def test_prefixes_of_linked_sets_share_enough():
         sql = jaccard_join.least_common(str(len(a)), str(len(b))).replace(" div ", " // ")
         assert k >= duckdb.connect().execute(f"SELECT {sql}").fetchone()[0] >= 1
     assert prefix_size(0) == 0 and prefix_size(1) == 1 and len(shingle_set(b"")) == 0
+
+
+def test_pairs_that_cannot_link_are_left_out_by_wide_parities(spark):
+    """Sets of 600 shingles that differ in 400: the 256 parities cannot tell, the wide ones must."""
+    rng = np.random.default_rng(5)
+    base = np.unique(rng.integers(0, 1 << 62, 600).astype(np.uint64))
+    other = np.concatenate([base[:400], rng.integers(0, 1 << 62, 200).astype(np.uint64)])
+    copy = np.concatenate([base[:-20], rng.integers(0, 1 << 62, 300).astype(np.uint64)])[:600]
+    short = base[:520]  # 86 % of the base, and parities of another width
+    known = [base, other, copy, short]
+    assert len(jaccard_join._wide(base)) > len(jaccard_join._wide(short[:500]))
+    sets = spark.createDataFrame([(i, len(s), bytearray(jaccard_join._wide(s).tobytes()), i, i) for i, s in enumerate(known)],
+                                 "sid long, n long, wide binary, k1 long, k2 long")
+    pairs = spark.createDataFrame([(0, 1), (0, 2), (0, 3)], "a long, b long")
+    fitting, places = jaccard_join._fitting(sets, pairs, 85)
+    assert sorted(map(tuple, fitting.collect())) == [(0, 2), (0, 3)]
+    assert sorted(r.sid for r in places.collect()) == [0, 1, 2, 3]
+
+
+def test_folded_parities_are_those_of_fewer_bits():
+    rng = np.random.default_rng(6)
+    for n in (0, 1, 128, 129, 1_000):
+        s = np.unique(rng.integers(0, 1 << 62, n).astype(np.uint64))
+        wide = jaccard_join._wide(s)
+        assert 8 * len(wide) >= max(256, 2 * n) and (jaccard_join._folded(wide, 32).view(np.int64) == jaccard_join._signature(s)).all()
