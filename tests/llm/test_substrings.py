@@ -1,9 +1,12 @@
 """Repeated words and bytes against brute force."""
 
 import hashlib
+import tracemalloc
 from collections import Counter
+from unittest.mock import MagicMock
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from .conftest import by_id
 from hypothesis import given, settings
@@ -94,3 +97,30 @@ def test_many_copies_of_one_row(spark, kind):
     rows = [(7, prose(61, 300) + " " + other[:900])] * 500 + [(i, other + " " + prose(70 + i, 120)) for i in range(20)] + [(99, prose(62, 200))]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
     assert by_id(operator(docs).collect()) == brute(rows, cut, join, window)
+
+
+@pytest.mark.parametrize("step", ["index", "finish_closed", "finish_open"])
+def test_a_task_holds_a_part_of_a_batch(spark, step, monkeypatch):
+    """24 MB of texts in one batch: what a Python worker allocates beside the batch stays far below the batch."""
+    source, units = MagicMock(), suffix_arrays.Bytes()
+    monkeypatch.setattr(repeats, "on_workers", lambda df: source)
+    for name in ("select", "join"):
+        getattr(source, name).return_value = source
+    args = {"index": (units, 400, 64), "finish_closed": (MagicMock(), units, 400), "finish_open": (MagicMock(), units, 400)}
+    getattr(repeats, step)(source, *args[step])
+    run = source.mapInArrow.call_args[0][0]
+    texts = [np.random.default_rng(i).bytes(8_000) for i in range(3_000)]
+    ids = pa.array(range(len(texts)))
+    runs = pa.array([[{"at": (i << 32) + (40 << 16), "g": i, "whole": True, "ask": False, "big": False} for i in range(20)]]
+                    * len(texts))
+    columns = {"index": [ids, ids, ids, pa.array(texts)], "finish_closed": [ids, ids, ids, pa.array(texts), runs],
+               "finish_open": [ids, pa.array(texts), pa.array([b""] * len(texts)),
+                               pa.array([[]] * len(texts), pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())])))]}
+    batch = pa.RecordBatch.from_arrays(columns[step], [str(i) for i in range(len(columns[step]))])
+    del texts, columns, runs
+    tracemalloc.start()
+    n = sum(b.num_rows for b in run([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 3_000
+    assert peak < 60e6 if step == "index" else peak < 20e6, peak
